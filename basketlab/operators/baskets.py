@@ -1,9 +1,9 @@
 """From order lines to baskets, and the account of what was left out.
 
-Shuffles, in order: (order, item) to remove duplicates, then order to assemble.  The
-first one is what makes the second safe: after it an order has at most one row per
-item, so even an order that holds a large share of all lines assembles from no more
-rows than the catalog has items.
+Shuffles, in order: (order, product) to remove duplicates, then order to assemble.
+The first one is what makes the second safe: after it an order has at most one row per
+product, so even an order that holds a large share of all lines assembles from no more
+rows than the catalog has products.
 """
 
 from __future__ import annotations
@@ -18,44 +18,66 @@ from basketlab.functions.labels import (
 )
 from basketlab.functions.text import default_name, percent_text
 from basketlab.operators.items import core_items, item_frequency
+from basketlab.operators.quality import dedup_lines, order_sizes
 from basketlab.storage import materialize
 
 GROUPS = ["G0", "G1", "G2", "G3", "G4"]
 QUALIFIED = "qualified"
 
 
-def core_catalog(lines: DataFrame, products: DataFrame, min_item_freq: int | None) -> DataFrame:
-    """Core products with name and frequency: product_id, product_name, item_count.
+def core_catalog(
+    lines: DataFrame,
+    products: DataFrame,
+    min_item_freq: int | None,
+    frequency: DataFrame | None = None,
+) -> DataFrame:
+    """Core products: product_id, product_name.
 
     With a threshold the result is small (at most lines / threshold rows) and is
     written once, so the joins that use it know its real size: below the broadcast
-    limit of the session it is broadcast, beyond it the join shuffles.
+    limit of the session it is broadcast, beyond it the join shuffles.  ``frequency``
+    saves the counting pass when item counts are at hand.
     """
+    names = products.select("product_id", "product_name")
     if min_item_freq is None:
-        return products.select("product_id", "product_name")
-    core = core_items(item_frequency(lines), min_item_freq)
-    named = core.join(products.select("product_id", "product_name"), "product_id")
-    return materialize(named, "core-catalog")
+        return names
+    counts = item_frequency(lines) if frequency is None else frequency
+    return materialize(
+        core_items(counts, min_item_freq).join(names, "product_id").select(*names.columns),
+        "core-catalog",
+    )
 
 
-def assemble(named_lines: DataFrame, min_size: int = MIN_BASKET_SIZE) -> DataFrame:
+def assemble(named_pairs: DataFrame, min_size: int = MIN_BASKET_SIZE) -> DataFrame:
     """Baskets from (order_id, item, add_to_cart_order): distinct items, sorted by name.
 
     ``first_item`` is the item that entered the cart first; the name decides ties.
     """
     return (
-        named_lines.groupBy("order_id", "item")
-        .agg(F.min("add_to_cart_order").alias("position"))
-        .groupBy("order_id")
+        named_pairs.groupBy("order_id")
         .agg(
-            F.array_sort(F.collect_list("item")).alias("items"),
-            F.min(F.struct("position", "item"))["item"].alias("first_item"),
+            F.array_sort(F.collect_set("item")).alias("items"),
+            F.min(F.struct("add_to_cart_order", "item"))["item"].alias("first_item"),
         )
         .filter(F.size("items") >= min_size)
         .select("order_id", F.size("items").alias("items_count"), "items", "first_item")
     )
 
 
+def catalog_baskets(
+    lines: DataFrame, catalog: DataFrame, min_size: int = MIN_BASKET_SIZE
+) -> DataFrame:
+    """Baskets of the catalog's products; lines of other products drop out before any shuffle.
+
+    Names are attached after the duplicates are gone, so the wide shuffle carries ids.
+    """
+    core_lines = lines.join(catalog.select("product_id"), "product_id", "left_semi")
+    named = dedup_lines(core_lines).join(catalog, "product_id")
+    return assemble(
+        named.select("order_id", F.col("product_name").alias("item"), "add_to_cart_order"), min_size
+    )
+
+
 def build_baskets(
     lines: DataFrame,
     products: DataFrame,
@@ -66,18 +88,15 @@ def build_baskets(
 
     Frequency counts raw lines; baskets hold distinct names.
     """
-    catalog = core_catalog(lines, products, min_item_freq)
-    named = lines.join(catalog, "product_id").select(
-        "order_id", F.col("product_name").alias("item"), "add_to_cart_order"
-    )
-    return assemble(named, min_size)
+    return catalog_baskets(lines, core_catalog(lines, products, min_item_freq), min_size)
 
 
 def build_unpruned_baskets(
     lines: DataFrame, orders: DataFrame, products: DataFrame, min_size: int = MIN_BASKET_SIZE
 ) -> DataFrame:
     """Loader variant: all products, default names, metadata null when the order is unknown."""
-    named = lines.join(products.select("product_id", "product_name"), "product_id", "left").select(
+    names = products.select("product_id", "product_name")
+    named = dedup_lines(lines).join(names, "product_id", "left").select(
         "order_id",
         default_name(F.col("product_name"), F.col("product_id"), LOADER_DEFAULT_NAME).alias("item"),
         "add_to_cart_order",
@@ -126,41 +145,39 @@ def baskets_by_size(baskets: DataFrame, items_count: int) -> DataFrame:
 
 
 def order_profiles(
-    lines: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    min_item_freq: int | None,
-    min_size: int = MIN_BASKET_SIZE,
+    sizes: DataFrame, core_sets: DataFrame, orders: DataFrame, min_size: int = MIN_BASKET_SIZE
 ) -> DataFrame:
     """One row per order with everything the exclusion audit needs.
 
-    raw_lines counts lines, c_raw and c_core count distinct products, core_items holds
-    the distinct core names, exclusion_group says why an order is no basket: G0 no
-    lines, G1 one product, G2 no core product, G3 one core product, G4 core products
-    that share too few names.
+    ``sizes`` come from ``order_sizes``, ``core_sets`` are the baskets of the core
+    catalog without a minimum size.  raw_lines counts lines, c_raw and c_core distinct
+    products, core_items holds the distinct core names, exclusion_group says why an
+    order is no basket: G0 no lines, G1 one product, G2 no core product, G3 one core
+    product, G4 core products that share too few names.
     """
-    catalog = core_catalog(lines, products, min_item_freq)
-    catalog = catalog.select("product_id", "product_name", F.lit(True).alias("is_core"))
-    pairs = lines.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
-    sizes = (
-        pairs.join(catalog, "product_id", "left")
-        .groupBy("order_id")
-        .agg(
-            F.sum("n").alias("raw_lines"),
-            F.count(F.lit(1)).alias("c_raw"),
-            F.count("is_core").alias("c_core"),
-            F.array_sort(F.collect_set("product_name")).alias("core_items"),
+    zero = F.lit(0).cast("long")
+    return (
+        orders.select("order_id")
+        .join(sizes, "order_id", "left")
+        .join(core_sets.select("order_id", F.col("items").alias("core_items")), "order_id", "left")
+        .select(
+            "order_id",
+            F.coalesce("raw_lines", zero).alias("raw_lines"),
+            F.coalesce("c_raw", zero).alias("c_raw"),
+            F.coalesce("c_core", zero).alias("c_core"),
+            F.coalesce("core_items", F.array().cast("array<string>")).alias("core_items"),
         )
+        .withColumn("exclusion_group", exclusion_group(min_size))
     )
-    zero = F.lit(0).cast("long")
-    profile = orders.select("order_id").join(sizes, "order_id", "left").select(
-        "order_id",
-        F.coalesce("raw_lines", zero).alias("raw_lines"),
-        F.coalesce("c_raw", zero).alias("c_raw"),
-        F.coalesce("c_core", zero).alias("c_core"),
-        F.coalesce("core_items", F.array().cast("array<string>")).alias("core_items"),
+
+
+def audit_profiles(
+    lines: DataFrame, orders: DataFrame, catalog: DataFrame, min_size: int = MIN_BASKET_SIZE
+) -> DataFrame:
+    """Profiles straight from the lines."""
+    return order_profiles(
+        order_sizes(lines, catalog), catalog_baskets(lines, catalog, 1), orders, min_size
     )
-    return profile.withColumn("exclusion_group", exclusion_group(min_size))
 
 
 def exclusion_group(min_size: int) -> Column:

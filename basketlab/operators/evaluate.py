@@ -12,8 +12,11 @@ from basketlab.operators.recommend import not_in, popular_list
 
 
 def evaluation_sample(baskets: DataFrame, n: int = EVALUATION_SAMPLE) -> DataFrame:
-    """A repeatable sample of ``n`` baskets: order ids by multiplicative hash."""
-    key = F.pmod(F.col("order_id") * F.lit(2654435761), F.lit(4294967296))
+    """A repeatable sample of ``n`` baskets: order ids by multiplicative hash.
+
+    Ids are reduced to 31 bits first, so the product stays within a long.
+    """
+    key = F.pmod("order_id", F.lit(2147483648)) * F.lit(2654435761) % F.lit(4294967296)
     return baskets.orderBy(key, "order_id").limit(n)
 
 

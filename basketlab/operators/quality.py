@@ -113,44 +113,82 @@ def orphan_rows(df: DataFrame, key: str, parent: DataFrame, parent_key: str) ->
     return df.join(parents, df[key] == F.col("__parent"), "left_anti")
 
 
-def orphan_keys(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Keys without a parent and the number of rows behind each: columns key, n."""
-    return orphan_rows(key_counts(df.select(key), [key]), key, parent, parent_key)
+def orphan_total(counts: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Column:
+    """Rows without a parent, summed over key counts (key, n).
+
+    A left join, because an anti join would be pushed below the counting and make the
+    raw rows travel instead of one row per key.
+    """
+    parents = parent.select(F.col(parent_key).alias("__parent"), F.lit(True).alias("__known"))
+    return (
+        counts.join(parents, counts[key] == F.col("__parent"), "left")
+        .agg(_zero_if_null(F.sum(F.when(F.col("__known").isNull(), F.col("n")))))
+        .scalar()
+    )
 
 
 def orphan_count(
     df: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str = "orphans"
 ) -> DataFrame:
-    return orphan_keys(df, key, parent, parent_key).agg(_zero_if_null(F.sum("n")).alias(name))
+    """Rows of the whole table and how many of them have no parent."""
+    counts = key_counts(df.select(key), [key])
+    return counts.agg(_zero_if_null(F.sum("n")).alias("total_rows")).withColumn(
+        name, orphan_total(counts, key, parent, parent_key)
+    )
 
 
-def integrity_report(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """All line checks in one row, from one scan of the lines.
+def order_sizes(lines: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """Per order: raw_lines, c_raw distinct products, c_core of them in the catalog, null_key_lines.
 
-    The (order, product) counts are shuffled once; every figure derives from them.
+    Products are counted as (order, product) pairs first, so an order or a pair that
+    holds a large share of the lines is spread over tasks before its order is counted.
     """
     pairs = key_counts(lines.select("order_id", "product_id"), ["order_id", "product_id"])
-    totals = pairs.agg(
-        _zero_if_null(F.sum("n")).alias("total_lines"),
-        F.count(F.lit(1)).alias("distinct_pairs"),
-        _zero_if_null(F.sum(F.col("n") - 1)).alias("duplicate_pairs"),
-        _zero_if_null(
-            F.sum(F.when(F.col("order_id").isNull() | F.col("product_id").isNull(), F.col("n")))
-        ).alias("null_keys"),
+    if catalog is None:
+        flagged = pairs.withColumn("is_core", F.lit(None).cast("boolean"))
+    else:
+        known = catalog.select("product_id", F.lit(True).alias("is_core"))
+        flagged = pairs.join(known, "product_id", "left")
+    null_key = F.col("order_id").isNull() | F.col("product_id").isNull()
+    return flagged.groupBy("order_id").agg(
+        F.sum("n").alias("raw_lines"),
+        F.count(F.lit(1)).alias("c_raw"),
+        F.count("is_core").alias("c_core"),
+        _zero_if_null(F.sum(F.when(null_key, F.col("n")))).alias("null_key_lines"),
     )
 
-    def orphans(key: str, parent: DataFrame) -> Column:
-        by_key = pairs.groupBy(key).agg(F.sum("n").alias("n"))
-        return (
-            orphan_rows(by_key, key, parent, key)
-            .agg(_zero_if_null(F.sum("n")).alias("n"))
-            .scalar()
-        )
 
-    return totals.select(
-        "*",
-        orphans("product_id", products).alias("orphan_products"),
-        orphans("order_id", orders).alias("orphan_orders"),
+def integrity_report(
+    lines: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    sizes: DataFrame | None = None,
+    frequency: DataFrame | None = None,
+) -> DataFrame:
+    """All line checks in one row, from one row per order and one per product.
+
+    ``sizes`` and ``frequency`` (see ``order_sizes``, ``item_frequency``) save the
+    counting when they are at hand.
+    """
+    if sizes is None:
+        sizes = order_sizes(lines)
+    if frequency is None:
+        frequency = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("item_count"))
+    by_product = frequency.select("product_id", F.col("item_count").alias("n"))
+    known = orders.select(F.col("order_id").alias("__order"), F.lit(True).alias("__known"))
+    orphans = F.when(F.col("__known").isNull(), F.col("raw_lines"))
+    return (
+        sizes.join(known, F.col("order_id") == F.col("__order"), "left")
+        .agg(
+            _zero_if_null(F.sum("raw_lines")).alias("total_lines"),
+            _zero_if_null(F.sum("c_raw")).alias("distinct_pairs"),
+            _zero_if_null(F.sum(F.col("raw_lines") - F.col("c_raw"))).alias("duplicate_pairs"),
+            _zero_if_null(F.sum("null_key_lines")).alias("null_keys"),
+            _zero_if_null(F.sum(orphans)).alias("orphan_orders"),
+        )
+        .withColumn(
+            "orphan_products", orphan_total(by_product, "product_id", products, "product_id")
+        )
     )
 
 
@@ -168,7 +206,8 @@ def audit_table(
     width = len(df.columns)
     valid = F.lit(True)
     for column, parent, parent_key in parents:
-        valid = valid & (orphan_count(df, column, parent, parent_key).scalar() == 0)
+        counts = key_counts(df.select(column), [column])
+        valid = valid & (orphan_total(counts, column, parent, parent_key) == 0)
     return (
         df.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"), F.sum(null_cells(df.columns)).alias("nulls"))

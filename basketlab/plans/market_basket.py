@@ -52,28 +52,33 @@ class Model:
 
 
 def in_scope(retail: Retail, settings: Settings) -> Retail:
-    """The orders of the split and their lines."""
+    """The orders of the split and their lines.
+
+    The lines are written once, three columns wide, because every later step reads
+    them and the semi join moves the whole line table.
+    """
     if settings.split is None:
         return retail
     orders = split_orders(retail.orders, settings.split)
     lines = retail.lines.join(orders.select("order_id"), "order_id", "left_semi")
-    return Retail(orders, lines, retail.products)
+    return Retail(orders, materialize(lines, "lines"), retail.products)
 
 
-def popular_items(retail: Retail, n: int = POPULAR_ITEMS) -> DataFrame:
+def popular_items(
+    retail: Retail, n: int = POPULAR_ITEMS, frequency: DataFrame | None = None
+) -> DataFrame:
     """The best-seller list, written: a few rows that several plans read."""
-    sales = I.item_sales(I.item_frequency(retail.lines), retail.products)
-    return materialize(I.top_items(sales, n), "popular")
+    counts = I.item_frequency(retail.lines) if frequency is None else frequency
+    return materialize(I.top_items(I.item_sales(counts, retail.products), n), "popular")
 
 
 def train(retail: Retail, settings: Settings) -> Model:
     """Baskets, itemsets, strong rules and best sellers of the orders in scope."""
     scope = in_scope(retail, settings)
+    frequency = materialize(I.item_frequency(scope.lines), "item-frequency")
+    catalog = B.core_catalog(scope.lines, scope.products, settings.min_item_freq, frequency)
     baskets = materialize(
-        B.build_baskets(
-            scope.lines, scope.products, settings.min_item_freq, settings.min_basket_size
-        ),
-        "baskets",
+        B.catalog_baskets(scope.lines, catalog, settings.min_basket_size), "baskets"
     )
     n = baskets.count()
     support = _support(settings, n)
@@ -84,7 +89,7 @@ def train(retail: Retail, settings: Settings) -> Model:
         ),
         "rules",
     )
-    return Model(baskets, n, support, itemsets, rules, popular_items(scope))
+    return Model(baskets, n, support, itemsets, rules, popular_items(scope, frequency=frequency))
 
 
 def _support(settings: Settings, n_baskets: int) -> float:
@@ -107,28 +112,30 @@ def run_pipeline(
     lines, orders, products = scope.lines, scope.orders, scope.products
     n_lines, n_orders = lines.count(), orders.count()
 
-    integrity = recorder.run(
-        "integrity",
-        n_lines,
-        lambda: materialize(Q.integrity_report(lines, orders, products), "integrity"),
-    )
     density = recorder.run(
         "temporal", n_orders, lambda: materialize(T.orders_per_dow_hour(orders), "density")
     )
     frequency = recorder.run(
         "item_frequency", n_lines, lambda: materialize(I.item_frequency(lines), "item-frequency")
     )
-    best_sellers = materialize(
-        I.top_items(I.item_sales(frequency, products), TOP_PRODUCTS), "top-items"
+    best_sellers = popular_items(scope, TOP_PRODUCTS, frequency)
+    catalog = B.core_catalog(lines, products, settings.min_item_freq, frequency)
+    sizes = recorder.run(
+        "order_sizes", n_lines, lambda: materialize(Q.order_sizes(lines, catalog), "order-sizes")
     )
-    baskets = recorder.run(
-        "baskets",
+    integrity = recorder.run(
+        "integrity",
         n_lines,
         lambda: materialize(
-            B.build_baskets(lines, products, settings.min_item_freq, settings.min_basket_size),
-            "baskets",
+            Q.integrity_report(lines, orders, products, sizes, frequency), "integrity"
         ),
     )
+    core_sets = recorder.run(
+        "core_sets",
+        n_lines,
+        lambda: materialize(B.catalog_baskets(lines, catalog, 1), "core-sets"),
+    )
+    baskets = core_sets.filter(F.col("items_count") >= settings.min_basket_size)
     n = baskets.count()
     support = _support(settings, n)
     itemsets = recorder.run("itemsets", n, lambda: M.mine(baskets, support, n))
@@ -146,10 +153,7 @@ def run_pipeline(
         "exclusion_audit",
         n_orders,
         lambda: materialize(
-            B.order_profiles(
-                lines, orders, products, settings.min_item_freq, settings.min_basket_size
-            ),
-            "profiles",
+            B.order_profiles(sizes, core_sets, orders, settings.min_basket_size), "profiles"
         ),
     )
 

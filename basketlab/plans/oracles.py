@@ -359,14 +359,15 @@ def run_metrics() -> str:
     orders = "(SELECT count(*) FROM orders)"
     baskets = "(SELECT count(*) FROM baskets)"
     steps = [
-        ("integrity", lines, "1"),
         (
             "temporal",
             orders,
             "(SELECT count(*) FROM (SELECT DISTINCT dayofweek(o_orderdate), hour(o_orderdate) FROM orders))",
         ),
         ("item_frequency", lines, "(SELECT count(DISTINCT l_partkey) FROM lineitem)"),
-        ("baskets", lines, baskets),
+        ("order_sizes", lines, "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"),
+        ("integrity", lines, "1"),
+        ("core_sets", lines, "(SELECT count(DISTINCT order_id) FROM named)"),
         ("itemsets", baskets, "(SELECT count(*) FROM itemset)"),
         ("rules", "(SELECT count(*) FROM itemset)", "(SELECT count(*) FROM strong)"),
         ("exclusion_audit", orders, orders),
@@ -442,8 +443,8 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1
   count(*) FILTER (WHERE eval_set = 'prior') AS prior_orders,
   count(*) FILTER (WHERE eval_set = 'train') AS train_orders
 FROM ord""",
-        "orphan_parts": """SELECT count(*) AS orphan_lines FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)""",
+        "orphan_parts": """SELECT count(*) AS total_rows, count(*) FILTER (WHERE NOT EXISTS
+  (SELECT 1 FROM part WHERE p_partkey = l_partkey)) AS orphan_lines FROM lineitem""",
         "orphan_orders": """SELECT l_orderkey AS order_id, l_partkey AS product_id,
   l_linenumber AS add_to_cart_order FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')""",

@@ -87,7 +87,9 @@ def retail_tables(spark: SparkSession, sf: str) -> retail.Retail:
 
 def profiles(spark: SparkSession, sf: str) -> DataFrame:
     r = retail_tables(spark, sf)
-    return B.order_profiles(r.lines, r.orders, r.products, MIN_ITEM_FREQ)
+    return B.audit_profiles(
+        r.lines, r.orders, B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ)
+    )
 
 
 def pruned_baskets(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +221,7 @@ def scan_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def orphan_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines whose product is not in the catalog, counted per product, and their total."""
+    """All lines, and those whose product is not in the catalog."""
     r = retail_tables(spark, sf)
     return Q.orphan_count(r.lines, "product_id", r.products, "product_id", "orphan_lines")
 
@@ -306,7 +308,7 @@ def catalog_denormalised(spark: SparkSession, sf: str) -> DataFrame:
 def catalog_lookup_default(spark: SparkSession, sf: str) -> DataFrame:
     """Names of sold products where only core products have one."""
     r = retail_tables(spark, sf)
-    names = B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ).select("product_id", "product_name")
+    names = B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ)
     sold = I.item_frequency(r.lines)
     return sold.join(names, "product_id", "left").select(
         "product_id",
