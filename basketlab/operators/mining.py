@@ -28,14 +28,15 @@ def mine(
 
     ``baskets`` should be a written table: FP-Growth reads it once to count items and
     once to build the trees.  The trees are combined on the map side, so identical
-    and overlapping baskets travel as counts.
+    and overlapping baskets travel as counts.  Items are spread over ``num_partitions``
+    groups, by default as many as the cluster has cores.
     """
     spark = baskets.sparkSession
     n = baskets.count() if n_baskets is None else n_baskets
     if n == 0:
         empty = "items array<string>, k int, frequency long, support double"
         return spark.createDataFrame([], empty)
-    partitions = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = num_partitions or spark.sparkContext.defaultParallelism
     model = FPGrowth(
         itemsCol="items", minSupport=min_support, numPartitions=partitions
     ).fit(baskets.select("items"))

@@ -15,18 +15,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of the session; only a local master may fall back to /tmp."""
+    """The shared folder of the session; only a local master may go without the setting."""
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="basketlab-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="basketlab-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
