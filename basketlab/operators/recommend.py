@@ -15,6 +15,7 @@ from basketlab.functions.labels import (
 )
 from basketlab.functions.text import rule_label
 from basketlab.operators.mining import rule_order
+from basketlab.storage import materialize
 
 RULE_SOURCE = "rule"
 POPULAR_SOURCE = "popular"
@@ -32,10 +33,7 @@ def match_rules(carts: DataFrame, rules: DataFrame) -> DataFrame:
         F.element_at("antecedent", 1).alias("key_item"),
         "antecedent",
         F.explode("consequent").alias("item"),
-        "consequent",
-        "confidence",
-        "lift",
-        "support",
+        *[c for c in rules.columns if c != "antecedent"],
     )
     probes = carts.select(
         "cart_id", F.col("items").alias("cart"), F.explode(F.array_distinct("items")).alias("key_item")
@@ -44,44 +42,63 @@ def match_rules(carts: DataFrame, rules: DataFrame) -> DataFrame:
         probes.join(keyed, "key_item")
         .filter(F.size(F.array_except("antecedent", "cart")) == 0)
         .filter(~F.array_contains("cart", F.col("item")))
-        .select(
-            "cart_id", "item", "antecedent", "consequent", "confidence", "lift", "support"
-        )
+        .select("cart_id", "item", *rules.columns)
     )
 
 
-def best_rule_per_item(matches: DataFrame) -> DataFrame:
-    """For every cart and item the rule with the highest lift."""
-    best = W.partitionBy("cart_id", "item").orderBy(*rule_order())
-    return (
-        matches.withColumn("__best", F.row_number().over(best))
-        .filter(F.col("__best") == 1)
-        .drop("__best")
-    )
+def rank_rules(rules: DataFrame) -> DataFrame:
+    """Rules with ``rule_rank``, a number that follows the rule order; a written table.
 
+    The sort is range-partitioned and the number grows with the partition, so no task
+    sees all rules.  Written, because a second evaluation could cut the ranges anew.
+    """
+    if "rule_rank" in rules.columns:
+        return rules
+    ordered = rules.orderBy(*rule_order())
+    return materialize(ordered.withColumn("rule_rank", F.monotonically_increasing_id()), "ranked-rules")
 
-def recommend(carts: DataFrame, rules: DataFrame, top_n: int = RECOMMENDATIONS) -> DataFrame:
-    """Up to ``top_n`` items per cart by lift, each with the rule that explains it.
 
-    Matches are partitioned by cart once; both rankings work within that partitioning.
-    A cart has at most one match per rule, so its group is bounded by the rule table.
+def best_picks(carts: DataFrame, ranked: DataFrame, top_n: int) -> DataFrame:
+    """Per cart the ``top_n`` items by their best rule: cart_id, rank, item, rule_rank.
+
+    ``carts`` should be partitioned by cart: while the rules are broadcast, matching and
+    both rankings then stay within the partition and only ids and ranks are sorted.  A
+    cart has at most one match per rule, so its group is bounded by the rule table.
     """
-    matches = match_rules(carts, rules).repartition("cart_id")
-    by_lift = W.partitionBy("cart_id").orderBy(*rule_order(), "item")
+    place = W.partitionBy("cart_id").orderBy("rule_rank", "item")
     return (
-        best_rule_per_item(matches)
-        .withColumn("rank", F.row_number().over(by_lift))
+        match_rules(carts, ranked)
+        .groupBy("cart_id", "item")
+        .agg(F.min("rule_rank").alias("rule_rank"))
+        .withColumn("rank", F.row_number().over(place))
         .filter(F.col("rank") <= top_n)
-        .select(
-            "cart_id",
-            "rank",
-            "item",
-            F.lit(RULE_SOURCE).alias("source"),
-            rule_label(F.col("antecedent"), F.col("consequent")).alias("rule"),
-            "confidence",
-            "lift",
-            "support",
-        )
+        .select("cart_id", "rank", "item", "rule_rank")
+    )
+
+
+def rule_details(ranked: DataFrame) -> DataFrame:
+    return ranked.select(
+        "rule_rank",
+        rule_label(F.col("antecedent"), F.col("consequent")).alias("rule"),
+        "confidence",
+        "lift",
+        "support",
+    )
+
+
+def recommend(carts: DataFrame, rules: DataFrame, top_n: int = RECOMMENDATIONS) -> DataFrame:
+    """Up to ``top_n`` items per cart by lift, each with the rule that explains it."""
+    ranked = rank_rules(rules)
+    picks = best_picks(carts.repartition("cart_id"), ranked, top_n)
+    return picks.join(rule_details(ranked), "rule_rank").select(
+        "cart_id",
+        "rank",
+        "item",
+        F.lit(RULE_SOURCE).alias("source"),
+        "rule",
+        "confidence",
+        "lift",
+        "support",
     )
 
 
@@ -139,33 +156,38 @@ def recommend_with_fallback(
 ) -> DataFrame:
     """Rule recommendations, and the labelled popular items where no rule fires.
 
-    An empty cart gets nothing.  Rules are matched once: the ranked matches of a cart
-    are packed where they lie (at most ``top_n``) and meet the carts in one join on the
-    cart, which also shows the carts left without any.
+    An empty cart gets nothing.  The picks of a cart are packed where they lie (at most
+    ``top_n``) and meet the carts in a join on the same partitioning, which also shows
+    the carts left without any.  Rule texts are joined last, to the rows shown.
     """
-    picks = F.array_sort(F.collect_list(F.struct("rank", "item", "rule", "confidence", "lift", "support")))
-    packed = recommend(carts, rules, top_n).groupBy("cart_id").agg(picks.alias("picks"))
+    ranked = rank_rules(rules)
+    shoppers = carts.filter(F.size("items") > 0).repartition("cart_id")
+    packed = (
+        best_picks(shoppers, ranked, top_n)
+        .groupBy("cart_id")
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "item", "rule_rank"))).alias("picks"))
+    )
     substitutes = F.slice(not_in(popular_list(popular), F.col("items")), 1, fallback_n)
-    shown = (
-        carts.filter(F.size("items") > 0)
-        .join(packed, "cart_id", "left")
+    shown = shoppers.join(packed, "cart_id", "left").select(
+        "cart_id",
+        "picks",
+        F.posexplode(F.coalesce(F.col("picks.item"), substitutes)).alias("pos", "item"),
+    )
+    by_rule = F.col("rule_rank").isNotNull()
+    return (
+        shown.withColumn("rule_rank", F.get("picks", F.col("pos"))["rule_rank"])
+        .drop("picks")
+        .join(rule_details(ranked), "rule_rank", "left")
         .select(
             "cart_id",
-            "picks",
-            F.posexplode(F.coalesce(F.col("picks.item"), substitutes)).alias("pos", "item"),
+            (F.col("pos") + 1).alias("rank"),
+            "item",
+            F.when(by_rule, F.lit(RULE_SOURCE)).otherwise(F.lit(POPULAR_SOURCE)).alias("source"),
+            F.when(by_rule, F.col("rule")).otherwise(F.lit(FALLBACK_LABEL)).alias("rule"),
+            "confidence",
+            "lift",
+            "support",
         )
-        .withColumn("pick", F.get("picks", F.col("pos")))
-    )
-    by_rule = F.col("pick").isNotNull()
-    return shown.select(
-        "cart_id",
-        (F.col("pos") + 1).alias("rank"),
-        "item",
-        F.when(by_rule, F.lit(RULE_SOURCE)).otherwise(F.lit(POPULAR_SOURCE)).alias("source"),
-        F.when(by_rule, F.col("pick.rule")).otherwise(F.lit(FALLBACK_LABEL)).alias("rule"),
-        "pick.confidence",
-        "pick.lift",
-        "pick.support",
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlab.functions.labels import FALLBACK_ITEMS, RECOMMENDATIONS
-from basketlab.operators.recommend import recommend_with_fallback
+from basketlab.operators.recommend import rank_rules, recommend_with_fallback
 from basketlab.sources.schemas import CARTS
 
 
@@ -32,11 +32,12 @@ def score_carts(
 
     Carts are independent, so no state is kept.  Each micro-batch overwrites its own
     folder: a batch replayed after a failure leaves the same rows, not a second copy.
-    ``rules`` and ``popular`` should be written tables.
+    The rules are ranked once for all batches; ``popular`` should be a written table.
     """
+    ranked = rank_rules(rules)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        recommend_with_fallback(batch, rules, popular, top_n, fallback_n).write.mode(
+        recommend_with_fallback(batch, ranked, popular, top_n, fallback_n).write.mode(
             "overwrite"
         ).parquet(f"{out_path}/batch_id={batch_id}")
 
