@@ -191,6 +191,14 @@ SELECT k,
         / CAST((SELECT size FROM catalog) AS DOUBLE), 6) AS popular_coverage
 FROM hits GROUP BY k"""
 
+EVALUATION_HEADER = """SELECT (SELECT count(*) FROM baskets) AS baskets_queried,
+  (SELECT count(*) FROM case_) AS baskets_evaluated, CAST(0 AS BIGINT) AS baskets_skipped,
+  (SELECT size FROM catalog) AS catalog_size,
+  (SELECT count(DISTINCT i) FROM (SELECT unnest(antecedent) AS i FROM strong)) AS unique_antecedents,
+  (SELECT count(DISTINCT item) FROM strong) AS unique_consequents,
+  (SELECT round(count(DISTINCT item) / CAST((SELECT size FROM catalog) AS DOUBLE) * 100, 2) FROM strong)
+    AS coverage_ceiling_pct,"""
+
 PROFILE = f"""size_ AS (
   SELECT l_orderkey AS order_id, count(*) AS raw_lines, count(DISTINCT l_partkey) AS c_raw,
          count(DISTINCT product_id) AS c_core,
@@ -629,6 +637,14 @@ FROM (VALUES ('first load', TRUE), ('already full', FALSE), ('too short', TRUE))
   CAST(least(10, count(*) FILTER (WHERE grp = 'qualified')) AS INTEGER) AS samples,
   CAST(count(*) FILTER (WHERE order_id BETWEEN 2 AND 12) AS INTEGER) AS traces
 FROM grouped""",
+        "evaluation_document": chain(
+            NAMED_ALL, baskets_part(), mining_part(), POPULAR, *evaluation_parts()
+        ).rstrip()
+        + EVALUATION_TAIL.replace("SELECT k,\n  round(avg", EVALUATION_HEADER + "\n  k,\n  round(avg", 1),
+        "experiment_sink": chain(
+            NAMED_ALL, baskets_part(), mining_part(), sweep_part(L.SWEEP_CONFIGS)
+        )
+        + "SELECT * FROM swept",
         "log_timings": log_timings(),
         "run_metrics": run_metrics(),
         "merge_live_row": chain(

@@ -20,6 +20,7 @@ from basketlab.operators import quality as Q
 from basketlab.operators import recommend as R
 from basketlab.operators import temporal as T
 from basketlab.operators import trace as TR
+from basketlab.plans import evaluation as EV
 from basketlab.plans import market_basket as MB
 from basketlab.plans import runs
 from basketlab.sinks import publish as P
@@ -50,6 +51,7 @@ SWEEP = [
 ITEM_KEYWORD = " Red "
 RULE_KEYWORD = "BOLT "
 LOOKUP_ITEM = "red plate"
+EVALUATION_MEASURES = ["precision", "recall", "hit_rate", "coverage"]
 PRIMARY_KEYS = {
     "region": ["r_regionkey"],
     "nation": ["n_nationkey"],
@@ -826,6 +828,35 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def evaluation_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored evaluation, one row per K with the header beside it."""
+    model = trained(spark, sf)
+    out = scratch_path(spark, "evaluation")
+    EV.publish_evaluation(model, model.baskets, name_catalog_size(spark, sf), out)
+    stored = spark.read.json(f"{out}/evaluation")
+    return stored.select("*", F.explode("metrics_by_k").alias("m")).select(
+        "baskets_queried",
+        "baskets_evaluated",
+        "baskets_skipped",
+        "catalog_size",
+        "unique_antecedents",
+        "unique_consequents",
+        "coverage_ceiling_pct",
+        F.col("m.k").cast("int").alias("k"),
+        *[F.col(f"m.{side}_{x}") for side in ("rules", "popular") for x in EVALUATION_MEASURES],
+    )
+
+
+@query
+def experiment_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The sweep of the fixed configurations, read back from its sink."""
+    model = trained(spark, sf)
+    out = scratch_path(spark, "experiments")
+    P.write_table(M.sweep(model.itemsets, model.n_baskets), out)
+    return spark.read.parquet(out)
+
+
 # --- runs and logs ----------------------------------------------------------------
 
 LOG_MARKS = {"view": "Job 0", "click": "Job 1", "purchase": "Job 2", "signup": "Job 3", "error": "Step 6"}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlab.operators import mining as M
+from basketlab.plans import evaluation as EV
 from basketlab.plans import market_basket as MB
 from basketlab.plans.runs import RunRecorder, merge_live_row
 from basketlab.sinks import publish as P
@@ -160,6 +161,12 @@ def test_whole_job_publishes_consistent_results(spark, tmp_path):
     summary = json.loads(spark.read.json(f"{out}/summary").toJSON().first())
     assert summary["total_orders"] == kpis["total_prior_orders"]
     assert len(summary["top_products"]) == 15
+    EV.publish_evaluation(model, model.baskets, F.lit(64), out)
+    evaluation = json.loads(spark.read.json(f"{out}/evaluation").toJSON().first())
+    assert evaluation["baskets_queried"] == model.n_baskets
+    assert [m["k"] for m in evaluation["metrics_by_k"]] == [3, 5, 10]
+    experiments = [r["config_id"] for r in spark.read.parquet(f"{out}/experiments").collect()]
+    assert experiments == ["EXP-01"]  # the other configurations lie below the support mined at
     assert M.itemset_counts(itemsets).first()["total_itemsets"] == itemsets.count()
 
 
