@@ -33,7 +33,7 @@ def mine(
     """
     spark = baskets.sparkSession
     n = baskets.count() if n_baskets is None else n_baskets
-    if n == 0:
+    if n == 0 or min_support > 1:
         empty = "items array<string>, k int, frequency long, support double"
         return spark.createDataFrame([], empty)
     partitions = num_partitions or spark.sparkContext.defaultParallelism

@@ -231,6 +231,24 @@ def audit_table(
     )
 
 
+def audit_from_integrity(integrity: DataFrame, table_name: str, width: int) -> DataFrame:
+    """The report row of the line table from its integrity report, without another scan."""
+    return integrity.select(
+        F.lit(table_name).alias("table_name"),
+        F.col("total_lines").alias("total_rows"),
+        F.lit(width).cast("long").alias("total_cols"),
+        F.lit("order_id, product_id").alias("primary_key"),
+        F.col("null_keys").alias("null_count"),
+        F.coalesce(
+            percent_text(F.col("null_keys"), F.col("total_lines") * width), F.lit("0.00%")
+        ).alias("null_rate"),
+        F.col("duplicate_pairs").alias("duplicates"),
+        ((F.col("orphan_products") == 0) & (F.col("orphan_orders") == 0)).alias(
+            "foreign_key_valid"
+        ),
+    )
+
+
 def stack(sections: Sequence[DataFrame]) -> DataFrame:
     """Report sections below one another, matched by column name."""
     return reduce(lambda a, b: a.unionByName(b), sections)

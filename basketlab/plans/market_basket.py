@@ -54,12 +54,15 @@ class Model:
 def in_scope(retail: Retail, settings: Settings) -> Retail:
     """The orders of the split and their lines.
 
-    The lines are written once, three columns wide, because every later step reads
-    them and the semi join moves the whole line table.
+    Lines that lie in a table of their own are taken whole, so the integrity report
+    sees those without an order.  Otherwise the lines are written once, three columns
+    wide, because every later step reads them and the semi join moves the whole table.
     """
     if settings.split is None:
         return retail
     orders = split_orders(retail.orders, settings.split)
+    if retail.pre_split:
+        return Retail(orders, retail.lines, retail.products, True)
     lines = retail.lines.join(orders.select("order_id"), "order_id", "left_semi")
     return Retail(orders, materialize(lines, "lines"), retail.products)
 
@@ -176,7 +179,9 @@ def run_pipeline(
         )
         P.write_table(integrity, f"{out_dir}/integrity")
         P.write_table(
-            quality_report(spark, run_id, settings, scope, profiles), f"{out_dir}/quality", "json"
+            quality_report(run_id, settings, scope, profiles, integrity),
+            f"{out_dir}/quality",
+            "json",
         )
     P.append_run(recorder.metrics(), f"{out_dir}/runs")
     popular = best_sellers.orderBy(F.desc("total_sales"), "item").limit(POPULAR_ITEMS)
@@ -184,9 +189,12 @@ def run_pipeline(
 
 
 def quality_report(
-    spark: SparkSession, run_id: str, settings: Settings, scope: Retail, profiles: DataFrame
+    run_id: str, settings: Settings, scope: Retail, profiles: DataFrame, integrity: DataFrame
 ) -> DataFrame:
-    """The data-quality document: parameters, key figures and the report sections."""
+    """The data-quality document: parameters, key figures and the report sections.
+
+    ``profiles`` and ``integrity`` should be written tables; several sections read them.
+    """
     base = profiles.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.count_if(F.col("exclusion_group") == B.QUALIFIED).alias("valid_baskets"),
@@ -195,12 +203,7 @@ def quality_report(
         [
             Q.audit_table(scope.products, "products", ["product_id"]),
             Q.audit_table(scope.orders, "orders", ["order_id"]),
-            Q.audit_table(
-                scope.lines,
-                "order_products",
-                ["order_id", "product_id"],
-                [("product_id", scope.products, "product_id"), ("order_id", scope.orders, "order_id")],
-            ),
+            Q.audit_from_integrity(integrity, "order_products", len(scope.lines.columns)),
         ]
     )
     qualified = profiles.filter(F.col("exclusion_group") == B.QUALIFIED).select(

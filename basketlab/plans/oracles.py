@@ -633,7 +633,12 @@ FROM (VALUES ('first load', TRUE), ('already full', FALSE), ('too short', TRUE))
   count(*) FILTER (WHERE grp = 'qualified') AS valid_baskets,
   count(*) FILTER (WHERE grp <> 'qualified') AS excluded_baskets, count(*) AS total_orders,
   count(*) FILTER (WHERE grp <> 'qualified') AS grouped_orders,
-  CAST(3 AS INTEGER) AS audited_tables, CAST(2 AS INTEGER) AS stages,
+  CAST(3 AS INTEGER) AS audited_tables,
+  (SELECT count(*) FROM part) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem)
+    AS audited_rows,
+  EXISTS (SELECT 1 FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+    OR l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS broken_references,
+  CAST(2 AS INTEGER) AS stages,
   CAST(least(10, count(*) FILTER (WHERE grp = 'qualified')) AS INTEGER) AS samples,
   CAST(count(*) FILTER (WHERE order_id BETWEEN 2 AND 12) AS INTEGER) AS traces
 FROM grouped""",

@@ -806,8 +806,15 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
     r = retail_tables(spark, sf)
     settings = MB.Settings(min_item_freq=MIN_ITEM_FREQ, split=None)
     path = f"{scratch_path(spark, 'quality')}.json"
+    catalog = B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ)
+    sizes = materialize(Q.order_sizes(r.lines, catalog), "order-sizes")
+    audited = B.order_profiles(sizes, B.catalog_baskets(r.lines, catalog, 1), r.orders)
     report = MB.quality_report(
-        spark, "run", settings, r, materialize(profiles(spark, sf), "profiles")
+        "run",
+        settings,
+        r,
+        materialize(audited, "profiles"),
+        materialize(Q.integrity_report(r.lines, r.orders, r.products, sizes), "integrity"),
     )
     P.write_table(report, path, "json")
     stored = spark.read.schema(report.schema).json(path)
@@ -822,6 +829,10 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
         F.col("kpis.total_prior_orders").alias("total_orders"),
         groups.alias("grouped_orders"),
         F.size("tables").alias("audited_tables"),
+        F.aggregate(
+            "tables", F.lit(0).cast("long"), lambda total, t: total + t["total_rows"]
+        ).alias("audited_rows"),
+        F.exists("tables", lambda t: ~t["foreign_key_valid"]).alias("broken_references"),
         F.size("cleaning_stages").alias("stages"),
         F.size("sample_records").alias("samples"),
         F.size("sample_traceability_orders").alias("traces"),

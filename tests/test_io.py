@@ -39,6 +39,25 @@ def test_csv_layout_and_alternate_lines(spark, csv_dir):
     assert retail.load_csv(spark, str(csv_dir)).lines.count() == 1
 
 
+def test_whole_job_on_csv_sees_lines_without_an_order(spark, csv_dir, tmp_path):
+    (csv_dir / "order_products__prior.csv").write_text(
+        "order_id,product_id,add_to_cart_order,reordered\n1,1,1,0\n1,2,2,0\n2,2,1,0\n2,1,2,0\n9,1,1,0\n2,7,3,0\n"
+    )
+    out = str(tmp_path / "job")
+    settings = MB.Settings(min_item_freq=2, min_confidence=0.1, min_lift=0.5)
+    model = MB.run_pipeline(spark, retail.load_csv(spark, str(csv_dir)), settings, out, "csv")
+    row = spark.read.parquet(f"{out}/integrity").first()
+    assert (row["total_lines"], row["orphan_orders"], row["orphan_products"]) == (6, 1, 1)
+    assert model.n_baskets == 2 and model.min_support == 1.0
+    assert {tuple(r["antecedent"] + r["consequent"]) for r in model.rules.collect()} == {
+        ("Milk", "Tea, green"),
+        ("Tea, green", "Milk"),
+    }
+    report = json.loads(spark.read.json(f"{out}/quality").toJSON().first())
+    tables_ok = {t["table_name"]: t["foreign_key_valid"] for t in report["tables"]}
+    assert tables_ok == {"products": True, "orders": True, "order_products": False}
+
+
 def test_csv_without_lines_and_without_schema(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         retail.load_csv(spark, str(tmp_path))

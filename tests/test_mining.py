@@ -138,3 +138,7 @@ def test_rule_statistics_without_rules(spark):
 
 def test_no_baskets(spark):
     assert M.mine(spark.createDataFrame([], "items array<string>"), 0.1).count() == 0
+
+
+def test_threshold_above_the_number_of_baskets(baskets):
+    assert M.mine(baskets, 1.5).count() == 0
