@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketlab.sources import schemas
 from basketlab.sources.tables import read_if_exists, read_table
+from basketlab.storage import materialize
 
 STATUS_AS_SPLIT = {"F": "prior", "O": "train", "P": "test"}
 
@@ -80,7 +81,11 @@ def load_star(spark: SparkSession, sf_dir: str) -> Retail:
 
 
 def load_csv(spark: SparkSession, data_dir: str) -> Retail:
-    """The six-file CSV layout; train lines stand in when the prior lines are absent."""
+    """The six-file CSV layout; train lines stand in when the prior lines are absent.
+
+    Lines and orders are parsed once and written in columns, because every step reads
+    them again.
+    """
     lines = None
     for name in ("order_products__prior.csv", "order_products__train.csv"):
         lines = read_if_exists(
@@ -102,7 +107,9 @@ def load_csv(spark: SparkSession, data_dir: str) -> Retail:
     products = read_table(
         spark, f"{data_dir}/products.csv", schemas.PRODUCTS, ["product_id", "product_name"]
     )
-    return Retail(orders, lines, products, pre_split=True)
+    return Retail(
+        materialize(orders, "orders"), materialize(lines, "lines"), products, pre_split=True
+    )
 
 
 def denormalise(child: DataFrame, parents: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:

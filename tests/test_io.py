@@ -189,6 +189,14 @@ def test_whole_job_publishes_consistent_results(spark, tmp_path):
     assert M.itemset_counts(itemsets).first()["total_itemsets"] == itemsets.count()
 
 
+def test_parameter_study(spark):
+    data = retail.load_star(spark, SMALL)
+    rows = EV.parameter_study(data, [("a", 0.01, 0.05), ("b", 0.03, 0.05)], 8).collect()
+    assert [r["config_id"] for r in rows] == ["a", "b"]
+    assert rows[0]["frequent_itemsets"] > rows[1]["frequent_itemsets"] > 0
+    assert all(0 <= r["training_seconds"] <= r["total_seconds"] for r in rows)
+
+
 def test_threshold_or_support_is_needed(spark):
     with pytest.raises(ValueError):
         MB.train(retail.load_star(spark, SMALL), MB.Settings(min_item_freq=None))
