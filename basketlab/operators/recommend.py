@@ -22,19 +22,20 @@ POPULAR_SOURCE = "popular"
 
 
 def match_rules(carts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every rule a cart fires: its antecedent is part of the cart, its consequent is not.
+    """Every rule a cart fires: its antecedent is part of the cart, its consequent is not."""
+    offers = rules.withColumn("item", F.explode("consequent"))
+    return fired(carts, offers).select("cart_id", "item", *rules.columns)
 
-    A rule can only fire for carts that hold the first item of its antecedent, so one
+
+def fired(carts: DataFrame, offers: DataFrame) -> DataFrame:
+    """Carts and the offers (antecedent, item, ...) they fire, with the ``cart`` itself.
+
+    An offer can only fire for carts that hold the first item of its antecedent, so one
     equi-join on that item finds each candidate exactly once and the rest of the
     antecedent is checked in the same row.  There is no grouping by (cart, rule), and
-    while the rule table is below the broadcast limit the carts are not shuffled.
+    while the offers are below the broadcast limit the carts are not shuffled.
     """
-    keyed = rules.select(
-        F.element_at("antecedent", 1).alias("key_item"),
-        "antecedent",
-        F.explode("consequent").alias("item"),
-        *[c for c in rules.columns if c != "antecedent"],
-    )
+    keyed = offers.withColumn("key_item", F.element_at("antecedent", 1))
     probes = carts.select(
         "cart_id", F.col("items").alias("cart"), F.explode(F.array_distinct("items")).alias("key_item")
     )
@@ -42,7 +43,6 @@ def match_rules(carts: DataFrame, rules: DataFrame) -> DataFrame:
         probes.join(keyed, "key_item")
         .filter(F.size(F.array_except("antecedent", "cart")) == 0)
         .filter(~F.array_contains("cart", F.col("item")))
-        .select("cart_id", "item", *rules.columns)
     )
 
 
@@ -58,16 +58,32 @@ def rank_rules(rules: DataFrame) -> DataFrame:
     return materialize(ordered.withColumn("rule_rank", F.monotonically_increasing_id()), "ranked-rules")
 
 
+def ranked_offers(ranked: DataFrame) -> DataFrame:
+    """Per antecedent and item the best rule, and its ``place`` among the antecedent's items."""
+    place = W.partitionBy("antecedent").orderBy("rule_rank", "item")
+    return (
+        ranked.select("antecedent", F.explode("consequent").alias("item"), "rule_rank")
+        .groupBy("antecedent", "item")
+        .agg(F.min("rule_rank").alias("rule_rank"))
+        .withColumn("place", F.row_number().over(place))
+    )
+
+
 def best_picks(carts: DataFrame, ranked: DataFrame, top_n: int) -> DataFrame:
     """Per cart the ``top_n`` items by their best rule: cart_id, rank, item, rule_rank.
 
     ``carts`` should be partitioned by cart: while the rules are broadcast, matching and
     both rankings then stay within the partition and only ids and ranks are sorted.  A
     cart has at most one match per rule, so its group is bounded by the rule table.
+
+    Offers of one antecedent fire together and the cart itself rules out at most as many
+    of them as it has items.  So an offer whose place is beyond ``top_n`` plus the size
+    of the cart has ``top_n`` better ones next to it and is left out early, exactly.
     """
     place = W.partitionBy("cart_id").orderBy("rule_rank", "item")
     return (
-        match_rules(carts, ranked)
+        fired(carts, ranked_offers(ranked))
+        .filter(F.col("place") <= F.lit(top_n) + F.size("cart"))
         .groupBy("cart_id", "item")
         .agg(F.min("rule_rank").alias("rule_rank"))
         .withColumn("rank", F.row_number().over(place))

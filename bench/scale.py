@@ -1,10 +1,11 @@
 """Times the steps of the whole job on many copies of the sf0.1 lines.
 
-Run by hand:  python bench/scale.py [copies] [shuffle_partitions]
+Run by hand:  python bench/scale.py [copies] [shuffle_partitions] [steepness] [hot_order_share]
 
 Spark derives the input from the given tables: every copy shifts the order ids and
 draws products anew with a steep popularity curve, so one product alone holds a large
-share of all lines and baskets differ between copies.
+share of all lines (steepness 4: 8 %, 9: a third) and baskets differ between copies.  A
+share of all lines can be moved into one single order.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 def main() -> None:
     copies = int(sys.argv[1]) if len(sys.argv) > 1 else 50
     partitions = int(sys.argv[2]) if len(sys.argv) > 2 else 64
+    steepness = float(sys.argv[3]) if len(sys.argv) > 3 else 4.0
+    hot_order = float(sys.argv[4]) if len(sys.argv) > 4 else 0.0
     spark = local_session(
         cores=os.environ.get("BENCH_CPUS", "8"), shuffle_partitions=partitions, driver_memory="20g"
     )
@@ -47,8 +50,10 @@ def main() -> None:
     # the source is one row group; spread the copies so that scans use all cores
     lines = materialize(
         base.lines.repartition(partitions).select("*", copy).select(
-            (F.col("order_id") + F.col("copy") * n_orders).alias("order_id"),
-            F.floor(F.pow(draw, 4) * n_products).alias("product_id"),
+            F.when(draw * 7919 % 1 < hot_order, F.lit(0).cast("long"))
+            .otherwise(F.col("order_id") + F.col("copy") * n_orders)
+            .alias("order_id"),
+            F.floor(F.pow(draw, steepness) * n_products).alias("product_id"),
             "add_to_cart_order",
         ),
         "lines",
@@ -121,6 +126,9 @@ def main() -> None:
                 "baskets": n,
                 "core_items": catalog.count(),
                 "hottest_item_share": round(hottest / rows, 4),
+                "hottest_order_share": round(
+                    sizes.agg(F.max("raw_lines")).first()[0] / rows, 4
+                ),
                 "itemsets": itemsets.count(),
                 "rules": rules.count(),
                 "recommended_rows": served["rows"],

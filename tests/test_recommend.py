@@ -115,6 +115,20 @@ def test_random_carts_against_set_matching(spark, broadcast, request):
         assert [i for i, _ in got.get(cart_id, [])] == expected(cart)
 
 
+def test_many_rules_of_one_antecedent(spark):
+    """The best rules point into the cart, so later places have to move up."""
+    names = [f"x{n:02d}" for n in range(40)]
+    rules = spark.createDataFrame(
+        [(["A"], [x], 0.5, 9.0 - n / 10, 0.1) for n, x in enumerate(names)]
+        + [(["A"], ["x39"], 0.4, 1.5, 0.1), (["x03"], ["x30"], 0.5, 8.95, 0.1)],
+        RULES,
+    )
+    got = shown(R.recommend(carts(spark, ["A", *names[:9]], ["A"], ["A", *names[:38]]), rules))
+    assert [i for i, _ in got[0]] == ["x30", *names[9:13]]
+    assert [i for i, _ in got[1]] == names[:5]
+    assert [i for i, _ in got[2]] == names[38:]
+
+
 def test_selector_and_known_items(spark, rules, popular):
     top = popular.limit(2)
     listed = [r["item"] for r in R.item_selector(rules, top, ["Kiwi"]).collect()]
