@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from basketlab.llm.components import connected_components
+from basketlab.llm.runs import run_bounds, whole_runs
 from basketlab.llm.words import lower_words
 from basketlab.storage import materialize
 
@@ -82,22 +83,10 @@ def _row_links(values: np.ndarray, max_bits: int) -> Iterator[tuple[int, int]]:
 
 
 def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, fp) sorted by key -> links (a, b); the last key of a batch waits for the next batch."""
-    key = np.empty(0, np.int64)
-    fp = np.empty(0, np.int64)
-    done = object()
-    while True:
-        batch = next(batches, done)
-        if batch is not done:
-            key = np.concatenate([key, batch.column(0).to_numpy()])
-            fp = np.concatenate([fp, batch.column(1).to_numpy()])
-        if not len(key):
-            if batch is done:
-                return
-            continue
-        cut = len(key) if batch is done else int(np.searchsorted(key, key[-1]))
-        begin = np.flatnonzero(np.diff(key[:cut], prepend=key[0] - 1))
-        size = np.diff(begin, append=cut)
+    """Rows (key, fp) sorted by key -> links (a, b)."""
+    for table in whole_runs(batches, "key"):
+        fp = table.column("fp").to_numpy()
+        begin, size = run_bounds(table.column("key").to_numpy())
         two = begin[size == 2]
         near = two[_bits(fp[two] ^ fp[two + 1]) <= max_bits]
         pairs = set(zip(fp[near].tolist(), fp[near + 1].tolist()))
@@ -105,9 +94,6 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Reco
             pairs.update(_row_links(fp[b : b + n], max_bits))
         a, b = zip(*pairs) if pairs else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        if batch is done:
-            return
-        key, fp = key[cut:], fp[cut:]
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -128,7 +114,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         entries.select(value.alias("key"), "fp")
         .repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(lambda batches: _links(iter(batches), max_bits), "a long, b long")
+        .mapInArrow(lambda batches: _links(batches, max_bits), "a long, b long")
     )
 
 
