@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.llm import chat, mixing, simhash, suffix_dedup
+from basketlab.llm import chat, merkle, mixing, ngram_rules, simhash, suffix_dedup, weak_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -40,3 +40,19 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weak_labels.classify(docs, weak_labels.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -43,6 +43,9 @@ class Suffixes:
         self.data, self.depth = data, depth
         self.hashes = prefix_hashes(data)
         self.inverse = powers(len(data) + 1)[1]
+        if depth >= 8:  # the first eight bytes as a number decide most comparisons
+            padded = np.r_[data, np.zeros(7, np.uint8)]
+            self.heads = np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view(">u8").ravel().astype(np.uint64)
         self.steps = [1 << i for i in reversed(range(depth.bit_length()))]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -58,6 +61,15 @@ class Suffixes:
         return length
 
     def before(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
+        if self.depth < 8:
+            return self._before(a, b, or_equal)
+        one, two = self.heads[a], self.heads[b]
+        out = one < two
+        tied = np.flatnonzero(one == two)
+        out[tied] = self._before(a[tied], b[tied], or_equal[tied])
+        return out
+
+    def _before(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         length = self.common(a, b)
         whole = length >= self.depth
         at = np.minimum(length, self.depth - 1)

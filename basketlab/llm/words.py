@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # fixed value: the word pattern of the contracts
@@ -32,7 +33,7 @@ def input_partitions(df: DataFrame) -> int:
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into slices whose ``column`` holds about ``max_bytes``; a longer single value stays whole."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     begin, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + n > max_bytes:
