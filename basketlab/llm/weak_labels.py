@@ -20,6 +20,7 @@ are ignored, or kept by ``keep_good``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -77,12 +78,10 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
     plain = {w.strip(MARKS) for w in set(words)}
     plain.discard(b"")
     capitals, symbols, repeats = _shape(text, data, words)
-    marks = (
-        b"\0capitals%d" % min(int(10 * capitals), 9),
-        b"\0symbols%d" % min(int(50 * symbols), 9),
-        b"\0repeats%d" % min(int(10 * repeats), 9),
-        b"\0words%d" % min(len(words).bit_length(), 5),
-    )
+    common = max(Counter(words).values(), default=0) / max(len(words), 1)
+    levels = ((b"capitals", 10 * capitals), (b"symbols", 50 * symbols), (b"repeats", 10 * repeats), (b"common", 10 * common))
+    # a mark for each level that is reached
+    marks = [b"\0%s%d" % (name, i) for name, level in levels for i in range(1, min(int(level), 9) + 1)]
     found = set(map(crc32, plain))
     found.update([crc32(b"\1" + w[:START]) for w in plain if len(w) > START])
     found.update(map(crc32, marks))
