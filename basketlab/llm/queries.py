@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.llm import chat, merkle, mixing, ngram_rules, simhash, suffix_dedup, weak_labels
+from basketlab.llm import chat, hidden_markov, merkle, mixing, ngram_rules, simhash, suffix_dedup, weak_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -56,3 +56,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
