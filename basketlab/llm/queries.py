@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.llm import chat, hidden_markov, merkle, mixing, ngram_rules, simhash, suffix_dedup, weak_labels
+from basketlab.llm import chat, hidden_markov, merkle, mixing, ngram_rules, pieces, simhash, site_style, suffix_dedup, weak_labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -61,3 +61,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
