@@ -101,7 +101,7 @@ def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, di
     faults know nothing of the other.  Start: a fault is there if somebody votes for it.
     One hundredth of a vote for each possibility keeps probabilities off zero.
     """
-    cast = np.array([[int(v) for v in p] for p in patterns], np.int64).reshape(len(patterns), -1)
+    cast = np.array([[int(v) for v in p] for p in patterns], np.int64).reshape(len(patterns), len(LABELLERS))
     n = np.array(list(patterns.values()), float)
     toxic = (cast[:, TOXIC_VOTES] == BAD).any(axis=1) if len(n) else np.empty(0, bool)
     poor = (np.delete(cast, TOXIC_VOTES, axis=1) == BAD).any(axis=1) if len(n) else np.empty(0, bool)
