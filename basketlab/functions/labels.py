@@ -43,13 +43,7 @@ TRACE_DEFAULT_NAME = "Sản phẩm #"
 # Label of a recommendation that no rule produced.
 FALLBACK_LABEL = "[Fallback: Sản phẩm phổ biến toàn sàn]"
 
-# Items offered in the selector although no rule mentions them,
-# and the list shown when there is nothing else to offer.
-LONG_TAIL_ITEMS = [
-    "Cold Brew Coffee Tahitian Vanilla",
-    "Foaming Hand Soap Kid Watermelon",
-    "Kiwi Strawberry Sparkling Water",
-]
+# The list shown in the selector when there is nothing else to offer.
 DEFAULT_SELECTOR_ITEMS = ["Banana", "Bag of Organic Bananas", "Organic Strawberries", "Limes"]
 
 # Thresholds.
@@ -58,11 +52,9 @@ SWEEP_MIN_ITEM_FREQ = 6000
 MIN_BASKET_SIZE = 2
 MIN_CONFIDENCE = 0.08
 MIN_LIFT = 1.2
-LARGE_DATA_BASKETS = 2_000_000
-SMALL_DATA_MIN_SUPPORT = 0.00726
-SKIP_LOAD_THRESHOLD = 2_000_000
+DEFAULT_MIN_SUPPORT = 0.00726
 TOP_PRODUCTS = 15
-POPULAR_ITEMS = 10
+POPULAR_REPORT_ITEMS = 10
 RECOMMENDATIONS = 5
 FALLBACK_ITEMS = 3
 EVALUATION_KS = [3, 5, 10]
@@ -91,4 +83,3 @@ LOG_PATTERNS = {
     "total": r"Total Pipeline Run Duration: ([0-9.]+) seconds",
 }
 OPTIONAL_MARKS = ["spark_version"]
-DEFAULT_SPARK_VERSION = "3.5.9"

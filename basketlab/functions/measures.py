@@ -6,13 +6,6 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-from basketlab.functions.labels import (
-    LARGE_DATA_BASKETS,
-    MIN_ITEM_FREQ,
-    SMALL_DATA_MIN_SUPPORT,
-)
-
-
 def min_count(min_support: float, n_baskets: int) -> int:
     """Smallest frequency that reaches ``min_support``."""
     return math.ceil(min_support * n_baskets)
@@ -26,9 +19,3 @@ def estimated_min_count(min_support_percent: Column, n_baskets: Column) -> Colum
     """The frequency shown next to a support given in percent."""
     return F.bround(min_support_percent / 100 * n_baskets, 0).cast("long")
 
-
-def default_min_support(n_baskets: Column) -> Column:
-    """The item threshold as a support on full data, a fixed support on small data."""
-    return F.when(n_baskets >= LARGE_DATA_BASKETS, F.lit(float(MIN_ITEM_FREQ)) / n_baskets).otherwise(
-        F.lit(SMALL_DATA_MIN_SUPPORT)
-    )

@@ -14,9 +14,9 @@ from basketlab.operators.recommend import not_in, popular_list
 def evaluation_sample(baskets: DataFrame, n: int = EVALUATION_SAMPLE) -> DataFrame:
     """A repeatable sample of ``n`` baskets: order ids by multiplicative hash.
 
-    Ids are reduced to 31 bits first, so the product stays within a long.
+    The product needs more than 64 bits, so it is taken in decimals.
     """
-    key = F.pmod("order_id", F.lit(2147483648)) * F.lit(2654435761) % F.lit(4294967296)
+    key = F.col("order_id").cast("decimal(20,0)") * F.lit(2654435761).cast("decimal(10,0)") % F.lit(4294967296).cast("decimal(10,0)")
     return baskets.orderBy(key, "order_id").limit(n)
 
 
@@ -64,10 +64,9 @@ def recommendation_lists(
 ) -> DataFrame:
     """Adds ``fp_list`` (rules, padded with popular items) and ``base_list`` (popular only).
 
-    The popular list is cut before the observed item is taken out of it, so the
-    baseline can be one item short.
+    One item is observed, so ``max_k`` + 1 best sellers always leave ``max_k``.
     """
-    popular_items = popular_list(popular)
+    popular_items = popular_list(popular, max_k + 1)
     ranked = ranked_consequents(rules, max_k)
     own = F.array("observed")
     no_items = F.array().cast("array<string>")

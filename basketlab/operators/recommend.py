@@ -10,8 +10,8 @@ from basketlab.functions.labels import (
     DEFAULT_SELECTOR_ITEMS,
     FALLBACK_ITEMS,
     FALLBACK_LABEL,
-    LONG_TAIL_ITEMS,
     RECOMMENDATIONS,
+    TOP_PRODUCTS,
 )
 from basketlab.functions.text import rule_label
 from basketlab.operators.mining import rule_order
@@ -30,12 +30,14 @@ def match_rules(carts: DataFrame, rules: DataFrame) -> DataFrame:
 def fired(carts: DataFrame, offers: DataFrame) -> DataFrame:
     """Carts and the offers (antecedent, item, ...) they fire, with the ``cart`` itself.
 
-    An offer can only fire for carts that hold the first item of its antecedent, so one
-    equi-join on that item finds each candidate exactly once and the rest of the
-    antecedent is checked in the same row.  There is no grouping by (cart, rule), and
-    while the offers are below the broadcast limit the carts are not shuffled.
+    An offer can only fire for carts that hold the item of its antecedent that the fewest
+    carts hold, so one equi-join on that item finds each candidate exactly once and the
+    rest of the antecedent is checked in the same row.  Offers that share a best seller
+    thus meet its carts only if they name nothing rarer.  There is no grouping by
+    (cart, rule), and while the offers are below the broadcast limit the carts are not
+    shuffled.  An offer with an empty antecedent is an error.
     """
-    keyed = offers.withColumn("key_item", F.element_at("antecedent", 1))
+    keyed = offers.join(rarest_items(carts, offers), "antecedent")
     probes = carts.select(
         "cart_id", F.col("items").alias("cart"), F.explode(F.array_distinct("items")).alias("key_item")
     )
@@ -46,6 +48,23 @@ def fired(carts: DataFrame, offers: DataFrame) -> DataFrame:
     )
 
 
+def rarest_items(carts: DataFrame, offers: DataFrame) -> DataFrame:
+    """Per antecedent the item that the fewest carts hold: columns antecedent, key_item."""
+    held = carts.select(F.explode(F.array_distinct("items")).alias("key_item")).groupBy("key_item").agg(
+        F.count(F.lit(1)).alias("carts")
+    )
+    checked = F.when(F.size("antecedent") > 0, F.col("antecedent")).otherwise(
+        F.raise_error(F.lit("a rule has an empty antecedent")).cast("array<string>")
+    )
+    sides = offers.select("antecedent").distinct().select("antecedent", F.explode(checked).alias("key_item"))
+    rarity = F.struct(F.coalesce("carts", F.lit(0)), "key_item")
+    return (
+        sides.join(held, "key_item", "left")
+        .groupBy("antecedent")
+        .agg(F.min(rarity).getField("key_item").alias("key_item"))
+    )
+
+
 def rank_rules(rules: DataFrame) -> DataFrame:
     """Rules with ``rule_rank``, a number that follows the rule order; a written table.
 
@@ -118,12 +137,19 @@ def recommend(carts: DataFrame, rules: DataFrame, top_n: int = RECOMMENDATIONS)
     )
 
 
-def popular_list(popular: DataFrame) -> Column:
-    """The short best-seller table (item, total_sales) as one sorted array of names.
+def largest_cart(carts: DataFrame, items: str = "items") -> int:
+    """Size of the largest cart, 0 without carts."""
+    return carts.agg(F.coalesce(F.max(F.size(items)), F.lit(0))).first()[0]
+
+
+def popular_list(popular: DataFrame, reach: int) -> Column:
+    """The ``reach`` best sellers of the sales table (item, total_sales) as one sorted array of names.
 
     A scalar subquery: computed once and handed to every task as a constant, so carts
-    meet the list without a join.  The table is a top-k report of a few rows.
+    meet the list without a join.  Whoever needs n items that a cart does not hold asks
+    for n plus the size of the largest cart; more can never be shown.
     """
+    popular = popular.orderBy(F.desc("total_sales"), "item").limit(reach)
     ranked = F.array_sort(
         F.collect_list(F.struct((-F.col("total_sales")).alias("order"), F.col("item").alias("item")))
     )
@@ -137,9 +163,10 @@ def not_in(items: Column, cart: Column) -> Column:
 
 def popular_for(carts: DataFrame, popular: DataFrame, n: int) -> DataFrame:
     """Per cart the ``n`` most popular items it does not hold: columns cart_id, rank, item."""
+    ranked = popular_list(popular, n + largest_cart(carts))
     return carts.select(
         "cart_id",
-        F.posexplode(F.slice(not_in(popular_list(popular), F.col("items")), 1, n)).alias("pos", "item"),
+        F.posexplode(F.slice(not_in(ranked, F.col("items")), 1, n)).alias("pos", "item"),
     ).select("cart_id", (F.col("pos") + 1).alias("rank"), "item")
 
 
@@ -183,7 +210,8 @@ def recommend_with_fallback(
         .groupBy("cart_id")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "item", "rule_rank"))).alias("picks"))
     )
-    substitutes = F.slice(not_in(popular_list(popular), F.col("items")), 1, fallback_n)
+    best_sellers = popular_list(popular, fallback_n + largest_cart(carts))
+    substitutes = F.slice(not_in(best_sellers, F.col("items")), 1, fallback_n)
     shown = shoppers.join(packed, "cart_id", "left").select(
         "cart_id",
         "picks",
@@ -208,14 +236,17 @@ def recommend_with_fallback(
 
 
 def item_selector(
-    rules: DataFrame, popular: DataFrame, long_tail: Sequence[str] = LONG_TAIL_ITEMS
+    rules: DataFrame, popular: DataFrame, long_tail: Sequence[str] = (), best_sellers: int = TOP_PRODUCTS
 ) -> DataFrame:
-    """Items a shopper can pick: rule antecedents, best sellers and the long tail, sorted.
+    """Items a shopper can pick: rule antecedents, the ``best_sellers`` first items by sales and
+    whatever else the caller names, sorted.
 
     A fixed list takes over when all three are empty.
     """
     spark = rules.sparkSession
-    parts = rules.select(F.explode("antecedent").alias("item")).union(popular.select("item"))
+    parts = rules.select(F.explode("antecedent").alias("item")).union(
+        popular.orderBy(F.desc("total_sales"), "item").limit(best_sellers).select("item")
+    )
     if long_tail:
         parts = parts.union(spark.createDataFrame([(i,) for i in long_tail], "item string"))
         return parts.distinct().orderBy("item")

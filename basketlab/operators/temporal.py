@@ -28,26 +28,36 @@ def orders_per_dow_hour(orders: DataFrame) -> DataFrame:
 def heat_pivot(density: DataFrame) -> DataFrame:
     """One row per day, Monday first, one column per hour, empty cells 0.
 
-    Hours are listed, so the pivot needs no extra pass to find them.  Days outside
-    0..6 have no row in the map.
+    Hours are listed, so the pivot needs no extra pass to find them.  Orders of any other
+    day or of none share the last row (day null), those of any other hour or of none the
+    column ``other``, so the cells always add up to the orders.
     """
     row_order = F.array_position(F.array(*[F.lit(d) for d in HEAT_ROW_ORDER]), F.col("dow"))
-    wide = (
-        density.filter(F.col("dow").between(0, 6))
+    known_hour = F.col("hour").isin(HOURS)
+    count = F.col("orders_count")
+    cells = [F.coalesce(F.sum(F.when(F.col("hour") == h, count)), F.lit(0)).alias(f"h{h:02d}") for h in HOURS]
+    other = F.coalesce(F.sum(F.when(~F.coalesce(known_hour, F.lit(False)), count)), F.lit(0)).alias("other")
+    return (
+        density.withColumn("dow", F.when(F.col("dow").between(0, 6), F.col("dow")))
         .groupBy("dow")
-        .pivot("hour", HOURS)
-        .agg(F.sum("orders_count"))
-        .fillna(0)
+        .agg(*cells, other)
+        .select(
+            F.coalesce(row_order, F.lit(len(HEAT_ROW_ORDER) + 1)).cast("int").alias("day_order"),
+            F.when(F.col("dow").isNotNull(), day_name(F.col("dow"))).alias("day"),
+            *[f"h{h:02d}" for h in HOURS],
+            "other",
+        )
+        .orderBy("day_order")
     )
-    return wide.select(
-        row_order.cast("int").alias("day_order"),
-        day_name(F.col("dow")).alias("day"),
-        *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS],
-    ).orderBy("day_order")
+
+
+def heat_total(heat: DataFrame) -> Column:
+    """Sum of all cells of the map, as a scalar subquery."""
+    return heat.agg(F.coalesce(F.sum(sum((F.col(f"h{h:02d}") for h in HOURS), F.col("other"))), F.lit(0))).scalar()
 
 
 def reconciliation(orders: DataFrame) -> DataFrame:
-    """Sum of the 24 hours, sum of the 168 cells, number of orders, and whether they agree."""
+    """Sums of the hours, of the cells and of the heat map, number of orders, and whether all agree."""
     cells = orders_per_dow_hour(orders)
     hours = orders_per_hour(orders)
     total: Column = orders.agg(F.count(F.lit(1))).scalar()
@@ -57,10 +67,17 @@ def reconciliation(orders: DataFrame) -> DataFrame:
             F.coalesce(F.sum("orders_count"), F.lit(0)).alias("cell_total"),
             F.count(F.lit(1)).alias("cells"),
         )
-        .select(hour_sum.alias("hour_total"), "cell_total", total.alias("total_orders"), "cells")
+        .select(
+            hour_sum.alias("hour_total"),
+            "cell_total",
+            heat_total(heat_pivot(cells)).alias("heat_total"),
+            total.alias("total_orders"),
+            "cells",
+        )
         .withColumn(
             "reconciled",
             (F.col("hour_total") == F.col("cell_total"))
+            & (F.col("heat_total") == F.col("cell_total"))
             & (F.col("cell_total") == F.col("total_orders")),
         )
         .withColumn("total_orders_text", thousands(F.col("total_orders")))

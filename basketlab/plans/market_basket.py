@@ -11,7 +11,6 @@ from basketlab.functions.labels import (
     MIN_CONFIDENCE,
     MIN_ITEM_FREQ,
     MIN_LIFT,
-    POPULAR_ITEMS,
     TOP_PRODUCTS,
 )
 from basketlab.functions.measures import min_support_for
@@ -29,7 +28,11 @@ from basketlab.storage import materialize
 
 @dataclass(frozen=True)
 class Settings:
-    """``min_support`` None derives it from the item threshold; ``split`` None keeps all orders."""
+    """``min_support`` None derives it from the item threshold; ``split`` None keeps all orders.
+
+    ``mining_partitions`` is the number of item groups of FP-Growth, each of which one
+    task mines; on large data it should grow with the core items, not with the cores.
+    """
 
     min_item_freq: int | None = MIN_ITEM_FREQ
     min_support: float | None = None
@@ -37,6 +40,7 @@ class Settings:
     min_lift: float = MIN_LIFT
     min_basket_size: int = MIN_BASKET_SIZE
     split: str | None = "prior"
+    mining_partitions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -55,24 +59,23 @@ def in_scope(retail: Retail, settings: Settings) -> Retail:
     """The orders of the split and their lines.
 
     Lines that lie in a table of their own are taken whole, so the integrity report
-    sees those without an order.  Otherwise the lines are written once, three columns
+    sees those without an order; the orders are then those of that table's split.  Otherwise the lines are written once, three columns
     wide, because every later step reads them and the semi join moves the whole table.
     """
     if settings.split is None:
         return retail
-    orders = split_orders(retail.orders, settings.split)
-    if retail.pre_split:
-        return Retail(orders, retail.lines, retail.products, True)
+    split = retail.lines_split or settings.split
+    orders = retail.orders_of(split) if retail.orders_of else split_orders(retail.orders, split)
+    if retail.lines_split:
+        return Retail(orders, retail.lines, retail.products, retail.lines_split)
     lines = retail.lines.join(orders.select("order_id"), "order_id", "left_semi")
     return Retail(orders, materialize(lines, "lines"), retail.products)
 
 
-def popular_items(
-    retail: Retail, n: int = POPULAR_ITEMS, frequency: DataFrame | None = None
-) -> DataFrame:
-    """The best-seller list, written: a few rows that several plans read."""
+def popular_items(retail: Retail, frequency: DataFrame | None = None) -> DataFrame:
+    """Sales of all items, written once; every reader takes the first it needs."""
     counts = I.item_frequency(retail.lines) if frequency is None else frequency
-    return materialize(I.top_items(I.item_sales(counts, retail.products), n), "popular")
+    return materialize(I.item_sales(counts, retail.products), "popular")
 
 
 def train(retail: Retail, settings: Settings) -> Model:
@@ -85,14 +88,14 @@ def train(retail: Retail, settings: Settings) -> Model:
     )
     n = baskets.count()
     support = _support(settings, n)
-    itemsets = M.mine(baskets, support, n)
+    itemsets = M.mine(baskets, support, n, settings.mining_partitions)
     rules = materialize(
         M.association_rules(itemsets, n, settings.min_confidence).filter(
             F.col("lift") > settings.min_lift
         ),
         "rules",
     )
-    return Model(baskets, n, support, itemsets, rules, popular_items(scope, frequency=frequency))
+    return Model(baskets, n, support, itemsets, rules, popular_items(scope, frequency))
 
 
 def _support(settings: Settings, n_baskets: int) -> float:
@@ -121,7 +124,8 @@ def run_pipeline(
     frequency = recorder.run(
         "item_frequency", n_lines, lambda: materialize(I.item_frequency(lines), "item-frequency")
     )
-    best_sellers = popular_items(scope, TOP_PRODUCTS, frequency)
+    popular = popular_items(scope, frequency)
+    best_sellers = I.top_items(popular, TOP_PRODUCTS)
     catalog = B.core_catalog(lines, products, settings.min_item_freq, frequency)
     sizes = recorder.run(
         "order_sizes", n_lines, lambda: materialize(Q.order_sizes(lines, catalog), "order-sizes")
@@ -141,7 +145,7 @@ def run_pipeline(
     baskets = core_sets.filter(F.col("items_count") >= settings.min_basket_size)
     n = baskets.count()
     support = _support(settings, n)
-    itemsets = recorder.run("itemsets", n, lambda: M.mine(baskets, support, n))
+    itemsets = recorder.run("itemsets", n, lambda: M.mine(baskets, support, n, settings.mining_partitions))
     rules = recorder.run(
         "rules",
         itemsets.count(),
@@ -184,16 +188,22 @@ def run_pipeline(
             "json",
         )
     P.append_run(recorder.metrics(), f"{out_dir}/runs")
-    popular = best_sellers.orderBy(F.desc("total_sales"), "item").limit(POPULAR_ITEMS)
     return Model(baskets, n, support, itemsets, rules, popular)
 
 
 def quality_report(
-    run_id: str, settings: Settings, scope: Retail, profiles: DataFrame, integrity: DataFrame
+    run_id: str,
+    settings: Settings,
+    scope: Retail,
+    profiles: DataFrame,
+    integrity: DataFrame,
+    samples: int = 10,
+    traced: tuple[int, int] = (2, 12),
 ) -> DataFrame:
     """The data-quality document: parameters, key figures and the report sections.
 
     ``profiles`` and ``integrity`` should be written tables; several sections read them.
+    ``samples`` baskets are shown and the orders of the range ``traced`` are explained.
     """
     base = profiles.agg(
         F.count(F.lit(1)).alias("total_orders"),
@@ -228,8 +238,8 @@ def quality_report(
             "tables": (tables, ["table_name"]),
             "cleaning_stages": (B.before_after(profiles), ["metric"]),
             "excluded_orders_breakdown": (B.exclusion_breakdown(profiles), ["group_id"]),
-            "sample_records": (B.sample_baskets(qualified), ["order_id"]),
-            "sample_traceability_orders": (TR.trace_orders(profiles, 2, 12), ["order_id"]),
+            "sample_records": (B.sample_baskets(qualified, samples), ["order_id"]),
+            "sample_traceability_orders": (TR.trace_orders(profiles, *traced), ["order_id"]),
         },
         base,
     )

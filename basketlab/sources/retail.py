@@ -9,7 +9,7 @@ Every operator works on these columns, whichever loader filled them:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,12 +23,15 @@ STATUS_AS_SPLIT = {"F": "prior", "O": "train", "P": "test"}
 
 @dataclass(frozen=True)
 class Retail:
-    """``pre_split``: the lines are those of the wanted split already, in a table of their own."""
+    """``lines_split``: the lines lie in a table of their own that holds this split.
+    ``orders_of``: reads the orders of one split, where the source can skip the others.
+    """
 
     orders: DataFrame
     lines: DataFrame
     products: DataFrame
-    pre_split: bool = False
+    lines_split: str | None = None
+    orders_of: Callable[[str], DataFrame] | None = None
 
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +43,16 @@ def day_of_week(ts: Column) -> Column:
     return F.dayofweek(ts) - 1
 
 
-def star_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = F.create_map(*[F.lit(v) for pair in STATUS_AS_SPLIT.items() for v in pair])
-    return star_table(spark, sf_dir, "orders").select(
+def star_orders(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFrame:
+    """All orders, or those of a split: filtered on the status itself, which the scan can skip by."""
+    orders = star_table(spark, sf_dir, "orders")
+    if split is not None:
+        orders = orders.filter(F.col("o_orderstatus").isin([s for s, v in STATUS_AS_SPLIT.items() if v == split]))
+    by_status = F.create_map(*[F.lit(v) for pair in STATUS_AS_SPLIT.items() for v in pair])
+    return orders.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
-        F.try_element_at(split, F.col("o_orderstatus")).alias("eval_set"),
+        F.try_element_at(by_status, F.col("o_orderstatus")).alias("eval_set"),
         day_of_week(F.col("o_orderdate")).alias("order_dow"),
         F.hour("o_orderdate").alias("order_hour_of_day"),
     )
@@ -76,21 +83,25 @@ def star_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_star(spark: SparkSession, sf_dir: str) -> Retail:
     return Retail(
-        star_orders(spark, sf_dir), star_lines(spark, sf_dir), star_products(spark, sf_dir)
+        star_orders(spark, sf_dir),
+        star_lines(spark, sf_dir),
+        star_products(spark, sf_dir),
+        orders_of=lambda split: star_orders(spark, sf_dir, split),
     )
 
 
 def load_csv(spark: SparkSession, data_dir: str) -> Retail:
-    """The six-file CSV layout; train lines stand in when the prior lines are absent.
+    """The six-file CSV layout; train lines, and with them the orders of that split, stand in
+    when the prior lines are absent.
 
     Lines and orders are parsed once and written in columns, because every step reads
     them again.
     """
     lines = None
-    for name in ("order_products__prior.csv", "order_products__train.csv"):
+    for split in ("prior", "train"):
         lines = read_if_exists(
             spark,
-            f"{data_dir}/{name}",
+            f"{data_dir}/order_products__{split}.csv",
             schemas.ORDER_PRODUCTS,
             ["order_id", "product_id", "add_to_cart_order"],
         )
@@ -108,7 +119,7 @@ def load_csv(spark: SparkSession, data_dir: str) -> Retail:
         spark, f"{data_dir}/products.csv", schemas.PRODUCTS, ["product_id", "product_name"]
     )
     return Retail(
-        materialize(orders, "orders"), materialize(lines, "lines"), products, pre_split=True
+        materialize(orders, "orders"), materialize(lines, "lines"), products, lines_split=split
     )
 
 

@@ -9,6 +9,7 @@ number instead of a hint.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -37,6 +38,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote below the shared folder; no table read from there may be used after."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     spark = df.sparkSession

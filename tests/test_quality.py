@@ -90,12 +90,13 @@ def test_scan_totals(spark):
 
 def test_heat_map_order_fill_and_unknown_days(spark):
     times = spark.createDataFrame(
-        [(0, 5), (0, 5), (6, 23), (1, 0), (9, 3)], "order_dow int, order_hour_of_day int"
+        [(0, 5), (0, 5), (6, 23), (1, 0), (9, 3), (None, 24)], "order_dow int, order_hour_of_day int"
     )
     density = T.orders_per_dow_hour(times)
     rows = T.heat_pivot(density).collect()
-    assert [r["day"] for r in rows] == ["Thứ Hai", "Thứ Bảy", "Chủ Nhật"]
+    assert [r["day"] for r in rows] == ["Thứ Hai", "Thứ Bảy", "Chủ Nhật", None]
+    assert rows[3]["h03"] == 1 and rows[3]["other"] == 1
     assert rows[2]["h05"] == 2 and rows[2]["h06"] == 0
     assert "Ngày 9" in {r["day"] for r in T.day_labels(density).collect()}
     check = T.reconciliation(times).first()
-    assert check["reconciled"] and check["total_orders"] == 5
+    assert check["reconciled"] and check["total_orders"] == check["heat_total"] == 6

@@ -139,3 +139,27 @@ def test_selector_and_known_items(spark, rules, popular):
     )
     kept = R.known_items(carts(spark, ["Q", "D", "A"], ["Q"], []), R.item_selector(rules, top, []))
     assert {r["cart_id"]: r["items"] for r in kept.collect()} == {0: ["D", "A"], 1: [], 2: []}
+
+
+def test_carts_full_of_best_sellers_still_get_three(spark):
+    popular = spark.createDataFrame([(f"p{i:02d}", 100 - i) for i in range(20)], "item string, total_sales long")
+    carts = spark.createDataFrame(
+        [(1, [f"p{i:02d}" for i in range(12)]), (2, [f"p{i:02d}" for i in range(8)]), (3, ["x"]), (4, [])], CARTS
+    )
+    rows = R.recommend_with_fallback(carts, spark.createDataFrame([], RULES), popular).collect()
+    got = {c: [r["item"] for r in sorted(rows, key=lambda r: r["rank"]) if r["cart_id"] == c] for c in (1, 2, 3, 4)}
+    assert got == {1: ["p12", "p13", "p14"], 2: ["p08", "p09", "p10"], 3: ["p00", "p01", "p02"], 4: []}
+
+
+def test_rules_that_share_a_best_seller_are_tried_by_their_rare_item(spark):
+    rules = spark.createDataFrame([(["a", f"r{i:03d}"], ["z"], 0.5, 2.0, 0.1) for i in range(300)], RULES)
+    carts = spark.createDataFrame([(i, ["a", f"r{i:03d}"] if i < 300 else ["a", "b"]) for i in range(2000)], CARTS)
+    keys = R.rarest_items(carts, rules)
+    candidates = carts.select(F.explode("items").alias("key_item")).join(keys, "key_item").count()
+    assert candidates == R.match_rules(carts, rules).count() == 300
+
+
+def test_rules_without_antecedent_are_an_error(spark):
+    rules = spark.createDataFrame([([], ["z"], 0.5, 2.0, 0.1)], RULES)
+    with pytest.raises(Exception, match="empty antecedent"):
+        R.match_rules(spark.createDataFrame([(1, ["a"])], CARTS), rules).collect()
