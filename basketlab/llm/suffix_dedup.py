@@ -47,7 +47,7 @@ from basketlab.storage import materialize, scratch_path
 
 LENGTH = 100
 ANCHOR = 32
-PIECE = 1 << 20
+PIECE = 1 << 18
 HOT = 5_000
 SORT_BATCH = 1 << 14
 LAST = (1 << 63) - 1
