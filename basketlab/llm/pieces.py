@@ -36,7 +36,7 @@ from basketlab.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 BATCH_BYTES = 8 << 20
 
 
