@@ -8,7 +8,8 @@ document and size.  Bytes keep their case: shouting and symbols show.
 
 Scale: each task counts into two arrays of ``1 << bits`` numbers and sends the buckets
 that it has seen; the summed table is bounded by the number of buckets and goes to the
-tasks with the scoring function.  Only the trusted documents' texts meet another table.
+tasks with the scoring function.  Finding the trusted texts moves the texts once, in a
+sort-merge join by id; everything else is read where it lies.
 
 Defined results: null and empty texts have zeros, fail the base rules and are not kept;
 without trusted documents the method's verdict is to keep; repeated labels of an id
@@ -123,7 +124,8 @@ def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
 def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     good = good.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("_trusted"))
-    return docs.join(good, F.col(id_col) == F.col("_trusted"), "left_semi").select(text_col)
+    # the table of trusted ids grows with the corpus, so it is not broadcast at any size
+    return docs.join(good.hint("merge"), F.col(id_col) == F.col("_trusted"), "left_semi").select(text_col)
 
 
 _OUT = pa.schema(
