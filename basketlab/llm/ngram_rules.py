@@ -6,8 +6,8 @@ trigrams of log P(trusted) - log P(raw), both smoothed by one count for each buc
 Documents under ``threshold`` (nats for each trigram) are rejected, the same for every
 document and size.  Bytes keep their case: shouting and symbols show.
 
-Scale: each task counts into two arrays of ``1 << bits`` numbers and sends the buckets
-that it has seen; the summed table is bounded by the number of buckets and goes to the
+Scale: each task counts into an array of ``1 << bits`` numbers and sends it in blocks,
+which are added by block; the summed table is bounded by the number of buckets and goes to the
 tasks with the scoring function.  Finding the trusted texts moves the texts once, in a
 sort-merge join by id; everything else is read where it lies.
 
@@ -36,6 +36,7 @@ MAX_REPEATED_PERCENT = 20
 ORDER = 3
 BITS = 16
 THRESHOLD = -1.0
+BLOCK = 256
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -101,17 +102,32 @@ def _count(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
                 total += np.bincount(b, minlength=len(total))
             else:
                 np.add.at(total, b, 1)
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
+    yield _blocks(dict(enumerate(total.reshape(-1, BLOCK))))
+
+
+def _blocks(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """A row for each block of neighbouring buckets that has a count."""
+    held = {i: n.tobytes() for i, n in blocks.items() if n.any()}
+    columns = [pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["block", "counts"])
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            total[block] = total.get(block, 0) + np.frombuffer(counts, np.int64)
+    yield _blocks(total)
 
 
 def bucket_counts(texts: DataFrame, bits: int = BITS) -> np.ndarray:
     """Counts of all n-grams of a column of texts; as long as there are buckets."""
-    counted = texts.mapInArrow(lambda x: _count(x, bits), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << bits)
-    for row in counted.toLocalIterator():
-        out[row["bucket"]] = row["n"]
-    return out
+    schema = "block long, counts binary"
+    counted = texts.mapInArrow(lambda x: _count(x, bits), schema).repartition("block").mapInArrow(_add, schema)
+    out = np.zeros((1 << bits) // BLOCK * BLOCK).reshape(-1, BLOCK)
+    for row in counted.collect():  # a row for each block
+        out[row["block"]] += np.frombuffer(row["counts"], np.int64)
+    return out.ravel()
 
 
 def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
