@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from basketlab.llm.words import lower_words
+from basketlab.llm.words import lower_words, slices
 from basketlab.storage import materialize
 
 STATES = 8
@@ -37,8 +37,10 @@ TOP = 8192
 REST = 1024
 ROUNDS = 5
 SEGMENT = 128
-BLOCK = 4096
+BLOCK = 2048
 CHUNK_WORDS = 400_000
+BATCH_BYTES = 2 << 20
+BATCH_WORDS = 20_000
 SMOOTH = 0.1
 END = 0
 
@@ -65,12 +67,15 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents -> their words as numbers of the chunk, and the chunk's words with their training counts."""
     chunk, words, counts = TaskContext.get().partitionId() << 24, Numbers(), np.zeros(0, np.int64)
 
-    def vocabulary() -> pa.RecordBatch:
-        nothing, n = [None] * len(words), len(words)
-        columns = [[chunk] * n, nothing, nothing, nothing, list(range(n)), [w.decode() for w in words], counts[:n].tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENCODED)], schema=_ENCODED)
+    def vocabulary() -> Iterator[pa.RecordBatch]:
+        texts = list(words)
+        for at in range(0, len(texts), BATCH_WORDS):
+            part = [w.decode() for w in texts[at : at + BATCH_WORDS]]
+            nothing, n = [None] * len(part), len(part)
+            columns = [[chunk] * n, nothing, nothing, nothing, list(range(at, at + n)), part, counts[at : at + n].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENCODED)], schema=_ENCODED)
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             ids = np.array(list(map(words.__getitem__, lower_words(text.as_py()))), np.int32)
@@ -82,11 +87,11 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[seen] += n
             rows.append((chunk, doc_id, held, ids.tobytes(), None, None, None))
             if len(words) >= CHUNK_WORDS:
-                yield vocabulary()
+                yield from vocabulary()
                 chunk, words, counts = chunk + 1, Numbers(), np.zeros(0, np.int64)
         columns = list(zip(*rows)) if rows else [()] * len(_ENCODED)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENCODED)], schema=_ENCODED)
-    yield vocabulary()
+    yield from vocabulary()
 
 
 class Counts(NamedTuple):
