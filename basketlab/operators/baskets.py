@@ -18,7 +18,7 @@ from basketlab.functions.labels import (
 )
 from basketlab.functions.text import default_name, percent_text
 from basketlab.operators.items import core_items, item_frequency
-from basketlab.operators.quality import dedup_lines, order_sizes
+from basketlab.operators.quality import dedup_lines, order_facts
 from basketlab.storage import materialize
 
 GROUPS = ["G0", "G1", "G2", "G3", "G4"]
@@ -144,22 +144,27 @@ def baskets_by_size(baskets: DataFrame, items_count: int) -> DataFrame:
     return baskets.filter(F.col("items_count") == items_count)
 
 
+def baskets_of(facts: DataFrame, min_size: int = MIN_BASKET_SIZE) -> DataFrame:
+    """The baskets in a table of order facts, as ``catalog_baskets`` builds them from the lines."""
+    return facts.filter(F.size("core_items") >= min_size).select(
+        "order_id", F.size("core_items").alias("items_count"), F.col("core_items").alias("items"), "first_item"
+    )
+
+
 def order_profiles(
-    sizes: DataFrame, core_sets: DataFrame, orders: DataFrame, min_size: int = MIN_BASKET_SIZE
+    facts: DataFrame, orders: DataFrame, min_size: int = MIN_BASKET_SIZE
 ) -> DataFrame:
     """One row per order with everything the exclusion audit needs.
 
-    ``sizes`` come from ``order_sizes``, ``core_sets`` are the baskets of the core
-    catalog without a minimum size.  raw_lines counts lines, c_raw and c_core distinct
-    products, core_items holds the distinct core names, exclusion_group says why an
-    order is no basket: G0 no lines, G1 one product, G2 no core product, G3 one core
-    product, G4 core products that share too few names.
+    ``facts`` come from ``order_facts`` with the core catalog.  raw_lines counts lines,
+    c_raw and c_core distinct products, core_items holds the distinct core names,
+    exclusion_group says why an order is no basket: G0 no lines, G1 one product, G2 no
+    core product, G3 one core product, G4 core products that share too few names.
     """
     zero = F.lit(0).cast("long")
     return (
         orders.select("order_id")
-        .join(sizes, "order_id", "left")
-        .join(core_sets.select("order_id", F.col("items").alias("core_items")), "order_id", "left")
+        .join(facts, "order_id", "left")
         .select(
             "order_id",
             F.coalesce("raw_lines", zero).alias("raw_lines"),
@@ -174,10 +179,8 @@ def order_profiles(
 def audit_profiles(
     lines: DataFrame, orders: DataFrame, catalog: DataFrame, min_size: int = MIN_BASKET_SIZE
 ) -> DataFrame:
-    """Profiles straight from the lines."""
-    return order_profiles(
-        order_sizes(lines, catalog), catalog_baskets(lines, catalog, 1), orders, min_size
-    )
+    """Profiles straight from the lines, which are read and shuffled by pair once."""
+    return order_profiles(order_facts(lines, catalog), orders, min_size)
 
 
 def exclusion_group(min_size: int) -> Column:

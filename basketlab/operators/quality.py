@@ -137,24 +137,37 @@ def orphan_count(
     )
 
 
-def order_sizes(lines: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    """Per order: raw_lines, c_raw distinct products, c_core of them in the catalog, null_key_lines.
+def order_facts(lines: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """One pass over the lines; one row per order with all that sizes, baskets and audits need.
 
-    Products are counted as (order, product) pairs first, so an order or a pair that
-    holds a large share of the lines is spread over tasks before its order is counted.
+    raw_lines, c_raw distinct products, c_core of them in the catalog, null_key_lines,
+    null_cells over all columns of the lines, core_items the distinct catalog names in
+    order, first_item the one of them first put in the cart (the name decides ties).
+
+    Lines are grouped to (order, product) pairs first, so an order or a pair that holds
+    a large share of the lines is spread over tasks before its order is assembled from
+    at most one row per product.
     """
-    pairs = key_counts(lines.select("order_id", "product_id"), ["order_id", "product_id"])
+    pairs = lines.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(null_cells(lines.columns)).alias("nulls"),
+        F.min("add_to_cart_order").alias("position"),
+    )
     if catalog is None:
-        flagged = pairs.withColumn("is_core", F.lit(None).cast("boolean"))
+        flagged = pairs.withColumns({"is_core": F.lit(None).cast("boolean"), "item": F.lit(None).cast("string")})
     else:
-        known = catalog.select("product_id", F.lit(True).alias("is_core"))
+        known = catalog.select("product_id", F.col("product_name").alias("item"), F.lit(True).alias("is_core"))
         flagged = pairs.join(known, "product_id", "left")
     null_key = F.col("order_id").isNull() | F.col("product_id").isNull()
+    named = F.when(F.col("item").isNotNull(), F.struct("position", "item"))
     return flagged.groupBy("order_id").agg(
         F.sum("n").alias("raw_lines"),
         F.count(F.lit(1)).alias("c_raw"),
         F.count("is_core").alias("c_core"),
         _zero_if_null(F.sum(F.when(null_key, F.col("n")))).alias("null_key_lines"),
+        F.sum("nulls").alias("null_cells"),
+        F.array_sort(F.collect_set("item")).alias("core_items"),
+        F.min(named)["item"].alias("first_item"),
     )
 
 
@@ -162,28 +175,29 @@ def integrity_report(
     lines: DataFrame,
     orders: DataFrame,
     products: DataFrame,
-    sizes: DataFrame | None = None,
+    facts: DataFrame | None = None,
     frequency: DataFrame | None = None,
 ) -> DataFrame:
     """All line checks in one row, from one row per order and one per product.
 
-    ``sizes`` and ``frequency`` (see ``order_sizes``, ``item_frequency``) save the
+    ``facts`` and ``frequency`` (see ``order_facts``, ``item_frequency``) save the
     counting when they are at hand.
     """
-    if sizes is None:
-        sizes = order_sizes(lines)
+    if facts is None:
+        facts = order_facts(lines)
     if frequency is None:
         frequency = lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("item_count"))
     by_product = frequency.select("product_id", F.col("item_count").alias("n"))
     known = orders.select(F.col("order_id").alias("__order"), F.lit(True).alias("__known"))
     orphans = F.when(F.col("__known").isNull(), F.col("raw_lines"))
     return (
-        sizes.join(known, F.col("order_id") == F.col("__order"), "left")
+        facts.join(known, F.col("order_id") == F.col("__order"), "left")
         .agg(
             _zero_if_null(F.sum("raw_lines")).alias("total_lines"),
             _zero_if_null(F.sum("c_raw")).alias("distinct_pairs"),
             _zero_if_null(F.sum(F.col("raw_lines") - F.col("c_raw"))).alias("duplicate_pairs"),
             _zero_if_null(F.sum("null_key_lines")).alias("null_keys"),
+            _zero_if_null(F.sum("null_cells")).alias("null_cells"),
             _zero_if_null(F.sum(orphans)).alias("orphan_orders"),
         )
         .withColumn(
@@ -238,9 +252,9 @@ def audit_from_integrity(integrity: DataFrame, table_name: str, width: int) -> D
         F.col("total_lines").alias("total_rows"),
         F.lit(width).cast("long").alias("total_cols"),
         F.lit("order_id, product_id").alias("primary_key"),
-        F.col("null_keys").alias("null_count"),
+        F.col("null_cells").alias("null_count"),
         F.coalesce(
-            percent_text(F.col("null_keys"), F.col("total_lines") * width), F.lit("0.00%")
+            percent_text(F.col("null_cells"), F.col("total_lines") * width), F.lit("0.00%")
         ).alias("null_rate"),
         F.col("duplicate_pairs").alias("duplicates"),
         ((F.col("orphan_products") == 0) & (F.col("orphan_orders") == 0)).alias(

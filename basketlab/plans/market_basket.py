@@ -127,22 +127,17 @@ def run_pipeline(
     popular = popular_items(scope, frequency)
     best_sellers = I.top_items(popular, TOP_PRODUCTS)
     catalog = B.core_catalog(lines, products, settings.min_item_freq, frequency)
-    sizes = recorder.run(
-        "order_sizes", n_lines, lambda: materialize(Q.order_sizes(lines, catalog), "order-sizes")
+    facts = recorder.run(
+        "order_facts", n_lines, lambda: materialize(Q.order_facts(lines, catalog), "order-facts")
     )
     integrity = recorder.run(
         "integrity",
         n_lines,
         lambda: materialize(
-            Q.integrity_report(lines, orders, products, sizes, frequency), "integrity"
+            Q.integrity_report(lines, orders, products, facts, frequency), "integrity"
         ),
     )
-    core_sets = recorder.run(
-        "core_sets",
-        n_lines,
-        lambda: materialize(B.catalog_baskets(lines, catalog, 1), "core-sets"),
-    )
-    baskets = core_sets.filter(F.col("items_count") >= settings.min_basket_size)
+    baskets = B.baskets_of(facts, settings.min_basket_size)
     n = baskets.count()
     support = _support(settings, n)
     itemsets = recorder.run("itemsets", n, lambda: M.mine(baskets, support, n, settings.mining_partitions))
@@ -160,7 +155,7 @@ def run_pipeline(
         "exclusion_audit",
         n_orders,
         lambda: materialize(
-            B.order_profiles(sizes, core_sets, orders, settings.min_basket_size), "profiles"
+            B.order_profiles(facts, orders, settings.min_basket_size), "profiles"
         ),
     )
 

@@ -374,9 +374,8 @@ def run_metrics() -> str:
             "(SELECT count(*) FROM (SELECT DISTINCT dayofweek(o_orderdate), hour(o_orderdate) FROM orders))",
         ),
         ("item_frequency", lines, "(SELECT count(DISTINCT l_partkey) FROM lineitem)"),
-        ("order_sizes", lines, "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"),
+        ("order_facts", lines, "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"),
         ("integrity", lines, "1"),
-        ("core_sets", lines, "(SELECT count(DISTINCT order_id) FROM named)"),
         ("itemsets", baskets, "(SELECT count(*) FROM itemset)"),
         ("rules", "(SELECT count(*) FROM itemset)", "(SELECT count(*) FROM strong)"),
         ("exclusion_audit", orders, orders),
@@ -461,6 +460,8 @@ WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_order
   (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) AS distinct_pairs,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) AS duplicate_pairs,
   count(*) FILTER (WHERE l_orderkey IS NULL OR l_partkey IS NULL) AS null_keys,
+  coalesce(CAST(sum((l_orderkey IS NULL)::BIGINT + (l_partkey IS NULL)::BIGINT + (l_linenumber IS NULL)::BIGINT) AS BIGINT), 0)
+    AS null_cells,
   count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)) AS orphan_products,
   count(*) FILTER (WHERE NOT EXISTS
     (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')) AS orphan_orders

@@ -807,14 +807,14 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
     settings = MB.Settings(min_item_freq=MIN_ITEM_FREQ, split=None)
     path = f"{scratch_path(spark, 'quality')}.json"
     catalog = B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ)
-    sizes = materialize(Q.order_sizes(r.lines, catalog), "order-sizes")
-    audited = B.order_profiles(sizes, B.catalog_baskets(r.lines, catalog, 1), r.orders)
+    facts = materialize(Q.order_facts(r.lines, catalog), "order-facts")
+    audited = B.order_profiles(facts, r.orders)
     report = MB.quality_report(
         "run",
         settings,
         r,
         materialize(audited, "profiles"),
-        materialize(Q.integrity_report(r.lines, r.orders, r.products, sizes), "integrity"),
+        materialize(Q.integrity_report(r.lines, r.orders, r.products, facts), "integrity"),
     )
     P.write_table(report, path, "json")
     stored = spark.read.schema(report.schema).json(path)

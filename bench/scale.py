@@ -83,18 +83,15 @@ def main() -> None:
     timed("temporal", lambda: T.orders_per_dow_hour(orders).collect())
     frequency = timed("item_frequency", lambda: materialize(I.item_frequency(lines), "frequency"))
     catalog = timed("core_catalog", lambda: B.core_catalog(lines, products, min_freq, frequency))
-    sizes = timed("order_sizes", lambda: materialize(Q.order_sizes(lines, catalog), "sizes"))
+    facts = timed("order_facts", lambda: materialize(Q.order_facts(lines, catalog), "facts"))
     timed(
         "integrity",
-        lambda: Q.integrity_report(lines, orders, products, sizes, frequency).collect(),
+        lambda: Q.integrity_report(lines, orders, products, facts, frequency).collect(),
     )
-    core_sets = timed(
-        "core_sets", lambda: materialize(B.catalog_baskets(lines, catalog, 1), "core-sets")
-    )
-    baskets = core_sets.filter(F.col("items_count") >= 2)
+    baskets = B.baskets_of(facts)
     profiles = timed(
         "exclusion_audit",
-        lambda: materialize(B.order_profiles(sizes, core_sets, orders), "profiles"),
+        lambda: materialize(B.order_profiles(facts, orders), "profiles"),
     )
     n = baskets.count()
     itemsets = timed("itemsets", lambda: M.mine(baskets, 0.003, n))
@@ -127,7 +124,7 @@ def main() -> None:
                 "core_items": catalog.count(),
                 "hottest_item_share": round(hottest / rows, 4),
                 "hottest_order_share": round(
-                    sizes.agg(F.max("raw_lines")).first()[0] / rows, 4
+                    facts.agg(F.max("raw_lines")).first()[0] / rows, 4
                 ),
                 "itemsets": itemsets.count(),
                 "rules": rules.count(),

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from basketlab.operators import baskets as B
 from basketlab.operators import items as I
 from basketlab.operators import trace as TR
+from basketlab.operators.quality import order_facts
 
 LINES = "order_id long, product_id long, add_to_cart_order int"
 PRODUCTS = "product_id long, product_name string"
@@ -133,3 +135,22 @@ def test_hot_order_and_hot_product(spark, no_broadcast):
             want.setdefault(o, set()).add(f"p{p // 2:02d}")
     got = {r["order_id"]: r["items"] for r in B.build_baskets(lines, products, 115).collect()}
     assert got == {o: sorted(s) for o, s in want.items() if len(s) >= 2}
+
+
+def test_audit_reads_and_shuffles_the_lines_once(spark, data, tmp_path):
+    rows, products, orders = data
+    rows.write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    catalog = B.core_catalog(lines, products, 2)
+    plan = B.exclusion_breakdown(B.audit_profiles(lines, orders, catalog))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("/lines]") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id#\d+L, product_id#\d+L", plan)) == 1
+
+
+def test_facts_give_the_same_baskets_as_the_lines(data):
+    lines, products, _ = data
+    catalog = B.core_catalog(lines, products, 2)
+    for size in (1, 2):
+        one = B.baskets_of(order_facts(lines, catalog), size)
+        two = B.catalog_baskets(lines, catalog, size)
+        assert one.columns == two.columns and sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))

@@ -30,6 +30,7 @@ def test_integrity(lines, orders, products):
         "distinct_pairs": 6,
         "duplicate_pairs": 1,
         "null_keys": 2,
+        "null_cells": 2,
         "orphan_orders": 3,
         "orphan_products": 2,
     }
