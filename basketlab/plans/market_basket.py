@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -32,6 +33,7 @@ class Settings:
 
     ``mining_partitions`` is the number of item groups of FP-Growth, each of which one
     task mines; on large data it should grow with the core items, not with the cores.
+    ``dataset_name`` is what the summary calls the data.
     """
 
     min_item_freq: int | None = MIN_ITEM_FREQ
@@ -41,6 +43,7 @@ class Settings:
     min_basket_size: int = MIN_BASKET_SIZE
     split: str | None = "prior"
     mining_partitions: int | None = None
+    dataset_name: str = "retail"
 
 
 @dataclass(frozen=True)
@@ -67,9 +70,9 @@ def in_scope(retail: Retail, settings: Settings) -> Retail:
     split = retail.lines_split or settings.split
     orders = retail.orders_of(split) if retail.orders_of else split_orders(retail.orders, split)
     if retail.lines_split:
-        return Retail(orders, retail.lines, retail.products, retail.lines_split)
+        return replace(retail, orders=orders)
     lines = retail.lines.join(orders.select("order_id"), "order_id", "left_semi")
-    return Retail(orders, materialize(lines, "lines"), retail.products)
+    return replace(retail, orders=orders, lines=materialize(lines, "lines"))
 
 
 def popular_items(retail: Retail, frequency: DataFrame | None = None) -> DataFrame:
@@ -111,12 +114,16 @@ def run_pipeline(
 ) -> Model:
     """Check, profile, assemble, mine and publish; every result lies below ``out_dir``.
 
-    Each step is timed on the action that writes its result.
+    Each step is timed on the action that writes its result; reading is the first step
+    and the last row is the whole run.
     """
     recorder = RunRecorder(spark, run_id)
-    scope = in_scope(retail, settings)
-    lines, orders, products = scope.lines, scope.orders, scope.products
-    n_lines, n_orders = lines.count(), orders.count()
+    started = time.perf_counter()
+    with recorder.step("read", retail.lines.count()) as read:
+        scope = in_scope(retail, settings)
+        lines, orders, products = scope.lines, scope.orders, scope.products
+        n_lines, n_orders = lines.count(), orders.count()
+        read["rows_out"] = n_lines
 
     density = recorder.run(
         "temporal", n_orders, lambda: materialize(T.orders_per_dow_hour(orders), "density")
@@ -124,9 +131,11 @@ def run_pipeline(
     frequency = recorder.run(
         "item_frequency", n_lines, lambda: materialize(I.item_frequency(lines), "item-frequency")
     )
-    popular = popular_items(scope, frequency)
+    popular = recorder.run("best_sellers", n_lines, lambda: popular_items(scope, frequency))
     best_sellers = I.top_items(popular, TOP_PRODUCTS)
-    catalog = B.core_catalog(lines, products, settings.min_item_freq, frequency)
+    catalog = recorder.run(
+        "core_catalog", n_lines, lambda: B.core_catalog(lines, products, settings.min_item_freq, frequency)
+    )
     facts = recorder.run(
         "order_facts", n_lines, lambda: materialize(Q.order_facts(lines, catalog), "order-facts")
     )
@@ -163,18 +172,24 @@ def run_pipeline(
         P.write_baskets(B.basket_documents(baskets, orders), f"{out_dir}/baskets")
         published["rows_out"] = spark.read.parquet(f"{out_dir}/baskets").count()
         P.write_itemsets(itemsets, f"{out_dir}/itemsets")
+        totals = M.itemset_counts(itemsets).withColumn("min_support", F.lit(support))
+        P.write_table(totals, f"{out_dir}/itemset_totals", "json")
         P.write_rules(rules, [f"{out_dir}/rules_prior", f"{out_dir}/rules"])
         scalars = integrity.select(
+            F.lit(settings.dataset_name).alias("dataset_name"),
             F.lit(n_orders).cast("long").alias("total_orders"),
             F.lit(n).cast("long").alias("total_valid_baskets"),
             F.col("total_lines").alias("total_transactions"),
             rules.agg(F.count(F.lit(1))).scalar().alias("total_rules"),
             F.round(F.lit(support * 100), 3).alias("min_support_percent"),
             F.round(F.lit(settings.min_confidence * 100), 1).alias("min_confidence_percent"),
+            F.lit(recorder.seconds("itemsets")).alias("training_time_seconds"),
         )
         hourly = density.groupBy("hour").agg(F.sum("orders_count").alias("orders_count"))
-        P.write_table(
-            P.summary_document(scalars, best_sellers, hourly, density), f"{out_dir}/summary", "json"
+        P.write_copies(
+            P.summary_document(scalars, best_sellers, hourly, density),
+            [f"{out_dir}/summary_prior", f"{out_dir}/summary"],
+            "json",
         )
         P.write_table(integrity, f"{out_dir}/integrity")
         P.write_table(
@@ -182,6 +197,7 @@ def run_pipeline(
             f"{out_dir}/quality",
             "json",
         )
+    recorder.add("total", n_lines, rules.count(), time.perf_counter() - started)
     P.append_run(recorder.metrics(), f"{out_dir}/runs")
     return Model(baskets, n, support, itemsets, rules, popular)
 
@@ -199,6 +215,7 @@ def quality_report(
 
     ``profiles`` and ``integrity`` should be written tables; several sections read them.
     ``samples`` baskets are shown and the orders of the range ``traced`` are explained.
+    The audit covers every source table whole, the lines by their integrity report.
     """
     base = profiles.agg(
         F.count(F.lit(1)).alias("total_orders"),
@@ -206,9 +223,12 @@ def quality_report(
     )
     tables = Q.stack(
         [
-            Q.audit_table(scope.products, "products", ["product_id"]),
-            Q.audit_table(scope.orders, "orders", ["order_id"]),
-            Q.audit_from_integrity(integrity, "order_products", len(scope.lines.columns)),
+            *[Q.audit_table(t.table, t.name, t.key, t.references) for t in scope.audited],
+            Q.audit_from_integrity(
+                integrity,
+                f"order_products__{scope.lines_split}" if scope.lines_split else "order_products",
+                len(scope.lines.columns),
+            ),
         ]
     )
     qualified = profiles.filter(F.col("exclusion_group") == B.QUALIFIED).select(

@@ -368,18 +368,22 @@ def run_metrics() -> str:
     orders = "(SELECT count(*) FROM orders)"
     baskets = "(SELECT count(*) FROM baskets)"
     steps = [
+        ("read", lines, lines),
         (
             "temporal",
             orders,
             "(SELECT count(*) FROM (SELECT DISTINCT dayofweek(o_orderdate), hour(o_orderdate) FROM orders))",
         ),
         ("item_frequency", lines, "(SELECT count(DISTINCT l_partkey) FROM lineitem)"),
+        ("best_sellers", lines, "(SELECT count(DISTINCT p_name) FROM lineitem JOIN part ON l_partkey = p_partkey)"),
+        ("core_catalog", lines, "(SELECT count(*) FROM part)"),
         ("order_facts", lines, "(SELECT count(DISTINCT l_orderkey) FROM lineitem)"),
         ("integrity", lines, "1"),
         ("itemsets", baskets, "(SELECT count(*) FROM itemset)"),
         ("rules", "(SELECT count(*) FROM itemset)", "(SELECT count(*) FROM strong)"),
         ("exclusion_audit", orders, orders),
         ("publish", baskets, baskets),
+        ("total", lines, "(SELECT count(*) FROM strong)"),
     ]
     return MINING + union(
         [
@@ -390,6 +394,81 @@ def run_metrics() -> str:
     )
 
 
+BEFORE_AFTER = f"""SELECT 'orders' AS metric, count(*) AS before_cleaning,
+  count(*) FILTER (WHERE grp = 'qualified') AS after_cleaning,
+  count(*) FILTER (WHERE grp <> 'qualified') AS removed_records,
+  {percent("(count(*) FILTER (WHERE grp <> 'qualified'))", "count(*)")} AS removed_rate,
+  CAST(0 AS BIGINT) AS removed_duplicates, CAST(0 AS BIGINT) AS removed_rare
+FROM grouped
+UNION ALL
+SELECT 'transactions', CAST(sum(raw_lines) AS BIGINT), CAST(sum(c_core) AS BIGINT),
+  CAST(sum(raw_lines - c_core) AS BIGINT), {percent("sum(raw_lines - c_core)", "sum(raw_lines)")},
+  CAST(sum(raw_lines - c_raw) AS BIGINT), CAST(sum(c_raw - c_core) AS BIGINT)
+FROM grouped"""
+
+
+def quality_document() -> str:
+    """Each section of the report in its own query, its fields joined in order."""
+
+    def rows(section: str, key: str, source: str, *fields: str) -> str:
+        content = ", ".join(f"CAST({f} AS VARCHAR)" for f in fields)
+        return f"SELECT '{section}' AS section, CAST({key} AS VARCHAR) AS row_key, concat_ws('|', {content}) AS content FROM ({source})"
+
+    fields = ["total_rows", "total_cols", "primary_key", "null_count", "null_rate", "duplicates", "foreign_key_valid"]
+    nulls = "count(*) FILTER (WHERE l_orderkey IS NULL) + count(*) FILTER (WHERE l_partkey IS NULL) + count(*) FILTER (WHERE l_linenumber IS NULL)"
+    lines = f"""SELECT 'order_products' AS table_name, count(*) AS total_rows, 3 AS total_cols,
+  'order_id, product_id' AS primary_key, {nulls} AS null_count, {percent(f"({nulls})", "(count(*) * 3)")} AS null_rate,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) AS duplicates,
+  NOT EXISTS (SELECT 1 FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
+    OR NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)) AS foreign_key_valid
+FROM lineitem"""
+    stages = ["before_cleaning", "after_cleaning", "removed_records", "removed_rate", "removed_duplicates", "removed_rare"]
+    traced = ["items_before_count", "items_after_count", "items_after_sample", "status", "reason"]
+    best = """SELECT order_id, len(core_items) AS n, array_to_string(core_items[1:6], '|') AS first
+FROM grouped WHERE grp = 'qualified' ORDER BY order_id LIMIT 10"""
+    named = {"part": ("products", "p_partkey"), "orders": ("orders", "o_orderkey")}
+    return chain(CORE, PROFILE, trace("order_id BETWEEN 2 AND 12")) + union(
+        [
+            """SELECT 'kpis' AS section, 'run' AS row_key, concat_ws('|', CAST(count(*) FILTER (WHERE grp = 'qualified') AS VARCHAR),
+  CAST(count(*) FILTER (WHERE grp <> 'qualified') AS VARCHAR), CAST(count(*) AS VARCHAR), '33') AS content FROM grouped""",
+            *[rows("tables", f"'{name}'", audit(t), *fields) for t, (name, _) in named.items()],
+            rows("tables", "table_name", lines, *fields),
+            rows("cleaning_stages", "metric", BEFORE_AFTER, *stages),
+            rows("excluded_orders_breakdown", "group_id", group_rows(), "group_name", "orders_count", "percentage", "percentage_total"),
+            rows("sample_records", "order_id", best, "n", "first"),
+            rows("sample_traceability_orders", "order_id", "SELECT * FROM traced", *traced),
+        ]
+    )
+
+
+def csv_audit() -> str:
+    """The six files as their rows stand in the star tables; sizes beyond the nations are aisles that do not exist."""
+
+    def row(name: str, source: str, width: int, key: str, nulls: str, distinct: str, valid: str = "TRUE") -> str:
+        return f"""SELECT '{name}' AS table_name, count(*) AS total_rows, CAST({width} AS BIGINT) AS total_cols,
+  '{key}' AS primary_key, CAST({nulls} AS BIGINT) AS null_count, {percent(f"({nulls})", f"(count(*) * {width})")} AS null_rate,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT {distinct} FROM {source})) AS duplicates, {valid} AS foreign_key_valid
+FROM {source}"""
+
+    def lines(split: str, status: str) -> str:
+        source = f"(SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = '{status}')"
+        valid = "NOT EXISTS (SELECT 1 FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey))"
+        return row(f"order_products__{split}", source, 4, "order_id, product_id", "count(*)", "l_orderkey, l_partkey", valid)
+
+    aisles = "NOT EXISTS (SELECT 1 FROM part WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = p_size))"
+    departments = "NOT EXISTS (SELECT 1 FROM part WHERE NOT EXISTS (SELECT 1 FROM region WHERE r_regionkey = p_size % 5))"
+    return union(
+        [
+            row("orders", "orders", 7, "order_id", "count(*) FILTER (WHERE o_orderstatus = 'O')", "o_orderkey"),
+            row("products", "part", 4, "product_id", "0", "p_partkey", f"{aisles} AND {departments}"),
+            row("aisles", "nation", 2, "aisle_id", "0", "n_nationkey"),
+            row("departments", "region", 2, "department_id", "0", "r_regionkey"),
+            lines("prior", "F"),
+            lines("train", "O"),
+        ]
+    )
+
+
 UNPRUNED = chain(NAMED_ALL, baskets_part())
 PRUNED = chain(CORE, NAMED_CORE, baskets_part())
 FLAT_BASKET = "order_id, items_count, array_to_string(items, '|') AS items, first_item"
@@ -510,17 +589,7 @@ WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = order_id)""",
         "basket_lookup": f"{UNPRUNED}SELECT {DOCUMENT} FROM baskets {IN_ORDERS} WHERE order_id = 2",
         "basket_by_count": f"{UNPRUNED}SELECT {DOCUMENT} FROM baskets {IN_ORDERS} WHERE items_count = 5",
         "exclusion_breakdown": audited + group_rows(),
-        "before_after": f"""{audited}SELECT 'orders' AS metric, count(*) AS before_cleaning,
-  count(*) FILTER (WHERE grp = 'qualified') AS after_cleaning,
-  count(*) FILTER (WHERE grp <> 'qualified') AS removed_records,
-  {percent("(count(*) FILTER (WHERE grp <> 'qualified'))", "count(*)")} AS removed_rate,
-  CAST(0 AS BIGINT) AS removed_duplicates, CAST(0 AS BIGINT) AS removed_rare
-FROM grouped
-UNION ALL
-SELECT 'transactions', CAST(sum(raw_lines) AS BIGINT), CAST(sum(c_core) AS BIGINT),
-  CAST(sum(raw_lines - c_core) AS BIGINT), {percent("sum(raw_lines - c_core)", "sum(raw_lines)")},
-  CAST(sum(raw_lines - c_raw) AS BIGINT), CAST(sum(c_raw - c_core) AS BIGINT)
-FROM grouped""",
+        "before_after": audited + BEFORE_AFTER,
         "order_trace": chain(CORE, PROFILE, trace()) + "SELECT * FROM traced",
         "order_trace_range": chain(CORE, PROFILE, trace("order_id BETWEEN 2 AND 12"))
         + f"""SELECT order_id, items_before_count AS raw_items_count, items_after_sample AS cleaned_items
@@ -629,19 +698,17 @@ FROM (VALUES ('first load', TRUE), ('kept', FALSE), ('replaced', TRUE)) AS t(ste
         + summary(
             "SELECT count(*) FROM orders WHERE o_orderstatus = 'F'", "SELECT count(*) FROM strong"
         ),
-        "quality_document": f"""{audited}SELECT
-  count(*) FILTER (WHERE grp = 'qualified') AS valid_baskets,
-  count(*) FILTER (WHERE grp <> 'qualified') AS excluded_baskets, count(*) AS total_orders,
-  count(*) FILTER (WHERE grp <> 'qualified') AS grouped_orders,
-  CAST(3 AS INTEGER) AS audited_tables,
-  (SELECT count(*) FROM part) + (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem)
-    AS audited_rows,
-  EXISTS (SELECT 1 FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
-    OR l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS broken_references,
-  CAST(2 AS INTEGER) AS stages,
-  CAST(least(10, count(*) FILTER (WHERE grp = 'qualified')) AS INTEGER) AS samples,
-  CAST(count(*) FILTER (WHERE order_id BETWEEN 2 AND 12) AS INTEGER) AS traces
-FROM grouped""",
+        "quality_document": quality_document(),
+        "csv_audit": csv_audit(),
+        "published_job": f"""{MINING}SELECT copy, 'retail' AS dataset_name,
+  (SELECT count(*) FROM orders) AS total_orders, (SELECT count(*) FROM baskets) AS total_valid_baskets,
+  (SELECT count(*) FROM lineitem) AS total_transactions, (SELECT count(*) FROM strong) AS total_rules,
+  CAST(0.3 AS DOUBLE) AS min_support_percent, CAST(5 AS DOUBLE) AS min_confidence_percent, TRUE AS training_timed,
+  CAST((SELECT least(15, count(DISTINCT p_name)) FROM lineitem JOIN part ON l_partkey = p_partkey) AS INTEGER)
+    AS top_products,
+  (SELECT count(*) FROM itemset) AS total_itemsets, (SELECT count(*) FROM itemset WHERE k = 1) AS total_1_itemsets,
+  (SELECT count(*) FROM itemset WHERE k >= 2) AS total_multi_itemsets, CAST(0.003 AS DOUBLE) AS min_support
+FROM (VALUES ('summary_prior'), ('summary')) AS t(copy)""",
         "evaluation_document": chain(
             NAMED_ALL, baskets_part(), mining_part(), POPULAR, *evaluation_parts()
         ).rstrip()

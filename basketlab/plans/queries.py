@@ -800,42 +800,124 @@ def summary_patch(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_summary(spark.read.schema(SUMMARY_SCHEMA).json(patched))
 
 
+def _text_rows(report: DataFrame, section: str, key: str) -> DataFrame:
+    """The rows of a report section as (section, row_key, content), content in the order of its fields."""
+    fields = [f.name for f in report.schema[section].dataType.elementType.fields if f.name != key]
+    kinds = {f.name: f.dataType.typeName() for f in report.schema[section].dataType.elementType.fields}
+    return report.select(F.explode(section).alias("r")).select(
+        F.lit(section).alias("section"),
+        F.col(f"r.{key}").cast("string").alias("row_key"),
+        F.concat_ws(
+            "|", *[joined(f"r.{f}") if kinds[f] == "array" else F.col(f"r.{f}").cast("string") for f in fields]
+        ).alias("content"),
+    )
+
+
 @query
 def quality_document(spark: SparkSession, sf: str) -> DataFrame:
-    """Key figures read back from the stored quality report."""
+    """Every section of the stored quality report, row by row."""
     r = retail_tables(spark, sf)
     settings = MB.Settings(min_item_freq=MIN_ITEM_FREQ, split=None)
     path = f"{scratch_path(spark, 'quality')}.json"
     catalog = B.core_catalog(r.lines, r.products, MIN_ITEM_FREQ)
     facts = materialize(Q.order_facts(r.lines, catalog), "order-facts")
-    audited = B.order_profiles(facts, r.orders)
     report = MB.quality_report(
         "run",
         settings,
         r,
-        materialize(audited, "profiles"),
+        materialize(B.order_profiles(facts, r.orders), "profiles"),
         materialize(Q.integrity_report(r.lines, r.orders, r.products, facts), "integrity"),
     )
     P.write_table(report, path, "json")
     stored = spark.read.schema(report.schema).json(path)
-    groups = F.aggregate(
-        "excluded_orders_breakdown",
-        F.lit(0).cast("long"),
-        lambda total, g: total + g["orders_count"],
-    )
-    return stored.select(
-        "kpis.valid_baskets",
-        "kpis.excluded_baskets",
-        F.col("kpis.total_prior_orders").alias("total_orders"),
-        groups.alias("grouped_orders"),
-        F.size("tables").alias("audited_tables"),
-        F.aggregate(
-            "tables", F.lit(0).cast("long"), lambda total, t: total + t["total_rows"]
-        ).alias("audited_rows"),
-        F.exists("tables", lambda t: ~t["foreign_key_valid"]).alias("broken_references"),
-        F.size("cleaning_stages").alias("stages"),
-        F.size("sample_records").alias("samples"),
-        F.size("sample_traceability_orders").alias("traces"),
+    kpis = stored.select(
+        F.lit("kpis").alias("section"),
+        F.when(F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), F.col("run_id")).alias("row_key"),
+        F.concat_ws(
+            "|",
+            *[f"kpis.{k}" for k in ("valid_baskets", "excluded_baskets", "total_prior_orders")],
+            "parameters.min_item_freq",
+        ).alias("content"),
+    )
+    return Q.stack(
+        [
+            kpis,
+            _text_rows(stored, "tables", "table_name"),
+            _text_rows(stored, "cleaning_stages", "metric"),
+            _text_rows(stored, "excluded_orders_breakdown", "group_id"),
+            _text_rows(stored, "sample_records", "order_id"),
+            _text_rows(stored, "sample_traceability_orders", "order_id"),
+        ]
+    )
+
+
+def _csv_layout(spark: SparkSession, sf: str) -> str:
+    """The star tables as the six CSV files: days without a value for open orders, sizes as aisles."""
+    root = scratch_path(spark, "retail")
+    orders, lines = retail.star_orders(spark, sf), retail.star_lines(spark, sf)
+    part, nation, region = (retail.star_table(spark, sf, t) for t in ("part", "nation", "region"))
+    days = F.when(F.col("eval_set") != "train", F.col("order_dow").cast("double"))
+    files = {
+        "orders": orders.select(
+            "order_id", "user_id", "eval_set", F.lit(1).alias("order_number"), "order_dow", "order_hour_of_day",
+            days.alias("days_since_prior_order"),
+        ),
+        "products": part.select(
+            "p_partkey", "p_name", F.col("p_size").alias("aisle_id"), (F.col("p_size") % 5).alias("department_id")
+        ),
+        "aisles": nation.select("n_nationkey", "n_name"),
+        "departments": region.select("r_regionkey", "r_name"),
+    }
+    for split in ("prior", "train"):
+        chosen = lines.join(orders.filter(F.col("eval_set") == split).select("order_id"), "order_id", "left_semi")
+        files[f"order_products__{split}"] = chosen.withColumn("reordered", F.lit(None).cast("int"))
+    for name, df in files.items():
+        df.write.option("header", True).csv(f"{root}/{name}.csv")
+    return root
+
+
+@query
+def csv_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of all six files of the CSV layout, as the whole job publishes it."""
+    r = retail.load_csv(spark, _csv_layout(spark, sf))
+    out = scratch_path(spark, "csv-job")
+    settings = MB.Settings(
+        min_item_freq=None, min_support=0.02, min_confidence=MIN_CONFIDENCE, mining_partitions=8
+    )
+    MB.run_pipeline(spark, r, settings, out, "csv")
+    audit = (
+        "table_name string, total_rows long, total_cols long, primary_key string, null_count long, "
+        "null_rate string, duplicates long, foreign_key_valid boolean"
+    )
+    stored = spark.read.schema(f"tables array<struct<{audit}>>").json(f"{out}/quality")
+    return stored.select(F.inline("tables"))
+
+
+@query
+def published_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Both copies of the summary and the itemset totals that a whole run leaves."""
+    out = scratch_path(spark, "job")
+    MB.run_pipeline(spark, retail_tables(spark, sf), MINING, out, "run-1")
+    totals = spark.read.json(f"{out}/itemset_totals")
+    names = ["total_itemsets", "total_1_itemsets", "total_multi_itemsets"]
+    return Q.stack(
+        [
+            spark.read.json(f"{out}/{copy}").select(
+                F.lit(copy).alias("copy"),
+                "dataset_name",
+                "total_orders",
+                "total_valid_baskets",
+                "total_transactions",
+                "total_rules",
+                "min_support_percent",
+                "min_confidence_percent",
+                (F.col("training_time_seconds") > 0).alias("training_timed"),
+                F.size("top_products").alias("top_products"),
+                *[totals.select(n).scalar().alias(n) for n in names],
+                totals.select("min_support").scalar().alias("min_support"),
+            )
+            for copy in ("summary_prior", "summary")
+        ]
     )
 
 

@@ -32,6 +32,10 @@ class RunRecorder:
             (self.run_id, len(self.steps) + 1, step, rows_in, rows_out, round(seconds, 3), finished)
         )
 
+    def seconds(self, step: str) -> float:
+        """How long a recorded step took."""
+        return next(seconds for _, _, name, _, _, seconds, _ in self.steps if name == step)
+
     def run(self, step: str, rows_in: int, work: Callable[[], DataFrame]) -> DataFrame:
         """Run a step whose result is a written table, so counting it reads footers only."""
         started = time.perf_counter()

@@ -55,6 +55,14 @@ def write_itemsets(itemsets: DataFrame, path: str, kind: str = "parquet") -> Non
     write_table(stored, path, kind)
 
 
+def write_copies(df: DataFrame, paths: Sequence[str], kind: str = "parquet") -> None:
+    """One table under every given name, computed once."""
+    first, *others = paths
+    write_table(df, first, kind)
+    for path in others:
+        write_table(df.sparkSession.read.schema(df.schema).format(kind).load(first), path, kind)
+
+
 def write_rules(rules: DataFrame, paths: Sequence[str], kind: str = "parquet") -> None:
     """The rules, best first, under every given name.
 

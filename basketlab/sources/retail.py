@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketlab.sources import schemas
 from basketlab.sources.tables import read_if_exists, read_table
@@ -21,10 +21,22 @@ from basketlab.storage import materialize
 STATUS_AS_SPLIT = {"F": "prior", "O": "train", "P": "test"}
 
 
+@dataclass(frozen=True)
+class Audited:
+    """A whole source table for the quality report: its key and its references
+    (column, parent table, parent key)."""
+
+    name: str
+    table: DataFrame
+    key: Sequence[str]
+    references: Sequence[tuple[str, DataFrame, str]] = ()
+
+
 @dataclass(frozen=True)
 class Retail:
     """``lines_split``: the lines lie in a table of their own that holds this split.
     ``orders_of``: reads the orders of one split, where the source can skip the others.
+    ``audited``: the source tables beside the lines, whole, as they were found.
     """
 
     orders: DataFrame
@@ -32,6 +44,7 @@ class Retail:
     products: DataFrame
     lines_split: str | None = None
     orders_of: Callable[[str], DataFrame] | None = None
+    audited: Sequence[Audited] = ()
 
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +100,15 @@ def load_star(spark: SparkSession, sf_dir: str) -> Retail:
         star_lines(spark, sf_dir),
         star_products(spark, sf_dir),
         orders_of=lambda split: star_orders(spark, sf_dir, split),
+        audited=[
+            Audited("products", star_table(spark, sf_dir, "part"), ["p_partkey"]),
+            Audited(
+                "orders",
+                star_table(spark, sf_dir, "orders"),
+                ["o_orderkey"],
+                [("o_custkey", star_table(spark, sf_dir, "customer"), "c_custkey")],
+            ),
+        ],
     )
 
 
@@ -94,32 +116,43 @@ def load_csv(spark: SparkSession, data_dir: str) -> Retail:
     """The six-file CSV layout; train lines, and with them the orders of that split, stand in
     when the prior lines are absent.
 
-    Lines and orders are parsed once and written in columns, because every step reads
-    them again.
+    Lines and orders are parsed once and written in columns, all of them, because every
+    step and the audit read them again, each its own columns.
     """
-    lines = None
-    for split in ("prior", "train"):
-        lines = read_if_exists(
-            spark,
-            f"{data_dir}/order_products__{split}.csv",
-            schemas.ORDER_PRODUCTS,
-            ["order_id", "product_id", "add_to_cart_order"],
-        )
-        if lines is not None:
-            break
-    if lines is None:
+
+    def table(name: str, schema: T.StructType) -> DataFrame | None:
+        return read_if_exists(spark, f"{data_dir}/{name}.csv", schema)
+
+    lines = {split: table(f"order_products__{split}", schemas.ORDER_PRODUCTS) for split in ("prior", "train")}
+    used = next((split for split, found in lines.items() if found is not None), None)
+    if used is None:
         raise FileNotFoundError(f"no order lines in {data_dir}")
-    orders = read_table(
-        spark,
-        f"{data_dir}/orders.csv",
-        schemas.ORDERS,
-        ["order_id", "user_id", "eval_set", "order_dow", "order_hour_of_day"],
-    )
-    products = read_table(
-        spark, f"{data_dir}/products.csv", schemas.PRODUCTS, ["product_id", "product_name"]
-    )
+    orders = materialize(read_table(spark, f"{data_dir}/orders.csv", schemas.ORDERS), "orders")
+    products = read_table(spark, f"{data_dir}/products.csv", schemas.PRODUCTS)
+    parents = {"aisle": table("aisles", schemas.AISLES), "department": table("departments", schemas.DEPARTMENTS)}
+    # a reference to a table that is not there is not valid
+    empty = {"aisle": schemas.AISLES, "department": schemas.DEPARTMENTS}
+    references = [
+        (f"{name}_id", spark.createDataFrame([], empty[name]) if found is None else found, f"{name}_id")
+        for name, found in parents.items()
+    ]
+    of_lines = [("product_id", products, "product_id"), ("order_id", orders, "order_id")]
+    audited = [
+        Audited("orders", orders, ["order_id"]),
+        Audited("products", products, ["product_id"], references),
+        *[Audited(f"{name}s", found, [f"{name}_id"]) for name, found in parents.items() if found is not None],
+        *[
+            Audited(f"order_products__{split}", found, ["order_id", "product_id"], of_lines)
+            for split, found in lines.items()
+            if found is not None and split != used
+        ],
+    ]
     return Retail(
-        materialize(orders, "orders"), materialize(lines, "lines"), products, lines_split=split
+        orders.select("order_id", "user_id", "eval_set", "order_dow", "order_hour_of_day"),
+        materialize(lines[used], "lines"),
+        products.select("product_id", "product_name"),
+        lines_split=used,
+        audited=audited,
     )
 
 

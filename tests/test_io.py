@@ -55,7 +55,15 @@ def test_whole_job_on_csv_sees_lines_without_an_order(spark, csv_dir, tmp_path):
     }
     report = json.loads(spark.read.json(f"{out}/quality").toJSON().first())
     tables_ok = {t["table_name"]: t["foreign_key_valid"] for t in report["tables"]}
-    assert tables_ok == {"products": True, "orders": True, "order_products": False}
+    # the catalog refers to aisles and departments, whose files are not there
+    assert tables_ok == {
+        "products": False, "orders": True, "order_products__train": True, "order_products__prior": False
+    }
+    orders = next(t for t in report["tables"] if t["table_name"] == "orders")
+    assert (orders["total_rows"], orders["total_cols"], orders["null_count"]) == (3, 7, 2)
+    summaries = [spark.read.json(f"{out}/{name}").first() for name in ("summary_prior", "summary")]
+    assert summaries[0] == summaries[1] and summaries[0]["training_time_seconds"] > 0
+    assert spark.read.json(f"{out}/itemset_totals").first()["total_1_itemsets"] == 2
 
 
 def test_csv_without_lines_and_without_schema(spark, tmp_path):
