@@ -488,11 +488,30 @@ def top_rules(spark: SparkSession, sf: str) -> DataFrame:
     return M.top_rules(all_rules(spark, sf))
 
 
+@query
+def threshold_itemsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Itemsets of the core products; the support follows from the item threshold."""
+    settings = MB.Settings(min_item_freq=MIN_ITEM_FREQ, min_confidence=MIN_CONFIDENCE, split=None)
+    return flat_itemsets(trained(spark, sf, settings).itemsets)
+
+
 @query
 def rule_explained(spark: SparkSession, sf: str) -> DataFrame:
     found, n = mined(spark, sf)
     strong = M.strong_rules(M.association_rules(found, n, MIN_CONFIDENCE))
-    return M.explain_rules(strong, found, n).select(
+    return _explained(M.explain_rules(strong, found, n))
+
+
+@query
+def rule_explained_derived(spark: SparkSession, sf: str) -> DataFrame:
+    """The same numbers when the itemset table lacks the single items: derived from the rules."""
+    found, n = mined(spark, sf)
+    strong = M.strong_rules(M.association_rules(found, n, MIN_CONFIDENCE))
+    return _explained(M.explain_rules(strong, found.filter(F.col("k") > 1), n))
+
+
+def _explained(df: DataFrame) -> DataFrame:
+    return df.select(
         joined("antecedent").alias("antecedent"),
         joined("consequent").alias("consequent"),
         "freq_pair",
@@ -952,26 +971,30 @@ def experiment_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- runs and logs ----------------------------------------------------------------
 
-LOG_MARKS = {"view": "Job 0", "click": "Job 1", "purchase": "Job 2", "signup": "Job 3", "error": "Step 6"}
+# One line of an execution log for each mark; a number stands for %s.
+LOG_LINES = [
+    "INFO [SparkContext] Running Spark version 4.%s",
+    "INFO SparkSession & JVM Context initialized in %ss. Master: local",
+    "INFO Job 0 finished in %ss.",
+    "INFO Job 1 finished in %ss.",
+    "INFO Job 2 finished in %ss.",
+    "INFO Job 3 finished in %ss.",
+    "INFO Job 4 (FPGrowth.fit) finished in %ss.",
+    "INFO Step 6 completed in %ss.",
+    "INFO Total Pipeline Run Duration: %s seconds.",
+]
 
 
 @query
 def log_timings(spark: SparkSession, sf: str) -> DataFrame:
-    """Every event as one line of an execution log; the last value of each mark."""
+    """Every event as one line of an execution log, its kind by the hour; the last value of each mark."""
     events = retail.star_table(spark, sf, "events")
-    action = F.create_map(*[F.lit(v) for pair in LOG_MARKS.items() for v in pair])
-    line = F.concat_ws(
-        " ",
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
-        F.lit("INFO"),
-        F.try_element_at(action, "event_type"),
-        F.when(F.col("event_type") == "error", F.lit("completed in")).otherwise(
-            F.lit("finished in")
-        ),
-        F.concat(F.regexp_extract("props", r'"k": ([0-9]+)', 1), F.lit("s.")),
-    )
+    number = F.regexp_extract("props", r'"k": ([0-9]+)', 1)
+    kind = F.hour("ts") % len(LOG_LINES)
+    line = F.coalesce(*[F.when(kind == i, F.format_string(f, number)) for i, f in enumerate(LOG_LINES)])
     path = f"{scratch_path(spark, 'execution')}.txt"
-    events.orderBy("event_id").select(line.alias("value")).write.text(path)
+    stamped = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), line)
+    events.orderBy("event_id").select(stamped.alias("value")).write.text(path)
     return logs.log_marks(logs.read_log_lines(spark, path))
 
 
@@ -1072,12 +1095,16 @@ def stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    """Order density kept by a stream of events; equals the batch result."""
-    out, state = (scratch_path(spark, f"density-{p}") for p in ("out", "state"))
-    times = stream_density.order_time_stream(
-        spark, sf, schemas.STAR["events"], file_filter="events.parquet"
-    )
-    stream_density.keep_hourly_counts(
-        stream_density.hourly_counts(times), out, state
-    ).awaitTermination()
+    """Order density kept by a stream of events that arrive in three parts; equals the batch result."""
+    arriving, out, state = (scratch_path(spark, f"density-{p}") for p in ("in", "out", "state"))
+    events = retail.star_table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    part = F.coalesce(F.floor(F.try_divide((at - F.lit(first)) * 3, F.lit(last) - F.lit(first) + 1)), F.lit(0))
+    for arrived in range(3):
+        events.filter(part == arrived).write.mode("append").parquet(arriving)
+        times = stream_density.order_time_stream(spark, arriving, schemas.STAR["events"])
+        stream_density.keep_hourly_counts(
+            stream_density.hourly_counts(times), out, state
+        ).awaitTermination()
     return stream_density.density_from_hours(stream_density.current_counts(spark, out))

@@ -40,9 +40,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> bool:
     """Delete what this application wrote below the shared folder; no table read from there may be used after."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return remove(spark, f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system holds it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

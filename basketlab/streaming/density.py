@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlab.sources.retail import day_of_week
+from basketlab.storage import remove
+
+DELAY = "2 hours"
 
 
 def order_time_stream(
@@ -30,7 +33,7 @@ def order_time_stream(
     )
 
 
-def hourly_counts(times: DataFrame, delay: str = "2 hours") -> DataFrame:
+def hourly_counts(times: DataFrame, delay: str = DELAY) -> DataFrame:
     """Orders per clock hour.
 
     State holds one row per open hour and day cell; the watermark closes hours that
@@ -44,17 +47,41 @@ def hourly_counts(times: DataFrame, delay: str = "2 hours") -> DataFrame:
     )
 
 
-def keep_hourly_counts(
-    counts: DataFrame, out_path: str, checkpoint_path: str
-) -> StreamingQuery:
-    """Write the hours each micro-batch changed; a replayed batch overwrites its folder."""
+HOURS = "hour_start timestamp, dow int, hour int, orders_count long, closed boolean"
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
+def store_hours(batch: DataFrame, batch_id: int, out_path: str, delay: str = DELAY) -> None:
+    """Merge the hours a micro-batch changed into the store, one folder for each batch.
+
+    Hours that can still change are taken over from the folder of the batch before; an
+    hour that no later order can reach is marked closed, stays where it is and is never
+    read again by a batch.  It is closed by the latest hour of the batches before this
+    one, because that is what the next batch's orders are held against.  A replayed
+    batch reads the folder of its predecessor and overwrites its own, so nothing
+    changes; open hours of older folders are removed.
+    """
+    spark = batch.sparkSession
+    known = spark.createDataFrame([], HOURS)
+    if batch_id > 0:
+        known = spark.read.schema(HOURS).parquet(f"{out_path}/batch_id={batch_id - 1}").filter(~F.col("closed"))
+    reached = known.agg(F.max("hour_start") - F.expr(f"INTERVAL {delay}")).scalar()
+    newest = batch.withColumn("age", F.lit(1)).unionByName(known.drop("closed").withColumn("age", F.lit(0)))
+    merged = newest.groupBy("hour_start", "dow", "hour").agg(F.max_by("orders_count", "age").alias("orders_count"))
+    out_of_reach = F.col("hour_start") + F.expr("INTERVAL 1 hour") <= reached
+    merged.withColumn("closed", F.coalesce(out_of_reach, F.lit(False))).write.mode("overwrite").partitionBy(
+        "closed"
+    ).parquet(f"{out_path}/batch_id={batch_id}")
+    if batch_id > 1:
+        remove(spark, f"{out_path}/batch_id={batch_id - 2}/closed=false")
+
+
+def keep_hourly_counts(
+    counts: DataFrame, out_path: str, checkpoint_path: str, delay: str = DELAY
+) -> StreamingQuery:
+    """Keep the store of hours up to date; ``delay`` is the one given to ``hourly_counts``."""
     return (
         counts.writeStream.outputMode("update")
-        .foreachBatch(upsert)
+        .foreachBatch(lambda batch, batch_id: store_hours(batch, batch_id, out_path, delay))
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
@@ -62,12 +89,10 @@ def keep_hourly_counts(
 
 
 def current_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The latest count of every hour."""
-    return (
-        spark.read.parquet(out_path)
-        .groupBy("hour_start", "dow", "hour")
-        .agg(F.max_by("orders_count", "batch_id").alias("orders_count"))
-    )
+    """The count of every hour: the closed ones and those open after the last batch."""
+    hours = spark.read.schema(f"{HOURS}, batch_id long").parquet(out_path)
+    last = hours.filter(~F.col("closed")).agg(F.max("batch_id")).scalar()
+    return hours.filter(F.col("closed") | (F.col("batch_id") == last)).drop("batch_id", "closed")
 
 
 def density_from_hours(hours: DataFrame) -> DataFrame:

@@ -70,6 +70,14 @@ def test_density_equals_batch_and_drops_late_rows(spark, tmp_path):
     )
     streamed = {tuple(r) for r in SD.density_from_hours(hours).collect()}
     assert streamed == {tuple(r) for r in batch.collect()}
+    # a replayed batch changes nothing, and only the last two batches keep open hours
+    kept = {tuple(r) for r in hours.collect()}
+    last = max(int(f.name[9:]) for f in (tmp_path / "out").glob("batch_id=*"))
+    changed = hours.filter("hour_start >= '2024-01-07 18:00:00'")
+    SD.store_hours(materialize(changed, "replay"), last, out)
+    assert {tuple(r) for r in SD.current_counts(spark, out).collect()} == kept
+    assert len(list((tmp_path / "out").glob("batch_id=*/closed=false"))) <= 2
+    assert list((tmp_path / "out").glob("batch_id=*/closed=true"))
     # far beyond the delay: dropped
     write_times(spark, path, [start])
     late = {tuple(r) for r in SD.density_from_hours(run_density(spark, path, out, state)).collect()}
