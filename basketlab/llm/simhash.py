@@ -61,7 +61,7 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), values, batch.column(2)], ["doc_id", "fp", "text_key"])
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -118,26 +118,39 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
-) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; component_id is the smallest id reachable over links."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    marked = materialize(texts.mapInArrow(_fingerprints, "doc_id long, fp long"), "simhash-fingerprints")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+    """(doc_id, text_key, fp, component, component_id) of every row; component tells groups apart also without ids."""
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    marked = materialize(texts.mapInArrow(_fingerprints, "doc_id long, fp long, text_key long"), "simhash-fingerprints")
     classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     found = connected_components(links(classes.select("fp"), max_bits))
     placed = classes.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     firsts = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    groups = materialize(placed.join(firsts, "component").select("fp", "component_id"), "simhash-groups")
-    return marked.join(groups, "fp").select(
+    return marked.join(materialize(placed.join(firsts, "component").drop("first"), "simhash-groups"), "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; component_id is the smallest id reachable over links."""
+    return _grouped(docs, id_col, text_col, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, one row for an id."""
-    kept = near_duplicates(docs, id_col=id_col, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col])
+def keep_first(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest id.
+
+    A group without an id keeps one row too.  Of rows that share the smallest id, in one
+    group, the text decides; rows that share an id in different groups stay.
+    """
+    firsts = _grouped(docs, id_col, text_col, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = firsts.groupBy("component").agg(F.min("doc_id").alias("_id"), F.min("text_key").alias("_key")).drop("component")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    keyed = docs.withColumn("_text_key", F.xxhash64(text_col))
+    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_text_key"]).drop("_text_key")

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from cases import PASSAGE, ROWS, documents, empty
+from cases import PASSAGE, ROWS, documents, empty, prose
 
 from basketlab.llm import components, merkle, simhash, suffix_dedup
 from basketlab.llm.suffix_sort import Suffixes
@@ -148,3 +148,29 @@ def test_tree_locates_edits():
     assert {(s, p) for s, p, _, _ in merkle.edits(before, after)} == {(1, 0)}
     assert merkle.edits(before, before) == []
     assert merkle.likeness(merkle.tree(""), merkle.tree("")) == 1.0 and merkle.likeness(merkle.tree(""), merkle.tree("a")) == 0.0
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    rows = [
+        *[(i, t) for i, t, _ in ROWS],
+        (None, prose(40, 11)),
+        (None, prose(40, 11)),
+        (None, prose(45, 12)),
+        (20, prose(35, 13)),
+        (20, prose(55, 14)),
+    ]
+    prints = [brute_fingerprint(t) for _, t in rows]
+    groups = list(range(len(rows)))
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints):
+            if (a ^ b).bit_count() <= 4 and groups[i] != groups[j]:
+                groups = [groups[i] if g == groups[j] else g for g in groups]
+    out = simhash.keep_first(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component string"))
+    assert out.columns == ["doc_id", "text", "component"]
+    kept = [(r["doc_id"], r["text"]) for r in out.collect()]
+    where = [groups[rows.index(r)] for r in kept]
+    assert sorted(where) == sorted(set(groups))
+    for (doc_id, _), g in zip(kept, where):
+        ids = [r[0] for r, h in zip(rows, groups) if h == g and r[0] is not None]
+        assert doc_id == min(ids, default=None)
+    assert simhash.keep_first(empty(spark)).count() == 0
