@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from cases import PASSAGE, ROWS, documents, empty, prose
 
-from basketlab.llm import components, merkle, simhash, suffix_dedup
+from basketlab.llm import components, merkle, near_copies, simhash, suffix_dedup
 from basketlab.llm.suffix_sort import Suffixes
 
 LAST = (1 << 63) - 1
@@ -174,3 +174,40 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
         ids = [r[0] for r, h in zip(rows, groups) if h == g and r[0] is not None]
         assert doc_id == min(ids, default=None)
     assert simhash.keep_first(empty(spark)).count() == 0
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_pipeline_links_by_exact_similarity(spark):
+    """Groups of the pipeline's stage against all pairs; similarities lie on both sides of 0.8."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    rows = [(i, t) for i, t, _ in ROWS] + [(60, ROWS[0][1].upper()), (61, " \n"), (None, prose(40, 11)), (20, prose(55, 14))]
+    for base in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(12, 300)))]
+        rows.append((1000 + 10 * base, " ".join(words)))
+        for copy in range(3):  # each from the copy before, so that groups are chains
+            share = rng.uniform(0.01, 0.05)
+            words = [f"x{rng.integers(5000)}" if rng.random() < share else w for w in words]
+            rows.append((1001 + 10 * base + copy, " ".join(words)))
+    sets, groups = [shingle_set(t) for _, t in rows], list(range(len(rows)))
+    bits, far, apart = [brute_fingerprint(t) for _, t in rows], 0, 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            near = 5 * len(a & b) >= 4 * len(a | b)
+            far += near and (bits[i] ^ bits[j]).bit_count() > 4
+            apart += not near and len(a & b) > 0.6 * len(a | b)
+            if near and groups[i] != groups[j]:
+                groups = [groups[j] if g == groups[i] else g for g in groups]
+    assert far > 10 and apart > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)["near duplicates"](spark, docs, "").collect()]
+    where = [groups[rows.index(r)] for r in kept]
+    assert sorted(where) == sorted(set(groups))
+    for (doc_id, _), g in zip(kept, where):
+        assert doc_id == min((r[0] for r, h in zip(rows, groups) if h == g and r[0] is not None), default=None)
+    assert near_copies.keep_first(docs.limit(0)).count() == 0
