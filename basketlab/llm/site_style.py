@@ -1,12 +1,13 @@
 """Main text of web pages by site style trees.
 
 The element trees of all pages of a host are merged by style path: the tags, classes
-and ids from the root down.  For each style node two entropies are taken over the
+and ids from the root down, also with the place among siblings of one style, counted
+from the first and from the last.  For each style node two entropies are taken over the
 pages: of its presentation (the styles of its children) and of its content (its text);
 each is divided by its largest possible value.  Their maximum is the importance: what a
 site repeats is unimportant, what differs from page to page is its content.  Branches
-under ``threshold`` go from every page of the host, unless they lie in or around a
-marked article; so do elements whose tag or name says what they are (menus, footers,
+under ``threshold`` go from every page of the host, inside marked articles too, but not
+those around one; so do elements whose tag or name says what they are (menus, footers,
 adverts, notices, comments, forms, scripts).  If a page marks an article, the article
 is the text; else what is left of the body is.
 
@@ -83,13 +84,13 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 class Node:
-    __slots__ = ("tag", "style", "path", "names", "role", "hidden", "children")
+    __slots__ = ("tag", "style", "path", "names", "role", "hidden", "children", "keys")
 
     def __init__(self, tag: str, attributes: str, above: int):
         found = {}
         if attributes.strip(" /"):
             found = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
-        self.tag, self.children = tag, []
+        self.tag, self.children, self.keys = tag, [], ()
         self.names = f"{found.get('class', '')} {found.get('id', '')}" if found else ""
         self.role = found.get("role", "")
         self.hidden = "hidden" in found or found.get("aria-hidden") == "true"
@@ -130,9 +131,23 @@ def parse(page: str | None) -> Node:
             stack.append(node)
     if at < len(page):
         stack[-1].children.append(page[at:])
+    _place(root)
     return root
 
 
+def _place(node: Node) -> None:
+    """Gives the nodes below their keys in the style tree: path, path and place from the first, and from the last."""
+    below = [c for c in node.children if isinstance(c, Node)]
+    total, seen = Counter(c.path for c in below), Counter()
+    for child in below:
+        path, first = child.path, seen[child.path]
+        seen[path] += 1
+        places = (first, first - total[path])
+        keys = [xxhash.xxh3_64_intdigest(b"%d" % n, path & ((1 << 64) - 1)) - (1 << 63) for n in places]
+        child.keys = (path, *keys)
+        _place(child)
+
+
 def _is_part(node: Node, in_article: bool) -> bool:
     """Whether tag, role or name says that an element is not part of a main text."""
     if node.tag in NOT_TEXT or node.hidden or node.role in PART_ROLES:
@@ -150,18 +165,16 @@ def _is_article(node: Node) -> bool:
 def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
     """Texts of the blocks in page order."""
     marked: list[Node] = []  # outermost articles
-    around: set[int] = set()  # what lies around them
 
-    def look(node: Node, above: tuple[int, ...]) -> None:
+    def look(node: Node) -> None:
         for child in node.children:
             if isinstance(child, Node) and not _is_part(child, False):
                 if _is_article(child):
                     marked.append(child)
-                    around.update(map(id, above))
                 else:
-                    look(child, (*above, id(child)))
+                    look(child)
 
-    look(root, ())
+    look(root)
     out: list[str] = []
     parts: list[str] = []
 
@@ -176,7 +189,7 @@ def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
             if isinstance(child, str):
                 parts.append(child)
                 continue
-            if _is_part(child, in_article) or not in_article and child.path in unimportant:
+            if _is_part(child, in_article) or not unimportant.isdisjoint(child.keys):
                 parts.append(" ")
                 continue
             if child.tag in BLOCK:
@@ -197,25 +210,24 @@ def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
 
 
 def _features(root: Node) -> Iterator[tuple[int, int, int]]:
-    """(path, kind, feature) of the nodes outside marked articles and not around one; kind 0: presentation, 1: content."""
+    """(key, kind, feature) of the nodes; kind 0: presentation, 1: content."""
 
-    def walk(node: Node) -> tuple[str, bool]:
-        texts, held = [], False
+    def walk(node: Node) -> str:
+        texts = []
         for child in node.children:
             if isinstance(child, str):
                 texts.append(child)
-            elif _is_article(child):
-                held = True
             elif child.tag not in RAW:
-                text, below = walk(child)
-                texts.append(text)
-                held |= below
-        text = " ".join(texts)
-        if not held and node.tag != "#page":
+                texts.append(walk(child))
+        text = " ".join(" ".join(texts).split())
+        if node.tag != "#page":
             styles = "\n".join(c.style for c in node.children if isinstance(c, Node))
-            found.append((node.path, 0, xxhash.xxh3_64_intdigest(styles.encode()) - (1 << 63)))
-            found.append((node.path, 1, xxhash.xxh3_64_intdigest(" ".join(text.split()).encode()) - (1 << 63)))
-        return text, held
+            shown = xxhash.xxh3_64_intdigest(styles.encode()) - (1 << 63)
+            said = xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+            for key in node.keys:
+                found.append((key, 0, shown))
+                found.append((key, 1, said))
+        return text
 
     found: list[tuple[int, int, int]] = []
     walk(root)

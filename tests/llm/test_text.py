@@ -253,3 +253,14 @@ def test_generated_pages_give_their_articles(spark):
         article = re.search("<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", article)]
         assert r["text"] == "\n".join(p for p in parts if p) and r["n_chars"] == len(r["text"])
+
+
+def texts_of(spark, rows):
+    return {r[0]: r[2] for r in site_style.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_what_a_site_repeats_goes_inside_articles(spark):
+    page = "<body><article><p>Story {0} of {0}</p><div class=x>Tell your friends</div>{1}<p>Written by the desk</p></article></body>"
+    rows = [(i, f"http://s.example/{i}", page.format(i, f"<p>More of {i}</p>" * (i % 3))) for i in range(30)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == "\n".join([f"Story {i} of {i}"] + [f"More of {i}"] * (i % 3)) for i in range(30))
