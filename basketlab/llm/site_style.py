@@ -19,8 +19,9 @@ host if not.
 
 Defined results: null and empty html have empty text; a null or broken url belongs to
 host ""; broken markup never fails: unknown ends are ignored, open elements end with
-the page, elements deeper than 400 levels are read beside each other; repeated rows are extracted each; hosts with fewer than ``min_pages`` places
-of a path remove nothing by entropy; an empty table gives an empty result; other
+the page, elements deeper than 400 levels are read beside each other; repeated rows are extracted each
+but count once in the style tree; what fewer than ``min_pages`` different pages of a host
+have is not removed by entropy, nor anything from a page that would be left empty; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -39,6 +40,7 @@ from basketlab.storage import materialize
 
 THRESHOLD = 0.35
 MIN_PAGES = 8
+PAGE = 2  # the kind that counts pages
 DEEPEST = 400
 
 # fixed values: names of HTML elements and of usual page parts
@@ -163,7 +165,7 @@ def _is_article(node: Node) -> bool:
 
 
 def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
-    """Texts of the blocks in page order."""
+    """Texts of the blocks in page order; a page that the style tree would empty keeps all but its known parts."""
     marked: list[Node] = []  # outermost articles
 
     def look(node: Node) -> None:
@@ -206,7 +208,7 @@ def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
     for top in marked or [root]:
         walk(top, bool(marked))
         flush()
-    return out
+    return blocks(root, frozenset()) if unimportant and not out else out
 
 
 def _features(root: Node) -> Iterator[tuple[int, int, int]]:
@@ -235,14 +237,18 @@ def _features(root: Node) -> Iterator[tuple[int, int, int]]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages (host, html) -> counted features of the style nodes of their hosts."""
+    """Pages (host, html, copies) -> counted features of the style nodes of their hosts; copies share the weight of one page."""
     for batch in batches:
         counts: Counter = Counter()
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts.update((host, *f) for f in _features(parse(page.as_py())))
+        for host, page, copies in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            features = list(_features(parse(page.as_py())))
+            for f in features:
+                counts[(host, *f)] += 1 / copies
+            for key in {f[0] for f in features}:
+                counts[(host, key, PAGE, 0)] += 1 / copies
         rows = [(*k, n) for k, n in counts.items()]
         columns = list(zip(*rows)) if rows else [()] * 5
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["host", "path", "kind", "feature", "n"])
 
 
@@ -251,16 +257,26 @@ def host_of(url: Column) -> Column:
 
 
 def style_importance(pages: DataFrame) -> DataFrame:
-    """(host, html) -> (host, path, places, importance): the merged style tree of every host."""
-    features = pages.mapInArrow(_merge, "host string, path long, kind long, feature long, n long")
-    features = features.groupBy("host", "path", "kind", "feature").agg(F.sum("n").cast("double").alias("n"))
+    """(host, html) -> (host, path, pages, importance): the merged style tree of every host over its different pages."""
+    keyed = pages.select("host", "html", F.xxhash64("html").alias("key"))
+    copies = keyed.groupBy("host", "key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = materialize(copies.withColumnsRenamed({"host": "_host", "key": "_key"}), "style-copies")
+    same = (F.col("host") == F.col("_host")) & (F.col("key") == F.col("_key"))
+    weighed = keyed.join(copies, same, "left").select("host", "html", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+    features = weighed.mapInArrow(_merge, "host string, path long, kind long, feature long, n double")
+    # the shares of copies add up to whole pages but for rounding
+    features = features.groupBy("host", "path", "kind", "feature").agg(F.round(F.sum("n")).alias("n"))
     entropy = F.log(F.col("all")) - F.col("weighted") / F.col("all")
     by_kind = (
         features.groupBy("host", "path", "kind")
         .agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
         .withColumn("spread", F.when(F.col("all") > 1, entropy / F.log("all")).otherwise(1.0))
     )
-    return by_kind.groupBy("host", "path").agg(F.max("all").cast("long").alias("places"), F.max("spread").alias("importance"))
+    is_page = F.col("kind") == PAGE
+    return by_kind.groupBy("host", "path").agg(
+        F.max(F.when(is_page, F.col("all"))).cast("long").alias("pages"),
+        F.max(F.when(~is_page, F.col("spread"))).alias("importance"),
+    )
 
 
 def extract(
@@ -276,7 +292,7 @@ def extract(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host")
     )
     tree = style_importance(read.select("host", "html"))
-    low = tree.where((F.col("places") >= min_pages) & (F.col("importance") < threshold))
+    low = tree.where((F.col("pages") >= min_pages) & (F.col("importance") < threshold))
     low = materialize(low.groupBy("host").agg(F.collect_list("path").alias("paths")), "style-low")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

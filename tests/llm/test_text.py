@@ -264,3 +264,16 @@ def test_what_a_site_repeats_goes_inside_articles(spark):
     rows = [(i, f"http://s.example/{i}", page.format(i, f"<p>More of {i}</p>" * (i % 3))) for i in range(30)]
     got = texts_of(spark, rows)
     assert all(got[i] == "\n".join([f"Story {i} of {i}"] + [f"More of {i}"] * (i % 3)) for i in range(30))
+
+
+def test_copies_of_a_page_count_once_in_the_style_tree(spark):
+    page = "<html><body><div class=x>Welcome</div><div class=y><p>Story {0} tells of {0}</p></div></body></html>"
+    rows = [(i, "http://same.example/", page.format(0)) for i in range(8)]
+    rows += [(i, "http://s.example/", page.format(i if i < 130 else 100)) for i in range(100, 220)]
+    rows += [(i, "http://lists.example/", f"<ul>{'<li>one</li>' * 9}</ul><p>{i}</p>") for i in range(300, 303)]
+    rows += [(i, "http://bare.example/", f"<div class=x>Welcome</div><i hidden>{i}</i>") for i in range(400, 410)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == "Welcome\nStory 0 tells of 0" for i in range(8))
+    assert all(got[i] == "Story {0} tells of {0}".format(i if i < 130 else 100) for i in range(100, 220))
+    assert all(got[i].startswith("one\none") for i in range(300, 303))
+    assert all(got[i] == "Welcome" for i in range(400, 410))
