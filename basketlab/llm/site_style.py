@@ -80,7 +80,8 @@ STOPS = frozenset("html body article main section div table td th ul ol dl nav a
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+READ = frozenset("class id role hidden aria-hidden".split())
 NAME_WORD = re.compile(r"[a-z]+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
@@ -91,7 +92,9 @@ class Node:
     def __init__(self, tag: str, attributes: str, above: int):
         found = {}
         if attributes.strip(" /"):
-            found = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTRIBUTE.findall(attributes)}
+            for name, value in ATTRIBUTE.findall(attributes):
+                if (name := name.lower()) in READ:
+                    found.setdefault(name, value.strip("\"'").lower())
         self.tag, self.children, self.keys = tag, [], ()
         self.names = f"{found.get('class', '')} {found.get('id', '')}" if found else ""
         self.role = found.get("role", "")
@@ -150,14 +153,19 @@ def _place(node: Node) -> None:
         _place(child)
 
 
-def _is_part(node: Node, in_article: bool) -> bool:
-    """Whether tag, role or name says that an element is not part of a main text."""
+def _named(node: Node, words: frozenset[str]) -> bool:
+    """Whether a class or id consists of such words only; a looser likeness is left to the style tree."""
+    return any((runs := NAME_WORD.findall(name)) and words.issuperset(runs) for name in node.names.split())
+
+
+def _is_part(node: Node, in_article: bool, by_name: bool = True) -> bool:
+    """Whether tag, role or name says that an element is not part of a main text; names say nothing of a whole page."""
     if node.tag in NOT_TEXT or node.hidden or node.role in PART_ROLES:
         return True
-    words = set(NAME_WORD.findall(node.names))
-    if words & PART_WORDS:
-        return True
-    return not in_article and (node.tag == "header" or bool(words & HEADER_WORDS))
+    if by_name and node.names.strip() and node.tag not in ("html", "body"):
+        if _named(node, PART_WORDS) or not in_article and _named(node, HEADER_WORDS):
+            return True
+    return not in_article and node.tag == "header"
 
 
 def _is_article(node: Node) -> bool:
@@ -168,15 +176,17 @@ def blocks(root: Node, unimportant: frozenset[int]) -> list[str]:
     """Texts of the blocks in page order; a page that the style tree would empty keeps all but its known parts."""
     marked: list[Node] = []  # outermost articles
 
-    def look(node: Node) -> None:
+    def look(node: Node, by_name: bool) -> None:
         for child in node.children:
-            if isinstance(child, Node) and not _is_part(child, False):
+            if isinstance(child, Node) and not _is_part(child, False, by_name):
                 if _is_article(child):
                     marked.append(child)
                 else:
-                    look(child)
+                    look(child, by_name)
 
-    look(root)
+    look(root, True)
+    if not marked:  # then the names of what lies around the only articles are wrong
+        look(root, False)
     out: list[str] = []
     parts: list[str] = []
 

@@ -277,3 +277,17 @@ def test_copies_of_a_page_count_once_in_the_style_tree(spark):
     assert all(got[i] == "Story {0} tells of {0}".format(i if i < 130 else 100) for i in range(100, 220))
     assert all(got[i].startswith("one\none") for i in range(300, 303))
     assert all(got[i] == "Welcome" for i in range(400, 410))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<body class='has-sidebar'><article class='category-notices'>T</article><div class='cookie-notice'>no</div></body>", "T"),
+        ("<html id=menu><body class=banner><div class='widget'><article>T</article></div></body></html>", "T"),
+        ("<article><p style='overflow:hidden'>A</p><p><a href='/hidden-gems'>B</a></p><p data-hidden='false'>C</p></article>", "A\nB\nC"),
+        ("<p title='a hidden class=ad'>A</p><p HIDDEN>no</p><p aria-hidden='true'>no</p><p class='x ad'>no</p>", "A"),
+        ("<article>T</article><div class=comments><article>no</article></div>", "T"),
+    ],
+)
+def test_names_and_attributes_count_as_a_whole(page, text):
+    assert "\n".join(site_style.blocks(site_style.parse(page), frozenset())) == text
