@@ -1,8 +1,8 @@
 """Document fingerprints as Merkle trees over sections, paragraphs and short pieces.
 
 A text is cut at its blank lines into sections, these at line ends into paragraphs,
-and a paragraph after every word whose checksum is divisible by four into pieces, so
-that an edit moves no other cut.  A leaf hashes its piece, an inner node the hashes
+and a paragraph into pieces of 8 to 64 bytes where a rolling hash of the last 8 bytes
+says so, words or not, so that the cuts meet again soon after an edit.  A leaf hashes its piece, an inner node the hashes
 below it; the root is the fingerprint.  Equal roots mean equal texts.  To compare two
 trees, equal nodes are taken off level by level from above, so only differing branches
 are opened; the leaves left over locate the edits.  Likeness is the share of characters
@@ -24,15 +24,18 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
-from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlab.llm.words import slices
 from basketlab.storage import materialize
 
-CUT = 4
+ROLL = 8  # bytes that decide a cut, none of them before the piece
+LEAST = 8
+MOST = 64
+CUT_BITS = 4
 LAST = (1 << 63) - 1
 BATCH_BYTES = 4 << 20
 
@@ -48,24 +51,42 @@ def _inner(children: list[Node]) -> Node:
     return Node(h, sum(c.size for c in children), tuple(children))
 
 
-def _paragraph(line: bytes) -> Node:
-    words = line.split(b" ")
-    ends = [i + 1 for i, w in enumerate(words) if not crc32(w) % CUT]
-    if not ends or ends[-1] != len(words):
-        ends.append(len(words))
-    leaves, begin = [], 0
-    for end in ends:
-        piece = b" ".join(words[begin:end])
-        leaves.append(Node(hashlib.blake2b(piece, digest_size=16).digest(), len(piece) + 1))
-        begin = end
-    return _inner(leaves)
+_VALUES = np.random.default_rng(42).integers(0, 1 << 32, 256, np.uint32)
+_FACTOR = 0x9E3779B1
+
+
+def _cuts(data: bytes) -> list[int]:
+    """Places behind every ROLL bytes whose hash asks for a cut."""
+    if len(data) < ROLL:
+        return []
+    values = _VALUES[np.frombuffer(data, np.uint8)]
+    n = len(values) - ROLL + 1
+    rolled = values[:n].copy()
+    for k in range(1, ROLL):
+        rolled *= np.uint32(_FACTOR)
+        rolled += values[k : k + n]
+    return (np.flatnonzero(rolled >> np.uint32(32 - CUT_BITS) == 0) + ROLL).tolist()
 
 
 def tree(text: str | None) -> Node:
-    """Root, sections, paragraphs, leaves; sizes count bytes and a separator."""
+    """Root, sections, paragraphs, leaves; sizes count bytes and a line end."""
+    data = (text or "").encode()
+    cuts = [*_cuts(data), len(data) + 1]
     sections: list[list[Node]] = [[]]
-    for line in (text or "").encode().split(b"\n"):
-        sections[-1].append(_paragraph(line))
+    at = begin = 0
+    for line in data.split(b"\n"):
+        end, leaves = begin + len(line), []
+        stop = end + 1
+        while begin < stop:
+            while cuts[at] < begin + LEAST and cuts[at] <= end:
+                at += 1
+            cut = min(cuts[at], begin + MOST)
+            if cut >= end:
+                cut = stop  # the last piece has the line end
+            piece = data[begin : min(cut, end)]
+            leaves.append(Node(hashlib.blake2b(piece, digest_size=16).digest(), cut - begin))
+            begin = cut
+        sections[-1].append(_inner(leaves))
         if not line.strip():
             sections.append([])
     return _inner([_inner(s) for s in sections if s])

@@ -211,3 +211,20 @@ def test_pipeline_links_by_exact_similarity(spark):
     for (doc_id, _), g in zip(kept, where):
         assert doc_id == min((r[0] for r, h in zip(rows, groups) if h == g and r[0] is not None), default=None)
     assert near_copies.keep_first(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Thsh " * 557, "x" * 3000, "日本語のとても長い文" * 150, "".join(chr(97 + i * i % 26) for i in range(4000))])
+def test_an_edit_of_a_uniform_text_leaves_most_of_it_alike(text):
+    new = merkle.edited(text, prose(600, 3))
+    one, two = merkle.tree(text), merkle.tree(new)
+    kept = len(text[: len(text) - len(text) // 4].encode())
+    assert abs(merkle.likeness(one, two) - 2 * kept / (one.size + two.size)) < 0.05
+    assert one.size == len(text.encode()) + 1
+
+
+def test_leaves_hold_the_whole_text_once():
+    for text in ["", "\n", "a\n\nb" * 40, prose(300, 2), "é" * 200 + "\n" + "12345678" * 30 + "\n"]:
+        sizes = [leaf.size for s in merkle.tree(text).children for p in s.children for leaf in p.children]
+        assert sum(sizes) == len(text.encode()) + 1 and max(sizes) <= merkle.MOST + 1
+    front = prose(200, 5)
+    assert merkle.likeness(merkle.tree(front), merkle.tree("new " + front)) > 0.9
