@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.llm import chat, hidden_markov, merkle, mixing, ngram_rules, pieces, simhash, site_style, suffix_dedup, weak_labels
+from basketlab.llm import (
+    chat,
+    hidden_markov,
+    importance,
+    jaccard_join,
+    merkle,
+    mixing,
+    ngram_rules,
+    pieces,
+    simhash,
+    site_style,
+    suffix_dedup,
+    weak_labels,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -71,3 +84,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(table(spark, sf_dir, "documents"))
