@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from basketlab.functions.labels import MIN_LIFT, SWEEP_CONFIGS
 from basketlab.functions.measures import min_count
@@ -18,6 +18,23 @@ from basketlab.functions.text import itemset_label, mentions, rule_label, same_i
 from basketlab.storage import materialize
 
 
+# one task mines a group of items; its tree holds the baskets with one of them
+ITEMS_A_GROUP = 64
+BASKETS_A_GROUP = 20_000
+
+
+def frequent_items(baskets: DataFrame, at_least: int) -> int:
+    """Items that ``at_least`` so many baskets hold; one aggregation over the baskets."""
+    held = baskets.select(F.explode("items").alias("item")).groupBy("item").count()
+    return held.filter(F.col("count") >= at_least).count()
+
+
+def item_groups(n_items: int, n_baskets: int) -> int:
+    """Groups of items for FP-Growth: as many as items or baskets ask for, whatever the cores; one item each at least."""
+    wanted = max(-(-n_items // ITEMS_A_GROUP), -(-n_baskets // BASKETS_A_GROUP))
+    return max(1, min(n_items, wanted))
+
+
 def mine(
     baskets: DataFrame,
     min_support: float,
@@ -29,14 +46,14 @@ def mine(
     ``baskets`` should be a written table: FP-Growth reads it once to count items and
     once to build the trees.  The trees are combined on the map side, so identical
     and overlapping baskets travel as counts.  Items are spread over ``num_partitions``
-    groups, by default as many as the cluster has cores.
+    groups, by default as many as ``item_groups`` finds for the frequent items.
     """
     spark = baskets.sparkSession
     n = baskets.count() if n_baskets is None else n_baskets
     if n == 0 or min_support > 1:
         empty = "items array<string>, k int, frequency long, support double"
         return spark.createDataFrame([], empty)
-    partitions = num_partitions or spark.sparkContext.defaultParallelism
+    partitions = num_partitions or item_groups(frequent_items(baskets, min_count(min_support, n)), n)
     model = FPGrowth(
         itemsCol="items", minSupport=min_support, numPartitions=partitions
     ).fit(baskets.select("items"))
@@ -135,6 +152,21 @@ def find_itemset(itemsets: DataFrame, items: Sequence[str]) -> DataFrame:
     return itemsets.filter(same_items(F.col("items"), F.array(*[F.lit(i) for i in items])))
 
 
+def posted(postings: DataFrame, item: str) -> DataFrame:
+    """The rows of a posting table (see ``publish.write_postings``) under an item; the scan skips the others."""
+    return postings.filter(F.col("item") == item).drop("item")
+
+
+def posted_rule(postings: DataFrame, antecedent: Sequence[str], consequent: Sequence[str]) -> DataFrame:
+    """``find_rule`` by the postings of the antecedent."""
+    return find_rule(posted(postings, antecedent[0]), antecedent, consequent)
+
+
+def posted_itemset(postings: DataFrame, items: Sequence[str]) -> DataFrame:
+    """``find_itemset`` by the postings of the items."""
+    return find_itemset(posted(postings, items[0]), items)
+
+
 def filter_itemsets(itemsets: DataFrame, k_mode: str = "all", keyword: str = "") -> DataFrame:
     """Itemsets by size (``all``, ``single``, ``multi``) and keyword."""
     if k_mode not in ("all", "single", "multi"):
@@ -281,49 +313,96 @@ def explain_rules(rules: DataFrame, itemsets: DataFrame, n_baskets: int) -> Data
     )
 
 
+def _step(value: Column, limits: Sequence[float]) -> Column:
+    """How many of the ascending limits the value reaches."""
+    return F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= value))
+
+
+def _cumulated(cells: DataFrame, supports: int, confidences: int) -> DataFrame:
+    """Cells (a, b, n, total, most) summed over all cells at or beyond each point of the grid.
+
+    Two running aggregates, first along one axis, then along the other; the grid has as
+    many rows as there are pairs of limits, whatever the data.
+    """
+    spark = cells.sparkSession
+    axes = spark.range(1, supports + 1).select(F.col("id").cast("int").alias("a")).withColumn(
+        "b", F.explode(F.sequence(F.lit(1), F.lit(confidences)))
+    )
+    grid = axes.join(cells, ["a", "b"], "left")
+    for fixed, along in (("b", "a"), ("a", "b")):
+        beyond = W.partitionBy(fixed).orderBy(F.desc(along))
+        grid = grid.select(
+            "a",
+            "b",
+            F.sum(F.coalesce("n", F.lit(0))).over(beyond).alias("n"),
+            F.sum(F.coalesce("total", F.lit(0.0))).over(beyond).alias("total"),
+            F.max("most").over(beyond).alias("most"),
+        )
+    return grid
+
+
 def sweep(
     itemsets: DataFrame,
     n_baskets: int,
     configs: Sequence[tuple[str, float, float]] = SWEEP_CONFIGS,
     min_lift: float = MIN_LIFT,
 ) -> DataFrame:
-    """Itemsets, strong rules, highest lift and mean confidence per configuration.
+    """Itemsets, strong rules, highest lift and mean confidence per configuration, in their order.
 
     ``itemsets`` are mined at the lowest support of all configurations.  A larger
     support keeps exactly the itemsets that reach its count, and a rule exactly when
-    its union does, so one pass over itemsets and one over rules serves every
-    configuration.
+    its union does.  So a rule counts for every configuration that its support and its
+    confidence dominate: each rule is numbered once by the highest limits it reaches on
+    either axis, the rules of a cell are aggregated, and the cells are cumulated along
+    both axes.  The plan is the same for five configurations and for thousands.
     """
-    lowest = min(min_count(support, n_baskets) for _, support, _ in configs)
-    lowest_confidence = min(confidence for *_, confidence in configs)
-    rules = counted_rules(
-        itemsets.filter(F.col("frequency") >= lowest), n_baskets, lowest_confidence
-    ).filter(F.col("lift") > min_lift)
-    facts = itemsets.select("frequency").unionByName(
-        rules.select("frequency", "confidence", "lift"), allowMissingColumns=True
+    spark = itemsets.sparkSession
+    counts = sorted({min_count(support, n_baskets) for _, support, _ in configs})
+    shares = sorted({float(confidence) for *_, confidence in configs})
+    rules = counted_rules(itemsets.filter(F.col("frequency") >= counts[0]), n_baskets, shares[0]).filter(
+        F.col("lift") > min_lift
+    )
+    # itemsets without a rule of their own lie on an axis of their own, b = 0
+    facts = itemsets.select("frequency", F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("double").alias("lift"))
+    facts = facts.unionByName(rules.select("frequency", "confidence", "lift"))
+    steps = facts.select(
+        _step(F.col("frequency"), counts).alias("a"),
+        F.when(F.col("lift").isNull(), F.lit(0)).otherwise(_step(F.col("confidence"), shares)).alias("b"),
+        "confidence",
+        "lift",
     )
-    totals = []
-    for i, (_, support, confidence) in enumerate(configs):
-        frequent = F.col("frequency") >= min_count(support, n_baskets)
-        rule = frequent & (F.col("confidence") >= confidence)
-        totals += [
-            F.count_if(frequent & F.col("lift").isNull()).alias(f"itemsets{i}"),
-            F.count_if(rule).alias(f"rules{i}"),
-            F.max(F.when(rule, F.col("lift"))).alias(f"lift{i}"),
-            F.avg(F.when(rule, F.col("confidence"))).alias(f"confidence{i}"),
-        ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("config_id"),
-                F.lit(float(support)).alias("min_support"),
-                F.lit(float(confidence)).alias("min_confidence"),
-                F.col(f"itemsets{i}").alias("frequent_itemsets"),
-                F.col(f"rules{i}").alias("association_rules"),
-                F.round(F.coalesce(F.col(f"lift{i}"), F.lit(0.0)), 4).alias("max_lift"),
-                F.round(F.coalesce(F.col(f"confidence{i}"), F.lit(0.0)), 4).alias("avg_confidence"),
-            )
+    cells = materialize(
+        steps.groupBy("a", "b").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("total"), F.max("lift").alias("most")
+        ),
+        "sweep-cells",
+    )
+    found = _cumulated(cells.filter("b > 0"), len(counts), len(shares))
+    larger = W.orderBy(F.desc("a"))
+    frequent = (
+        spark.range(1, len(counts) + 1)
+        .select(F.col("id").cast("int").alias("a"))
+        .join(cells.filter("b = 0").select("a", "n"), "a", "left")
+        .select("a", F.sum(F.coalesce("n", F.lit(0))).over(larger).alias("frequent_itemsets"))
+    )
+    asked = spark.createDataFrame(
+        [
+            (i, name, float(support), float(confidence), counts.index(min_count(support, n_baskets)) + 1, shares.index(float(confidence)) + 1)
             for i, (name, support, confidence) in enumerate(configs)
-        ]
+        ],
+        "place int, config_id string, min_support double, min_confidence double, a int, b int",
+    )
+    return (
+        asked.join(found, ["a", "b"])
+        .join(frequent, "a")
+        .orderBy("place")
+        .select(
+            "config_id",
+            "min_support",
+            "min_confidence",
+            "frequent_itemsets",
+            F.col("n").alias("association_rules"),
+            F.round(F.coalesce("most", F.lit(0.0)), 4).alias("max_lift"),
+            F.round(F.coalesce(F.col("total") / F.when(F.col("n") > 0, F.col("n")), F.lit(0.0)), 4).alias("avg_confidence"),
+        )
     )
-    return facts.agg(*totals).select(F.explode(rows).alias("r")).select("r.*")

@@ -6,10 +6,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlab.functions.labels import HEAT_ROW_ORDER
 from basketlab.functions.text import day_name, thousands
+from basketlab.storage import materialize
 
 HOURS = list(range(24))
 
 
+# what a row of the profile counts
+CELL, HOUR, ALL = "cell", "hour", "all"
+
+
+def profile(orders: DataFrame) -> DataFrame:
+    """Orders by day and hour, by hour, and in all: kind, dow, hour, orders_count, from one pass.
+
+    Partial counts shrink each grouping to its few cells before anything moves; the
+    result has at most a row for each of them.
+    """
+    day, hour = "order_dow", "order_hour_of_day"
+    grouping = F.grouping_id().alias("grouping")
+    counted = orders.select(day, hour).groupingSets([[day, hour], [hour], []], day, hour)
+    rows = counted.agg(F.count(F.lit(1)).alias("orders_count"), grouping)
+    kind = F.when(F.col("grouping") == 0, CELL).when(F.col("grouping") == 2, HOUR).otherwise(ALL)
+    return rows.select(kind.alias("kind"), F.col(day).alias("dow"), F.col(hour).alias("hour"), "orders_count")
+
+
+def cells_of(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("kind") == CELL).select("dow", "hour", "orders_count")
+
+
 def orders_per_hour(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy(F.col("order_hour_of_day").alias("hour"))
@@ -57,23 +80,27 @@ def heat_total(heat: DataFrame) -> Column:
 
 
 def reconciliation(orders: DataFrame) -> DataFrame:
-    """Sums of the hours, of the cells and of the heat map, number of orders, and whether all agree."""
-    cells = orders_per_dow_hour(orders)
-    hours = orders_per_hour(orders)
-    total: Column = orders.agg(F.count(F.lit(1))).scalar()
-    hour_sum: Column = hours.agg(F.coalesce(F.sum("orders_count"), F.lit(0))).scalar()
+    """Sums of the hours, of the cells and of the heat map, number of orders, and whether all agree.
+
+    The orders are read once; all sums follow from the written profile.
+    """
+    return reconciled(materialize(profile(orders), "time-profile"))
+
+
+def reconciled(rows: DataFrame) -> DataFrame:
+    """The sums of a profile."""
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("orders_count"))), F.lit(0))
+
     return (
-        cells.agg(
-            F.coalesce(F.sum("orders_count"), F.lit(0)).alias("cell_total"),
-            F.count(F.lit(1)).alias("cells"),
-        )
-        .select(
-            hour_sum.alias("hour_total"),
-            "cell_total",
-            heat_total(heat_pivot(cells)).alias("heat_total"),
-            total.alias("total_orders"),
-            "cells",
+        rows.agg(
+            total(HOUR).alias("hour_total"),
+            total(CELL).alias("cell_total"),
+            total(ALL).alias("total_orders"),
+            F.count_if(F.col("kind") == CELL).alias("cells"),
         )
+        .select("hour_total", "cell_total", heat_total(heat_pivot(cells_of(rows))).alias("heat_total"), "total_orders", "cells")
         .withColumn(
             "reconciled",
             (F.col("hour_total") == F.col("cell_total"))

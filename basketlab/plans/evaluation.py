@@ -36,12 +36,13 @@ def evaluation_document(
 
 
 def publish_evaluation(
-    model: Model, baskets: DataFrame, catalog_size: Column, out_dir: str
+    model: Model, baskets: DataFrame, catalog_size: Column, out_dir: str, settings: Settings = Settings()
 ) -> None:
     """Evaluation document and one row per sweep configuration below ``out_dir``.
 
     Every configuration is reported: if one lies below the support of the model, the
-    model's baskets are mined again at the lowest support asked for.
+    model's baskets are mined again at the lowest support asked for, in as many item
+    groups as the ``settings`` say.
     """
     P.write_table(
         evaluation_document(model, baskets, catalog_size), f"{out_dir}/evaluation", "json"
@@ -49,32 +50,32 @@ def publish_evaluation(
     lowest = min(support for _, support, _ in SWEEP_CONFIGS)
     itemsets = model.itemsets
     if lowest < model.min_support:
-        itemsets = M.mine(model.baskets, lowest, model.n_baskets)
-    P.write_table(M.sweep(itemsets, model.n_baskets, SWEEP_CONFIGS), f"{out_dir}/experiments")
+        itemsets = M.mine(model.baskets, lowest, model.n_baskets, settings.mining_partitions)
+    P.write_table(M.sweep(itemsets, model.n_baskets, SWEEP_CONFIGS, settings.min_lift), f"{out_dir}/experiments")
+
+
+STUDY = Settings(min_item_freq=SWEEP_MIN_ITEM_FREQ)
 
 
 def parameter_study(
-    retail: Retail,
-    configs: Sequence[tuple[str, float, float]] = SWEEP_CONFIGS,
-    min_item_freq: int | None = SWEEP_MIN_ITEM_FREQ,
-    split: str | None = "prior",
+    retail: Retail, configs: Sequence[tuple[str, float, float]] = SWEEP_CONFIGS, settings: Settings = STUDY
 ) -> DataFrame:
     """One row per configuration on baskets of their own, pruned at a lower item threshold.
 
-    Baskets and itemsets are computed once, at the lowest support, for all
-    configurations; ``training_seconds`` is that shared mining time and
-    ``total_seconds`` adds the preparation of the baskets.
+    Split, item threshold, basket size, lift and item groups follow the ``settings``; support and
+    confidence follow each configuration.  Baskets and itemsets are computed once, at
+    the lowest support, for all configurations; ``training_seconds`` is that shared
+    mining time and ``total_seconds`` adds the preparation of the baskets.
     """
     started = time.perf_counter()
-    scope = in_scope(retail, Settings(min_item_freq=min_item_freq, split=split))
-    baskets = materialize(
-        B.build_baskets(scope.lines, scope.products, min_item_freq).select("items"), "baskets"
-    )
+    scope = in_scope(retail, settings)
+    built = B.build_baskets(scope.lines, scope.products, settings.min_item_freq, settings.min_basket_size)
+    baskets = materialize(built.select("items"), "baskets")
     n = baskets.count()
     prepared = time.perf_counter()
-    itemsets = M.mine(baskets, min(support for _, support, _ in configs), n)
+    itemsets = M.mine(baskets, min(support for _, support, _ in configs), n, settings.mining_partitions)
     mined = time.perf_counter()
-    return M.sweep(itemsets, n, configs).select(
+    return M.sweep(itemsets, n, configs, settings.min_lift).select(
         "*",
         F.lit(round(mined - prepared, 2)).alias("training_seconds"),
         F.lit(round(mined - started, 2)).alias("total_seconds"),

@@ -24,6 +24,7 @@ from basketlab.operators import trace as TR
 from basketlab.plans.runs import RunRecorder
 from basketlab.sinks import publish as P
 from basketlab.sources.retail import Retail, split_orders
+from basketlab.sources.tables import read_table
 from basketlab.storage import materialize
 
 
@@ -32,8 +33,10 @@ class Settings:
     """``min_support`` None derives it from the item threshold; ``split`` None keeps all orders.
 
     ``mining_partitions`` is the number of item groups of FP-Growth, each of which one
-    task mines; on large data it should grow with the core items, not with the cores.
-    ``dataset_name`` is what the summary calls the data.
+    task mines; None derives it from the frequent items and the baskets.
+    ``hold_out`` keeps the orders whose id it divides out of what is learnt; 10 leaves
+    every tenth for the evaluation, repeatable by any engine.  ``dataset_name`` is what
+    the summary calls the data.
     """
 
     min_item_freq: int | None = MIN_ITEM_FREQ
@@ -43,6 +46,7 @@ class Settings:
     min_basket_size: int = MIN_BASKET_SIZE
     split: str | None = "prior"
     mining_partitions: int | None = None
+    hold_out: int | None = None
     dataset_name: str = "retail"
 
 
@@ -81,9 +85,26 @@ def popular_items(retail: Retail, frequency: DataFrame | None = None) -> DataFra
     return materialize(I.item_sales(counts, retail.products), "popular")
 
 
+def _fold(retail: Retail, hold_out: int, held: bool) -> Retail:
+    """Orders and lines on one side of the hold-out; a null id is learnt from."""
+    out = F.coalesce(F.col("order_id") % hold_out == 0, F.lit(False))
+    side = out if held else ~out
+    return replace(retail, orders=retail.orders.filter(side), lines=retail.lines.filter(side))
+
+
+def held_out(retail: Retail, settings: Settings) -> DataFrame:
+    """Baskets of the orders that ``train`` with these settings does not see."""
+    if settings.hold_out is None:
+        raise ValueError("the settings hold no orders out")
+    scope = _fold(in_scope(retail, settings), settings.hold_out, True)
+    return B.build_baskets(scope.lines, scope.products, settings.min_item_freq, settings.min_basket_size)
+
+
 def train(retail: Retail, settings: Settings) -> Model:
-    """Baskets, itemsets, strong rules and best sellers of the orders in scope."""
+    """Baskets, itemsets, strong rules and best sellers of the orders in scope, without those held out."""
     scope = in_scope(retail, settings)
+    if settings.hold_out is not None:
+        scope = _fold(scope, settings.hold_out, False)
     frequency = materialize(I.item_frequency(scope.lines), "item-frequency")
     catalog = B.core_catalog(scope.lines, scope.products, settings.min_item_freq, frequency)
     baskets = materialize(
@@ -170,11 +191,13 @@ def run_pipeline(
 
     with recorder.step("publish", n) as published:
         P.write_baskets(B.basket_documents(baskets, orders), f"{out_dir}/baskets")
-        published["rows_out"] = spark.read.parquet(f"{out_dir}/baskets").count()
+        published["rows_out"] = read_table(spark, f"{out_dir}/baskets").count()
         P.write_itemsets(itemsets, f"{out_dir}/itemsets")
         totals = M.itemset_counts(itemsets).withColumn("min_support", F.lit(support))
         P.write_table(totals, f"{out_dir}/itemset_totals", "json")
         P.write_rules(rules, [f"{out_dir}/rules_prior", f"{out_dir}/rules"])
+        P.write_postings(rules, "antecedent", f"{out_dir}/rule_postings")
+        P.write_postings(itemsets, "items", f"{out_dir}/itemset_postings")
         scalars = integrity.select(
             F.lit(settings.dataset_name).alias("dataset_name"),
             F.lit(n_orders).cast("long").alias("total_orders"),

@@ -27,6 +27,7 @@ PRIMARY_KEYS = {
     "region": ["r_regionkey"],
     "nation": ["n_nationkey"],
     "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
     "part": ["p_partkey"],
     "orders": ["o_orderkey"],
     "lineitem": ["l_orderkey", "l_partkey"],
@@ -35,8 +36,13 @@ PRIMARY_KEYS = {
 FOREIGN_KEYS = {
     "nation": [("n_regionkey", "region", "r_regionkey")],
     "customer": [("c_nationkey", "nation", "n_nationkey")],
+    "supplier": [("s_nationkey", "nation", "n_nationkey")],
     "orders": [("o_custkey", "customer", "c_custkey")],
-    "lineitem": [("l_partkey", "part", "p_partkey"), ("l_orderkey", "orders", "o_orderkey")],
+    "lineitem": [
+        ("l_partkey", "part", "p_partkey"),
+        ("l_orderkey", "orders", "o_orderkey"),
+        ("l_suppkey", "supplier", "s_suppkey"),
+    ],
     "events": [("user_id", "customer", "c_custkey")],
 }
 LOG_MARKS = ["spark_version", "init", "job0", "job1", "job2", "job3", "job4", "step6", "total"]
@@ -518,6 +524,14 @@ def oracle_sql() -> dict[str, str]:
         "ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey\n"
         "        WHERE o_orderstatus = 'F' GROUP",
     )
+    folds = [
+        NAMED_ALL,
+        baskets_part(),
+        "learnt AS (SELECT * FROM baskets WHERE order_id % 10 <> 0)",
+        "unseen AS (SELECT * FROM baskets WHERE order_id % 10 = 0)",
+        mining_part("learnt"),
+    ]
+    popular_learnt = POPULAR.replace("ON l_partkey = p_partkey GROUP", "ON l_partkey = p_partkey WHERE l_orderkey % 10 <> 0 GROUP")
     audited = chain(CORE, PROFILE)
     catalog = """SELECT c_custkey, c_name, n_name AS nation, r_name AS region
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
@@ -689,6 +703,8 @@ FROM (SELECT order_id, unnest(items) AS i FROM baskets) GROUP BY order_id""",
             *split_baskets, popular_prior, *evaluation_parts("unseen")
         ).rstrip()
         + EVALUATION_TAIL,
+        "evaluate_unseen": chain(*folds, popular_learnt, *evaluation_parts("unseen")).rstrip() + EVALUATION_TAIL,
+        "train_lines_job": f"{UNPRUNED}SELECT {DOCUMENT} FROM baskets {IN_ORDERS} WHERE o_orderstatus = 'O'",
         "evaluation_sample": f"""{UNPRUNED}SELECT order_id, items_count,
   array_to_string(items, '|') AS items FROM baskets
 ORDER BY (CAST(order_id AS HUGEINT) * 2654435761) % 4294967296, order_id LIMIT {EVALUATION_SAMPLE}""",

@@ -6,7 +6,7 @@ be compared value by value with another engine.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -42,6 +42,9 @@ MINING = MB.Settings(
 MINING_PRIOR = MB.Settings(
     min_item_freq=None, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE, split="prior"
 )
+MINING_FOLDS = MB.Settings(
+    min_item_freq=None, min_support=MIN_SUPPORT, min_confidence=MIN_CONFIDENCE, split=None, hold_out=10
+)
 SWEEP = [
     *L.SWEEP_CONFIGS,
     ("FINE-01", 0.006, 0.08),
@@ -56,6 +59,7 @@ PRIMARY_KEYS = {
     "region": ["r_regionkey"],
     "nation": ["n_nationkey"],
     "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
     "part": ["p_partkey"],
     "orders": ["o_orderkey"],
     "lineitem": ["l_orderkey", "l_partkey"],
@@ -64,8 +68,13 @@ PRIMARY_KEYS = {
 FOREIGN_KEYS = {
     "nation": [("n_regionkey", "region", "r_regionkey")],
     "customer": [("c_nationkey", "nation", "n_nationkey")],
+    "supplier": [("s_nationkey", "nation", "n_nationkey")],
     "orders": [("o_custkey", "customer", "c_custkey")],
-    "lineitem": [("l_partkey", "part", "p_partkey"), ("l_orderkey", "orders", "o_orderkey")],
+    "lineitem": [
+        ("l_partkey", "part", "p_partkey"),
+        ("l_orderkey", "orders", "o_orderkey"),
+        ("l_suppkey", "supplier", "s_suppkey"),
+    ],
     "events": [("user_id", "customer", "c_custkey")],
 }
 
@@ -386,7 +395,7 @@ def _stored_baskets(spark: SparkSession, sf: str) -> DataFrame:
     documents = B.basket_documents(B.build_baskets(r.lines, r.products), r.orders)
     path = scratch_path(spark, "orders")
     P.write_baskets(documents, path)
-    return spark.read.schema(documents.schema).parquet(path)
+    return tables.read_table(spark, path, documents.schema)
 
 
 # --- exclusion audit --------------------------------------------------------------
@@ -441,7 +450,10 @@ def itemset_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def itemset_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return flat_itemsets(M.find_itemset(mined(spark, sf)[0], ["small widget", LOOKUP_ITEM]))
+    """One itemset from the stored postings of its items."""
+    path = scratch_path(spark, "itemset-postings")
+    P.write_postings(mined(spark, sf)[0], "items", path)
+    return flat_itemsets(M.posted_itemset(tables.read_table(spark, path), ["small widget", LOOKUP_ITEM]))
 
 
 @query
@@ -468,7 +480,10 @@ def rule_search(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rule_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return flat_rules(M.rules_with_antecedent_item(all_rules(spark, sf), LOOKUP_ITEM))
+    """The rules whose antecedent holds an item, from the stored postings of the antecedents."""
+    path = scratch_path(spark, "rule-postings")
+    P.write_postings(all_rules(spark, sf), "antecedent", path)
+    return flat_rules(M.posted(tables.read_table(spark, path), LOOKUP_ITEM))
 
 
 @query
@@ -606,6 +621,24 @@ def evaluate_holdout(spark: SparkSession, sf: str) -> DataFrame:
     return E.evaluate(unseen, model.rules, model.popular, name_catalog_size(spark, sf))
 
 
+@query
+def evaluate_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules of nine orders in ten, by order id, evaluated on the tenth."""
+    model = trained(spark, sf, MINING_FOLDS)
+    unseen = materialize(MB.held_out(retail_tables(spark, sf), MINING_FOLDS), "held-out")
+    return E.evaluate(unseen, model.rules, model.popular, name_catalog_size(spark, sf))
+
+
+@query
+def train_lines_job(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run on the other line file, where the first is missing: the baskets it publishes."""
+    out = scratch_path(spark, "train-job")
+    settings = MB.Settings(min_item_freq=None, min_support=0.02, min_confidence=MIN_CONFIDENCE)
+    MB.run_pipeline(spark, retail.load_csv(spark, _csv_layout(spark, sf, ["train"])), settings, out, "train")
+    stored = tables.read_table(spark, f"{out}/baskets", schemas.BASKET_DOCUMENTS)
+    return stored.withColumn("items", joined("items"))
+
+
 @query
 def evaluation_sample(spark: SparkSession, sf: str) -> DataFrame:
     r = retail_tables(spark, sf)
@@ -747,7 +780,7 @@ def skip_if_loaded(spark: SparkSession, sf: str) -> DataFrame:
         ("kept", P.load_baskets(documents.filter(F.lit(False)), path, "keep")),
         ("replaced", P.load_baskets(documents, path, "replace")),
     ]
-    stored = spark.read.parquet(path).agg(F.count(F.lit(1))).scalar()
+    stored = tables.read_table(spark, path).agg(F.count(F.lit(1))).scalar()
     return spark.createDataFrame(steps, "step string, written boolean").select(
         "step", "written", stored.alias("stored_baskets")
     )
@@ -798,25 +831,25 @@ def _flat_summary(df: DataFrame) -> DataFrame:
 def summary_document(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{scratch_path(spark, 'summary')}.json"
     P.write_table(_summary(spark, sf), path, "json")
-    return _flat_summary(spark.read.schema(SUMMARY_SCHEMA).json(path))
+    return _flat_summary(tables.read_table(spark, path, SUMMARY_SCHEMA))
 
 
 @query
 def summary_patch(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored summary with the totals of the prior split and the rule count put in."""
-    path, patched = (f"{scratch_path(spark, 'summary')}.json" for _ in range(2))
+    """The stored summary, patched in place with the totals of the prior split and the rule count."""
+    path = f"{scratch_path(spark, 'summary')}.json"
     P.write_table(_summary(spark, sf), path, "json")
     prior = retail.star_orders(spark, sf, "prior")
     strong = M.strong_rules(all_rules(spark, sf))
     P.patch_summary(
-        spark.read.schema(SUMMARY_SCHEMA).json(path),
+        tables.read_table(spark, path, SUMMARY_SCHEMA),
         {
             "total_orders": prior.agg(F.count(F.lit(1))).scalar(),
             "total_rules": strong.agg(F.count(F.lit(1))).scalar(),
         },
-        patched,
+        path,
     )
-    return _flat_summary(spark.read.schema(SUMMARY_SCHEMA).json(patched))
+    return _flat_summary(tables.read_table(spark, path, SUMMARY_SCHEMA))
 
 
 def _text_rows(report: DataFrame, section: str, key: str) -> DataFrame:
@@ -848,7 +881,7 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
         materialize(Q.integrity_report(r.lines, r.orders, r.products, facts), "integrity"),
     )
     P.write_table(report, path, "json")
-    stored = spark.read.schema(report.schema).json(path)
+    stored = tables.read_table(spark, path, report.schema)
     kpis = stored.select(
         F.lit("kpis").alias("section"),
         F.when(F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), F.col("run_id")).alias("row_key"),
@@ -870,8 +903,8 @@ def quality_document(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _csv_layout(spark: SparkSession, sf: str) -> str:
-    """The star tables as the six CSV files: days without a value for open orders, sizes as aisles."""
+def _csv_layout(spark: SparkSession, sf: str, splits: Sequence[str] = ("prior", "train")) -> str:
+    """The star tables as CSV files: days without a value for open orders, sizes as aisles, lines of the splits."""
     root = scratch_path(spark, "retail")
     orders, lines = retail.star_orders(spark, sf), retail.star_lines(spark, sf)
     part, nation, region = (retail.star_table(spark, sf, t) for t in ("part", "nation", "region"))
@@ -887,7 +920,7 @@ def _csv_layout(spark: SparkSession, sf: str) -> str:
         "aisles": nation.select("n_nationkey", "n_name"),
         "departments": region.select("r_regionkey", "r_name"),
     }
-    for split in ("prior", "train"):
+    for split in splits:
         chosen = lines.join(orders.filter(F.col("eval_set") == split).select("order_id"), "order_id", "left_semi")
         files[f"order_products__{split}"] = chosen.withColumn("reordered", F.lit(None).cast("int"))
     for name, df in files.items():
@@ -908,7 +941,7 @@ def csv_audit(spark: SparkSession, sf: str) -> DataFrame:
         "table_name string, total_rows long, total_cols long, primary_key string, null_count long, "
         "null_rate string, duplicates long, foreign_key_valid boolean"
     )
-    stored = spark.read.schema(f"tables array<struct<{audit}>>").json(f"{out}/quality")
+    stored = tables.read_table(spark, f"{out}/quality", f"tables array<struct<{audit}>>")
     return stored.select(F.inline("tables"))
 
 
@@ -917,11 +950,11 @@ def published_job(spark: SparkSession, sf: str) -> DataFrame:
     """Both copies of the summary and the itemset totals that a whole run leaves."""
     out = scratch_path(spark, "job")
     MB.run_pipeline(spark, retail_tables(spark, sf), MINING, out, "run-1")
-    totals = spark.read.json(f"{out}/itemset_totals")
+    totals = tables.read_table(spark, f"{out}/itemset_totals")
     names = ["total_itemsets", "total_1_itemsets", "total_multi_itemsets"]
     return Q.stack(
         [
-            spark.read.json(f"{out}/{copy}").select(
+            tables.read_table(spark, f"{out}/{copy}").select(
                 F.lit(copy).alias("copy"),
                 "dataset_name",
                 "total_orders",
@@ -946,7 +979,7 @@ def evaluation_document(spark: SparkSession, sf: str) -> DataFrame:
     model = trained(spark, sf)
     out = scratch_path(spark, "evaluation")
     EV.publish_evaluation(model, model.baskets, name_catalog_size(spark, sf), out)
-    stored = spark.read.json(f"{out}/evaluation")
+    stored = tables.read_table(spark, f"{out}/evaluation")
     return stored.select("*", F.explode("metrics_by_k").alias("m")).select(
         "baskets_queried",
         "baskets_evaluated",
@@ -962,11 +995,11 @@ def evaluation_document(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def experiment_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """The sweep of the fixed configurations, read back from its sink."""
+    """The sweep of the fixed configurations, as the evaluation of a model publishes it."""
     model = trained(spark, sf)
     out = scratch_path(spark, "experiments")
-    P.write_table(M.sweep(model.itemsets, model.n_baskets), out)
-    return spark.read.parquet(out)
+    EV.publish_evaluation(model, model.baskets, name_catalog_size(spark, sf), out)
+    return tables.read_table(spark, f"{out}/experiments")
 
 
 # --- runs and logs ----------------------------------------------------------------
@@ -1021,7 +1054,7 @@ def merge_live_row(spark: SparkSession, sf: str) -> DataFrame:
         F.round("max_lift", 4).alias("max_lift"),
         F.round("avg_confidence", 4).alias("avg_confidence"),
     )
-    return runs.merge_live_row(spark.read.parquet(stored), materialize(live, "live"))
+    return runs.merge_live_row(tables.read_table(spark, stored), materialize(live, "live"))
 
 
 # --- texts ------------------------------------------------------------------------

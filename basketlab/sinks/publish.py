@@ -1,53 +1,58 @@
 """Result sinks.
 
 Tables are written by the tasks that hold them; only one-row report documents are
-assembled from sections of fixed size.
+assembled from sections of fixed size.  Every table is replaced by a new version that
+becomes the current one in a single step (see ``versions``), so a job that dies while
+writing leaves what was there; ``tables.read_table`` reads the current version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from basketlab import versions
 from basketlab.operators.mining import itemset_order, rule_order
-from basketlab.sources.tables import read_if_exists
 
+SECTION_ROWS = 10_000
 
-def write_table(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> None:
-    """Replace-on-write by default; ``ignore`` keeps what is there."""
-    df.write.format(kind).mode(mode).save(path)
 
+def write_table(df: DataFrame, path: str, kind: str = "parquet", if_exists: str = "replace") -> None:
+    """Replace-on-write by default; ``keep`` leaves a complete table that is there."""
+    load(df, path, if_exists, lambda: versions.write(df, path, kind))
 
-def write_baskets(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def load(df: DataFrame, path: str, if_exists: str, write: Callable[[], versions.Version]) -> bool:
+    """Write, or with ``if_exists="keep"`` leave a table that has a complete version; True when written."""
+    if if_exists not in ("keep", "replace"):
+        raise ValueError("if_exists is keep or replace")
+    if if_exists == "keep" and versions.current(df.sparkSession, path) is not None:
+        return False
+    write()
+    return True
+
+
+def write_baskets(documents: DataFrame, path: str) -> versions.Version:
     """Basket documents, range-partitioned and sorted by order.
 
     Row groups then cover narrow order ranges, so a lookup by order reads one of them.
     """
-    (
-        documents.repartitionByRange("order_id")
-        .sortWithinPartitions("order_id")
-        .write.mode(mode)
-        .parquet(path)
-    )
+    sorted_rows = documents.repartitionByRange("order_id").sortWithinPartitions("order_id")
+    return versions.replace(documents.sparkSession, path, lambda folder: sorted_rows.write.parquet(folder))
 
 
 def load_baskets(documents: DataFrame, path: str, if_exists: str) -> bool:
     """Write the store, or with ``if_exists="keep"`` leave a store that is there; True when written.
 
-    Spark commits a write as a whole, so a store that can be read is complete.
+    A store is there when it has a manifest; files that a broken write left do not count.
     """
-    if if_exists not in ("keep", "replace"):
-        raise ValueError("if_exists is keep or replace")
-    if if_exists == "keep" and read_if_exists(documents.sparkSession, path) is not None:
-        return False
-    write_baskets(documents, path)
-    return True
+    return load(documents, path, if_exists, lambda: write_baskets(documents, path))
 
 
 def export_baskets_json(documents: DataFrame, path: str) -> None:
     """One JSON object per line with order and items; an existing export stays."""
-    documents.select("order_id", "items").write.mode("ignore").json(path)
+    write_table(documents.select("order_id", "items"), path, "json", "keep")
 
 
 def write_itemsets(itemsets: DataFrame, path: str, kind: str = "parquet") -> None:
@@ -55,32 +60,49 @@ def write_itemsets(itemsets: DataFrame, path: str, kind: str = "parquet") -> Non
     write_table(stored, path, kind)
 
 
-def write_copies(df: DataFrame, paths: Sequence[str], kind: str = "parquet") -> None:
-    """One table under every given name, computed once."""
+def write_copies(df: DataFrame, paths: Sequence[str], kind: str = "parquet", order: Sequence[Column] = ()) -> None:
+    """One table under every given name, computed once; the others are copied from the first."""
+    spark = df.sparkSession
     first, *others = paths
-    write_table(df, first, kind)
+    stored = versions.write(df.orderBy(*order) if order else df, first, kind)
+    copy = spark.read.schema(df.schema).format(kind).load(stored.folder)
     for path in others:
-        write_table(df.sparkSession.read.schema(df.schema).format(kind).load(first), path, kind)
+        versions.write(copy.orderBy(*order) if order else copy, path, kind)
 
 
 def write_rules(rules: DataFrame, paths: Sequence[str], kind: str = "parquet") -> None:
-    """The rules, best first, under every given name.
+    """The rules, best first, under every given name."""
+    write_copies(rules, paths, kind, rule_order())
+
+
+def write_postings(rows: DataFrame, items: str, path: str) -> versions.Version:
+    """Every row once for each of its ``items``, range-partitioned and sorted by ``item``.
 
-    The first copy is the one computed; the others are copied from it.
+    Files and row groups then cover narrow ranges of items and carry a Bloom filter for
+    them, so a lookup by item skips all but a few, in any session and without an index
+    server.  An item that many rows hold is spread over several files by the whole set.
     """
-    first, *others = paths
-    write_table(rules.orderBy(*rule_order()), first, kind)
-    stored = rules.sparkSession.read.schema(rules.schema).format(kind).load(first)
-    for path in others:
-        write_table(stored.orderBy(*rule_order()), path, kind)
+    spread = rows.withColumn("item", F.explode(F.array_distinct(items)))
+    ordered = spread.repartitionByRange("item", F.xxhash64(items)).sortWithinPartitions("item")
+    writer = ordered.write.option("parquet.bloom.filter.enabled#item", "true")
+    return versions.replace(rows.sparkSession, path, lambda folder: writer.parquet(folder))
+
 
+def rows_as_array(df: DataFrame, order: Sequence[str | Column], most: int = SECTION_ROWS) -> Column:
+    """A section of at most ``most`` rows as one array of structs, as a scalar subquery.
 
-def rows_as_array(df: DataFrame, order: Sequence[str | Column]) -> Column:
-    """A section of fixed size as one array of structs, as a scalar subquery."""
+    A section that grows with the data belongs in a table; more rows are an error.
+    """
     key = F.struct(*order).alias("order")
     row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
     packed = F.array_sort(F.collect_list(F.struct(key, row)))
-    return df.agg(F.transform(packed, lambda p: p["row"]).alias("rows")).scalar()
+    rows = F.transform(packed, lambda p: p["row"])
+    too_many = F.raise_error(F.lit(f"a report section has more than {most} rows")).cast(_array_type(df))
+    return df.limit(most + 1).agg(F.when(F.count(F.lit(1)) <= most, rows).otherwise(too_many).alias("rows")).scalar()
+
+
+def _array_type(df: DataFrame) -> T.ArrayType:
+    return T.ArrayType(df.schema)
 
 
 def summary_document(
@@ -106,11 +128,15 @@ def report_document(
 
 
 def patch_summary(df: DataFrame, changes: Mapping[str, Column], path: str) -> None:
-    """Overwrite some fields of a stored one-row summary and write it to a new path."""
+    """Overwrite some fields of a stored one-row summary.
+
+    ``path`` may be where ``df`` was read from: the version read stays until the patched
+    one is in force.
+    """
     unknown = [name for name in changes if name not in df.columns]
     if unknown:
         raise ValueError(f"the summary has no field {', '.join(unknown)}")
-    df.withColumns(dict(changes)).write.mode("overwrite").json(path)
+    versions.write(df.withColumns(dict(changes)), path, "json")
 
 
 def append_run(metrics: DataFrame, path: str) -> None:

@@ -4,21 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketlab.functions.labels import LOG_PATTERNS, OPTIONAL_MARKS
 
 
+# the start of a line: date with a year of four or two digits, time, optional fraction
+STAMP = r"^\s*(?:\d\d)?(\d\d[-/]\d\d[-/]\d\d)[ T](\d\d:\d\d:\d\d(?:[.,]\d{1,6})?)"
+PART = r"part-0*(\d+)[^/]*$"
+
+
+def _stamp(line: Column) -> Column:
+    """The time a line starts with, null without one."""
+    day = F.translate(F.regexp_extract(line, STAMP, 1), "/", "-")
+    time = F.translate(F.regexp_extract(line, STAMP, 2), ",", ".")
+    return F.try_to_timestamp(F.concat(F.lit("20"), day, F.lit(" "), time))
+
+
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Log lines with ``line_order``: file, split within the file, line within the split.
+    """Log lines with ``line_order``: time, number of the part file, file, split, line within the split.
 
-    A split is read by one task in file order, so the three keys together give the
-    order of the lines however the files were cut into tasks.
+    The time a line starts with comes first, so files may have any names; a line without
+    a time counts as older than all that have one.  Among equal times the part files
+    follow their number, not its text.  A split is read by one task in file order, so
+    the last keys give the order of its lines however the files were cut into tasks.
     """
+    file = F.col("_metadata.file_path")
     return spark.read.text(path).select(
         "value",
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
+            _stamp(F.col("value")).alias("time"),
+            F.coalesce(F.regexp_extract(file, PART, 1).try_cast("long"), F.lit(-1).cast("long")).alias("part"),
+            file.alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("line"),
         ).alias("line_order"),

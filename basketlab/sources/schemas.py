@@ -59,6 +59,9 @@ STAR = {
         ("c_acctbal", DOUBLE),
         ("c_mktsegment", STRING),
     ),
+    "supplier": _struct(
+        ("s_suppkey", LONG), ("s_name", STRING), ("s_nationkey", INT), ("s_acctbal", DOUBLE)
+    ),
     "part": _struct(
         ("p_partkey", LONG),
         ("p_name", STRING),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from basketlab import versions
 from basketlab.sources.schemas import BASKET_LINES
 
 NO_SOURCE = "none"
@@ -23,14 +24,17 @@ def file_format(path: str) -> str:
 def read_table(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Read one table; the format follows from the ending of the path.
+    """Read one table: its current version, or what plain files lie at the path.
 
-    CSV needs a schema, because inferring it is another full pass over the file.
+    The manifest of a versioned table names the format, otherwise it follows from the
+    ending of the path.  CSV needs a schema, because inferring it is another full pass
+    over the file.
     """
-    kind = file_format(path)
+    stored = versions.current(spark, path)
+    kind, path = (file_format(path), path) if stored is None else (stored.kind, stored.folder)
     reader = spark.read
     if kind == "csv":
         if schema is None:
@@ -45,7 +49,7 @@ def read_table(
 def read_if_exists(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """The table, or None when nothing lies at the path."""
@@ -82,7 +86,7 @@ def with_source(df: DataFrame, source: str) -> DataFrame:
 
 def read_baskets_json(spark: SparkSession, path: str) -> DataFrame:
     """Baskets from JSON lines ``{"order_id": .., "items": [..]}``."""
-    return spark.read.schema(BASKET_LINES).json(path)
+    return read_table(spark, path, BASKET_LINES)
 
 
 def read_stored(

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -40,6 +41,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def remove_scratch(spark: SparkSession) -> bool:
     """Delete what this application wrote below the shared folder; no table read from there may be used after."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return remove(spark, f"{shared_root(spark)}/{spark.sparkContext.applicationId}")
 
 
@@ -55,3 +58,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
+    """Write ``df`` once as a table bucketed and sorted by ``key``: joins on it need not move it again.
+
+    Only the catalog knows buckets, so the table is registered under a name of its own
+    until ``remove_scratch``.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, label)).saveAsTable(name)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)

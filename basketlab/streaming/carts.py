@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from basketlab.functions.labels import FALLBACK_ITEMS, RECOMMENDATIONS
-from basketlab.operators.recommend import rank_rules, recommend_with_fallback
+from basketlab.operators.recommend import prepare, recommend_with_fallback
 from basketlab.sources.schemas import CARTS
 
 
@@ -32,14 +32,18 @@ def score_carts(
 
     Carts are independent, so no state is kept.  Each micro-batch overwrites its own
     folder: a batch replayed after a failure leaves the same rows, not a second copy.
-    The rules are ranked once for all batches; ``popular`` should be a written table.
+    Rules and sales are numbered, keyed by the rarest item of what was sold and bucketed
+    by it once, before the first batch; a batch moves its carts only.
     """
-    ranked = rank_rules(rules)
+    buckets = int(carts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ready = prepare(rules, popular, buckets)
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        recommend_with_fallback(batch, ranked, popular, top_n, fallback_n).write.mode(
-            "overwrite"
-        ).parquet(f"{out_path}/batch_id={batch_id}")
+        batch.persist()  # several joins read it; what an executor loses is read again
+        recommend_with_fallback(batch, rules, popular, top_n, fallback_n, ready).write.mode("overwrite").parquet(
+            f"{out_path}/batch_id={batch_id}"
+        )
+        batch.unpersist()
 
     return (
         carts.writeStream.foreachBatch(score)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from basketlab import versions
 from basketlab.sources.retail import day_of_week
 from basketlab.storage import remove
 
@@ -47,7 +48,12 @@ def hourly_counts(times: DataFrame, delay: str = DELAY) -> DataFrame:
     )
 
 
-HOURS = "hour_start timestamp, dow int, hour int, orders_count long, closed boolean"
+CLOSED = "hour_start timestamp, dow int, hour int, orders_count long"
+HOURS = f"{CLOSED}, closed boolean"
+
+
+MERGED = "_merged"
+MERGE_EVERY = 20
 
 
 def store_hours(batch: DataFrame, batch_id: int, out_path: str, delay: str = DELAY) -> None:
@@ -58,7 +64,8 @@ def store_hours(batch: DataFrame, batch_id: int, out_path: str, delay: str = DEL
     read again by a batch.  It is closed by the latest hour of the batches before this
     one, because that is what the next batch's orders are held against.  A replayed
     batch reads the folder of its predecessor and overwrites its own, so nothing
-    changes; open hours of older folders are removed.
+    changes; open hours of older folders are removed.  Every ``MERGE_EVERY`` batches the
+    closed hours of the batches before move into one table.
     """
     spark = batch.sparkSession
     known = spark.createDataFrame([], HOURS)
@@ -73,6 +80,37 @@ def store_hours(batch: DataFrame, batch_id: int, out_path: str, delay: str = DEL
     ).parquet(f"{out_path}/batch_id={batch_id}")
     if batch_id > 1:
         remove(spark, f"{out_path}/batch_id={batch_id - 2}/closed=false")
+    if batch_id % MERGE_EVERY == MERGE_EVERY - 1:
+        merge_closed(spark, out_path, batch_id - 1)
+
+
+def _merged(spark: SparkSession, out_path: str) -> tuple[DataFrame, int]:
+    """The closed hours merged so far and the last batch they cover, -1 before the first time."""
+    stored = versions.current(spark, f"{out_path}/{MERGED}")
+    if stored is None:
+        return spark.createDataFrame([], CLOSED), -1
+    return spark.read.schema(CLOSED).parquet(stored.folder), stored.notes["through"]
+
+
+def merge_closed(spark: SparkSession, out_path: str, through: int) -> None:
+    """Move the closed hours of all batches up to ``through`` into one sorted file.
+
+    The file is a new version of the merged table and says which batches it covers, so a
+    reader sees an hour either there or in the folder of its batch, never in both.
+    Covered folders are removed afterwards, but for the last one, whose open hours a
+    replay still reads.  The file has a row for each hour since the start, whatever the
+    number of orders.
+    """
+    old, done = _merged(spark, out_path)
+    if done >= through:
+        return  # a replay
+    hours = spark.read.schema(f"{HOURS}, batch_id long").parquet(out_path)
+    new = hours.filter(F.col("closed") & F.col("batch_id").between(done + 1, through)).drop("batch_id", "closed")
+    every = old.unionByName(new).repartition(1).sortWithinPartitions("hour_start", "dow", "hour")
+    versions.replace(spark, f"{out_path}/{MERGED}", every.write.parquet, notes={"through": through})
+    for batch_id in range(done, through):  # the last covered folder of the time before stayed then
+        remove(spark, f"{out_path}/batch_id={batch_id}")
+    remove(spark, f"{out_path}/batch_id={through}/closed=true")
 
 
 def keep_hourly_counts(
@@ -89,10 +127,13 @@ def keep_hourly_counts(
 
 
 def current_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The count of every hour: the closed ones and those open after the last batch."""
+    """The count of every hour: the closed ones, merged or not, and those open after the last batch."""
+    merged, through = _merged(spark, out_path)
     hours = spark.read.schema(f"{HOURS}, batch_id long").parquet(out_path)
     last = hours.filter(~F.col("closed")).agg(F.max("batch_id")).scalar()
-    return hours.filter(F.col("closed") | (F.col("batch_id") == last)).drop("batch_id", "closed")
+    closed = F.col("closed") & (F.col("batch_id") > through)
+    recent = hours.filter(closed | (~F.col("closed") & (F.col("batch_id") == last))).drop("batch_id", "closed")
+    return merged.unionByName(recent)
 
 
 def density_from_hours(hours: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", shuffle_partitions=4, driver_memory="6g")
+    # plan texts are searched for whole paths, also long ones
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
     yield session
     session.stop()
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from basketlab import versions
 from basketlab.operators import mining as M
 from basketlab.plans import evaluation as EV
 from basketlab.plans import market_basket as MB
@@ -46,14 +47,14 @@ def test_whole_job_on_csv_sees_lines_without_an_order(spark, csv_dir, tmp_path):
     out = str(tmp_path / "job")
     settings = MB.Settings(min_item_freq=2, min_confidence=0.1, min_lift=0.5)
     model = MB.run_pipeline(spark, retail.load_csv(spark, str(csv_dir)), settings, out, "csv")
-    row = spark.read.parquet(f"{out}/integrity").first()
+    row = tables.read_table(spark, f"{out}/integrity").first()
     assert (row["total_lines"], row["orphan_orders"], row["orphan_products"]) == (6, 1, 1)
     assert model.n_baskets == 2 and model.min_support == 1.0
     assert {tuple(r["antecedent"] + r["consequent"]) for r in model.rules.collect()} == {
         ("Milk", "Tea, green"),
         ("Tea, green", "Milk"),
     }
-    report = json.loads(spark.read.json(f"{out}/quality").toJSON().first())
+    report = json.loads(tables.read_table(spark, f"{out}/quality").toJSON().first())
     tables_ok = {t["table_name"]: t["foreign_key_valid"] for t in report["tables"]}
     # the catalog refers to aisles and departments, whose files are not there
     assert tables_ok == {
@@ -61,9 +62,9 @@ def test_whole_job_on_csv_sees_lines_without_an_order(spark, csv_dir, tmp_path):
     }
     orders = next(t for t in report["tables"] if t["table_name"] == "orders")
     assert (orders["total_rows"], orders["total_cols"], orders["null_count"]) == (3, 7, 2)
-    summaries = [spark.read.json(f"{out}/{name}").first() for name in ("summary_prior", "summary")]
+    summaries = [tables.read_table(spark, f"{out}/{name}").first() for name in ("summary_prior", "summary")]
     assert summaries[0] == summaries[1] and summaries[0]["training_time_seconds"] > 0
-    assert spark.read.json(f"{out}/itemset_totals").first()["total_1_itemsets"] == 2
+    assert tables.read_table(spark, f"{out}/itemset_totals").first()["total_1_itemsets"] == 2
 
 
 def test_csv_without_lines_and_without_schema(spark, tmp_path):
@@ -119,6 +120,28 @@ def test_log_marks(spark, tmp_path):
     assert timings["job0"] == 15.04 and timings["total"] == 923.27 and timings["spark_version"] == "4.1.2"
 
 
+def test_last_mark_follows_time_then_part_number(spark, tmp_path):
+    line = "INFO Job 0 finished in {}s."
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "part-99999-a.txt").write_text(line.format(1) + "\n" + line.format(2))
+    (plain / "part-100000-a.txt").write_text(line.format(3) + "\n" + line.format(4))
+    stamped = tmp_path / "stamped"
+    stamped.mkdir()
+    (stamped / "part-00001.txt").write_text("2024-01-02 10:00:00,250 " + line.format(5) + "\n24/01/02 09:59:59 " + line.format(6))
+    (stamped / "part-00002.txt").write_text("2024-01-02T10:00:00.249 " + line.format(7) + "\n" + line.format(8))
+    same = tmp_path / "same"
+    same.mkdir()
+    for part in (99999, 100000):
+        (same / f"part-{part}.txt").write_text(f"24/01/02 09:59:59 {line.format(part)}")
+    (same / "part-100001.txt").write_text("24/13/45 09:59:59 " + line.format(9))
+
+    def last(folder):
+        return logs.log_marks(logs.read_log_lines(spark, str(folder))).first()["value"]
+
+    assert (last(plain), last(stamped), last(same)) == ("4", "5", "100000")
+
+
 def test_log_without_required_mark_or_version(spark, tmp_path):
     path = tmp_path / "run.log"
     path.write_text("\n".join(LOG.splitlines()[1:]))
@@ -136,6 +159,85 @@ def test_export_stays_and_reads_back(spark, tmp_path):
     assert [tuple(r) for r in tables.read_baskets_json(spark, path).collect()] == [(1, ["a", "b"])]
 
 
+class Broken(Exception):
+    pass
+
+
+def broken_after(files_written, df, tmp_path):
+    """Writes like a job that dies: some files of the new folder are there, then the driver is gone."""
+
+    def write(folder):
+        df.write.parquet(f"{folder}/part")
+        files_written.append(folder)
+        raise Broken
+
+    return write
+
+
+def test_broken_write_leaves_the_old_rows(spark, tmp_path):
+    path, left = str(tmp_path / "rules"), []
+    P.write_table(spark.range(5), path)
+    with pytest.raises(Broken):
+        versions.replace(spark, path, broken_after(left, spark.range(9), tmp_path))
+    assert left and tables.read_table(spark, path).count() == 5
+    # a job that failed inside Spark leaves them too
+    with pytest.raises(Exception, match="bad row"):
+        P.write_table(spark.range(9).select(F.when(F.col("id") < 7, F.col("id")).otherwise(F.raise_error(F.lit("bad row")))), path)
+    assert tables.read_table(spark, path).count() == 5
+    P.write_table(spark.range(7), path)
+    assert tables.read_table(spark, path).count() == 7
+    # the remains are gone; the version before stays for those who still read it
+    folders = [f.name for f in tmp_path.joinpath("rules").iterdir() if f.name.startswith("data-")]
+    assert len(folders) == 2 and not any(f in folder for folder in left for f in folders)
+
+
+def test_half_written_store_is_rewritten_under_keep(spark, tmp_path):
+    documents = spark.createDataFrame([(1, ["a"]), (2, ["b"])], schemas.BASKET_LINES)
+    path = str(tmp_path / "baskets")
+    documents.limit(1).write.parquet(path)  # files without a manifest
+    (tmp_path / "baskets" / "_SUCCESS").unlink()
+    with pytest.raises(Broken):
+        versions.replace(spark, path, broken_after([], documents.limit(1), tmp_path))
+    assert P.load_baskets(documents, path, "keep") is True
+    assert tables.read_table(spark, path).count() == 2
+    assert P.load_baskets(documents.limit(0), path, "keep") is False
+    assert tables.read_table(spark, path, documents.schema).count() == 2
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def late(folder):
+        P.write_table(spark.range(3), path)  # another job finishes first
+        spark.range(8).write.parquet(folder)
+
+    with pytest.raises(RuntimeError, match="another job"):
+        versions.replace(spark, path, late)
+    assert tables.read_table(spark, path).count() == 3
+
+
+def test_readers_of_the_old_version_are_not_disturbed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    P.write_table(spark.range(4), path, "json")
+    old = tables.read_table(spark, path)
+    P.write_table(spark.range(6), path)
+    assert (old.count(), tables.read_table(spark, path).count()) == (4, 6)
+    assert versions.current(spark, path).kind == "parquet"
+
+
+def test_summary_is_patched_in_place(spark, tmp_path):
+    path = str(tmp_path / "summary")
+    P.write_table(spark.createDataFrame([(5, 7)], "total_orders long, total_rules long"), path, "json")
+    P.patch_summary(tables.read_table(spark, path), {"total_rules": F.lit(9).cast("long")}, path)
+    assert tables.read_table(spark, path).first().asDict() == {"total_orders": 5, "total_rules": 9}
+
+
+def test_report_sections_are_bounded(spark):
+    with pytest.raises(Exception, match="more than 5 rows"):
+        spark.range(1).select(P.rows_as_array(spark.range(6), ["id"], 5)).collect()
+    assert len(spark.range(1).select(P.rows_as_array(spark.range(5), ["id"], 5)).first()[0]) == 5
+
+
 def test_patch_rejects_unknown_fields(spark, tmp_path):
     with pytest.raises(ValueError):
         P.patch_summary(spark.range(1), {"total": F.lit(1)}, str(tmp_path / "s"))
@@ -162,6 +264,51 @@ def test_recorder(spark):
     assert all(r["seconds"] >= 0 and r["finished_at"] for r in rows)
 
 
+@pytest.fixture
+def many_files(spark):
+    """Small partitions stay apart, as those of large data do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def scanned_rows(spark, df):
+    """Result of a lookup and the rows that its scan handed on: those of row groups that were not skipped."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    nothing = gateway.new_array(gateway.jvm.double, 0)
+
+    def total():
+        stages = store.stageList(None, False, False, nothing, None)
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    rows = df.collect()
+    return rows, total() - before
+
+
+def test_lookups_skip_what_does_not_hold_the_item(spark, tmp_path, many_files):
+    names = [f"i{n:05d}" for n in range(5000)]
+    rules = spark.createDataFrame(
+        [(sorted([names[n], names[(n * 7) % 5000], "hot"]), [names[n - 1]], 0.5, 2.0, 0.1) for n in range(1, 5000)], schemas.RULES
+    )
+    path = str(tmp_path / "postings")
+    P.write_postings(rules, "antecedent", path)
+    postings = tables.read_table(spark, path)
+    every = postings.count()
+    for item in ("i00042", "i04999", "absent"):
+        got, read = scanned_rows(spark, M.posted(postings, item))
+        assert sorted(map(tuple, got)) == sorted(map(tuple, M.rules_with_antecedent_item(rules, item).collect()))
+        assert read < every / 2 and (item != "absent" or read == 0)
+    wanted = rules.filter("array_contains(antecedent, 'i00042')").first()
+    ask = list(reversed(wanted["antecedent"]))
+    got, read = scanned_rows(spark, M.posted_rule(postings, ask, wanted["consequent"]))
+    assert [r["consequent"] for r in got] == [wanted["consequent"]] and read < every
+    itemsets = rules.select(F.col("antecedent").alias("items"), F.size("antecedent").alias("k"), F.lit(5).cast("long").alias("frequency"), "support")
+    P.write_postings(itemsets, "items", path + "2")
+    got, read = scanned_rows(spark, M.posted_itemset(tables.read_table(spark, path + "2"), ["i00043", "hot", "i00301"]))
+    assert [r["items"] for r in got] == [["hot", "i00043", "i00301"]] and read < every / 2
+
+
 def test_whole_job_publishes_consistent_results(spark, tmp_path):
     settings = MB.Settings(min_item_freq=8, min_support=0.01, min_confidence=0.05, min_lift=1.0)
     out = str(tmp_path / "job")
@@ -171,35 +318,35 @@ def test_whole_job_publishes_consistent_results(spark, tmp_path):
     runs = spark.read.parquet(f"{out}/runs")
     assert runs.select("run_id").distinct().count() == 2
     assert runs.groupBy("run_id").count().first()["count"] >= 5
-    baskets = spark.read.schema(schemas.BASKET_DOCUMENTS).parquet(f"{out}/baskets")
+    baskets = tables.read_table(spark, f"{out}/baskets", schemas.BASKET_DOCUMENTS)
     assert baskets.count() == model.n_baskets > 0
     assert baskets.filter(F.size("items") != F.size(F.array_distinct("items"))).count() == 0
     assert baskets.agg(F.min("items_count")).first()[0] >= 2
-    report = json.loads(spark.read.json(f"{out}/quality").toJSON().first())
+    report = json.loads(tables.read_table(spark, f"{out}/quality").toJSON().first())
     kpis = report["kpis"]
     assert kpis["valid_baskets"] + kpis["excluded_baskets"] == kpis["total_prior_orders"]
     assert sum(g["orders_count"] for g in report["excluded_orders_breakdown"]) == kpis["excluded_baskets"]
     assert kpis["valid_baskets"] == model.n_baskets
-    rules = spark.read.parquet(f"{out}/rules")
-    assert rules.count() == spark.read.parquet(f"{out}/rules_prior").count() == model.rules.count() > 0
+    rules = tables.read_table(spark, f"{out}/rules")
+    assert rules.count() == tables.read_table(spark, f"{out}/rules_prior").count() == model.rules.count() > 0
     assert rules.filter("lift <= 1.0 OR confidence <= 0 OR confidence > 1").count() == 0
-    itemsets = spark.read.parquet(f"{out}/itemsets")
+    itemsets = tables.read_table(spark, f"{out}/itemsets")
     assert itemsets.filter(F.col("k") != F.size("items")).count() == 0
-    summary = json.loads(spark.read.json(f"{out}/summary").toJSON().first())
+    summary = json.loads(tables.read_table(spark, f"{out}/summary").toJSON().first())
     assert summary["total_orders"] == kpis["total_prior_orders"]
     assert len(summary["top_products"]) == 15
     EV.publish_evaluation(model, model.baskets, F.lit(64), out)
-    evaluation = json.loads(spark.read.json(f"{out}/evaluation").toJSON().first())
+    evaluation = json.loads(tables.read_table(spark, f"{out}/evaluation").toJSON().first())
     assert evaluation["baskets_queried"] == model.n_baskets
     assert [m["k"] for m in evaluation["metrics_by_k"]] == [3, 5, 10]
-    experiments = [r["config_id"] for r in spark.read.parquet(f"{out}/experiments").collect()]
+    experiments = [r["config_id"] for r in tables.read_table(spark, f"{out}/experiments").collect()]
     assert len(experiments) == 5  # also those below the support mined at
     assert M.itemset_counts(itemsets).first()["total_itemsets"] == itemsets.count()
 
 
 def test_parameter_study(spark):
     data = retail.load_star(spark, SMALL)
-    rows = EV.parameter_study(data, [("a", 0.01, 0.05), ("b", 0.03, 0.05)], 8).collect()
+    rows = EV.parameter_study(data, [("a", 0.01, 0.05), ("b", 0.03, 0.05)], MB.Settings(min_item_freq=8, mining_partitions=3)).collect()
     assert [r["config_id"] for r in rows] == ["a", "b"]
     assert rows[0]["frequent_itemsets"] > rows[1]["frequent_itemsets"] > 0
     assert all(0 <= r["training_seconds"] <= r["total_seconds"] for r in rows)
@@ -228,6 +375,6 @@ def test_train_lines_alone_make_a_whole_run(spark, tmp_path):
     products.write.option("header", True).csv(f"{tmp_path}/products.csv")
     settings = MB.Settings(min_item_freq=None, min_support=0.02, min_confidence=0.05, min_lift=1.0, mining_partitions=3)
     model = MB.run_pipeline(spark, retail.load_csv(spark, str(tmp_path)), settings, f"{tmp_path}/out", "run")
-    assert spark.read.parquet(f"{tmp_path}/out/baskets").count() == model.n_baskets > 0
-    integrity = spark.read.parquet(f"{tmp_path}/out/integrity").first().asDict()
+    assert tables.read_table(spark, f"{tmp_path}/out/baskets").count() == model.n_baskets > 0
+    integrity = tables.read_table(spark, f"{tmp_path}/out/integrity").first().asDict()
     assert not any(v for k, v in integrity.items() if "orphan" in k)

@@ -118,6 +118,36 @@ def test_sweep_equals_mining_each_configuration(spark, baskets, itemsets):
     assert got["high"]["association_rules"] == 0 and got["high"]["max_lift"] == 0.0
 
 
+def test_sweep_over_a_large_grid(spark, itemsets):
+    """1600 configurations in any order, some equal: as if each were counted alone; the plan does not widen."""
+    rng = random.Random(3)
+    configs = [(f"{s}-{c}", 0.05 + 0.005 * s, 0.02 * c) for s in range(40) for c in range(40)]
+    rng.shuffle(configs)
+    configs += configs[:3]
+    rows = M.sweep(itemsets, len(BASKETS), configs, 1.05).collect()
+    assert [r["config_id"] for r in rows] == [c[0] for c in configs]
+    rules = M.counted_rules(itemsets, len(BASKETS), 0.0).filter("lift > 1.05").collect()
+    frequencies = [r["frequency"] for r in itemsets.collect()]
+    for row, (_, support, confidence) in zip(rows, configs):
+        least = min_count(support, len(BASKETS))
+        kept = [r for r in rules if r["frequency"] >= least and r["confidence"] >= confidence]
+        assert row["frequent_itemsets"] == sum(f >= least for f in frequencies)
+        assert row["association_rules"] == len(kept)
+        assert row["max_lift"] == pytest.approx(max((r["lift"] for r in kept), default=0.0), abs=1e-4)
+        mean = sum(r["confidence"] for r in kept) / len(kept) if kept else 0.0
+        assert row["avg_confidence"] == pytest.approx(mean, abs=1e-4)
+
+    def width(grid):
+        return len(M.sweep(itemsets, len(BASKETS), grid)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    assert width(configs) == width(configs[:2])
+
+
+def test_item_groups_follow_items_and_baskets():
+    assert M.item_groups(0, 0) == 1 and M.item_groups(5, 10**9) == 5
+    assert M.item_groups(64_000, 10) == 1000 and M.item_groups(64_000, 10**8) == 5000
+
+
 def test_explained_rule_falls_back_to_derived_numbers(spark):
     rules = spark.createDataFrame([(["a"], ["b"], 0.25, 2.5, 0.05)], RULES)
     none = spark.createDataFrame([], ITEMSETS)

@@ -151,12 +151,88 @@ def test_carts_full_of_best_sellers_still_get_three(spark):
     assert got == {1: ["p12", "p13", "p14"], 2: ["p08", "p09", "p10"], 3: ["p00", "p01", "p02"], 4: []}
 
 
-def test_rules_that_share_a_best_seller_are_tried_by_their_rare_item(spark):
+@pytest.mark.parametrize("sales", [None, [("a", 2000), ("b", 9000)] + [(f"r{i:03d}", 1) for i in range(300)]])
+def test_rules_that_share_a_best_seller_are_tried_by_their_rare_item(spark, sales):
     rules = spark.createDataFrame([(["a", f"r{i:03d}"], ["z"], 0.5, 2.0, 0.1) for i in range(300)], RULES)
     carts = spark.createDataFrame([(i, ["a", f"r{i:03d}"] if i < 300 else ["a", "b"]) for i in range(2000)], CARTS)
-    keys = R.rarest_items(carts, rules)
-    candidates = carts.select(F.explode("items").alias("key_item")).join(keys, "key_item").count()
-    assert candidates == R.match_rules(carts, rules).count() == 300
+    sold = None if sales is None else spark.createDataFrame(sales, "item string, total_sales long")
+    ready = R.prepare(rules, sold)
+    met = R.cart_items(carts, ready.numbers).join(ready.offers.table, F.col("number") == F.col("key")).count()
+    assert met == R.match_rules(carts, rules, sold).count() == 300
+
+
+def test_prefix_filter_asks_for_the_second_rarest_item(spark):
+    """Candidates that share only their rarest item with a cart are gone before the rest is looked at."""
+    rules = spark.createDataFrame([(["k", f"s{i:03d}", "t", "u"], ["z"], 0.5, 2.0, 0.1) for i in range(200)], RULES)
+    sales = spark.createDataFrame(
+        [("k", 1), ("t", 500), ("u", 600), ("z", 700)] + [(f"s{i:03d}", 2) for i in range(200)], "item string, total_sales long"
+    )
+    ready = R.prepare(rules, sales)
+    assert ready.offers.longest == 4
+    rows = ready.offers.table.collect()
+    assert len({r["key"] for r in rows}) == 1 and len({r["second"] for r in rows}) == 200
+    assert all(len(r["rest"]) == 2 and r["rest"] == sorted(r["rest"]) for r in rows)
+    carts = spark.createDataFrame([(1, ["k", "t", "u", "s007"]), (2, ["k", "t", "u"]), (3, ["k", "s007", "t"])], CARTS)
+    assert [r["cart_id"] for r in R.match_rules(carts, rules, sales).collect()] == [1]
+
+
+def shuffled_bytes(spark, run):
+    """Bytes that all stages of ``run`` wrote for shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    gateway = spark.sparkContext._gateway
+    nothing = gateway.new_array(gateway.jvm.double, 0)
+
+    def total():
+        stages = store.stageList(None, False, False, nothing, None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = total()
+    run()
+    return total() - before
+
+
+def test_shuffled_bytes_grow_with_the_cart_not_its_square(spark, no_broadcast):
+    """One cart of 20,000 items against one of 2,000: nothing copies a cart onto its items."""
+    names = [f"i{n:05d}" for n in range(21_000)]
+    rules = spark.createDataFrame(
+        [([names[n]], [names[n + 500]], 0.5, 2.0, 0.1) for n in range(0, 20_500, 10)]
+        + [(sorted([names[n], names[n + 1], names[n + 2]]), ["z"], 0.5, 1.5, 0.1) for n in range(0, 20_000, 50)],
+        RULES,
+    )
+    sales = spark.createDataFrame([(n, 1 + i % 97) for i, n in enumerate([*names, "z"])], "item string, total_sales long")
+    ready = R.prepare(rules, sales)
+    moved = {}
+    for size in (2_000, 20_000):
+        carts = spark.createDataFrame([(1, names[:size])], CARTS)
+        served = R.recommend_with_fallback(carts, rules, sales, serving=ready)
+        moved[size] = shuffled_bytes(spark, served.collect)
+        assert {r["source"] for r in served.collect()} == {"rule"}
+    assert 0 < moved[20_000] < 20 * moved[2_000] and moved[20_000] < 20_000 * 400
+
+
+def test_one_huge_cart_does_not_weigh_on_the_small_ones(spark):
+    """Free places of best sellers: the huge cart gets the three behind its own, the others the first three."""
+    sold = [f"p{n:05d}" for n in range(30_000)]
+    popular = spark.createDataFrame([(p, 100_000 - n) for n, p in enumerate(sold)], "item string, total_sales long")
+    carts = spark.createDataFrame([(0, sold[:20_000])] + [(i, [sold[i % 5]]) for i in range(1, 2001)], CARTS)
+    got = {}
+    for r in R.recommend_with_fallback(carts, spark.createDataFrame([], RULES), popular).collect():
+        got.setdefault(r["cart_id"], {})[r["rank"]] = r["item"]
+    assert list(got[0].values()) == sold[20_000:20_003] and len(got) == 2001
+    for i in (1, 2, 3, 4, 5, 2000):
+        assert [got[i][k] for k in (1, 2, 3)] == [p for n, p in enumerate(sold[:5]) if n != i % 5][:3]
+    places = R.sale_places(popular)
+    held = R.free_places(carts, places, 3)
+    # what a small cart carries is as long as itself plus three
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan and held.filter("cart_id > 0 AND size(free) <> 3").isEmpty()
+
+
+def test_fewer_best_sellers_than_asked_for(spark):
+    popular = spark.createDataFrame([("a", 3), ("b", 2)], "item string, total_sales long")
+    given = carts(spark, ["a"], ["a", "b"], ["x", "x"])
+    rows = R.recommend_with_fallback(given, spark.createDataFrame([], RULES), popular).collect()
+    assert sorted((r["cart_id"], r["rank"], r["item"]) for r in rows) == [(0, 1, "b"), (2, 1, "a"), (2, 2, "b")]
 
 
 def test_rules_without_antecedent_are_an_error(spark):

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -82,3 +83,43 @@ def test_density_equals_batch_and_drops_late_rows(spark, tmp_path):
     write_times(spark, path, [start])
     late = {tuple(r) for r in SD.density_from_hours(run_density(spark, path, out, state)).collect()}
     assert late == streamed
+
+
+def test_files_stay_few_over_many_batches(spark, tmp_path):
+    """200 batches of one new hour each: closed hours move into one file, also when batches are replayed."""
+    out = tmp_path / "out"
+    start, want = datetime(2024, 3, 1), {}
+    most = 0
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    for batch_id in range(200):
+        at = start + timedelta(hours=batch_id)
+        again = start + timedelta(hours=max(0, batch_id - 1))  # the hour before still gets orders
+        rows = {(again, 4): batch_id + 1000, (at, 4): batch_id + 1}
+        want.update(rows)
+        values = ", ".join(f"(TIMESTAMP '{h}', {d}, {h.hour}, {n}L)" for (h, d), n in rows.items())
+        batch = spark.sql(f"SELECT * FROM VALUES {values} AS t(hour_start, dow, hour, orders_count)")
+        for _ in range(2 if batch_id % 20 in (0, 19) else 1):
+            SD.store_hours(batch, batch_id, str(out))
+        if batch_id % 10 == 9:
+            most = max(most, sum(1 for _ in out.rglob("*.parquet")))
+    assert most <= 3 * SD.MERGE_EVERY + 4 and len(list(out.glob("batch_id=*"))) <= SD.MERGE_EVERY + 2
+    got = {(r["hour_start"], r["dow"]): r["orders_count"] for r in SD.current_counts(spark, str(out)).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == want and SD.current_counts(spark, str(out)).count() == 200
+
+
+def test_a_batch_of_carts_counts_no_items(spark, model):
+    """Rules and sales are keyed once; the plan of a batch aggregates by cart only and moves no offers."""
+    rules, popular = model
+    ready = R.prepare(rules, popular, 4)
+    batch = spark.createDataFrame([(0, ["A", "D"]), (1, ["Q"])], CARTS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        served = R.recommend_with_fallback(batch, rules, popular, serving=ready)
+        plan = served._jdf.queryExecution().executedPlan().toString()
+        rows = served.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", plan)
+    assert keys and all("cart_id" in k for k in keys)
+    assert "Bucketed: true" in plan and {r["cart_id"] for r in rows} == {0, 1}
