@@ -1,4 +1,4 @@
-"""Tables of counters of a fixed size, summed over all tasks.
+"""Tables of counters or bits of a fixed size, gathered over all tasks.
 
 A task counts into an array and sends it in blocks of neighbouring counters, without
 the blocks that are all zero.  Blocks are added where they meet, first as many times as
@@ -52,3 +52,53 @@ def count_table(
     for row in summed.collect():  # a row for each block
         out[row["block"]] += np.frombuffer(row["counts"], np.int64)
     return out.ravel()[:size]
+
+
+def slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places for each key (unsigned 64 bits) in a table of ``1 << bits``."""
+    other = keys * np.uint64(0xD6E8FEB86659FD93)
+    return (keys >> np.uint64(64 - bits)).astype(np.int64), (other >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
+    """A table of ``1 << bits`` flags with both slots set of every key in a column of longs.
+
+    Whoever looks up a key finds both its slots set; a few others find that too, more of
+    them the fuller the table, so it thins out rows before an exact join.
+    """
+    block = 1 << min(bits, 15)
+    schema = "block long, flags binary"
+
+    def rows(table: np.ndarray) -> pa.RecordBatch:
+        blocks = table.reshape(-1, block)
+        at = np.flatnonzero(blocks.any(axis=1))
+        packed = [np.packbits(blocks[i]).tobytes() for i in at]
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(packed, pa.binary())], ["block", "flags"])
+
+    def merged(table: np.ndarray, found: list[tuple[int, bytes]]) -> None:
+        for at, flags in found:
+            table[at * block : (at + 1) * block] |= np.unpackbits(np.frombuffer(flags, np.uint8)).view(bool)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, bool)
+        for batch in batches:
+            for places in slots(batch.column(0).to_numpy().view(np.uint64), bits):
+                table[places] = True
+        yield rows(table)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, bool)
+        for batch in batches:
+            merged(table, list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+        yield rows(table)
+
+    gathered = keys.mapInArrow(mark, schema).repartition("block").mapInArrow(merge, schema)
+    out = np.zeros(1 << bits, bool)
+    merged(out, [(row["block"], row["flags"]) for row in gathered.collect()])  # a row for each block at most
+    return out
+
+
+def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys (signed or unsigned 64 bits) have both slots set."""
+    one, two = slots(keys.view(np.uint64), len(table).bit_length() - 1)
+    return table[one] & table[two]

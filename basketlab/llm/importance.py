@@ -32,10 +32,11 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlab.llm.counting import count_table
 from basketlab.llm.words import slices
+from basketlab.operators.order import numbered
 from basketlab.storage import materialize
 
 # fixed values of the contract
@@ -176,20 +177,6 @@ def gumbel(doc_id: Column) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
-def numbered(rows: DataFrame, *order: Column) -> DataFrame:
-    """A written table of the rows with ``place``, their number from 1 in the given order.
-
-    No task sees all rows: the sort is range-partitioned, rows are numbered within a
-    partition, and only the sizes of the partitions are summed up in one task.
-    """
-    rows = materialize(rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
-    part = F.shiftright("_at", 33)
-    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
-    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return rows.join(F.broadcast(before), part == F.col("_part")).withColumn("place", place).drop("_at", "_part", "_before")
-
-
 def resample(
     docs: DataFrame,
     target: DataFrame,
@@ -209,7 +196,8 @@ def resample(
     weighed = materialize(weighed.withColumn("row", F.monotonically_increasing_id()), "weights")
     scored = weighed.withColumn("score", F.col("weight") + gumbel(F.col("doc_id")))
     long_enough = F.col("n_words") >= min_words
-    ranked = numbered(scored, long_enough.desc(), F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row"))
+    order = [long_enough.desc(), F.desc("score"), F.asc_nulls_last("doc_id"), F.asc("row")]
+    ranked = numbered(scored, order, "place", "scored-documents")
     drawn: int = weighed.where(long_enough).count() * percent // 100
     return ranked.select(
         "doc_id", "n_words", "n_features", "weight", "score", F.when(F.col("place") <= drawn, F.col("place")).alias("rank")

@@ -25,9 +25,12 @@ whose members are all in one component has nothing left to tell.  After the hub
 the pairs that remain between different components are all tested.  A pair within one
 component cannot change the result and is the only thing left out.
 
-Scale: the texts are read twice for their shingles; 15 % of the shingles are shuffled
-as two longs.  Sets of candidates alone are moved.  All joins are equi-joins that
-adaptive execution can split.
+Scale: the texts are read twice for their shingles and once more for the candidates'
+texts; 15 % of the shingles are shuffled once, as two longs, to find those that two
+classes share.  Two tables of flags of fixed size, one of these shingles and one of the
+candidates, thin out rows where they lie, before the exact joins; on a corpus that
+fills them they thin out less.  Sets of candidates alone are moved.  All joins are
+equi-joins that adaptive execution can split.
 
 Defined results: null, empty and blank texts have an empty set and are linked with
 nothing; one to three words make one shingle; a null id counts only when a component
@@ -38,7 +41,6 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +48,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlab.llm.components import connected_components
-from basketlab.llm.counting import count_table
-from basketlab.llm.words import lower_words, slices
+from basketlab.llm.counting import bit_table, count_table, may_hold
+from basketlab.llm.words import lower_words, mixed, slices
 from basketlab.storage import materialize
 
 SHINGLE = 4
@@ -57,23 +59,22 @@ RARITY_BITS = 20
 TOKEN_BITS = 56
 PIVOTS = 16
 HUB_ROUNDS = 2
+FILTER_BITS = 23
 BATCH_BYTES = 1 << 20
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
-    """Distinct hashes of the shingles; empty without words."""
+    """Distinct hashes of the shingles, from those of their words; empty without words."""
     words = lower_words(text)
     if not words:
         return np.empty(0, np.uint64)
-    joined = b" ".join(words)
-    if len(words) <= SHINGLE:
-        digests = xxhash.xxh64_digest(joined, SEED)
-    else:
-        ends = list(accumulate(map(len, words), lambda end, n: end + 1 + n))
-        starts = [0, *[e + 1 for e in ends]]
-        digest = xxhash.xxh64_digest
-        digests = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[SHINGLE - 1 :])])
-    return np.unique(np.frombuffer(digests, np.uint64))
+    digest = xxhash.xxh3_64_intdigest
+    hashes = np.array([digest(w, SEED) for w in words], np.uint64)
+    last = max(1, len(words) - SHINGLE + 1)
+    out = hashes[:last]
+    for i in range(1, min(SHINGLE, len(words))):
+        out = mixed(out, hashes[i : last + i])
+    return np.unique(out)
 
 
 def _slots(bits: int):
@@ -102,10 +103,10 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-_MARKED = "doc_id long, text_key long, n_shingles long, set_key binary, usual int, parts array<int>, prefix array<long>"
+_MARKED = "doc_id long, text_key long, n_shingles long, set_key binary, short_key long, usual int, parts array<int>, prefix array<long>"
 _MARKED_TYPE = pa.schema(
     [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
-     ("usual", pa.int32()), ("parts", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))]
+     ("short_key", pa.int64()), ("usual", pa.int32()), ("parts", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))]
 )
 
 
@@ -125,7 +126,8 @@ def _mark(rare: np.ndarray, percent: int):
                     n = len(found)
                     usual = int((found >> TOKEN_BITS).sum()) // n if n else 0
                     key = xxhash.xxh3_128_digest(hashes.tobytes(), SEED)
-                    rows.append((doc_id, text_key, n, key, usual, _parts(found), found[: prefix_length(n, percent)] if n else found))
+                    short = int.from_bytes(key[:8], "big", signed=True)
+                    rows.append((doc_id, text_key, n, key, short, usual, _parts(found), found[: prefix_length(n, percent)] if n else found))
                 columns = list(zip(*rows)) if rows else [()] * len(_MARKED_TYPE)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, _MARKED_TYPE)], schema=_MARKED_TYPE
@@ -134,6 +136,33 @@ def _mark(rare: np.ndarray, percent: int):
     return mark
 
 
+def _entries(wanted: np.ndarray):
+    """Prefix shingles (token, short_key, n, pos) whose slots are set."""
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column("prefix")
+            token = prefix.flatten().to_numpy()
+            size = np.diff(prefix.offsets.to_numpy())
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+            at = np.flatnonzero(may_hold(wanted, token))
+            owner = np.repeat(np.arange(len(size)), size)[at]
+            columns = [token[at], batch.column("short_key").to_numpy()[owner], batch.column("n_shingles").to_numpy()[owner], pos[at]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "short_key", "n", "pos"])
+
+    return entries
+
+
+def _wanted_texts(wanted: np.ndarray):
+    """Rows whose text_key has its slots set."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(wanted, batch.column("text_key").to_numpy())))
+
+    return keep
+
+
 def _sets(rare: np.ndarray):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +208,8 @@ def _verified(pairs: DataFrame, digests: DataFrame, sets: DataFrame, percent: in
     left = left.where(common >= needed(F.col("n"), F.col("m"), percent)).drop("parts_a", "parts_b")
     both = left.join(side(sets, "a", "members"), "a").join(side(sets, "b", "members"), "b")
     shared = F.size(F.array_intersect("members_a", "members_b"))
-    return both.where(shared * 100 >= (F.col("n") + F.col("m") - shared) * percent).select("a", "b")
+    either = F.size("members_a") + F.size("members_b") - shared
+    return both.where(shared * 100 >= either * percent).select("a", "b")
 
 
 def _paired(one: DataFrame, other: DataFrame) -> DataFrame:
@@ -253,20 +283,29 @@ def join_similar(
 
     # classes of equal sets, numbered so that a smaller number means more usual shingles
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    grouped = marked.where("n_shingles > 0").groupBy("set_key").agg(
-        F.min(first).alias("first"), *[F.first(c).alias(c) for c in ("n_shingles", "usual", "parts", "prefix")]
+    filled = marked.where("n_shingles > 0")
+    grouped = filled.groupBy("set_key").agg(
+        F.min(first).alias("first"), F.min("short_key").alias("short_key"), F.min("usual").alias("usual"), F.min("parts").alias("parts")
     )
     number = F.shiftleft((F.lit(127) - F.col("usual")).cast("long"), 55) + F.monotonically_increasing_id()
     classes = materialize(grouped.withColumn("cls", number), "shingle-classes")
 
-    entries = classes.select("cls", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    shared = materialize(entries.groupBy("token").count().where("count > 1").select("token"), "shared-shingles")
-    members = materialize(entries.join(shared, "token"), "prefix-members")
+    # prefix shingles of two classes or more; copies have one key and share nothing
+    entries = filled.select("short_key", F.explode("prefix").alias("token"))
+    ends = entries.groupBy("token").agg(F.min("short_key").alias("least"), F.max("short_key").alias("most"))
+    shared = materialize(ends.where("least <> most").select("token"), "shared-shingles")
+    met = filled.select("short_key", "n_shingles", "prefix").mapInArrow(
+        _entries(bit_table(shared, FILTER_BITS)), "token long, short_key long, n long, pos long"
+    )
+    met = met.dropDuplicates(["token", "short_key"]).join(shared, "token")
+    members = materialize(met.join(classes.select("short_key", "cls"), "short_key").drop("short_key"), "prefix-members")
 
     # whole sets of the classes that share a prefix shingle, from one row of each class
     wanted = classes.select("cls", "first.doc_id", "first.text_key").join(members.select("cls").distinct(), "cls")
+    wanted = materialize(wanted, "wanted-classes")
+    thinned = keyed.mapInArrow(_wanted_texts(bit_table(wanted.select("text_key"), FILTER_BITS)), "doc_id long, text string, text_key long")
     row = F.col("k.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("k.text_key") == F.col("w.text_key"))
-    again = keyed.alias("k").join(wanted.alias("w"), row).select("w.cls", "k.text").dropDuplicates(["cls"])
+    again = thinned.alias("k").join(wanted.alias("w"), row).select("w.cls", "k.text").dropDuplicates(["cls"])
     sets = materialize(again.mapInArrow(_sets(rare), "cls long, members array<long>"), "shingle-sets")
 
     found = link_classes(classes, sets, members, percent, rounds)
@@ -276,6 +315,6 @@ def join_similar(
     placed = materialize(placed, "placed-classes")
     ids = placed.groupBy("component").agg(F.min("first").alias("component_id"))
     classed = materialize(placed.join(ids, "component").select("set_key", "component_id"), "class-components")
-    whole = marked.where("n_shingles > 0").join(classed, "set_key")
+    whole = filled.join(classed, "set_key")
     alone = marked.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     return whole.select("doc_id", "n_shingles", "component_id").unionByName(alone.select("doc_id", "n_shingles", "component_id"))

@@ -8,13 +8,14 @@ trees, equal nodes are taken off level by level from above, so only differing br
 are opened; the leaves left over locate the edits.  Likeness is the share of characters
 in common nodes.
 
-Scale: to meet its successor a document moves once, by range of its id.  Tasks read
-their sorted range as a stream; only the first and last document of each range meet
-the neighbouring range's in a second, small step.
+Scale: to meet its successor a document moves once, by range of its id and of a hash of
+its text, so many rows of one id or of none are spread as well.  Tasks read their sorted
+range as a stream; only the first and last document of each range meet the neighbouring
+range's in a second, small step.
 
 Defined results: null text is empty; two empty texts are alike (1), an empty and
 another one are not (0); null ids come last; documents of equal id are ordered by
-text; a lone document succeeds itself; repeated rows are documents of their own; an
+a hash of their text; a lone document succeeds itself; repeated rows are documents of their own; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlab.llm.words import slices
@@ -151,7 +153,7 @@ _FIELDS = [
     ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ]
-_EDGE = [("edge", pa.string()), ("ord", pa.int64()), ("text", pa.string())]
+_EDGE = [("edge", pa.string()), ("range", pa.int32()), ("ord", pa.int64()), ("text", pa.string())]
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
@@ -177,6 +179,7 @@ def _id(ord_: int) -> int | None:
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows (ord, text) of a range -> a row for each document but the last, and the range's edges with their text."""
     nothing = (None,) * len(_FIELDS)
+    number = TaskContext.get().partitionId()
     waiting = None
     for batch in batches:
         for part in slices(batch, "text", BATCH_BYTES):
@@ -184,13 +187,13 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for ord_, text in zip(part.column("ord").to_pylist(), part.column("text").to_pylist()):
                 own = tree(text)
                 if waiting is None:
-                    rows.append((*nothing, "first", ord_, text))
+                    rows.append((*nothing, "first", number, ord_, text))
                 else:
-                    rows.append((*_row(_id(waiting[0]), waiting[1], waiting[2], text, own), None, None, None))
+                    rows.append((*_row(_id(waiting[0]), waiting[1], waiting[2], text, own), None, None, None, None))
                 waiting = (ord_, text, own)
             yield _batch(rows, _FIELDS + _EDGE)
     if waiting is not None:
-        yield _batch([(*nothing, "last", waiting[0], waiting[1])], _FIELDS + _EDGE)
+        yield _batch([(*nothing, "last", number, waiting[0], waiting[1])], _FIELDS + _EDGE)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,29 +205,30 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, _FIELDS)
 
 
+def ordered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(ord, text) in ranges of ascending id, then hash of the text; null ids last.
+
+    Many rows of one id, or without any, are spread over ranges by the hash of their
+    text, and equal rows, whose order cannot matter, by a number of their own.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), text.alias("text"),
+        F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("row"),
+    )
+    return keyed.repartitionByRange("ord", "h", "row").sortWithinPartitions("ord", "h", "text").select("ord", "text")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of each text and of its edited form, with the likeness to that form and to the next document."""
-    ordered = (
-        docs.select(
-            F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-        )
-        .repartitionByRange("ord")
-        .sortWithinPartitions("ord", "text")
-    )
-    found = materialize(ordered.mapInArrow(_ranges, SCHEMA + ", edge string, ord long, text string"), "merkle-ranges")
-    firsts = found.where("edge = 'first'").select(F.col("ord").alias("next"), F.col("text").alias("following"))
-    lasts = found.where("edge = 'last'").select("ord", "text")
-    # two ids a range: who follows a range's last document
-    marks = firsts.select(F.col("next").alias("ord"), F.lit(True).alias("is_first")).unionByName(
-        lasts.select("ord", F.lit(False).alias("is_first"))
-    )
-    along = Window.orderBy("ord", F.col("is_first").desc())
-    # of one id in one range the first mark stands before the last one
-    after = F.lead("ord").over(along)
-    follows = (
-        marks.withColumn("next", F.coalesce(after, F.min("ord").over(Window.partitionBy())))
-        .where("not is_first")
-        .select(F.col("ord").alias("of"), "next")
+    rows = ordered(docs, id_col, text_col).mapInArrow(_ranges, SCHEMA + ", edge string, range int, ord long, text string")
+    found = materialize(rows, "merkle-ranges")
+    firsts = found.where("edge = 'first'").select(F.col("range").alias("next"), F.col("text").alias("following"))
+    lasts = found.where("edge = 'last'").select("range", "ord", "text")
+    # a row for each range that has documents: whose first document follows its last one
+    along = Window.orderBy("next")
+    follows = firsts.select(
+        F.col("next").alias("of"), F.coalesce(F.lead("next").over(along), F.min("next").over(Window.partitionBy())).alias("next")
     )
-    pairs = lasts.join(follows, F.col("ord") == F.col("of")).join(firsts, "next").select("ord", "text", "following")
-    return found.where("edge is null").drop("edge", "ord", "text").unionByName(pairs.mapInArrow(_pairs, SCHEMA))
+    pairs = lasts.join(follows, F.col("range") == F.col("of")).join(firsts, "next").select("ord", "text", "following")
+    return found.where("edge is null").drop("edge", "range", "ord", "text").unionByName(pairs.mapInArrow(_pairs, SCHEMA))

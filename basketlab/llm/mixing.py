@@ -1,6 +1,7 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-The mix is counted in blocks of equally many words.  Sources get seats (blocks) by
+The mix is counted in blocks of equally many words: ``block_words``, or fewer, down to
+one, so that a block is at most a fiftieth of the smallest source.  Sources get seats (blocks) by
 the highest quotients target/(2k-1); the seats of a source go to its shards the same
 way; a shard's documents form one stream in seeded order, cut into blocks, and the
 shard's quota is dealt over its blocks from a seeded start, so every block is taken
@@ -9,7 +10,8 @@ either m or m+1 times.  All of it is DataFrame expressions.
 Scale: one pass counts words; after that only (id, source, size) moves.  A source is
 cut into shards of about ``shard_words`` words, so a source with a third of all rows
 spreads over many tasks.  Windows without a partition run over the table of sources
-(one row each), those by source over its shards (one row each).  Candidate quotients
+(one row each, so some millions of sources are the bound), those by source over its
+shards (one row each).  Candidate quotients
 are at most three per row, because seats that are certain are counted, not listed.
 
 Defined results: null text has size 0; null is a source of its own, ordered last;
@@ -26,6 +28,7 @@ from basketlab.llm.words import word_count
 from basketlab.storage import materialize
 
 MAX_REPEATS = 3
+SMALLEST_SHARE = 50  # a block is at most this part of the smallest source
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: int = MAX_REPEATS) -> DataFrame:
@@ -85,8 +88,9 @@ def apportion(parties: DataFrame, group: list[str], key: list[str], votes: str,
     )
 
 
-def _taken_before(x: Column, block: int) -> Column:
+def _taken_before(x: Column) -> Column:
     """Words that the mix takes from the first ``x`` words of a shard's stream."""
+    block = F.col("_block")
     j = F.floor(x / block).cast("long")
     turn = lambda k: F.floor((k + F.col("_offset")) * F.col("_extra") / F.col("_blocks")).cast("long")
     whole = turn(j) - turn(F.lit(0))
@@ -116,12 +120,13 @@ def mix(
     if not keep_rows:
         sized = materialize(sized, "mix-sizes")
     sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    goals = targets(sources, weights).withColumn(
-        "_seats", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long")
-    )
+    smallest = F.min(F.when(F.col("source_size") > 0, F.col("source_size"))).over(Window.partitionBy())
+    block = F.greatest(F.least(F.floor(smallest / SMALLEST_SHARE), F.lit(block_words)), F.lit(1)).cast("long")
+    goals = targets(sources, weights).withColumn("_block", F.coalesce(block, F.lit(1).cast("long")))
+    goals = goals.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / F.col("_block")).cast("long"))
     seats = apportion(goals, [], ["source"], "target", "_seats").withColumnRenamed("quota", "_source_quota")
     seats = seats.withColumn("_shards", F.greatest(F.ceil(F.col("source_size") / shard_words), F.lit(1)).cast("long"))
-    seats = materialize(seats.select("source", "source_size", "target", "_source_quota", "_shards"), "mix-seats")
+    seats = materialize(seats.select("source", "source_size", "target", "_source_quota", "_shards", "_block"), "mix-seats")
 
     place = F.xxhash64(F.lit(seed), F.col("doc_id"))
     dealt = sized.join(seats.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
@@ -129,18 +134,20 @@ def mix(
     if not keep_rows:
         dealt = materialize(dealt, "mix-dealt")
     shards = dealt.groupBy("source", "_shard").agg(
-        F.sum("size").alias("_shard_size"), F.max("_source_quota").alias("_source_quota")
+        F.sum("size").alias("_shard_size"), F.max("_source_quota").alias("_source_quota"), F.max("_block").alias("_block")
     )
     quotas = apportion(shards, ["source"], ["_shard"], "_shard_size", "_source_quota")
     quotas = (
-        quotas.withColumn("_blocks", F.greatest(F.ceil(F.col("_shard_size") / block_words), F.lit(1)).cast("long"))
+        quotas.withColumn("_blocks", F.greatest(F.ceil(F.col("_shard_size") / F.col("_block")), F.lit(1)).cast("long"))
         .withColumn("quota", F.least(F.col("quota"), MAX_REPEATS * F.col("_blocks")))
         .withColumn("_times", F.floor(F.col("quota") / F.col("_blocks")).cast("long"))
         .withColumn("_extra", F.col("quota") - F.col("_times") * F.col("_blocks"))
         .withColumn("_offset", F.pmod(F.xxhash64(F.lit(seed), "source", "_shard"), F.col("_blocks")))
     )
     quotas = materialize(
-        quotas.select(F.col("source").alias("_source"), F.col("_shard").alias("_of"), "_blocks", "_times", "_extra", "_offset"),
+        quotas.select(
+            F.col("source").alias("_source"), F.col("_shard").alias("_of"), "_block", "_blocks", "_times", "_extra", "_offset"
+        ),
         "mix-quotas",
     )
     stream = Window.partitionBy("source", "_shard").orderBy("_place", F.col("doc_id").asc_nulls_last(), "size")
@@ -148,9 +155,9 @@ def mix(
     ratio = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0.0)
     return (
         dealt.withColumn("_end", F.sum("size").over(so_far))
-        .drop("_source")
+        .drop("_source", "_block")
         .join(quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_shard") == F.col("_of")))
-        .withColumn("taken", _taken_before(F.col("_end"), block_words) - _taken_before(F.col("_end") - F.col("size"), block_words))
+        .withColumn("taken", _taken_before(F.col("_end")) - _taken_before(F.col("_end") - F.col("size")))
         .withColumn("_ratio", ratio)
         .withColumn("_copies", F.sum("_ratio").over(so_far))
         .withColumn("copies", (F.floor(F.col("_copies") + 0.5) - F.floor(F.col("_copies") - F.col("_ratio") + 0.5)).cast("int"))

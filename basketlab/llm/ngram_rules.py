@@ -139,9 +139,10 @@ def log_ratio(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    good = good.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("_trusted"))
+    good = good.where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("trusted"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # the table of trusted ids grows with the corpus, so it is not broadcast at any size
-    return docs.join(good.hint("merge"), F.col(id_col) == F.col("_trusted"), "left_semi").select(text_col)
+    return texts.join(good.hint("merge"), F.col("doc_id") == F.col("trusted"), "left_semi").select("text")
 
 
 _OUT = pa.schema(

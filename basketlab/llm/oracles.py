@@ -18,6 +18,61 @@ SELECT conv_id, turns AS n_turns, n_equal, rendered FROM whole
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.place < p.turns AND p.place = whole.turns AND p.rendered = whole.rendered)
 """
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS p FROM words
+  UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM words
+  UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM words
+),
+f AS MATERIALIZED (SELECT lang, k, p, count(*) AS c FROM grams GROUP BY ALL),
+cand AS (SELECT lang, k, p, c, string_split(p, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
+cuts AS (
+  SELECT lang, k, p, c, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM cand
+  UNION ALL SELECT lang, k, p, c, 2, w[1] || ' ' || w[2], w[3] FROM cand WHERE k = 3
+),
+scored AS (
+  SELECT cuts.lang, cuts.p, cuts.c AS a, cut, l.c AS l, r.c AS r,
+    (1000000::HUGEINT * cuts.c * cuts.c // (l.c::HUGEINT * r.c))::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.p = x JOIN f r ON r.lang = cuts.lang AND r.p = y
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, w[1] || ' ' || w[2] AS p, c FROM cand WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], c FROM cand WHERE k = 3
+),
+kept AS (
+  SELECT * FROM best
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = best.lang AND i.p = best.p AND 100 * i.c >= 50 * best.a)
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept),
+total AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM placed JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 3 THEN [array_to_string(w, ' ')]
+    ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FOR i IN range(1, len(w) - 2)] END) AS s
+  FROM words
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)
+),
+links AS MATERIALIZED (SELECT x, y FROM near UNION ALL SELECT y, x FROM near),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_formatting": OP8}
+    return {"op8_chat_formatting": OP8, "op11_collocations": OP11, "op13_jaccard_join": OP13}

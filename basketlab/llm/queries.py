@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlab.llm import (
     chat,
+    collocations,
     hidden_markov,
     importance,
     jaccard_join,
@@ -86,6 +87,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -150,7 +150,12 @@ def keep_first(
     group, the text decides; rows that share an id in different groups stay.
     """
     firsts = _grouped(docs, id_col, text_col, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = firsts.groupBy("component").agg(F.min("doc_id").alias("_id"), F.min("text_key").alias("_key")).drop("component")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    keyed = docs.withColumn("_text_key", F.xxhash64(text_col))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_text_key"]).drop("_text_key")
+    kept = firsts.groupBy("component").agg(F.min("doc_id").alias("kept_id"), F.min("text_key").alias("kept_key")).drop("component")
+    # the row as one value, so no column of the documents can clash
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("text_key"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select("row.*")

@@ -1,15 +1,20 @@
 """Quality classifier from weak labels.
 
 Heuristic labellers and, where there are any, two annotations vote good, bad or
-nothing on every document.  Expectation-maximisation over the counts of vote patterns
-estimates how often each labeller says what about good, poor and toxic documents, and
-from that the probability of each pattern to be bad.  These posterior labels train a linear
-scorer on hashed words, word beginnings and shape marks; its weights are not negative,
-so a long clean text cannot outweigh what speaks against it.  The scorer decides.
+nothing on every document.  One labeller knows loaded words: those that annotated toxic
+documents have several times as often as others, learnt from the data's own labels; no
+word is given.  Expectation-maximisation over the counts of vote patterns estimates how
+often each labeller says what about good, poor and toxic documents, and from that the
+probability of each pattern to be bad.  What an annotation calls bad stays bad: it
+teaches on its own where no other labeller speaks.  These posterior labels train a
+linear scorer on hashed words, word beginnings and shape marks; its weights are not
+negative, so a long clean text cannot outweigh what speaks against it.  The scorer
+decides.
 
 Scale: votes are numbers, counted by pattern (at most 3**7) over all documents.  Only
-the scorer's training set is a sample: the ``sample`` annotated rows (of all rows, if
-none is annotated) with the smallest hash of their id; it is trained in one task.  Texts are never shuffled.
+the training set of the loaded words and of the scorer is a sample: the ``sample``
+annotated rows (of all rows, if none is annotated) with the smallest hash of their id;
+both are learnt in one task.  Texts are never shuffled.
 
 Defined results: null and empty texts are short texts; without an annotation the
 annotators abstain; repeated labels of an id count as bad if one of them does; a null
@@ -21,7 +26,7 @@ are ignored, or kept by ``keep_good``.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -38,10 +43,10 @@ EPOCHS = 6
 RATE = 0.3
 START = 5
 ABSTAIN, GOOD, BAD = 0, 1, 2
-LABELLERS = ("repeats", "symbols", "capitals", "short", "insults", "annotated quality", "annotated toxicity")
-TOXIC_VOTES = (LABELLERS.index("insults"), LABELLERS.index("annotated toxicity"))
-# fixed values: words that the insult labeller looks for
-INSULTS = frozenset(b"idiot moron stupid loser scum trash worthless disgusting pathetic clown".split())
+LABELLERS = ("repeats", "symbols", "capitals", "short", "loaded words", "annotated quality", "annotated toxicity")
+QUALITY, TOXICITY = LABELLERS.index("annotated quality"), LABELLERS.index("annotated toxicity")
+TOXIC_VOTES = (LABELLERS.index("loaded words"), TOXICITY)
+LOADED_SHARE = 0.02  # of the annotated toxic documents that a loaded word must be in
 MARKS = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
 SYMBOLS = b"#*$%&|<>!"
 
@@ -54,8 +59,12 @@ def _shape(text: str, data: bytes, words: list[bytes]) -> tuple[float, float, fl
     return capitals, symbols, 1 - len(set(zip(words, words[1:]))) / pairs if len(words) > 1 else 0.0
 
 
-def votes(text: str | None) -> list[int]:
-    """The votes of the labellers that read the text."""
+def _buckets(words: Iterable[bytes], bits: int = BITS) -> set[int]:
+    return {crc32(w) & ((1 << bits) - 1) for w in words}
+
+
+def votes(text: str | None, loaded: frozenset[int] = frozenset()) -> list[int]:
+    """The votes of the labellers that read the text; ``loaded`` are buckets of words."""
     text = text or ""
     data = text.encode()
     words = data.lower().split()
@@ -66,7 +75,7 @@ def votes(text: str | None) -> list[int]:
         BAD if symbols > 0.05 else GOOD,
         BAD if capitals > 0.5 else GOOD,
         BAD if len(words) < 10 else GOOD,
-        BAD if plain & INSULTS else ABSTAIN,
+        BAD if loaded and not loaded.isdisjoint(_buckets(plain)) else ABSTAIN,
     ]
 
 
@@ -88,10 +97,30 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
     return np.unique(np.fromiter(found, np.int64, len(found)) & ((1 << bits) - 1))
 
 
-def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        cast = pa.array(["".join(map(str, votes(t.as_py()))) for t in batch.column(1)], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), cast], ["doc_id", "votes"])
+def _vote(loaded: frozenset[int]):
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cast = pa.array(["".join(map(str, votes(t.as_py(), loaded))) for t in batch.column(1)], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), cast], ["doc_id", "votes"])
+
+    return vote
+
+
+def telling_buckets(rows: list[tuple[np.ndarray, float]], at_least: float, bits: int = BITS) -> np.ndarray:
+    """Flags of the buckets that ``at_least`` bad rows have, MIN_LIFT times as often as good rows."""
+    bad = sum(y for _, y in rows)
+    good = len(rows) - bad
+    every, of_bad = np.zeros(1 << bits), np.zeros(1 << bits)
+    for f, y in rows:
+        every[f] += 1
+        of_bad[f] += y
+    return (of_bad >= at_least) & ((of_bad + 0.5) / (bad + 1) > MIN_LIFT * (every - of_bad + 1) / (good + 1))
+
+
+def loaded_words(rows: list[tuple[np.ndarray, bool]], bits: int = BITS) -> frozenset[int]:
+    """Buckets of words that a share of the toxic rows and hardly any other have."""
+    toxic = sum(y for _, y in rows)
+    return frozenset(np.flatnonzero(telling_buckets(rows, max(MIN_DOCS, LOADED_SHARE * toxic), bits)).tolist())
 
 
 def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, dict[str, float]]:
@@ -99,14 +128,21 @@ def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, di
 
     The latent kinds are good, poor and toxic, because labellers of one of the two
     faults know nothing of the other.  Start: a fault is there if somebody votes for it.
-    One hundredth of a vote for each possibility keeps probabilities off zero.
+    What is annotated as toxic is toxic and what is annotated as bad is not good, in
+    every round.  One hundredth of a vote for each possibility keeps probabilities off
+    zero.
     """
     cast = np.array([[int(v) for v in p] for p in patterns], np.int64).reshape(len(patterns), len(LABELLERS))
     n = np.array(list(patterns.values()), float)
     toxic = (cast[:, TOXIC_VOTES] == BAD).any(axis=1) if len(n) else np.empty(0, bool)
     poor = (np.delete(cast, TOXIC_VOTES, axis=1) == BAD).any(axis=1) if len(n) else np.empty(0, bool)
     kind = np.where(toxic, 2, np.where(poor, 1, 0))
-    share = np.where(np.arange(3)[:, None] == kind, 0.9, 0.05)
+    possible = np.ones((3, len(n)))
+    if len(n):
+        possible[0, (cast[:, QUALITY] == BAD) | (cast[:, TOXICITY] == BAD)] = 0
+        possible[1, cast[:, TOXICITY] == BAD] = 0
+    share = np.where(np.arange(3)[:, None] == kind, 0.9, 0.05) * possible
+    share /= share.sum(axis=0)
     table = np.zeros((cast.shape[1], 3, 3))
     for _ in range(rounds if len(n) else 0):
         weight = n * share
@@ -116,7 +152,7 @@ def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, di
         score = np.log((weight.sum(axis=1) + 0.01) / (n.sum() + 0.03))[:, None] + sum(
             np.log(table[i][:, cast[:, i]]) for i in range(cast.shape[1])
         )
-        share = np.exp(score - score.max(axis=0))
+        share = np.exp(score - score.max(axis=0)) * possible + 1e-300 * possible
         share /= share.sum(axis=0)
     return table, dict(zip(patterns, (1 - share[0]).tolist()))
 
@@ -132,11 +168,7 @@ def train(rows: list[tuple[np.ndarray, float]], bits: int = BITS) -> tuple[np.nd
     none = np.empty(0, np.int64), np.empty(0), -1.0
     if bad < 0.5 or good < 0.5:
         return none
-    every, of_bad = np.zeros(1 << bits), np.zeros(1 << bits)
-    for f, y in rows:
-        every[f] += 1
-        of_bad[f] += y
-    telling = (of_bad >= MIN_DOCS) & ((of_bad + 0.5) / (bad + 1) > MIN_LIFT * (every - of_bad + 1) / (good + 1))
+    telling = telling_buckets(rows, MIN_DOCS, bits)
     used = np.flatnonzero(telling)
     if not len(used):
         return none
@@ -163,10 +195,18 @@ def train(rows: list[tuple[np.ndarray, float]], bits: int = BITS) -> tuple[np.nd
 
 
 class Model:
-    """The labellers' table, the patterns' probabilities and the scorer."""
-
-    def __init__(self, table: np.ndarray, patterns: dict[str, float], used: np.ndarray, weights: np.ndarray, bias: float):
-        self.table, self.patterns, self.bias = table, patterns, bias
+    """The loaded words, the labellers' table, the patterns' probabilities and the scorer."""
+
+    def __init__(
+        self,
+        loaded: frozenset[int],
+        table: np.ndarray,
+        patterns: dict[str, float],
+        used: np.ndarray,
+        weights: np.ndarray,
+        bias: float,
+    ):
+        self.loaded, self.table, self.patterns, self.bias = loaded, table, patterns, bias
         self.weights = dict(zip(used.tolist(), weights.tolist()))
 
     def p_bad(self, text: str | None) -> float:
@@ -177,47 +217,55 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Votes of all documents, EM over their patterns, and the scorer from a bounded sample; labels are (doc_id, quality, toxic)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    notes = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    say = lambda good: F.when(good, F.lit(str(GOOD))).when(~good, F.lit(str(BAD))).otherwise(F.lit(str(ABSTAIN)))
-    voted = texts.mapInArrow(_vote, "doc_id long, votes string").join(notes, F.col("doc_id") == F.col("_id"), "left")
-    voted = materialize(
-        voted.select(
-            "doc_id",
-            F.concat("votes", say(F.col("quality") == 1), say(F.col("toxic") == 0)).alias("votes"),
-            F.col("_id").isNotNull().alias("annotated"),
-        ),
-        "weak-votes",
-    )
-    counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
-    table, patterns = estimate(dict(sorted(counts.items())))
+    notes = labels.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    notes = materialize(notes.where("_id is not null and (quality is not null or toxic is not null)"), "weak-notes")
 
+    # at most ``sample`` ids, so they may travel to every task
+    ids = texts.where("doc_id is not null").select("doc_id").distinct()
     place = F.xxhash64("doc_id")
-    chosen = voted.where("doc_id is not null").groupBy("doc_id").agg(F.min("votes").alias("votes"), F.max("annotated").alias("annotated"))
-    if any(p[-2:] != f"{ABSTAIN}{ABSTAIN}" for p in counts):  # unnoted faults would count as good
-        chosen = chosen.where("annotated")
-    chosen = chosen.orderBy(place, "doc_id").limit(sample)
-    chosen = materialize(chosen.select(F.col("doc_id").alias("_id"), "votes", place.alias("place")), "weak-sample")
-    # at most ``sample`` short rows, so they may travel to every task
-    picked = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("place", "doc_id", "votes", "text")
+    noted = ids.join(notes, F.col("doc_id") == F.col("_id"))
+    chosen = noted if not noted.isEmpty() else ids.select("*", *[F.lit(None).cast("int").alias(c) for c in ("quality", "toxic")])
+    chosen = chosen.orderBy(place, "doc_id").limit(sample).select(F.col("doc_id").alias("_id"), "toxic", place.alias("place"))
+    chosen = materialize(chosen, "weak-sample")
+    picked = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("place", "doc_id", "toxic", "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(t.as_py()).astype(np.int32).tobytes() for t in batch.column(3)]
-            bad = [patterns[v] for v in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(bad, pa.float64()), pa.array(found, pa.binary())], ["place", "doc_id", "bad", "found"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.binary())], ["place", "doc_id", "toxic", "found"])
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> list[tuple]:
         rows = [r for b in batches for r in zip(*[c.to_pylist() for c in b.columns])]
         rows.sort(key=lambda r: (r[0], r[1], r[3]))
-        used, weights, bias = train([(np.frombuffer(f, np.int32).astype(np.int64), y) for _, _, y, f in rows])
+        return [(np.frombuffer(f, np.int32).astype(np.int64), y) for _, _, y, f in rows]
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = [(f, y > 0) for f, y in gather(batches) if y is not None]
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(loaded_words(told)), pa.int64())], ["bucket"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used, weights, bias = train(gather(batches))
         yield pa.RecordBatch.from_arrays([pa.array([-1, *used.tolist()]), pa.array([bias, *weights.tolist()])], ["bucket", "weight"])
 
-    described = materialize(picked.mapInArrow(describe, "place long, doc_id long, bad double, found binary"), "weak-features")
+    described = materialize(picked.mapInArrow(describe, "place long, doc_id long, toxic int, found binary"), "weak-features")
+    loaded = frozenset(r["bucket"] for r in described.repartition(1).mapInArrow(load, "bucket long").collect())
+
+    say = lambda good: F.when(good, F.lit(str(GOOD))).when(~good, F.lit(str(BAD))).otherwise(F.lit(str(ABSTAIN)))
+    voted = texts.mapInArrow(_vote(loaded), "doc_id long, votes string").join(notes, F.col("doc_id") == F.col("_id"), "left")
+    cast = F.concat("votes", say(F.col("quality") == 1), say(F.col("toxic") == 0)).alias("votes")
+    voted = materialize(voted.select("doc_id", cast), "weak-votes")
+    counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
+    table, patterns = estimate(dict(sorted(counts.items())))
+
+    # at most 3**7 patterns and the votes of the sampled ids
+    wanted = voted.join(F.broadcast(chosen.select("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+    rated = wanted.groupBy("doc_id").agg(F.min("votes").alias("votes"))
+    known = docs.sparkSession.createDataFrame(sorted(patterns.items()), "votes string, bad double")
+    rated = rated.join(F.broadcast(known), "votes").select("doc_id", "bad")
+    described = described.join(F.broadcast(materialize(rated, "weak-rated")), "doc_id").select("place", "doc_id", "bad", "found")
     learnt = described.repartition(1).mapInArrow(learn, "bucket long, weight double").orderBy("bucket").collect()
     return Model(
-        table, patterns, np.array([r["bucket"] for r in learnt[1:]], np.int64), np.array([r["weight"] for r in learnt[1:]]), learnt[0]["weight"]
+        loaded, table, patterns, np.array([r["bucket"] for r in learnt[1:]], np.int64), np.array([r["weight"] for r in learnt[1:]]), learnt[0]["weight"]
     )
 
 

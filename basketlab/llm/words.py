@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,6 +27,13 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of pairs from the 64-bit hashes of their parts; the order of the parts counts."""
+    key = (left ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F) + right
+    key = (key ^ key >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return key ^ key >> np.uint64(32)
+
+
 def input_partitions(df: DataFrame) -> int:
     """Partitions that Spark cuts the input into: a size of the work that costs no pass over the data."""
     return max(1, df.rdd.getNumPartitions())

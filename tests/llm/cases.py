@@ -31,7 +31,10 @@ SCHEMA = "doc_id long, text string, source string"
 def documents(spark):
     """Rows with nulls, repeats and columns whose names the operators use themselves."""
     df = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
-    clash = ["size", "row", "chunk", "rid", "fp", "h", "ord", "word", "votes", "target", "_place"]
+    clash = (
+        "size row chunk rid fp h ord word votes target key place text_key row.x page cls token n lang_ shard "
+        "_place _id _key _text_key _trusted _copy _at _part _n _block _source _shard _end"
+    ).split()
     return df.select("*", *[F.lit("x").alias(c) for c in clash])
 
 

@@ -20,8 +20,17 @@ def test_stages(spark):
     assert docs.where("not exact").count() == 0 and docs.where("n_pieces > 0").count() > 0
 
 
+def test_the_near_duplicate_stage_is_the_operator(spark):
+    """One document of each component that op6 reports stays, with extra columns of any name."""
+    docs = queries.table(spark, SMALL, "documents").selectExpr("*", "'x' AS _id", "'y' AS _key", "'z' AS _text_key", "1 AS row")
+    kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    groups = {r["component_id"] for r in queries.REGISTRY["op6_simhash"](spark, SMALL).collect()}
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == groups and kept.count() == len(groups)
+
+
 def test_one_query_for_each_operator():
     import __spark_entry__
 
     numbers = sorted(int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()

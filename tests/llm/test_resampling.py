@@ -73,7 +73,7 @@ def test_odd_inputs(spark):
     target = spark.createDataFrame(TARGET, "text string")
     assert importance.resample(empty(spark), target).count() == 0
     assert importance.resample(documents(spark), target.limit(0)).count() == len(ROWS)
-    clash = documents(spark).selectExpr("*", "'x' AS key", "'x' AS place", "'x' AS `a.b`", "'x' AS rank")
+    clash = documents(spark).selectExpr("*", "'x' AS `a.b`", "'x' AS rank")
     drawn = importance.draw(clash, target, percent=100)
     assert drawn.columns == clash.columns
     fit = [r for r in brute([r[:2] for r in ROWS], [], 100) if r[4]]

@@ -47,6 +47,21 @@ def test_mix(spark):
     assert mixing.mixed_documents(documents(spark)).columns == documents(spark).columns
 
 
+@pytest.mark.parametrize("size,n_docs", [(1, 1), (4, 2), (8, 3), (20, 5), (200, 7)])
+def test_small_sources_reach_their_targets(spark, size, n_docs):
+    """600 sources of a few words: taken is within a word or 2 % of the target, and the sums agree."""
+    cuts = np.linspace(0, size, n_docs + 1).astype(int)
+    rows = [(s * 100 + d, " ".join(["w"] * int(cuts[d + 1] - cuts[d])), f"s{s:03d}") for s in range(600) for d in range(n_docs)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    target = brute_targets({f"s{s:03d}": size for s in range(600)})
+    taken = Counter()
+    for r in out:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - t) <= max(1, 0.02 * t) for s, t in target.items())
+    assert abs(sum(taken.values()) - 600 * size) <= 0.001 * 600 * size
+
+
 def test_seats_go_to_the_highest_quotients(spark):
     votes = {"a": 53, "b": 24, "c": 23, "d": 1, "e": 0}
     for seats in (0, 1, 4, 7, 50):
@@ -290,4 +305,76 @@ def test_copies_of_a_page_count_once_in_the_style_tree(spark):
     ],
 )
 def test_names_and_attributes_count_as_a_whole(page, text):
-    assert "\n".join(site_style.blocks(site_style.parse(page), frozenset())) == text
+    assert "\n".join(site_style.blocks(site_style.parse(page), frozenset(), frozenset())) == text
+
+
+STORIES = [" ".join(f"{w}{i}" for w in prose(40, i).split()) for i in range(40)]
+
+
+def test_near_copies_of_an_article_keep_it(spark):
+    """Ten pages with one article and a line that differs: no evidence of what the site repeats."""
+    page = "<article><h1>On rivers</h1><p>{0}</p><p>{1}</p><p>Views: {2}</p></article>"
+    rows = [(i, "http://near.example/", page.format(STORIES[0], STORIES[1], i)) for i in range(10)]
+    body = "<body><div><p>{0}</p></div><div><p>{1}</p></div><p>Views: {2}</p></body>"
+    rows += [(i, "http://bare.example/", body.format(STORIES[0], STORIES[1], i)) for i in range(10, 20)]
+    short = "<article><h1>On rivers</h1><p>They flow to the sea, slowly.</p><p>Views: {0}</p></article>"
+    rows += [(i, "http://short.example/", short.format(i)) for i in range(20, 30)]
+    # beside many other articles too, from which the site's own line goes
+    site = "<article><h1>T{0}</h1><p>{1}</p><p>Share this story</p></article>"
+    rows += [(i, "http://site.example/", site.format(i, STORIES[i - 30])) for i in range(30, 60)]
+    rows += [(i, "http://site.example/", page.format(STORIES[38], STORIES[39], i)[:-10] + "<p>Share this story</p></article>") for i in range(60, 72)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == f"On rivers\n{STORIES[0]}\n{STORIES[1]}\nViews: {i}" for i in range(10))
+    assert all(got[i] == f"{STORIES[0]}\n{STORIES[1]}\nViews: {i}" for i in range(10, 20))
+    assert all(got[i] == f"On rivers\nThey flow to the sea, slowly.\nViews: {i}" for i in range(20, 30))
+    assert all(got[i] == f"T{i}\n{STORIES[i - 30]}" for i in range(30, 60))
+    assert all(got[i] == f"On rivers\n{STORIES[38]}\n{STORIES[39]}\nViews: {i}" for i in range(60, 72))
+
+
+def test_headings_inline_elements_lists_and_tables_of_articles_stay(spark):
+    page = (
+        "<article><header><h1>Land {0}</h1></header><h2>History</h2><p>{1}</p><h2>Climate</h2><p>see <a>here</a> for {0} and "
+        "<b>Note</b> x{0}</p><table><tr><th>Area</th><td>large</td></tr><tr><td><p>Coast</p></td><td>none</td></tr></table>"
+        "<ul><li>rain</li><li>{0} days</li></ul><div class=x><p>Share this</p></div></article>"
+    )
+    rows = [(i, "http://atlas.example/", page.format(i, STORIES[i])) for i in range(30)]
+    got = texts_of(spark, rows)
+    for i in range(30):
+        want = f"Land {i}\nHistory\n{STORIES[i]}\nClimate\nsee here for {i} and Note x{i}\nArea large\nCoast\nnone\nrain\n{i} days"
+        assert got[i] == want
+
+
+def test_own_words_at_a_repeated_place_stay(spark):
+    """The last paragraph is nearly always the site's line; where it is the story's end it is kept."""
+    page = "<article><p>{0}</p><p>{1}</p></article>"
+    rows = [(i, "http://s.example/", page.format(STORIES[i], "Written by the desk" if i else "And so it ended.")) for i in range(40)]
+    got = texts_of(spark, rows)
+    assert got[0] == f"{STORIES[0]}\nAnd so it ended." and all(got[i] == STORIES[i] for i in range(1, 40))
+
+
+def test_importance_is_the_larger_entropy(spark):
+    """Entropies of every node anew, from plain lists of the pages that are evidence."""
+    page = "<article><p>{0}</p><div>{1}</div><section><p>{2}</p>{3}</section></article>"
+    rows = [(i, "http://s.example/", page.format(STORIES[i], "x" if i % 3 else "y", f"own {i}", "<i>k</i>" * (i % 2))) for i in range(20)]
+    rows += rows[:5] + [(50, "http://s.example/", "<article><p>Tell</p><p>Tell</p></article>")]
+    table = spark.createDataFrame([("s.example", r[2]) for r in rows], "host string, html string")
+    raw = table.mapInArrow(site_style._merge, site_style._ROWS_TYPE)
+    tree, _ = site_style.style_tree(raw)
+    got = {r["key"]: (r["pages"], r["importance"]) for r in tree.collect()}
+    said, shown = {}, {}
+    for text in {r[2] for r in rows}:
+        layout = site_style.Layout(site_style.parse(text))
+        for node, begin, end in layout.elements:
+            for key in node.keys:
+                place = (text, "\n".join(layout.segments[begin:end]), tuple(c.style for c in node.children if not isinstance(c, str)))
+                said.setdefault(key, set()).add(place)
+
+    def entropy(values):
+        counts, n = Counter(values), len(values)
+        return -sum(c / n * math.log(c / n) for c in counts.values()) / math.log(n) if n > 1 else 1.0
+
+    assert got.keys() == said.keys() and len(got) > 8
+    for key, places in said.items():
+        pages, importance = got[key]
+        assert pages == len(places)
+        assert importance == pytest.approx(max(entropy([p[1] for p in places]), entropy([p[2] for p in places])), abs=1e-9)
