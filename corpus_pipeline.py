@@ -2,13 +2,18 @@
 
 Each stage takes what its predecessor kept.  All but the last return the columns of
 documents; the last returns the encoded documents.
+
+Odd inputs are those of the operators: null and empty texts are short texts to the
+classifier and one group to the near-duplicate stage; documents of which nothing is left
+go; a null id stays only where a group has no other; extra columns are kept; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketlab.llm import mixing, near_copies, pieces, suffix_dedup, weak_labels
+from basketlab.llm import mixing, pieces, simhash, suffix_dedup, weak_labels
 from basketlab.storage import materialize
 
 
@@ -18,8 +23,8 @@ def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 or more over five-word shingles stays."""
-    return near_copies.keep_first(docs)
+    """One document of each group of SimHash fingerprints linked at four or fewer differing bits stays."""
+    return simhash.keep_first(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +44,10 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", classified),
-    ("near duplicates", without_near_copies),
+    ("SimHash near-dedup", without_near_copies),
     ("suffix-array dedup", without_repeats),
-    ("mixing", mixed),
-    ("sentencepiece", encoded),
+    ("mixing sources to target weights", mixed),
+    ("SentencePiece encoding", encoded),
 ]
 
 # No stage can be stated in SQL: models, hashes and byte strings decide.
@@ -53,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage; every other stage is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
