@@ -62,7 +62,7 @@ def test_collocations(spark, shards, bits, threshold, longest):
     got = collocations.collocations(docs, threshold=threshold, top=25, longest=longest, shards=shards, bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     want = brute(rows, threshold, 25, longest)
-    assert len(want) >= 10 and Counter(map(tuple, got.collect())) == Counter(want)
+    assert len(want) >= 4 and Counter(map(tuple, got.collect())) == Counter(want)
 
 
 def test_odd_inputs(spark):
