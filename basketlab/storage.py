@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +61,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
+def bucketed(
+    df: DataFrame, key: str, buckets: int, label: str, options: Mapping[str, str] | None = None
+) -> DataFrame:
     """Write ``df`` once as a table bucketed and sorted by ``key``: joins on it need not move it again.
 
     Only the catalog knows buckets, so the table is registered under a name of its own
@@ -68,6 +71,7 @@ def bucketed(df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
-    df.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, label)).saveAsTable(name)
+    writer = df.write.options(**(options or {})).bucketBy(buckets, key).sortBy(key)
+    writer.option("path", scratch_path(spark, label)).saveAsTable(name)
     _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
     return spark.table(name)

@@ -80,7 +80,7 @@ def main() -> None:
 
     rows = lines.count()
     min_freq = rows // 2000
-    timed("temporal", lambda: T.orders_per_dow_hour(orders).collect())
+    timed("temporal", lambda: T.reconciliation(orders).collect())
     frequency = timed("item_frequency", lambda: materialize(I.item_frequency(lines), "frequency"))
     catalog = timed("core_catalog", lambda: B.core_catalog(lines, products, min_freq, frequency))
     facts = timed("order_facts", lambda: materialize(Q.order_facts(lines, catalog), "facts"))
@@ -100,7 +100,7 @@ def main() -> None:
         # drawn independently, so no lift limit: every confident rule is served below
         lambda: materialize(M.association_rules(itemsets, n, 0.03), "rules"),
     )
-    popular = materialize(I.top_items(I.item_sales(frequency, products), 10), "popular")
+    popular = materialize(I.item_sales(frequency, products), "popular")
     carts = baskets.select(F.col("order_id").alias("cart_id"), "items")
     served = timed(
         "recommend",
