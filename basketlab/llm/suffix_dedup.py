@@ -31,7 +31,6 @@ or, with ``keep_rows``, carried along.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 from basketlab.llm.runs import run_bounds, whole_runs
 from basketlab.llm.suffix_sort import Suffixes, powers, prefix_hashes
 from basketlab.llm.words import input_partitions
-from basketlab.storage import materialize, scratch_path
+from basketlab.storage import bucketed, materialize
 
 LENGTH = 100
 ANCHOR = 32
@@ -282,8 +281,8 @@ def _cut(docs: pa.Table, wanted: pa.Table, verdicts: dict[bytes, tuple], length:
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, keep_rows: bool) -> DataFrame:
     """(chunk, rid, ord, doc_id, text) bucketed by chunk in the shared folder; ``row`` holds the other columns."""
-    spark, parts = docs.sparkSession, input_partitions(docs)
-    rest = [F.struct(*[c for c in docs.columns if c != text_col]).alias("row")] if keep_rows else []
+    parts = input_partitions(docs)
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")] if keep_rows else []
     numbered = docs.select(
         F.monotonically_increasing_id().alias("rid"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"),
@@ -291,10 +290,8 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, keep_rows: bool) -> Dat
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         *rest,
     ).withColumn("chunk", F.pmod(F.xxhash64("rid"), F.lit(4 * parts)))
-    name = f"chunked_{uuid.uuid4().hex}"
-    writer = numbered.repartition(parts, "chunk").sortWithinPartitions("chunk").write.option("compression", "zstd")
-    writer.bucketBy(parts, "chunk").sortBy("chunk").option("path", scratch_path(spark, "suffix-chunks")).saveAsTable(name)
-    return spark.table(name)
+    sorted_rows = numbered.repartition(parts, "chunk").sortWithinPartitions("chunk")
+    return bucketed(sorted_rows, "chunk", parts, "suffix-chunks", {"compression": "zstd"})
 
 
 def dedup_spans(
