@@ -1,16 +1,22 @@
-"""Hidden Markov language model over word classes, and a smoothed unigram base.
-
-The most frequent ``TOP`` words of the training documents are classes of their own,
-all others share classes by their ending; the end of a text is a class too.  The model
-emits classes from hidden states, and a word from its class by its smoothed count, so
-it gives every text a probability.  Baum-Welch runs on all training documents, cut
-into segments; each task sums expected counts, and the sums are added by class.  Whole
-texts are scored by the scaled forward recursion.
-
-Scale: texts are read once and written as numbers of a chunk's own vocabulary.  The
-chunks' vocabularies meet by word, and counts go back to the chunks, so a word moves
-once for a chunk, however often it occurs, and no text is shuffled.  What all tasks get
-is the parameter table, ``STATES`` numbers for each of at most TOP + REST + 1 classes.
+"""Hidden Markov language model over words, and a smoothed unigram base.
+
+The model emits words from hidden states.  It is trained in two spells.  In the first,
+words are tied: the most frequent ``TOP`` words of the training documents are classes
+of their own, all others share classes by their ending, and a word comes from its class
+by its smoothed count; the end of a text is a class too.  Baum-Welch runs on all training
+documents, cut into segments; each task sums expected counts, and the sums are added by
+class.  In the second spell every word seen ``OWN_COUNT`` times or more in training gets
+emissions of its own: a last expectation step counts (word, state), the counts are
+summed by word in a Spark table as long as the vocabulary, and each word's share of a
+state follows its count and, by a part ``PRIOR``, what the tied model expects of it,
+within the mass that the tied model gives to all such words.  So the number of parameters grows with the corpus, and
+every text has a probability.  Whole texts are scored by the scaled forward recursion.
+
+Scale: texts are read once and written, bucketed by chunk, as numbers of the chunk's own
+vocabulary; no text moves after that.  The chunks' vocabularies meet by word, and counts
+and emissions go back to the chunks, so a word moves once for a chunk, however often it
+occurs.  What all tasks get is the tied table, ``STATES`` numbers for each of at most
+TOP + REST + 1 classes.
 
 Defined results: null text is empty and scores its end only; a null id is held out;
 without training documents every token has base probability 1 and the model is
@@ -26,11 +32,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from basketlab.llm.words import lower_words, slices
-from basketlab.storage import materialize
+from basketlab.llm.runs import run_bounds, whole_runs
+from basketlab.llm.words import input_partitions, lower_words, slices
+from basketlab.storage import bucketed, materialize
 
 STATES = 8
 TOP = 8192
@@ -42,6 +50,8 @@ CHUNK_WORDS = 400_000
 BATCH_BYTES = 2 << 20
 BATCH_WORDS = 20_000
 SMOOTH = 0.1
+OWN_COUNT = 5
+PRIOR = 0.1
 END = 0
 
 
@@ -107,31 +117,36 @@ class Counts(NamedTuple):
         return np.log10((counts + SMOOTH) / (self.tokens + SMOOTH * (self.types + 1)))
 
 
-def _classed(docs: pa.Table, vocabulary: pa.Table, totals: Counts) -> pa.Table:
-    """Documents of a chunk -> base score, the part of the model's score inside classes, and the classes."""
-    local = vocabulary.column("local").to_numpy()
-    size = int(local.max(initial=-1)) + 1
-    count, cls = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    count[local], cls[local] = vocabulary.column("c").to_numpy(), vocabulary.column("class").to_numpy()
-    base = totals.base(count)
-    inside = np.log10((count + SMOOTH) / (totals.class_tokens[cls] + SMOOTH * (totals.class_types[cls] + 1)))
-    inside[(cls > END) & (cls <= TOP)] = 0.0
-    end = float(totals.base(np.array([totals.ends]))[0])
-    rows = []
-    for doc_id, held, ids in zip(*[docs.column(n).to_pylist() for n in ("doc_id", "held_out", "ids")]):
-        ids = np.frombuffer(ids, np.int32)
-        known = int((count[ids] > 0).sum()) + (totals.ends > 0)
-        classes = np.r_[cls[ids], END].astype(np.uint16).tobytes()
-        rows.append((doc_id, held, len(ids) + 1, known, float(base[ids].sum()) + end, float(inside[ids].sum()), classes))
-    columns = list(zip(*rows)) if rows else [()] * len(_CLASSED)
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _CLASSED)], schema=_CLASSED)
-
-
-_CLASSED = pa.schema(
-    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-     ("base_score", pa.float64()), ("inside", pa.float64()), ("classes", pa.binary())]
-)
-CLASSED_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inside double, classes binary"
+def _vocabulary(table: pa.Table) -> dict[str, np.ndarray]:
+    """Columns of a chunk's words, in the order of their numbers."""
+    local = table.column("local").to_numpy()
+    size, out = int(local.max(initial=-1)) + 1, {}
+    for name in table.column_names:
+        if name not in ("chunk", "local"):
+            values = table.column(name).to_numpy()
+            out[name] = np.zeros((size, *values.shape[1:]), values.dtype)
+            out[name][local] = values
+    return out
+
+
+def _texts(docs: pa.Table) -> list[np.ndarray]:
+    """Words of the documents of a chunk, as numbers."""
+    return [np.frombuffer(x, np.int32) for x in docs.column("ids").to_pylist()]
+
+
+def _inside(count: np.ndarray, cls: np.ndarray, totals: Counts) -> np.ndarray:
+    """Share of each word in its class."""
+    share = (count + SMOOTH) / (totals.class_tokens[cls] + SMOOTH * (totals.class_types[cls] + 1))
+    share[(cls > END) & (cls <= TOP)] = 1.0
+    return share
+
+
+def _classed(docs: pa.Table, vocabulary: pa.Table) -> pa.Table:
+    """Training documents of a chunk -> their classes."""
+    cls = _vocabulary(vocabulary)["class"]
+    held = docs.column("held_out").to_pylist()
+    rows = [np.r_[cls[ids], END].astype(np.uint16).tobytes() for ids, h in zip(_texts(docs), held) if not h]
+    return pa.table([pa.array(rows, pa.binary())], names=["classes"])
 
 
 class Parameters(NamedTuple):
@@ -147,10 +162,16 @@ class Parameters(NamedTuple):
         return Parameters(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
-def expected_counts(classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, p: Parameters) -> tuple:
-    """(start, move, emit) counts of segments of ``classes`` under the parameters, by forward-backward."""
+def expected_counts(
+    classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, p: Parameters, words: np.ndarray | None = None, n_words: int = 0
+) -> tuple:
+    """(start, move, emit) counts of segments of ``classes`` under the parameters, by forward-backward.
+
+    With ``words``, numbers below ``n_words`` in the places of the classes, emit counts are theirs.
+    """
     states = len(p.start)
-    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros(p.emit.shape)
+    told, n_told = (classes, len(p.emit)) if words is None else (words, n_words)
+    start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((n_told, states))
     order = np.argsort(-sizes, kind="stable")
     for block in range(0, len(order), BLOCK):
         pick = order[block : block + BLOCK]
@@ -172,21 +193,27 @@ def expected_counts(classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray,
             beta = np.concatenate([ahead @ p.move.T, np.ones((active[t] - n, states))])
             gamma.append(alpha[t] * beta)
         start += gamma[-1].sum(axis=0)
-        every, share = np.concatenate(seen[::-1]), np.concatenate(gamma)
+        every = np.concatenate([told[begin[:n] + t] for t, n in zip(range(steps - 1, -1, -1), active[::-1])])
+        share = np.concatenate(gamma)
         for k in range(states):
-            emit[:, k] += np.bincount(every, share[:, k], len(emit))
+            emit[:, k] += np.bincount(every, share[:, k], n_told)
     return start, move * p.move, emit
 
 
+def _cuts(sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the segments of texts that lie one after another."""
+    starts, lengths, at = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+    for size in sizes:
+        cuts = np.arange(at, at + size, SEGMENT)
+        at += size
+        starts.append(cuts)
+        lengths.append(np.minimum(SEGMENT, at - cuts))
+    return np.concatenate(starts), np.concatenate(lengths)
+
+
 def _segments(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat = [np.frombuffer(x.as_buffer(), np.uint16) for x in column]
-    ends = np.cumsum([len(x) for x in flat])
-    starts, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for x, end in zip(flat, ends.tolist()):
-        cuts = np.arange(end - len(x), end, SEGMENT)
-        starts.append(cuts)
-        sizes.append(np.minimum(SEGMENT, end - cuts))
-    return np.concatenate([*flat, np.empty(0, np.uint16)]), np.concatenate(starts), np.concatenate(sizes)
+    return np.concatenate([*flat, np.empty(0, np.uint16)]), *_cuts([len(x) for x in flat])
 
 
 def _expect(batches: Iterator[pa.RecordBatch], p: Parameters) -> Iterator[pa.RecordBatch]:
@@ -202,10 +229,10 @@ def _expect(batches: Iterator[pa.RecordBatch], p: Parameters) -> Iterator[pa.Rec
 
 
 def baum_welch(classed: DataFrame, class_counts: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Parameters:
-    """Parameters after ``rounds`` of training on the rows that are not held out."""
+    """Parameters after ``rounds`` of training on the classes of the training documents."""
     p = Parameters.first(class_counts, states)
+    texts = classed
     prior = (class_counts + SMOOTH) / (class_counts + SMOOTH).sum()
-    texts = classed.where("not held_out").select("classes")
     names = [f"k{k}" for k in range(states)]
     schema = "row long, " + ", ".join(f"{n} double" for n in names)
     for _ in range(rounds):
@@ -223,10 +250,48 @@ def baum_welch(classed: DataFrame, class_counts: np.ndarray, states: int = STATE
     return p
 
 
+def _word_counts(docs: pa.Table, vocabulary: pa.Table, p: Parameters) -> pa.Table:
+    """A chunk's expected (word, state) counts over its training documents, for words that get emissions of their own."""
+    known = _vocabulary(vocabulary)
+    cls, n = known["class"], len(known["class"])
+    total = np.zeros((n + 1, len(p.start)))
+    texts = [ids for ids, h in zip(_texts(docs), docs.column("held_out").to_pylist()) if not h]
+    for at in range(0, len(texts), 1024):
+        part = texts[at : at + 1024]
+        words = np.concatenate([x for ids in part for x in (ids, [n])]).astype(np.int64)  # n is the end
+        classes = np.r_[cls, END][words]
+        total += expected_counts(classes, *_cuts([len(ids) + 1 for ids in part]), p, words, n + 1)[2]
+    own = np.flatnonzero(known["c"] >= OWN_COUNT)
+    columns = [pa.array(known[x][own]) for x in ("key", "c", "class")]
+    counts = [total[i].astype(np.float32).tobytes() for i in own.tolist()]
+    return pa.table([*columns, pa.array(counts, pa.binary())], names=["key", "c", "class", "counts"])
+
+
+def _sum_words(batches: Iterator[pa.RecordBatch], tied, tokens: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key -> one row a word, with its weight in each state; last a row without a key: sums of weights and tied shares."""
+    total = mass = 0.0
+    for table in whole_runs(batches, "key"):
+        begin, _ = run_bounds(table.column("key").to_numpy())
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.float32).reshape(len(table), -1)
+        c, cls = (table.column(x).to_numpy()[begin] for x in ("c", "class"))
+        share = tied(c, cls)
+        expected = tokens / share.shape[1] * share
+        weight = (1 - PRIOR) * np.add.reduceat(counts.astype(float), begin, axis=0) + PRIOR * expected
+        total, mass = total + weight.sum(axis=0), mass + share.sum(axis=0)
+        columns = [pa.array(table.column("key").to_numpy()[begin]), pa.array([w.tobytes() for w in weight.astype(np.float32)], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(begin), pa.binary())], ["key", "weight", "sums"])
+    if not np.isscalar(total):
+        sums = np.concatenate([total, mass]).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.nulls(1, pa.binary()), pa.array([sums])], ["key", "weight", "sums"])
+
+
 def log10_likelihoods(texts: list[np.ndarray], p: Parameters) -> np.ndarray:
-    """Exact log10 probability of each class sequence, by the scaled forward recursion over all texts at once."""
+    """Exact log10 probability of each sequence of emissions, by the scaled forward recursion over all texts at once.
+
+    ``p.emit`` may have a row for each class or for each word.
+    """
     sizes = np.array([len(x) for x in texts], np.int64)
-    flat = np.concatenate([*texts, np.empty(0, np.uint16)])
+    flat = np.concatenate([*texts, np.empty(0, np.int64)]).astype(np.int64)
     begin = np.cumsum(sizes) - sizes
     order = np.argsort(-sizes, kind="stable")
     begin, size = begin[order], sizes[order]
@@ -243,15 +308,18 @@ def log10_likelihoods(texts: list[np.ndarray], p: Parameters) -> np.ndarray:
     return out
 
 
+_OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    encoded = materialize(
-        texts.mapInArrow(
-            _encode, "chunk long, doc_id long, held_out boolean, ids binary, local long, word string, n long"
-        ),
-        "lm-encoded",
+    parts = max(input_partitions(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    encoded = texts.mapInArrow(
+        _encode, "chunk long, doc_id long, held_out boolean, ids binary, local long, word string, n long"
     )
+    # a chunk comes from one task, so this writes few files and moves nothing
+    encoded = bucketed(encoded, "chunk", parts, "lm-encoded")
     documents = encoded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
     everywhere = Window.partitionBy("word")
     vocabulary = encoded.where("word is not null").select("chunk", "local", "word", "n")
@@ -268,7 +336,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     best = materialize(best.select(F.col("key").alias("_key"), F.col("c").alias("_c"), rank.alias("own")), "lm-classes")
     # TOP short rows, so they may travel to every task
     placed = vocabulary.join(F.broadcast(best), (F.col("key") == F.col("_key")) & (F.col("c") == F.col("_c")), "left")
-    placed = placed.select("chunk", "local", "c", "first", F.coalesce(F.col("own").cast("long"), "rest").alias("class"))
+    placed = placed.select("chunk", "local", "c", "first", "key", F.coalesce(F.col("own").cast("long"), "rest").alias("class"))
 
     sums = placed.where("first and c > 0").groupBy("class").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types"))
     class_tokens, class_types = np.zeros(TOP + REST + 1), np.zeros(TOP + REST + 1)
@@ -278,25 +346,53 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     tokens, types = int(class_tokens.sum()) + ends, int(class_types.sum()) + (ends > 0)
     totals = Counts(tokens, types, ends, class_tokens, class_types)
 
-    classed = materialize(
-        documents.groupBy("chunk")
-        .cogroup(placed.select("chunk", "local", "c", "class").groupBy("chunk"))
-        .applyInArrow(lambda a, b: _classed(a, b, totals), CLASSED_SCHEMA),
-        "lm-classed",
-    )
+    placed = bucketed(placed.drop("first"), "chunk", parts, "lm-placed")
+    by_chunk = documents.groupBy("chunk")
+    classed = by_chunk.cogroup(placed.select("chunk", "local", "class").groupBy("chunk")).applyInArrow(_classed, "classes binary")
     emitted = class_tokens.copy()
     emitted[END] = ends
-    model = baum_welch(classed, emitted, states, rounds)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = log10_likelihoods([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("classes")], model)
-            scores = pa.array(whole + batch.column("inside").to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array([tokens] * batch.num_rows, pa.int64()), batch.column("base_score"), scores],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-            )
-
-    return classed.mapInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    model = baum_welch(materialize(classed, "lm-classed"), emitted, states, rounds)
+
+    def tied(c: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return _inside(c, cls, totals)[:, None] * model.emit[cls]
+
+    counted = by_chunk.cogroup(placed.groupBy("chunk")).applyInArrow(
+        lambda a, b: _word_counts(a, b, model), "key long, c long, class long, counts binary"
+    )
+    summed = counted.repartition("key").sortWithinPartitions("key").mapInArrow(
+        lambda x: _sum_words(x, tied, tokens), "key long, weight binary, sums binary"
     )
+    summed = materialize(summed, "lm-words")
+    weight, mass = np.ones(states), np.zeros(states)
+    found = summed.where("key is null").select("sums").collect()  # a row for each task that has words
+    if found:
+        both = np.sum([np.frombuffer(r["sums"], float) for r in found], axis=0)
+        weight, mass = both[:states], both[states:]
+    own = summed.where("key is not null").select(F.col("key").alias("_key"), "weight")
+    sent = placed.join(own, F.col("key") == F.col("_key"), "left").select("chunk", "local", "c", "class", "weight")
+
+    def finish(docs: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        weights = vocabulary.column("weight")
+        known = _vocabulary(vocabulary.drop(["weight"]))
+        c, emit = known["c"], tied(known["c"], known["class"])
+        has = vocabulary.filter(pc.is_valid(weights))
+        if len(has):
+            rows = np.frombuffer(b"".join(has.column("weight").to_pylist()), np.float32).reshape(len(has), -1)
+            emit[has.column("local").to_numpy()] = rows * (mass / weight)
+        p = Parameters(model.start, model.move, np.concatenate([emit, model.emit[END][None]]))
+        base = totals.base(np.r_[c, ends])
+        ids = [np.r_[x, len(c)].astype(np.int64) for x in _texts(docs)]
+        seen = np.r_[c, ends] > 0
+        columns = [
+            docs.column("doc_id"), docs.column("held_out"), pa.array([len(x) for x in ids], pa.int64()),
+            pa.array([int(seen[x].sum()) for x in ids], pa.int64()), pa.array([tokens] * len(ids), pa.int64()),
+            pa.array([float(base[x].sum()) for x in ids], pa.float64()), pa.array(_scored(ids, p), pa.float64()),
+        ]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return by_chunk.cogroup(sent.groupBy("chunk")).applyInArrow(finish, _OUT)
+
+
+def _scored(texts: list[np.ndarray], p: Parameters) -> np.ndarray:
+    parts = [log10_likelihoods(texts[at : at + 2048], p) for at in range(0, len(texts), 2048)]
+    return np.concatenate([*parts, np.empty(0)])

@@ -154,6 +154,80 @@ def test_language_model(spark):
     assert unseen[0]["base_score"] == 0.0 and unseen[0]["train_tokens"] == 0
 
 
+def plain_forward_backward(seq, start, move, emit):
+    """Log likelihood and state posteriors of one sequence, step by step in plain numbers."""
+    states = range(len(start))
+    alpha = [[start[k] * emit[seq[0]][k] for k in states]]
+    for x in seq[1:]:
+        alpha.append([sum(alpha[-1][j] * move[j][k] for j in states) * emit[x][k] for k in states])
+    beta = [[1.0 for _ in states]]
+    for x in reversed(seq[1:]):
+        beta.insert(0, [sum(move[j][k] * emit[x][k] * beta[0][k] for k in states) for j in states])
+    whole = sum(alpha[-1])
+    gamma = [[a * b / whole for a, b in zip(*rows)] for rows in zip(alpha, beta)]
+    moves = [
+        [[alpha[t][j] * move[j][k] * emit[seq[t + 1]][k] * beta[t + 1][k] / whole for k in states] for j in states]
+        for t in range(len(seq) - 1)
+    ]
+    return math.log10(whole), gamma, moves
+
+
+def test_language_model_against_plain_baum_welch(spark, monkeypatch):
+    """Two tied rounds, the round by word and all scores, one sequence after another; also with more words than classes."""
+    monkeypatch.setattr(hidden_markov, "TOP", 6)
+    monkeypatch.setattr(hidden_markov, "REST", 4)
+    monkeypatch.setattr(hidden_markov, "OWN_COUNT", 2)
+    rows = [(i, prose(4 + 3 * i % 17, i)) for i in range(24)] + [(30, ""), (31, None), (32, "never seen words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in hidden_markov.score(docs, states=3, rounds=2).collect()}
+    texts = {i: (t or "").lower().split() for i, t in rows}
+    held = {i: crc32(str(i).encode()) % 10 == 0 for i in texts}
+    counts = Counter(w for i, t in texts.items() if not held[i] for w in t)
+    ends = sum(not h for h in held.values())
+    best = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:6]
+    key = {r[0]: r[1] for r in spark.createDataFrame([(w,) for w in best], "w string").selectExpr("w", "xxhash64(w)").collect()}
+    top = {w: k for k, w in enumerate(sorted(best, key=lambda w: (-counts[w], key[w])), 1)}
+    cls = lambda w: top.get(w, crc32(w[-2:].encode()) % 4 + 7)
+    in_class, types = Counter(), Counter()
+    for w, n in counts.items():
+        in_class[cls(w)] += n
+        types[cls(w)] += 1
+    inside = lambda w: 1.0 if w in top else (counts[w] + 0.1) / (in_class[cls(w)] + 0.1 * (types[cls(w)] + 1))
+    emitted = np.array([ends, *[in_class[k] for k in range(1, 11)]], float)
+    p = hidden_markov.Parameters.first(emitted, 3)
+    prior = (emitted + 0.1) / (emitted + 0.1).sum()
+    for _ in range(2):
+        start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((11, 3))
+        for i, t in texts.items():
+            if not held[i]:
+                seq = [*map(cls, t), 0]
+                _, gamma, moves = plain_forward_backward(seq, p.start, p.move, p.emit)
+                start += gamma[0]
+                move += np.sum(moves, axis=0) if moves else 0
+                for x, g in zip(seq, gamma):
+                    emit[x] += g
+        emit = emit + prior[:, None]
+        p = hidden_markov.Parameters(
+            (start + 0.1) / (start + 0.1).sum(), (move + 0.1) / (move + 0.1).sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+        )
+    own, tokens = Counter(), sum(counts.values()) + ends
+    word_counts = {w: np.zeros(3) for w, n in counts.items() if n >= 2}
+    for i, t in texts.items():
+        if not held[i]:
+            _, gamma, _ = plain_forward_backward([*map(cls, t), 0], p.start, p.move, p.emit)
+            for w, g in zip(t, gamma):
+                if w in word_counts:
+                    word_counts[w] += g
+    tied = lambda w: inside(w) * p.emit[cls(w)]
+    weight = {w: 0.9 * n + 0.1 * tokens / 3 * tied(w) for w, n in word_counts.items()}
+    mass, all_ = sum(tied(w) for w in weight), sum(weight.values())
+    assert len(weight) > 6 and own == Counter()
+    for i, t in texts.items():
+        emit = [weight[w] * mass / all_ if w in weight else tied(w) for w in t] + [p.emit[0]]
+        want, _, _ = plain_forward_backward(range(len(emit)), p.start, p.move, emit)
+        assert got[i]["score"] == pytest.approx(want, rel=1e-5, abs=1e-6)
+
+
 def test_language_model_beats_base_on_held_out_texts(spark):
     rows = queries.op3_language_model(spark, SMALL).collect()
     docs = duckdb.connect().execute(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet'").fetchall()
