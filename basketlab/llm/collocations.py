@@ -16,11 +16,15 @@ with others starts early at worst; it is still counted over one full cycle.
 
 Counts go by 64-bit hashes of phrase and language.  Phrases whose cycle is over leave
 the running counts: frequent ones go to the result, others are dropped.  A last scan
-spells the frequent ones of two words and more; should two of them share a hash, all is
-counted again under another seed.  Single words are told apart by their hash alone.
-
-Scale: tasks count their part before anything is shuffled; the running counts hold
-phrases within their cycle only.  The tables sent to tasks have a fixed size; a corpus
+spells the frequent ones of two words and more, shard after shard until all are spelled;
+should two of what it sees share a hash, all is counted again under another seed.
+Beyond that, phrases are told apart by 62 bits: of a thousand million one pair in ten
+corpora would be counted together.
+
+Scale: tasks count their part before anything is shuffled, and send blocks of sorted
+hashes, a few bytes for each different phrase; ranges of hashes are merged each in one
+task, so ``spark.sql.shuffle.partitions`` sets what a task holds.  The running counts
+hold phrases within their cycle only.  The tables sent to tasks have a fixed size; a corpus
 with more frequent phrases than slots prunes less and counts as exactly.  Cuts and
 containment are equi-joins on hashes.  The list of a language is cut by a histogram of
 its scores and ranked in salted groups first, so no task sees all its candidates.
@@ -52,12 +56,13 @@ SCALE = 1_000_000
 CONTAINED_PERCENT = 50
 
 SHARDS = 3
-SLOT_BITS = 23
+SLOT_BITS = 24
 NEVER = 255
 BATCH_BYTES = 1 << 20
 HELD = 1 << 20
 SPELLED = 1 << 17
 SALTS = 64
+PARTS = 4  # ranges of keys for each shuffle partition
 
 # a run of what neither separates pieces nor words
 WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
@@ -120,40 +125,105 @@ def _starts(phrases: Phrases, reached: list[np.ndarray], n: int) -> np.ndarray:
     return np.where(later == NEVER, NEVER, later + 1)
 
 
-def _summed(keys: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, starts, counts = keys[order], starts[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-    return keys[first], starts[first], np.add.reduceat(counts, first) if len(first) else counts
+# counts travel and lie as blocks: the sorted keys of a range of keys and of one first step, and their counts
+_BLOCKS = "part int, start int, keys binary, counts binary, old boolean"
+_BLOCKS_TYPE = pa.schema([("part", pa.int32()), ("start", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("old", pa.bool_())])
+
 
+def _blocks(start: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[tuple]:
+    """Blocks of sorted keys, one for each range of keys that has any."""
+    edges = [(i << 64) // parts for i in range(1, parts)]
+    cuts = [0, *np.searchsorted(keys, np.array(edges, np.uint64)).tolist(), len(keys)]
+    for part, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            yield part, start, keys[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes(), False
 
-def _scan(step: int, shards: int, reached: list[np.ndarray], longest: int, seed: int):
-    """Counts of the phrases that are within their cycle at this step."""
 
-    def rows(held: list[tuple]) -> pa.RecordBatch:
-        keys, starts, counts = _summed(*[np.concatenate(x) for x in zip(*held)])
-        columns = [pa.array(keys.view(np.int64)), pa.array(starts.astype(np.int32)), pa.array(counts, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["key", "start", "n"])
+def _scan(step: int, shards: int, reached: list[np.ndarray], longest: int, seed: int, parts: int):
+    """Counts of the phrases that are within their cycle at this step, as blocks."""
+
+    def rows(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+        found = []
+        for start, keys in held.items():
+            found += _blocks(start, *np.unique(np.concatenate(keys), return_counts=True), parts)
+        columns = list(zip(*found)) if found else [()] * len(_BLOCKS_TYPE)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCKS_TYPE)], schema=_BLOCKS_TYPE)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 phrases = Phrases(part.column("lang").to_pylist(), part.column("text").to_pylist(), longest, seed)
                 for n in range(1, longest + 1):
+                    keys, there = phrases.keys[n - 1], phrases.there[n - 1]
                     starts = _starts(phrases, reached, n)
-                    counted = phrases.there[n - 1] & (starts <= step) & (step < starts + shards)
-                    keys, first, counts = np.unique(phrases.keys[n - 1][counted], return_index=True, return_counts=True)
-                    held.append((keys, starts[counted][first], counts))
-                if sum(len(keys) for keys, _, _ in held) > HELD:
+                    for start in range(max(0, step - shards + 1), step + 1):  # those whose cycle covers this step
+                        now = keys[there & (starts == start)]
+                        if len(now):
+                            held.setdefault(start, []).append(now)
+                            size += len(now)
+                if size > HELD:
                     yield rows(held)
-                    held = []
+                    held, size = {}, 0
         if held:
             yield rows(held)
 
     return scan
 
 
+_MERGED = "kind string, part int, start int, keys binary, counts binary"
+_MERGED_TYPE = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("start", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _merge(step: int, shards: int, threshold: int):
+    """Blocks sorted by part -> running counts, phrases found, and keys that have just reached the threshold."""
+
+    def merged(part: int, blocks: list[tuple]) -> Iterator[tuple]:
+        for start in sorted({b[0] for b in blocks}):
+            mine = [b for b in blocks if b[0] == start]
+            keys = np.concatenate([np.frombuffer(b[1], np.uint64) for b in mine])
+            counts = np.concatenate([np.frombuffer(b[2], np.int64) for b in mine])
+            before = np.where(np.repeat([b[3] for b in mine], [len(b[1]) // 8 for b in mine]), counts, 0)
+            order = np.argsort(keys)
+            keys, counts, before = keys[order], counts[order], before[order]
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            keys, counts, before = keys[first], np.add.reduceat(counts, first), np.add.reduceat(before, first)
+            enough = counts >= threshold
+            new = keys[enough & (before < threshold)]
+            if len(new):
+                yield "reached", part, start, new.tobytes(), None
+            if start + shards - 1 <= step:  # its cycle is over: what is rare is dropped here
+                if enough.any():
+                    yield "found", part, start, keys[enough].tobytes(), counts[enough].tobytes()
+            else:
+                yield "running", part, start, keys.tobytes(), counts.tobytes()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(part: int, blocks: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found)) if (found := list(merged(part, blocks))) else [()] * len(_MERGED_TYPE)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MERGED_TYPE)], schema=_MERGED_TYPE)
+
+        part, blocks = None, []
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("part", "start", "keys", "counts", "old")]):
+                if row[0] != part and blocks:
+                    yield out(part, blocks)
+                    blocks = []
+                part = row[0]
+                blocks.append(row[1:])
+        if blocks:
+            yield out(part, blocks)
+
+    return merge
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, counts = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64) for c in ("keys", "counts"))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+
+
 def _level(key: Column) -> Column:
     return key.bitwiseAND(F.lit(3))
 
@@ -163,36 +233,45 @@ def frequent(
 ) -> DataFrame:
     """Phrases (key, n) that occur ``threshold`` times or more in texts (lang, text, shard)."""
     spark = texts.sparkSession
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     reached = [np.full(1 << bits, NEVER, np.uint8) for _ in range(longest - 1)]
     running: DataFrame | None = None
     found: list[DataFrame] = []
     step, last, path = 0, shards - 1, ""
     while step <= last:
-        scan = _scan(step, shards, reached, longest, seed)
-        scanned = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(scan, "key long, start int, n long")
-        scanned = scanned.withColumn("old", F.lit(0).cast("long"))
-        both = scanned if running is None else scanned.unionByName(running.withColumn("old", F.col("n")))
-        counted = both.groupBy("key").agg(F.min("start").alias("start"), F.sum("n").alias("n"), F.sum("old").alias("old"))
-        over = F.col("start") + (shards - 1) <= step
-        # a phrase whose cycle is over and that is rare is dropped here
-        kept = counted.where(~over | (F.col("n") >= threshold)).withColumn("over", over)
+        scan = _scan(step, shards, reached, longest, seed, parts)
+        blocks = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(scan, _BLOCKS)
+        if running is not None:
+            blocks = blocks.unionByName(running.withColumn("old", F.lit(True)))
+        merged = blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_merge(step, shards, threshold), _MERGED)
         before, path = path, scratch_path(spark, "phrase-counts")
-        kept.write.partitionBy("over").parquet(path)
+        merged.write.partitionBy("kind").parquet(path)
         if before:
-            remove(spark, f"{before}/over=false")
-        written = spark.read.schema("key long, start int, n long, old long, over boolean").parquet(path)
-        now = written.where((F.col("n") >= threshold) & (F.col("old") < threshold))
+            remove(spark, f"{before}/kind=running")
+        written = spark.read.schema(_MERGED).parquet(path)
         for level in range(1, longest):
-            new = bit_table(now.where(_level(F.col("key")) == level).select("key"), bits) & (reached[level - 1] == NEVER)
+            now = written.where("kind = 'reached'").select("keys").mapInArrow(_of_level(level), "keys binary")
+            new = bit_table(now, bits, packed=True) & (reached[level - 1] == NEVER)
             if new.any():
                 reached[level - 1][new] = step
                 last = max(last, step + shards)
-        found.append(written.where("over").select("key", "n"))
-        running = written.where("not over").select("key", "start", "n")
+        found.append(written.where("kind = 'found'").select("keys", "counts").mapInArrow(_unpacked, "key long, n long"))
+        running = written.where("kind = 'running'").select("part", "start", "keys", "counts")
         step += 1
     return materialize(_union(found), "frequent-phrases")
 
 
+def _of_level(level: int):
+    """Packed keys -> those of phrases of so many words."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array([keys[keys & np.uint64(3) == level].tobytes()], pa.binary())], ["keys"])
+
+    return pick
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for table in tables[1:]:
@@ -235,14 +314,25 @@ def _spell(wanted: np.ndarray, longest: int, seed: int):
     return spell
 
 
-def spelled(texts: DataFrame, keys: DataFrame, longest: int, bits: int = SLOT_BITS, seed: int = 0) -> DataFrame:
-    """(key, lang, phrase, other) of the phrases (key) of two words and more; ``other`` is unequal if two share a key."""
-    wanted = bit_table(keys.where(_level(F.col("key")) > 1).select("key"), bits)
-    named = texts.select("lang", "text").mapInArrow(_spell(wanted, longest, seed), "key long, lang string, phrase string")
+def spelled(texts: DataFrame, keys: DataFrame, longest: int, shards: int, bits: int = SLOT_BITS, seed: int = 0) -> DataFrame:
+    """(key, lang, phrase, shared) of the phrases (key) of two words and more; ``shared`` if two of them have the key.
+
+    Shard after shard, each asked only for what those before did not spell.
+    """
     name = F.struct("lang", "phrase")
-    names = named.groupBy("key").agg(F.min(name).alias("name"), F.max(name).alias("other"))
-    names = names.join(keys.select("key"), "key", "left_semi")
-    return materialize(names.select("key", "name.lang", "name.phrase", (F.col("name") != F.col("other")).alias("shared")), "spelled-phrases")
+    left, out = keys.where(_level(F.col("key")) > 1).select("key"), []
+    for shard in range(shards):
+        wanted = bit_table(left, bits)
+        if not wanted.any():
+            break
+        rows = texts.where(F.col("shard") == shard).select("lang", "text")
+        named = rows.mapInArrow(_spell(wanted, longest, seed), "key long, lang string, phrase string")
+        names = named.groupBy("key").agg(F.min(name).alias("name"), F.max(name).alias("other")).join(left, "key", "left_semi")
+        names = names.select("key", "name.lang", "name.phrase", (F.col("name") != F.col("other")).alias("shared"))
+        out.append(materialize(names, "spelled-phrases"))
+        left = materialize(left.join(out[-1].select("key"), "key", "left_anti"), "unspelled-phrases")
+    empty = texts.sparkSession.createDataFrame([], "key long, lang string, phrase string, shared boolean")
+    return _union(out or [empty])
 
 
 def _cut(longest: int, seed: int):
@@ -332,7 +422,7 @@ def collocations(
     while names is None or not names.where("shared").isEmpty():
         seed += 1
         counts = frequent(texts, threshold, longest, shards, bits, seed)
-        names = spelled(texts, counts, longest, bits, seed)
+        names = spelled(texts, counts, longest, shards, bits, seed)
     words = F.regexp_count("text", F.lit(WORD))
     totals = texts.groupBy("lang").agg(F.sum(words).cast("long").alias("n"))
     best = ranked(scored(names, counts, longest, seed), top)

@@ -60,8 +60,8 @@ def slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(64 - bits)).astype(np.int64), (other >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
-    """A table of ``1 << bits`` flags with both slots set of every key in a column of longs.
+def bit_table(keys: DataFrame, bits: int, packed: bool = False) -> np.ndarray:
+    """A table of ``1 << bits`` flags with both slots set of every key in a column of longs, or of their bytes if ``packed``.
 
     Whoever looks up a key finds both its slots set; a few others find that too, more of
     them the fuller the table, so it thins out rows before an exact join.
@@ -72,8 +72,8 @@ def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
     def rows(table: np.ndarray) -> pa.RecordBatch:
         blocks = table.reshape(-1, block)
         at = np.flatnonzero(blocks.any(axis=1))
-        packed = [np.packbits(blocks[i]).tobytes() for i in at]
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(packed, pa.binary())], ["block", "flags"])
+        flags = [np.packbits(blocks[i]).tobytes() for i in at]
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flags, pa.binary())], ["block", "flags"])
 
     def merged(table: np.ndarray, found: list[tuple[int, bytes]]) -> None:
         for at, flags in found:
@@ -82,8 +82,10 @@ def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits, bool)
         for batch in batches:
-            for places in slots(batch.column(0).to_numpy().view(np.uint64), bits):
-                table[places] = True
+            column = batch.column(0)
+            for part in column.to_pylist() if packed else [column.to_numpy().tobytes()]:
+                for places in slots(np.frombuffer(part, np.uint64), bits):
+                    table[places] = True
         yield rows(table)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -118,7 +118,7 @@ def test_exact_score(spark):
     assert got == [10**6 * a * a // (left * right), 10**6, 10**8 // 2100]
 
 
-@pytest.mark.parametrize("name", ["op11_collocations", "op13_jaccard_join"])
+@pytest.mark.parametrize("name", ["op11_collocations", "op12_importance_resampling", "op13_jaccard_join"])
 def test_sql(spark, name):
     con = connect(SMALL)
     different, rows = compare(spark, con, SMALL, name, queries.REGISTRY[name], oracles.oracle_sql()[name])

@@ -11,6 +11,7 @@ import pytest
 from cases import LABELS, ROWS, documents, empty, prose
 from compare import compare, connect
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from basketlab.llm import chat, hidden_markov, mixing, ngram_rules, oracles, pieces, queries, site_style, weak_labels
 
@@ -246,6 +247,32 @@ def test_classifier_on_labelled_documents(spark):
     assert sum(clean) >= 0.97 * len(clean) and sum(poor) <= 0.25 * len(poor)
 
 
+def test_toxic_words_of_any_kind_are_learnt_from_the_labels(spark):
+    """Half of the labels teach; the ten insults of the data are replaced by ten other words throughout."""
+    folder = SMALL.replace("0.001", "0.1")
+    docs, labels = (queries.table(spark, folder, t) for t in ("documents", "labels"))
+    insults = "idiot moron stupid loser scum trash worthless disgusting pathetic clown".split()
+    text = F.col("text")
+    for i, word in enumerate(insults):
+        text = F.regexp_replace(text, rf"(?i)\b{word}\b", f"grumbl{chr(97 + i) * 3}")
+    docs = docs.withColumn("text", text)
+    taught = labels.where("crc32(cast(doc_id as string)) % 2 = 0")
+    model = weak_labels.fit(docs, taught)
+    assert len(model.loaded) >= 10
+    rows = weak_labels.classify(docs, model).join(labels.where("crc32(cast(doc_id as string)) % 2 = 1"), "doc_id").collect()
+    toxic = [r["kept"] for r in rows if r["toxic"] == 1]
+    clean = [r["kept"] for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    assert sum(toxic) <= 0.1 * len(toxic) and sum(clean) >= 0.97 * len(clean) and len(toxic) > 150
+
+
+def test_an_annotation_alone_keeps_its_row_bad():
+    quiet = "11110"
+    patterns = {quiet + "11": 900, quiet + "12": 60, quiet + "00": 500, "11120" + "21": 30, "11120" + "00": 20}
+    _, bad = weak_labels.estimate(patterns)
+    assert bad[quiet + "12"] == pytest.approx(1) and bad["1112021"] == pytest.approx(1)
+    assert bad[quiet + "11"] < 0.1 and bad[quiet + "00"] < 0.3
+
+
 def test_em_finds_the_accuracies():
     rng = np.random.default_rng(0)
     kind = rng.choice(3, 20_000, p=[0.7, 0.2, 0.1])
