@@ -43,7 +43,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from basketlab.llm.counting import bit_table, may_hold, slots
+from basketlab.llm.counting import Shipped, bit_table, may_hold, slots
 from basketlab.llm.words import mixed, slices
 from basketlab.storage import materialize, remove, scratch_path
 
@@ -56,7 +56,7 @@ SCALE = 1_000_000
 CONTAINED_PERCENT = 50
 
 SHARDS = 3
-SLOT_BITS = 24
+SLOT_BITS = 23
 NEVER = 255
 BATCH_BYTES = 1 << 20
 HELD = 1 << 20
@@ -139,7 +139,7 @@ def _blocks(start: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> Ite
             yield part, start, keys[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes(), False
 
 
-def _scan(step: int, shards: int, reached: list[np.ndarray], longest: int, seed: int, parts: int):
+def _scan(step: int, shards: int, sent: list[Shipped], longest: int, seed: int, parts: int):
     """Counts of the phrases that are within their cycle at this step, as blocks."""
 
     def rows(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
@@ -150,6 +150,7 @@ def _scan(step: int, shards: int, reached: list[np.ndarray], longest: int, seed:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCKS_TYPE)], schema=_BLOCKS_TYPE)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = [table.open() for table in sent]
         held: dict[int, list[np.ndarray]] = {}
         size = 0
         for batch in batches:
@@ -239,7 +240,7 @@ def frequent(
     found: list[DataFrame] = []
     step, last, path = 0, shards - 1, ""
     while step <= last:
-        scan = _scan(step, shards, reached, longest, seed, parts)
+        scan = _scan(step, shards, [Shipped(table) for table in reached], longest, seed, parts)
         blocks = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(scan, _BLOCKS)
         if running is not None:
             blocks = blocks.unionByName(running.withColumn("old", F.lit(True)))
@@ -279,7 +280,7 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _spell(wanted: np.ndarray, longest: int, seed: int):
+def _spell(sent: Shipped, longest: int, seed: int):
     """Phrases of two words and more whose slots are set -> (key, lang, phrase), once or more in each task."""
 
     def rows(held: dict[int, tuple[str, bytes]]) -> pa.RecordBatch:
@@ -292,6 +293,7 @@ def _spell(wanted: np.ndarray, longest: int, seed: int):
         return pa.RecordBatch.from_arrays(columns, ["key", "lang", "phrase"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.open()
         held: dict[int, tuple[str, bytes]] = {}
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
@@ -326,7 +328,7 @@ def spelled(texts: DataFrame, keys: DataFrame, longest: int, shards: int, bits:
         if not wanted.any():
             break
         rows = texts.where(F.col("shard") == shard).select("lang", "text")
-        named = rows.mapInArrow(_spell(wanted, longest, seed), "key long, lang string, phrase string")
+        named = rows.mapInArrow(_spell(Shipped(wanted), longest, seed), "key long, lang string, phrase string")
         names = named.groupBy("key").agg(F.min(name).alias("name"), F.max(name).alias("other")).join(left, "key", "left_semi")
         names = names.select("key", "name.lang", "name.phrase", (F.col("name") != F.col("other")).alias("shared"))
         out.append(materialize(names, "spelled-phrases"))

@@ -8,6 +8,7 @@ table bounds what it gets, not the data.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,6 +55,16 @@ def count_table(
     return out.ravel()[:size]
 
 
+class Shipped:
+    """A table on its way to the tasks, compressed: what goes with a function is written on every executor's disk."""
+
+    def __init__(self, table: np.ndarray):
+        self._kind, self._data = table.dtype.str, zlib.compress(table.tobytes(), 1)
+
+    def open(self) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(self._data), self._kind)
+
+
 def slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Two places for each key (unsigned 64 bits) in a table of ``1 << bits``."""
     other = keys * np.uint64(0xD6E8FEB86659FD93)

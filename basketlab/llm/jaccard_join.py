@@ -7,7 +7,7 @@ Only sets that meet there are candidates.  They are tested, cheapest first, by
 
 * length: neither may be smaller than 0.85 of the other;
 * position: behind the first common shingle of both prefixes there must be enough left;
-* suffix: what is left is split by fixed pivots of the order, and the smaller counts of
+* suffix: the shingles are split into 128 parts by their hash, and the smaller counts of
   each part must add up to enough;
 
 and each pair that passes is verified once, by intersecting the whole sets.
@@ -25,8 +25,8 @@ whose members are all in one component has nothing left to tell.  After the hub
 the pairs that remain between different components are all tested.  A pair within one
 component cannot change the result and is the only thing left out.
 
-Scale: the texts are read twice for their shingles and once more for the candidates'
-texts; 15 % of the shingles are shuffled once, as two longs, to find those that two
+Scale: the texts are read twice for their shingles and once more in each round for the
+texts of the pairs that passed; 15 % of the shingles are shuffled once, as two longs, to find those that two
 classes share.  Two tables of flags of fixed size, one of these shingles and one of the
 candidates, thin out rows where they lie, before the exact joins; on a corpus that
 fills them they thin out less.  Sets of candidates alone are moved.  All joins are
@@ -40,7 +40,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,16 +48,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from basketlab.llm.components import connected_components
-from basketlab.llm.counting import bit_table, count_table, may_hold
+from basketlab.llm.counting import Shipped, bit_table, count_table, may_hold
 from basketlab.llm.words import lower_words, mixed, slices
 from basketlab.storage import materialize
 
 SHINGLE = 4
 PERCENT = 85
 SEED = 42
-RARITY_BITS = 20
+RARITY_BITS = 22
 TOKEN_BITS = 56
-PIVOTS = 16
+PIVOTS = 128
 HUB_ROUNDS = 2
 FILTER_BITS = 23
 BATCH_BYTES = 1 << 20
@@ -115,8 +115,9 @@ def _parts(found: np.ndarray) -> np.ndarray:
     return np.bincount(found & (PIVOTS - 1), minlength=PIVOTS).astype(np.int32)
 
 
-def _mark(rare: np.ndarray, percent: int):
+def _mark(sent: Shipped, percent: int):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare = sent.open()
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 rows = []
@@ -136,10 +137,11 @@ def _mark(rare: np.ndarray, percent: int):
     return mark
 
 
-def _entries(wanted: np.ndarray):
+def _entries(sent: Shipped):
     """Prefix shingles (token, short_key, n, pos) whose slots are set."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.open()
         for batch in batches:
             prefix = batch.column("prefix")
             token = prefix.flatten().to_numpy()
@@ -153,18 +155,20 @@ def _entries(wanted: np.ndarray):
     return entries
 
 
-def _wanted_texts(wanted: np.ndarray):
+def _wanted_texts(sent: Shipped):
     """Rows whose text_key has its slots set."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.open()
         for batch in batches:
             yield batch.filter(pa.array(may_hold(wanted, batch.column("text_key").to_numpy())))
 
     return keep
 
 
-def _sets(rare: np.ndarray):
+def _sets(sent: Shipped):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare = sent.open()
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
                 found = [tokens(shingle_hashes(t.as_py()), rare) for t in part.column("text")]
@@ -182,21 +186,19 @@ def _like_sizes(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _met(pairs: DataFrame, percent: int, whole: bool) -> DataFrame:
+def _met(pairs: DataFrame, percent: int) -> DataFrame:
     """Rows (a, n, i, b, m, j), a shingle in both prefixes -> distinct pairs that length and position let pass.
 
-    ``whole`` says that all common prefix shingles of a pair are there, so that the least
-    positions are those of the first one; else any number of them may lie before.
+    The shingle need not be the pair's first common one: as many as lie before it may be common too.
     """
     left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
     enough = needed(F.col("n"), F.col("m"), percent)
     like = pairs.where(_like_sizes(F.col("n"), F.col("m"), percent) & (F.least("i", "j") + left >= enough))
-    first = like.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("n", "m", "i", "j")])
-    return (first.where(left >= enough) if whole else first).select("a", "n", "b", "m")
+    return like.select("a", "n", "b", "m").distinct()
 
 
-def _verified(pairs: DataFrame, digests: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among distinct pairs (a, n, b, m)."""
+def _verified(pairs: DataFrame, digests: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links (a, b) among distinct pairs (a, n, b, m): the suffix filter first, then the whole sets of what is left."""
 
     def side(table: DataFrame, name: str, column: str) -> DataFrame:
         return table.select(F.col("cls").alias(name), F.col(column).alias(f"{column}_{name}"))
@@ -204,12 +206,15 @@ def _verified(pairs: DataFrame, digests: DataFrame, sets: DataFrame, percent: in
     common = F.aggregate(
         F.arrays_zip("parts_a", "parts_b"), F.lit(0).cast("long"), lambda n, x: n + F.least(x["parts_a"], x["parts_b"])
     )
-    left = pairs.join(side(digests, "a", "parts"), "a").join(side(digests, "b", "parts"), "b")
-    left = left.where(common >= needed(F.col("n"), F.col("m"), percent)).drop("parts_a", "parts_b")
-    both = left.join(side(sets, "a", "members"), "a").join(side(sets, "b", "members"), "b")
+    likely = pairs.join(side(digests, "a", "parts"), "a").join(side(digests, "b", "parts"), "b")
+    likely = materialize(likely.where(common >= needed(F.col("n"), F.col("m"), percent)).select("a", "b"), "likely-pairs")
+    if likely.isEmpty():
+        return likely
+    sets = fetch(likely.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+    both = likely.join(side(sets, "a", "members"), "a").join(side(sets, "b", "members"), "b")
     shared = F.size(F.array_intersect("members_a", "members_b"))
     either = F.size("members_a") + F.size("members_b") - shared
-    return both.where(shared * 100 >= either * percent).select("a", "b")
+    return materialize(both.where(shared * 100 >= either * percent).select("a", "b"), "set-links")
 
 
 def _paired(one: DataFrame, other: DataFrame) -> DataFrame:
@@ -221,6 +226,31 @@ def _paired(one: DataFrame, other: DataFrame) -> DataFrame:
     return left.join(right, "token").where("_one <> _two").drop("token", "_one", "_two")
 
 
+def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, n, b, m) of members in different components that length and position let pass.
+
+    Each member carries the shingles it shares with others that come before, at most its
+    prefix, so a pair comes out once, at its first common shingle, and the join hands on
+    nothing but pairs to be tested.
+    """
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("rows")
+    of_class = members.groupBy("cls", "n", "component").agg(in_order)
+    spread = of_class.select("cls", "n", "component", "rows.token", F.posexplode("rows").alias("at", "row"))
+    spread = spread.select("cls", "n", "component", "row.pos", F.col("row.token").alias("met"), F.slice("token", 1, F.col("at")).alias("before"))
+    one = spread.select(*[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "n"), ("pos", "i"), ("component", "c1"), ("met", "met"), ("before", "b1"))])
+    two = spread.select(*[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "m"), ("pos", "j"), ("component", "c2"), ("met", "met2"), ("before", "b2"))])
+    left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+    passes = (
+        (F.col("met") == F.col("met2"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("c1") != F.col("c2"))
+        & _like_sizes(F.col("n"), F.col("m"), percent)
+        & (left >= needed(F.col("n"), F.col("m"), percent))
+        & ~F.arrays_overlap("b1", "b2")
+    )
+    return one.join(two, passes).select("a", "n", "b", "m")
+
+
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members with their component now, of those shingles that meet in several components."""
     placed = members.drop("component").join(found, F.col("cls") == F.col("node"), "left").drop("node")
@@ -229,23 +259,26 @@ def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     return placed.join(several.where("least <> most").select("token"), "token", "left_semi")
 
 
-def link_classes(classes: DataFrame, sets: DataFrame, members: DataFrame, percent: int, rounds: int) -> DataFrame:
-    """(node, component) of all classes (cls, parts) that have a link; ``members`` are (token, cls, n, pos).
+def link_classes(
+    classes: DataFrame, fetch: Callable[[DataFrame], DataFrame], members: DataFrame, percent: int, rounds: int
+) -> DataFrame:
+    """(node, component) of all classes (cls, parts) that have a link.
 
-    At least one of the ``rounds`` with hubs is needed.
+    ``members`` are (token, cls, n, pos); ``fetch`` turns classes (cls) into their sets
+    (cls, members).  At least one of the ``rounds`` with hubs is needed.
     """
     if rounds < 1:
         raise ValueError("rounds is 1 or more")
     digests = classes.select("cls", "parts")
     open_ = members.withColumn("component", F.col("cls")).withColumn("hub", F.lit(-1).cast("long"))
-    links, tested, found = None, None, None
+    links, tested = None, None
     for _ in range(rounds):
         # the next hub of a shingle: the most usual member that has not been one
         hub = F.min(F.when(F.col("cls") > F.col("hub"), F.struct("cls", "n", "pos", "component")))
         hubs = open_.groupBy("token").agg(hub.alias("h")).where("h is not null").select("token", "h.*")
-        met = materialize(_met(_oriented(_paired(hubs, open_)), percent, False), "hub-pairs")
-        met = met if tested is None else materialize(met.join(tested, ["a", "b"], "left_anti"), "hub-pairs")
-        new = materialize(_verified(met, digests, sets, percent), "set-links")
+        met = _met(_oriented(_paired(hubs, open_)), percent)
+        met = materialize(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "hub-pairs")
+        new = _verified(met, digests, fetch, percent)
         links = new if links is None else links.unionByName(new)
         tested = met.select("a", "b") if tested is None else tested.unionByName(met.select("a", "b"))
         found = connected_components(links)
@@ -253,8 +286,8 @@ def link_classes(classes: DataFrame, sets: DataFrame, members: DataFrame, percen
         open_ = materialize(_open(members, found).join(tried, "token", "left").fillna(1 << 62, ["hub"]), "open-members")
         if open_.isEmpty():
             return found
-    rest = _met(_paired(open_, open_).where("a < b"), percent, True).join(tested, ["a", "b"], "left_anti")
-    new = materialize(_verified(materialize(rest, "rest-pairs"), digests, sets, percent), "set-links")
+    rest = _all_pairs(open_, percent).join(tested, ["a", "b"], "left_anti")
+    new = _verified(materialize(rest, "rest-pairs"), digests, fetch, percent)
     return connected_components(links.unionByName(new))
 
 
@@ -278,7 +311,7 @@ def join_similar(
     text = F.col(text_col)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
-    rare = rarity(texts.select("text"), bits)
+    rare = Shipped(rarity(texts.select("text"), bits))
     marked = materialize(keyed.mapInArrow(_mark(rare, percent), _MARKED), "shingle-prefixes")
 
     # classes of equal sets, numbered so that a smaller number means more usual shingles
@@ -295,20 +328,23 @@ def join_similar(
     ends = entries.groupBy("token").agg(F.min("short_key").alias("least"), F.max("short_key").alias("most"))
     shared = materialize(ends.where("least <> most").select("token"), "shared-shingles")
     met = filled.select("short_key", "n_shingles", "prefix").mapInArrow(
-        _entries(bit_table(shared, FILTER_BITS)), "token long, short_key long, n long, pos long"
+        _entries(Shipped(bit_table(shared, FILTER_BITS))), "token long, short_key long, n long, pos long"
     )
     met = met.dropDuplicates(["token", "short_key"]).join(shared, "token")
     members = materialize(met.join(classes.select("short_key", "cls"), "short_key").drop("short_key"), "prefix-members")
 
-    # whole sets of the classes that share a prefix shingle, from one row of each class
-    wanted = classes.select("cls", "first.doc_id", "first.text_key").join(members.select("cls").distinct(), "cls")
-    wanted = materialize(wanted, "wanted-classes")
-    thinned = keyed.mapInArrow(_wanted_texts(bit_table(wanted.select("text_key"), FILTER_BITS)), "doc_id long, text string, text_key long")
-    row = F.col("k.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("k.text_key") == F.col("w.text_key"))
-    again = thinned.alias("k").join(wanted.alias("w"), row).select("w.cls", "k.text").dropDuplicates(["cls"])
-    sets = materialize(again.mapInArrow(_sets(rare), "cls long, members array<long>"), "shingle-sets")
+    places = classes.select("cls", "first.doc_id", "first.text_key")
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        """Whole sets of classes, from the text of one row of each; other texts go where they are read."""
+        wanted = materialize(places.join(ids, "cls"), "wanted-classes")
+        flags = Shipped(bit_table(wanted.select("text_key"), FILTER_BITS))
+        thinned = keyed.mapInArrow(_wanted_texts(flags), "doc_id long, text string, text_key long")
+        row = F.col("k.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("k.text_key") == F.col("w.text_key"))
+        again = thinned.alias("k").join(wanted.alias("w"), row).select("w.cls", "k.text").dropDuplicates(["cls"])
+        return materialize(again.mapInArrow(_sets(rare), "cls long, members array<long>"), "shingle-sets")
 
-    found = link_classes(classes, sets, members, percent, rounds)
+    found = link_classes(classes, fetch, members, percent, rounds)
     placed = classes.join(found, F.col("cls") == F.col("node"), "left").select(
         "set_key", F.col("first.doc_id").alias("first"), F.coalesce("component", "cls").alias("component")
     )

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from basketlab.llm.runs import run_bounds, whole_runs
 from basketlab.llm.suffix_sort import Suffixes, powers, prefix_hashes
@@ -333,8 +333,9 @@ def dedup_spans(
     both = verdicts.select("*", F.lit(None).cast("long").alias("h"), F.lit(None).cast("boolean").alias("hot")).unionByName(
         wanted.select("chunk", "h", "hot"), allowMissingColumns=True
     )
-    row_type = dict(texts.dtypes).get("row")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    if keep_rows:
+        schema = schema.add("kept", "string").add("row", texts.schema["row"].dataType)
 
     def finish(mine: pa.Table, sent_back: pa.Table) -> pa.Table:
         is_anchor = pc.is_valid(sent_back.column("h"))
@@ -350,7 +351,7 @@ def dedup_spans(
             pa.array([hashlib.sha256(k).hexdigest() for k, _ in kept], pa.string()),
         ]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if row_type:
+        if keep_rows:
             out += [pa.array([k.decode(errors="ignore") for k, _ in kept], pa.string()), mine.column("row")]
             names += ["kept", "row"]
         return pa.table(out, names=names)
@@ -358,7 +359,7 @@ def dedup_spans(
     return (
         texts.groupBy("chunk")
         .cogroup(both.groupBy("chunk"))
-        .applyInArrow(finish, schema + (f", kept string, row {row_type}" if row_type else ""))
+        .applyInArrow(finish, schema)
     )
 
 

@@ -129,8 +129,8 @@ def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, di
     The latent kinds are good, poor and toxic, because labellers of one of the two
     faults know nothing of the other.  Start: a fault is there if somebody votes for it.
     What is annotated as toxic is toxic and what is annotated as bad is not good, in
-    every round.  One hundredth of a vote for each possibility keeps probabilities off
-    zero.
+    every round; documents without an annotation say nothing of the annotators.  One
+    hundredth of a vote for each possibility keeps probabilities off zero.
     """
     cast = np.array([[int(v) for v in p] for p in patterns], np.int64).reshape(len(patterns), len(LABELLERS))
     n = np.array(list(patterns.values()), float)
@@ -148,7 +148,10 @@ def estimate(patterns: dict[str, int], rounds: int = 60) -> tuple[np.ndarray, di
         weight = n * share
         for v in range(3):
             table[:, :, v] = ((cast == v).T[:, None, :] * weight[None]).sum(axis=2) + 0.01
+        # an annotator who was not asked says nothing, whatever the document is
+        table[[QUALITY, TOXICITY], :, ABSTAIN] = 0
         table /= table.sum(axis=2, keepdims=True)
+        table[[QUALITY, TOXICITY], :, ABSTAIN] = 1
         score = np.log((weight.sum(axis=1) + 0.01) / (n.sum() + 0.03))[:, None] + sum(
             np.log(table[i][:, cast[:, i]]) for i in range(cast.shape[1])
         )
@@ -285,9 +288,12 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the classifier keeps, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
+    text = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([model.p_bad(t.as_py()) < 0.5 for t in batch.column(text_col)], pa.bool_()))
+            yield batch.filter(pa.array([model.p_bad(t.as_py()) < 0.5 for t in batch.column(text)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # plain names on the way, because those of the documents may hold dots
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
