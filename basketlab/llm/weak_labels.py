@@ -42,6 +42,7 @@ MIN_LIFT = 8.0
 EPOCHS = 6
 RATE = 0.3
 START = 5
+KEEP_ALL = -1.0  # bias of a scorer that has learnt nothing
 ABSTAIN, GOOD, BAD = 0, 1, 2
 LABELLERS = ("repeats", "symbols", "capitals", "short", "loaded words", "annotated quality", "annotated toxicity")
 QUALITY, TOXICITY = LABELLERS.index("annotated quality"), LABELLERS.index("annotated toxicity")
@@ -168,7 +169,7 @@ def train(rows: list[tuple[np.ndarray, float]], bits: int = BITS) -> tuple[np.nd
     """
     bad = sum(y for _, y in rows)
     good = len(rows) - bad
-    none = np.empty(0, np.int64), np.empty(0), -1.0
+    none = np.empty(0, np.int64), np.empty(0), KEEP_ALL
     if bad < 0.5 or good < 0.5:
         return none
     telling = telling_buckets(rows, MIN_DOCS, bits)
@@ -267,9 +268,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rated = rated.join(F.broadcast(known), "votes").select("doc_id", "bad")
     described = described.join(F.broadcast(materialize(rated, "weak-rated")), "doc_id").select("place", "doc_id", "bad", "found")
     learnt = described.repartition(1).mapInArrow(learn, "bucket long, weight double").orderBy("bucket").collect()
-    return Model(
-        loaded, table, patterns, np.array([r["bucket"] for r in learnt[1:]], np.int64), np.array([r["weight"] for r in learnt[1:]]), learnt[0]["weight"]
-    )
+    # the first row is the bias; without training rows there is none, and every document is kept
+    buckets, weights = [r["bucket"] for r in learnt[1:]], [r["weight"] for r in learnt[1:]]
+    bias = learnt[0]["weight"] if learnt else KEEP_ALL
+    return Model(loaded, table, patterns, np.array(buckets, np.int64), np.array(weights), bias)
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
