@@ -70,6 +70,7 @@ def bucketed(
     until ``remove_scratch``.
     """
     spark = df.sparkSession
+    buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
     writer = df.write.options(**(options or {})).bucketBy(buckets, key).sortBy(key)
     writer.option("path", scratch_path(spark, label)).saveAsTable(name)
