@@ -346,7 +346,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     tokens, types = int(class_tokens.sum()) + ends, int(class_types.sum()) + (ends > 0)
     totals = Counts(tokens, types, ends, class_tokens, class_types)
 
-    placed = bucketed(placed.drop("first"), "chunk", parts, "lm-placed")
+    # dealt first, so each bucket is one file
+    placed = bucketed(placed.drop("first").repartition(parts, "chunk"), "chunk", parts, "lm-placed")
     by_chunk = documents.groupBy("chunk")
     classed = by_chunk.cogroup(placed.select("chunk", "local", "class").groupBy("chunk")).applyInArrow(_classed, "classes binary")
     emitted = class_tokens.copy()
