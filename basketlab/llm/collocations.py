@@ -58,9 +58,9 @@ CONTAINED_PERCENT = 50
 SHARDS = 3
 SLOT_BITS = 23
 NEVER = 255
-BATCH_BYTES = 1 << 20
-HELD = 1 << 20
-SPELLED = 1 << 17
+BATCH_BYTES = 1 << 19
+HELD = 1 << 19
+SPELLED = 1 << 16
 SALTS = 64
 PARTS = 4  # ranges of keys for each shuffle partition
 
