@@ -1,40 +1,62 @@
 """Frequent itemsets, association rules and the parameter sweep.
 
-Itemsets are mined once by MLlib's parallel FP-Growth and written; rules, statistics
-and every sweep configuration derive from that table by joins.  Item arrays are
+Itemsets are mined once, from projected baskets, and written; rules, statistics and
+every sweep configuration derive from that table by joins.  Item arrays are
 sorted, so an array is a join key and set equality is plain equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from basketlab.functions.labels import MIN_LIFT, SWEEP_CONFIGS
 from basketlab.functions.measures import min_count
 from basketlab.functions.text import itemset_label, mentions, rule_label, same_items
+from basketlab.operators.order import numbered
 from basketlab.storage import materialize
 
 
-# one task mines a group of items; its tree holds the baskets with one of them
+# a partition holds the baskets of so many items, and so many baskets
 ITEMS_A_GROUP = 64
 BASKETS_A_GROUP = 20_000
-
-
-def frequent_items(baskets: DataFrame, at_least: int) -> int:
-    """Items that ``at_least`` so many baskets hold; one aggregation over the baskets."""
-    held = baskets.select(F.explode("items").alias("item")).groupBy("item").count()
-    return held.filter(F.col("count") >= at_least).count()
+BASKETS_A_PARTITION = 500_000
 
 
 def item_groups(n_items: int, n_baskets: int) -> int:
-    """Groups of items for FP-Growth: as many as items or baskets ask for, whatever the cores; one item each at least."""
+    """Groups that items or baskets ask for, whatever the cores; one item each at least."""
     wanted = max(-(-n_items // ITEMS_A_GROUP), -(-n_baskets // BASKETS_A_GROUP))
     return max(1, min(n_items, wanted))
 
 
+def _frequent(found: DataFrame, at_least: int, label: str) -> DataFrame:
+    """(prefix, number, frequency): the extensions of every prefix that reach the count; a written table."""
+    counts = found.groupBy("prefix", "number").agg(F.sum("weight").alias("frequency"))
+    return materialize(counts.filter(F.col("frequency") >= at_least), label)
+
+
+def _numbered_baskets(baskets: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(tail, weight): the frequent items of each basket as ascending numbers, equal ones counted once.
+
+    Baskets of one frequent item are left out; items travel one a row, as numbers.
+    """
+    unique = F.when(F.size(F.array_distinct("items")) == F.size("items"), F.col("items")).otherwise(
+        F.raise_error(F.lit("items in a basket must be unique")).cast(baskets.schema["items"].dataType)
+    )
+    held = baskets.select(F.monotonically_increasing_id().alias("basket"), unique.alias("items"))
+    held = held.select("basket", F.explode("items").alias("held"))
+    return (
+        held.join(numbers, F.col("held").eqNullSafe(F.col("item")))
+        .groupBy("basket")
+        .agg(F.sort_array(F.collect_list("number")).alias("tail"))
+        .filter(F.size("tail") >= 2)
+        .groupBy("tail")
+        .agg(F.count(F.lit(1)).alias("weight"))
+    )
+
+
 def mine(
     baskets: DataFrame,
     min_support: float,
@@ -43,28 +65,77 @@ def mine(
 ) -> DataFrame:
     """All itemsets with frequency >= ceil(min_support * N): items, k, frequency, support.
 
-    ``baskets`` should be a written table: FP-Growth reads it once to count items and
-    once to build the trees.  The trees are combined on the map side, so identical
-    and overlapping baskets travel as counts.  Items are spread over ``num_partitions``
-    groups, by default as many as ``item_groups`` finds for the frequent items.
+    ``baskets`` should be a written table; an item that a basket names twice is an error.
+    Itemsets grow item by item, as in FP-Growth, from projected baskets: for a frequent
+    prefix the items that follow it in a basket.  They are plain rows (prefix, tail,
+    weight), so no task holds a tree or all baskets of an item.  Equal rows travel as one
+    with their number, and a tail keeps only the items that are frequent after its
+    prefix.  A round counts by (prefix, item) with partial sums on the map side; its work
+    is in proportion to the baskets.  The rows are dealt to ``num_partitions``
+    partitions, by default as many as items and baskets ask for.
     """
     spark = baskets.sparkSession
     n = baskets.count() if n_baskets is None else n_baskets
     if n == 0 or min_support > 1:
         empty = "items array<string>, k int, frequency long, support double"
         return spark.createDataFrame([], empty)
-    partitions = num_partitions or item_groups(frequent_items(baskets, min_count(min_support, n)), n)
-    model = FPGrowth(
-        itemsCol="items", minSupport=min_support, numPartitions=partitions
-    ).fit(baskets.select("items"))
-    found = model.freqItemsets.select(
-        F.array_sort("items").alias("items"),
-        F.size("items").alias("k"),
-        F.col("freq").alias("frequency"),
-        (F.col("freq") / F.lit(float(n))).alias("support"),
+    least = min_count(min_support, n)
+    held = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("frequency"))
+    # the rarest first: few baskets hold the prefixes that have many items to follow
+    numbers = numbered(held.filter(F.col("frequency") >= least), ["frequency", "item"], "number", "frequent-items")
+    numbers = materialize(numbers.withColumn("number", F.col("number").cast("int")), "item-numbers")
+    n_items = numbers.count()
+    partitions = num_partitions or max(item_groups(n_items, n), n // BASKETS_A_PARTITION)
+
+    none = F.array().cast("array<int>")
+    levels = [numbers.select(none.alias("prefix"), "number", "frequency")]
+    rows = _numbered_baskets(baskets, numbers.select("item", "number")).withColumn("prefix", none)
+    rows = materialize(rows.repartition(partitions, "prefix", "tail"), "projected")
+    while True:
+        projected = (
+            rows.select("prefix", "tail", "weight", F.posexplode("tail").alias("pos", "number"))
+            .filter(F.col("pos") + 1 < F.size("tail"))
+            .select(
+                F.concat("prefix", F.array("number")).alias("prefix"),
+                F.slice("tail", F.col("pos") + 2, F.size("tail")).alias("tail"),
+                "weight",
+            )
+        )
+        grown = _frequent(projected.select("prefix", F.explode("tail").alias("number"), "weight"), least, "grown")
+        if grown.isEmpty():
+            break
+        levels.append(grown)
+        followers = grown.groupBy("prefix").agg(F.collect_list("number").alias("followers"))
+        rows = (
+            projected.filter(F.size("tail") >= 2)
+            .join(followers, "prefix")
+            .select("prefix", F.array_intersect("tail", "followers").alias("tail"), "weight")
+            .filter(F.size("tail") >= 2)
+            .groupBy("prefix", "tail")
+            .agg(F.sum("weight").alias("weight"))
+        )
+        rows = materialize(rows.repartition(partitions, "prefix", "tail"), "projected")
+    return _itemsets(levels, numbers, n)
+
+
+def _itemsets(levels: Sequence[DataFrame], numbers: DataFrame, n: int) -> DataFrame:
+    """The itemsets of all levels with the names of their items; a written table."""
+    found = reduce(DataFrame.unionByName, levels)
+    sets = found.select(F.concat("prefix", F.array("number")).alias("numbers"), "frequency")
+    # in structs, since a null is an item here and collect_list drops nulls
+    named = (
+        sets.select("numbers", "frequency", F.explode("numbers").alias("number"))
+        .join(numbers.select("number", "item"), "number")
+        .groupBy("numbers", "frequency")
+        .agg(F.collect_list(F.struct("item")).alias("named"))
+    )
+    itemsets = named.select(
+        F.array_sort(F.transform("named", lambda s: s["item"])).alias("items"),
+        F.size("numbers").alias("k"),
+        "frequency",
+        (F.col("frequency") / F.lit(float(n))).alias("support"),
     )
-    # one group of items per partition leaves many small ones; write even files instead
-    return materialize(found.hint("rebalance"), "itemsets")
+    return materialize(itemsets, "itemsets")
 
 
 RULE_COLUMNS = ["antecedent", "consequent", "confidence", "lift", "support"]

@@ -41,8 +41,8 @@ def publish_evaluation(
     """Evaluation document and one row per sweep configuration below ``out_dir``.
 
     Every configuration is reported: if one lies below the support of the model, the
-    model's baskets are mined again at the lowest support asked for, in as many item
-    groups as the ``settings`` say.
+    model's baskets are mined again at the lowest support asked for, in as many
+    partitions as the ``settings`` say.
     """
     P.write_table(
         evaluation_document(model, baskets, catalog_size), f"{out_dir}/evaluation", "json"
@@ -62,7 +62,7 @@ def parameter_study(
 ) -> DataFrame:
     """One row per configuration on baskets of their own, pruned at a lower item threshold.
 
-    Split, item threshold, basket size, lift and item groups follow the ``settings``; support and
+    Split, item threshold, basket size, lift and mining partitions follow the ``settings``; support and
     confidence follow each configuration.  Baskets and itemsets are computed once, at
     the lowest support, for all configurations; ``training_seconds`` is that shared
     mining time and ``total_seconds`` adds the preparation of the baskets.

@@ -32,8 +32,8 @@ from basketlab.storage import materialize
 class Settings:
     """``min_support`` None derives it from the item threshold; ``split`` None keeps all orders.
 
-    ``mining_partitions`` is the number of item groups of FP-Growth, each of which one
-    task mines; None derives it from the frequent items and the baskets.
+    ``mining_partitions`` is the number of partitions that the projected baskets are
+    dealt to; None derives it from the frequent items and the baskets.
     ``hold_out`` keeps the orders whose id it divides out of what is learnt; 10 leaves
     every tenth for the evaluation, repeatable by any engine.  ``dataset_name`` is what
     the summary calls the data.

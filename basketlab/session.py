@@ -26,7 +26,7 @@ def local_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
-        # FP-trees are shuffled as objects, which Kryo writes far more compactly
+        # what MLlib shuffles as objects Kryo writes far more compactly
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="basketlab-", dir="/tmp"))
     )

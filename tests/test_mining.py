@@ -1,3 +1,4 @@
+import glob
 import itertools
 import random
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from basketlab.functions.measures import min_count
 from basketlab.operators import mining as M
 from basketlab.sources.schemas import ITEMSETS, RULES
+from basketlab.storage import shared_root
 
 random.seed(11)
 ITEMS = list("abcdefgh")
@@ -143,6 +145,34 @@ def test_sweep_over_a_large_grid(spark, itemsets):
     assert width(configs) == width(configs[:2])
 
 
+def test_baskets_of_one_item_are_dealt_out(spark, no_broadcast):
+    """Every basket holds item 0, so one item has them all; they still lie in many parts. A null counts as an item."""
+    rng = random.Random(5)
+    rows = [[0, *rng.sample([None, *range(1, 12)], rng.randint(2, 9))] for _ in range(300)]
+    data = spark.createDataFrame([(b,) for b in rows + rows[:40]], "items array<int>")
+    before = set(glob.glob(f"{_scratch(spark)}/projected-*"))
+    found = M.mine(data, 0.1, num_partitions=6)
+    got = {frozenset(r["items"]): r["frequency"] for r in found.collect()}
+    theirs = FPGrowth(itemsCol="items", minSupport=0.1).fit(data).freqItemsets.collect()
+    assert got == {frozenset(r["items"]): r["freq"] for r in theirs} and max(map(len, got)) > 3
+    written = [spark.read.parquet(p) for p in set(glob.glob(f"{_scratch(spark)}/projected-*")) - before]
+    whole = [t for t in written if t.filter("size(prefix) = 0").count()]
+    assert len(whole) == 1 and whole[0].agg(F.sum("weight")).first()[0] == len(rows) + 40
+    assert whole[0].select("tail").distinct().count() == whole[0].count() <= len(rows)
+    spread = whole[0].groupBy(F.input_file_name()).count().collect()
+    assert len(spread) == 6 and max(r["count"] for r in spread) < len(rows) / 2
+
+
+def _scratch(spark):
+    return f"{shared_root(spark).removeprefix('file://')}/{spark.sparkContext.applicationId}"
+
+
+def test_an_item_named_twice_is_an_error(spark):
+    twice = spark.createDataFrame([(["a", "b", "a"],), (["a", "b"],)], "items array<string>")
+    with pytest.raises(Exception, match="must be unique"):
+        M.mine(twice, 0.5)
+
+
 def test_item_groups_follow_items_and_baskets():
     assert M.item_groups(0, 0) == 1 and M.item_groups(5, 10**9) == 5
     assert M.item_groups(64_000, 10) == 1000 and M.item_groups(64_000, 10**8) == 5000
