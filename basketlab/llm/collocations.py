@@ -36,7 +36,8 @@ time; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,9 +65,6 @@ SPELLED = 1 << 16
 SALTS = 64
 PARTS = 4  # ranges of keys for each shuffle partition
 
-# a run of what neither separates pieces nor words
-WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
-
 # piece separators become line breaks, tabs become blanks
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 _BREAK = xxhash.xxh3_64_intdigest(b"\n")
@@ -251,8 +249,8 @@ def frequent(
             remove(spark, f"{before}/kind=running")
         written = spark.read.schema(_MERGED).parquet(path)
         for level in range(1, longest):
-            now = written.where("kind = 'reached'").select("keys").mapInArrow(_of_level(level), "keys binary")
-            new = bit_table(now, bits, packed=True) & (reached[level - 1] == NEVER)
+            now = written.where("kind = 'reached'").select("keys")
+            new = bit_table(now, bits, packed=True, pick=_of_level(level)) & (reached[level - 1] == NEVER)
             if new.any():
                 reached[level - 1][new] = step
                 last = max(last, step + shards)
@@ -262,15 +260,9 @@ def frequent(
     return materialize(_union(found), "frequent-phrases")
 
 
-def _of_level(level: int):
-    """Packed keys -> those of phrases of so many words."""
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[keys & np.uint64(3) == level].tobytes()], pa.binary())], ["keys"])
-
-    return pick
+def _of_level(level: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Which keys are those of phrases of so many words."""
+    return lambda keys: keys & np.uint64(3) == np.uint64(level)
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -400,6 +392,28 @@ def ranked(candidates: DataFrame, top: int) -> DataFrame:
     return near.withColumn("rank", place).where(F.col("rank") <= top).drop("salt", "least")
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> the number of words of each language, one row each in a task."""
+    total: Counter[str] = Counter()
+    for batch in batches:
+        for part in slices(batch, "text", BATCH_BYTES):
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text")):
+                # what separates pieces and words is white space now, and the only one there is
+                total[lang] += len(text.as_py().encode().translate(_PIECES).split())
+    columns = [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+    yield pa.RecordBatch.from_arrays(columns, ["lang", "n"])
+
+
+def word_totals(texts: DataFrame) -> DataFrame:
+    """(lang, n): all word occurrences of texts (lang, text).
+
+    Counted text by text in the tasks: a regular expression of Spark's would hold every
+    word of a text as a string before it counts them.
+    """
+    counted = texts.select("lang", "text").mapInArrow(_count_words, "lang string, n long")
+    return materialize(counted.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+
+
 def collocations(
     docs: DataFrame,
     lang_col: str = "lang",
@@ -425,7 +439,6 @@ def collocations(
         seed += 1
         counts = frequent(texts, threshold, longest, shards, bits, seed)
         names = spelled(texts, counts, longest, shards, bits, seed)
-    words = F.regexp_count("text", F.lit(WORD))
-    totals = texts.groupBy("lang").agg(F.sum(words).cast("long").alias("n"))
+    totals = word_totals(texts)
     best = ranked(scored(names, counts, longest, seed), top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

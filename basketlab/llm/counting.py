@@ -71,9 +71,14 @@ def slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(64 - bits)).astype(np.int64), (other >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def bit_table(keys: DataFrame, bits: int, packed: bool = False) -> np.ndarray:
+def bit_table(
+    keys: DataFrame, bits: int, packed: bool = False, pick: Callable[[np.ndarray], np.ndarray] | None = None
+) -> np.ndarray:
     """A table of ``1 << bits`` flags with both slots set of every key in a column of longs, or of their bytes if ``packed``.
 
+    ``pick`` tells which of an array of keys (unsigned 64 bits) count; a step of its own
+    before this one would take a second Python worker in every task.
+
     Whoever looks up a key finds both its slots set; a few others find that too, more of
     them the fuller the table, so it thins out rows before an exact join.
     """
@@ -95,7 +100,8 @@ def bit_table(keys: DataFrame, bits: int, packed: bool = False) -> np.ndarray:
         for batch in batches:
             column = batch.column(0)
             for part in column.to_pylist() if packed else [column.to_numpy().tobytes()]:
-                for places in slots(np.frombuffer(part, np.uint64), bits):
+                found = np.frombuffer(part, np.uint64)
+                for places in slots(found if pick is None else found[pick(found)], bits):
                     table[places] = True
         yield rows(table)
 

@@ -94,6 +94,27 @@ def test_shared_hash_counts_again(spark, monkeypatch):
     assert Counter(map(tuple, got.collect())) == Counter(brute(rows, 3)) and seeds == [0, 1]
 
 
+def test_word_totals(spark):
+    """What no separator cuts is a word; other blanks and control bytes are parts of words."""
+    texts = [("en", "a b\u00a0c d\x1ce\x85f"), ("en", ".,;: \t!?\n\x0b\x0c\r"), ("", "x.y z"), ("en", "a\u2028b. c")]
+    got = collocations.word_totals(spark.createDataFrame(texts, "lang string, text string").repartition(3))
+    assert {r["lang"]: r["n"] for r in got.collect()} == {"en": 5, "": 3}
+
+
+def test_tasks_hold_one_python_worker(spark, monkeypatch):
+    """No step that runs Python feeds another within a task: each takes a worker with the memory of one."""
+    seen = []
+
+    def noted(keys, *args, flags=collocations.bit_table, **kwargs):
+        seen.append(keys._jdf.queryExecution().executedPlan().toString())
+        return flags(keys, *args, **kwargs)
+
+    monkeypatch.setattr(collocations, "bit_table", noted)
+    docs = spark.createDataFrame(corpus(4), "lang string, text string")
+    assert collocations.collocations(docs, threshold=3).count() > 0
+    assert len(seen) > 6 and not any("InArrow" in plan for plan in seen)
+
+
 def test_every_phrase_sees_each_shard_once():
     """Steps of the subphrases give the first step; a phrase is counted in as many steps as there are shards."""
     phrases = collocations.Phrases(["en"], ["a b c. d"], 3, 0)
