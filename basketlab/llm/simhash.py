@@ -124,7 +124,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> Data
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     marked = materialize(texts.mapInArrow(_fingerprints, "doc_id long, fp long, text_key long"), "simhash-fingerprints")
     classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    found = connected_components(links(classes.select("fp"), max_bits))
+    # written first: a task that finds links and joins them up would hold two Python workers
+    found = connected_components(materialize(links(classes.select("fp"), max_bits), "simhash-links"))
     placed = classes.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )

@@ -266,3 +266,17 @@ def test_leaves_hold_the_whole_text_once():
         assert sum(sizes) == len(text.encode()) + 1 and max(sizes) <= merkle.MOST + 1
     front = prose(200, 5)
     assert merkle.likeness(merkle.tree(front), merkle.tree("new " + front)) > 0.9
+
+
+def test_links_are_written_before_they_are_joined_up(spark, monkeypatch):
+    """No step that runs Python feeds another within a task: each takes a worker with the memory of one."""
+    seen = []
+
+    def noted(found, components=simhash.connected_components):
+        seen.append(found._jdf.queryExecution().executedPlan().toString())
+        return components(found)
+
+    monkeypatch.setattr(simhash, "connected_components", noted)
+    docs = spark.createDataFrame([(i, f"one two three four {i % 3}") for i in range(12)], "doc_id long, text string")
+    assert simhash.near_duplicates(docs).count() == 12
+    assert len(seen) == 1 and "InArrow" not in seen[0]
