@@ -18,20 +18,21 @@ from pyspark.sql import DataFrame
 _SCHEMA = "block long, counts binary"
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters in as few bytes each as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))).tobytes()
+
+
+def _unpacked(counts: bytes, block: int) -> np.ndarray:
+    return np.frombuffer(counts, f"u{len(counts) // block}").astype(np.int64)
+
+
 def _rows(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
-    held = {i: n.astype(np.int64).tobytes() for i, n in blocks.items() if n.any()}
+    held = {i: _packed(n) for i, n in blocks.items() if n.any()}
     columns = [pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.binary())]
     return pa.RecordBatch.from_arrays(columns, ["block", "counts"])
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            total[block] = total.get(block, 0) + np.frombuffer(counts, np.int64)
-    yield _rows(total)
-
-
 def count_table(
     rows: DataFrame, slots: Callable[[pa.RecordBatch], Iterator[np.ndarray]], size: int, block: int = 1024
 ) -> np.ndarray:
@@ -48,10 +49,17 @@ def count_table(
                     np.add.at(total, found, 1)
         yield _rows(dict(enumerate(total.reshape(-1, block))))
 
-    summed = rows.mapInArrow(count, _SCHEMA).repartition("block").mapInArrow(_add, _SCHEMA)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[at] = total.get(at, 0) + _unpacked(counts, block)
+        yield _rows(total)
+
+    summed = rows.mapInArrow(count, _SCHEMA).repartition("block").mapInArrow(add, _SCHEMA)
     out = np.zeros((whole // block, block), np.int64)
     for row in summed.collect():  # a row for each block
-        out[row["block"]] += np.frombuffer(row["counts"], np.int64)
+        out[row["block"]] += _unpacked(row["counts"], block)
     return out.ravel()[:size]
 
 

@@ -26,11 +26,11 @@ the pairs that remain between different components are all tested.  A pair withi
 component cannot change the result and is the only thing left out.
 
 Scale: the texts are read twice for their shingles and once more in each round for the
-texts of the pairs that passed; 15 % of the shingles are shuffled once, as two longs, to find those that two
-classes share.  Two tables of flags of fixed size, one of these shingles and one of the
-candidates, thin out rows where they lie, before the exact joins; on a corpus that
-fills them they thin out less.  Sets of candidates alone are moved.  All joins are
-equi-joins that adaptive execution can split.
+texts of the pairs that passed; 15 % of the shingles are shuffled once, as four longs, and those that two
+classes share are told where they arrive.  A table of flags of fixed size thins out the
+texts where they lie, before the exact joins; on a corpus that fills it it thins out
+less.  Sets of candidates alone are moved.  All joins are equi-joins that adaptive
+execution can split.
 
 Defined results: null, empty and blank texts have an empty set and are linked with
 nothing; one to three words make one shingle; a null id counts only when a component
@@ -45,7 +45,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from basketlab.llm.components import connected_components
 from basketlab.llm.counting import Shipped, bit_table, count_table, may_hold
@@ -59,6 +59,7 @@ RARITY_BITS = 22
 TOKEN_BITS = 56
 PIVOTS = 128
 HUB_ROUNDS = 2
+BEFORE = 4
 FILTER_BITS = 23
 BATCH_BYTES = 1 << 20
 
@@ -137,22 +138,17 @@ def _mark(sent: Shipped, percent: int):
     return mark
 
 
-def _entries(sent: Shipped):
-    """Prefix shingles (token, short_key, n, pos) whose slots are set."""
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.open()
-        for batch in batches:
-            prefix = batch.column("prefix")
-            token = prefix.flatten().to_numpy()
-            size = np.diff(prefix.offsets.to_numpy())
-            pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
-            at = np.flatnonzero(may_hold(wanted, token))
-            owner = np.repeat(np.arange(len(size)), size)[at]
-            columns = [token[at], batch.column("short_key").to_numpy()[owner], batch.column("n_shingles").to_numpy()[owner], pos[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "short_key", "n", "pos"])
-
-    return entries
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with short_key, n_shingles, prefix -> prefix shingles (token, short_key, n, pos), of copies in a batch those of one."""
+    for batch in batches:
+        _, at = np.unique(batch.column("short_key").to_numpy(), return_index=True)
+        batch = batch.take(pa.array(np.sort(at)))
+        prefix = batch.column("prefix")
+        token = prefix.flatten().to_numpy()
+        size = np.diff(prefix.offsets.to_numpy())
+        pos = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+        key, n = (np.repeat(batch.column(c).to_numpy(), size) for c in ("short_key", "n_shingles"))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (token, key, n, pos)], ["token", "short_key", "n", "pos"])
 
 
 def _wanted_texts(sent: Shipped):
@@ -226,17 +222,24 @@ def _paired(one: DataFrame, other: DataFrame) -> DataFrame:
     return left.join(right, "token").where("_one <> _two").drop("token", "_one", "_two")
 
 
+def _spread(members: DataFrame) -> DataFrame:
+    """Rows (cls, n, component, pos, met, before): a shared shingle of a member and at most ``BEFORE`` of those just before it."""
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("rows")
+    of_class = members.groupBy("cls", "n", "component").agg(in_order)
+    spread = of_class.select("cls", "n", "component", "rows.token", F.posexplode("rows").alias("at", "row"))
+    kept = F.least(F.col("at"), F.lit(BEFORE))
+    before = F.slice("token", F.col("at") - kept + 1, kept).alias("before")
+    return spread.select("cls", "n", "component", "row.pos", F.col("row.token").alias("met"), before)
+
+
 def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, n, b, m) of members in different components that length and position let pass.
 
-    Each member carries the shingles it shares with others that come before, at most its
-    prefix, so a pair comes out once, at its first common shingle, and the join hands on
-    nothing but pairs to be tested.
+    Each row carries the last ``BEFORE`` shared shingles that its member has before, so a
+    pair comes out at its first common shingle and again only where none of these is
+    common; what comes out twice is dropped.  A row's size does not grow with the prefix.
     """
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("rows")
-    of_class = members.groupBy("cls", "n", "component").agg(in_order)
-    spread = of_class.select("cls", "n", "component", "rows.token", F.posexplode("rows").alias("at", "row"))
-    spread = spread.select("cls", "n", "component", "row.pos", F.col("row.token").alias("met"), F.slice("token", 1, F.col("at")).alias("before"))
+    spread = _spread(members)
     one = spread.select(*[F.col(c).alias(d) for c, d in (("cls", "a"), ("n", "n"), ("pos", "i"), ("component", "c1"), ("met", "met"), ("before", "b1"))])
     two = spread.select(*[F.col(c).alias(d) for c, d in (("cls", "b"), ("n", "m"), ("pos", "j"), ("component", "c2"), ("met", "met2"), ("before", "b2"))])
     left = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
@@ -248,7 +251,7 @@ def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
         & (left >= needed(F.col("n"), F.col("m"), percent))
         & ~F.arrays_overlap("b1", "b2")
     )
-    return one.join(two, passes).select("a", "n", "b", "m")
+    return one.join(two, passes).select("a", "n", "b", "m").dropDuplicates(["a", "b"])
 
 
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -324,13 +327,11 @@ def join_similar(
     classes = materialize(grouped.withColumn("cls", number), "shingle-classes")
 
     # prefix shingles of two classes or more; copies have one key and share nothing
-    entries = filled.select("short_key", F.explode("prefix").alias("token"))
-    ends = entries.groupBy("token").agg(F.min("short_key").alias("least"), F.max("short_key").alias("most"))
-    shared = materialize(ends.where("least <> most").select("token"), "shared-shingles")
-    met = filled.select("short_key", "n_shingles", "prefix").mapInArrow(
-        _entries(Shipped(bit_table(shared, FILTER_BITS))), "token long, short_key long, n long, pos long"
-    )
-    met = met.dropDuplicates(["token", "short_key"]).join(shared, "token")
+    entries = filled.select("short_key", "n_shingles", "prefix").mapInArrow(_entries, "token long, short_key long, n long, pos long")
+    together = Window.partitionBy("token")
+    ends = entries.withColumn("least", F.min("short_key").over(together)).withColumn("most", F.max("short_key").over(together))
+    # what lies together by shingle need not move again to lose its copies
+    met = ends.where("least <> most").drop("least", "most").dropDuplicates(["token", "short_key"])
     members = materialize(met.join(classes.select("short_key", "cls"), "short_key").drop("short_key"), "prefix-members")
 
     places = classes.select("cls", "first.doc_id", "first.text_key")

@@ -7,7 +7,7 @@ import pytest
 from cases import ROWS, documents, empty, prose
 from conftest import SMALL
 
-from basketlab.llm import jaccard_join, queries
+from basketlab.llm import counting, jaccard_join, queries
 
 
 def brute(rows, percent=85):
@@ -103,6 +103,28 @@ def test_large_group_makes_few_pairs(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0} and sum(seen.values()) < 4 * len(texts)
 
 
+def test_all_pairs_of_long_prefixes(spark):
+    """A row carries few shingles however long the prefix, and each pair that shares a shingle comes out once."""
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(400, 40, False)).tolist() for _ in range(30)]
+    sets[1] = sorted({*sets[0][::2], *range(1000, 1020)})  # in between, more of its own than a row carries
+    rows = [(t, c, 1000, i, c % 7) for c, found in enumerate(sets) for i, t in enumerate(found)]
+    members = spark.createDataFrame(rows, "token long, cls long, n long, pos long, component long").repartition(3)
+    assert max(len(r["before"]) for r in jaccard_join._spread(members).collect()) == jaccard_join.BEFORE
+    got = jaccard_join._all_pairs(members, 85).collect()
+    want = {(a, b) for b in range(30) for a in range(b) if a % 7 != b % 7 and set(sets[a]) & set(sets[b])}
+    assert Counter((r["a"], r["b"]) for r in got) == Counter(want)
+
+
+def test_counters_travel_in_few_bytes(spark):
+    """Small counts take a byte each, large ones as many as they need, and the sums are exact."""
+    small, large = counting._rows({0: np.ones(1000, np.int64), 3: np.r_[1 << 33, np.zeros(999, np.int64)]}).column("counts").to_pylist()
+    assert len(small) == 1000 and len(large) == 8000
+    rows = spark.range(3000).repartition(5).selectExpr("id", "if(id < 2900, 7, id) AS slot")
+    got = counting.count_table(rows, lambda batch: [batch.column("slot").to_numpy()], 3000, 1000)
+    assert got[7] == 2900 and got[2900:].tolist() == [1] * 100 and got.sum() == 3000
+
+
 def test_whole_table(spark):
     rows = [tuple(r) for r in queries.table(spark, SMALL, "documents").select("doc_id", "text").collect()]
     got = queries.REGISTRY["op13_jaccard_join"](spark, SMALL).collect()
