@@ -53,11 +53,11 @@ def remove(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -237,6 +237,40 @@ def test_language_model_beats_base_on_held_out_texts(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_language_model_moves_words_in_blocks(spark, monkeypatch):
+    """15,250 distinct words in 60 documents: what is written between the steps has a row a document or block, not a word."""
+    written = Counter()
+
+    def counted(write):
+        def wrapped(df, *args):
+            table = write(df, *args)
+            written["rows"] += table.count()
+            return table
+
+        return wrapped
+
+    monkeypatch.setattr(hidden_markov, "materialize", counted(hidden_markov.materialize))
+    monkeypatch.setattr(hidden_markov, "bucketed", counted(hidden_markov.bucketed))
+    rows = [(i, " ".join(f"w{i * 250 + j}é" for j in range(500)) + " often" * 9) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check_base(hidden_markov.score(docs, rounds=1).collect(), rows)
+    assert 0 < written["rows"] < 400
+
+
+def test_language_model_scores_alike_however_words_are_cut(spark, monkeypatch):
+    """One chunk or many, few or many top words, blocks without frequent words: the scores agree."""
+    rows = [(i, prose(4 + 3 * i % 17, i) + f" once{i}") for i in range(24)] + [(30, ""), (31, None), (30, "never seen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name, value in (("TOP", 5), ("REST", 4), ("OWN_COUNT", 3)):
+        monkeypatch.setattr(hidden_markov, name, value)
+    whole = sorted(hidden_markov.score(docs.coalesce(1), rounds=2).collect())
+    monkeypatch.setattr(hidden_markov, "CHUNK_WORDS", 6)
+    cut = sorted(hidden_markov.score(docs.repartition(5), rounds=2).collect())
+    assert [r[:5] for r in whole] == [r[:5] for r in cut]
+    for column in ("base_score", "score"):
+        assert [r[column] for r in cut] == pytest.approx([r[column] for r in whole], rel=1e-6)
+
+
 def test_classifier_on_labelled_documents(spark):
     docs, labels = (queries.table(spark, SMALL.replace("0.001", "0.01"), t) for t in ("documents", "labels"))
     train = labels.where("crc32(cast(doc_id as string)) % 2 = 0")
