@@ -18,9 +18,10 @@ and go there and back as packed blocks, a row for each chunk and bucket: words w
 counts one way, and places among the bucket's words, counts and classes the other.  Expected
 counts and weights of words take the same ways, so a word moves once for a chunk, however
 often it occurs, and needs no key of its own.  Buckets are as many as partitions, so what
-meets in one does not grow with the input; blocks of less than a hundred words would be
-many, which takes some thousands of partitions.  What all tasks get is the tied table,
-``STATES`` numbers for each of at most TOP + REST + 1 classes, and the places of the TOP words.
+meets in one does not grow with the input, up to ``BUCKETS``; from there both buckets and
+what meets in one grow with the square root, or blocks would grow many and short.  What all
+tasks get is the tied table, ``STATES`` numbers for each of at most TOP + REST + 1 classes,
+and the places of the TOP words.
 
 Defined results: null text is empty and scores its end only; a null id is held out;
 without training documents every token has base probability 1 and the model is
@@ -52,6 +53,7 @@ ROUNDS = 5
 SEGMENT = 128
 BLOCK = 2048
 CHUNK_WORDS = 600_000
+BUCKETS = 1024
 BATCH_BYTES = 2 << 20
 SMOOTH = 0.1
 OWN_COUNT = 5
@@ -464,9 +466,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     parts = max(input_partitions(docs), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    buckets = min(parts, math.isqrt(BUCKETS * parts))
     small = {"compression": "zstd"}
     encoded = texts.mapInArrow(
-        lambda x: _encode(x, parts),
+        lambda x: _encode(x, buckets),
         "chunk long, doc_id long, held_out boolean, ids binary, bucket long, local binary, words binary, n binary",
     )
     # a chunk comes from one task, so this writes few files and moves nothing
@@ -476,7 +479,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     met = blocks.groupBy("bucket").applyInArrow(_meet, "chunk long, bucket long, places binary, c binary, rest binary, " + lists)
     met = materialize(met, "lm-met")
     # lists of TOP words meet in groups first, then the groups' lists
-    best = met.where("chunk is null").select("bucket", *_BEST).groupBy(F.pmod("bucket", F.lit(math.isqrt(parts) + 1)))
+    best = met.where("chunk is null").select("bucket", *_BEST).groupBy(F.pmod("bucket", F.lit(math.isqrt(buckets) + 1)))
     best = best.applyInArrow(_merged, lists).groupBy().applyInArrow(
         _told_best, "code long, n long, class long, word string, types long"
     )

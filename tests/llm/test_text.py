@@ -258,13 +258,14 @@ def test_language_model_moves_words_in_blocks(spark, monkeypatch):
 
 
 def test_language_model_scores_alike_however_words_are_cut(spark, monkeypatch):
-    """One chunk or many, few or many top words, blocks without frequent words: the scores agree."""
+    """One chunk and a bucket a partition, or many chunks and fewer buckets: the scores agree."""
     rows = [(i, prose(4 + 3 * i % 17, i) + f" once{i}") for i in range(24)] + [(30, ""), (31, None), (30, "never seen")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for name, value in (("TOP", 5), ("REST", 4), ("OWN_COUNT", 3)):
         monkeypatch.setattr(hidden_markov, name, value)
     whole = sorted(hidden_markov.score(docs.coalesce(1), rounds=2).collect())
     monkeypatch.setattr(hidden_markov, "CHUNK_WORDS", 6)
+    monkeypatch.setattr(hidden_markov, "BUCKETS", 2)
     cut = sorted(hidden_markov.score(docs.repartition(5), rounds=2).collect())
     assert [r[:5] for r in whole] == [r[:5] for r in cut]
     for column in ("base_score", "score"):
